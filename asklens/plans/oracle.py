@@ -173,3 +173,264 @@ FROM (SELECT DISTINCT l_orderkey, (l_linenumber - 1) // 20 AS page, o_orderprior
 UNION ALL
 SELECT 'u1', CAST(l_partkey AS VARCHAR), concat('Topic#', l_partkey), 'topic'
 FROM follows WHERE src = 'u1'"""
+
+
+# ---------------------------------------------------------------- ratings
+
+ACTIONS = """actions AS (
+  SELECT event_id, concat('u', user_id) AS userUrlToken, json_extract_string(props, '$.k') AS questionId,
+         CASE event_type WHEN 'click' THEN 'answer_approve' WHEN 'purchase' THEN 'answer_collect'
+              WHEN 'error' THEN 'question_follow' WHEN 'view' THEN 'answer_comment'
+              ELSE 'answer_publish' END AS actType
+  FROM events)"""
+
+WEIGHTED = """weighted AS (
+  SELECT *, (CASE actType WHEN 'question_follow' THEN 5.0 WHEN 'answer_approve' THEN 1.0
+                          WHEN 'answer_collect' THEN 1.5 ELSE 2.5 END)::DOUBLE AS rate
+  FROM actions)"""
+
+ARATING = """arating AS (
+  SELECT userUrlToken, questionId, sum(DISTINCT rate) AS rate FROM weighted
+  WHERE userUrlToken IS NOT NULL AND questionId IS NOT NULL AND actType IS NOT NULL
+  GROUP BY userUrlToken, questionId)"""
+
+IDMAP = """idmap AS (
+  SELECT lpad(hex(c_custkey), 24, '0') AS _id, concat('u', c_custkey) AS urlToken,
+         CAST(c_custkey AS VARCHAR) AS UId
+  FROM customer WHERE c_custkey % 9 <> 4
+  UNION ALL
+  SELECT lpad(hex(c_custkey + 1000000000), 24, '0'), concat('u', c_custkey), CAST(c_custkey + 500000 AS VARCHAR)
+  FROM customer WHERE c_custkey % 9 <> 4 AND c_custkey % 5 = 0)"""
+
+INT_RE = r"'^\s*[+-]?[0-9]+\s*$'"
+
+LOOKUP = f"""lookup AS (
+  SELECT urlToken AS userUrlToken,
+         CASE WHEN regexp_matches(arg_min(UId, _id), {INT_RE}) THEN TRY_CAST(trim(arg_min(UId, _id)) AS BIGINT) END AS UId
+  FROM idmap GROUP BY urlToken)"""
+
+RATINGS = f"""ratings AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT TRY_CAST(l.UId AS INTEGER) AS UId,
+           TRY_CAST(CASE WHEN regexp_matches(a.questionId, {INT_RE}) THEN TRY_CAST(trim(a.questionId) AS BIGINT) END
+                    AS INTEGER) AS QId,
+           a.rate
+    FROM arating a JOIN lookup l USING (userUrlToken) WHERE l.UId IS NOT NULL)
+  WHERE UId IS NOT NULL AND QId IS NOT NULL)"""
+
+RATING_CTES = (ACTIONS, WEIGHTED, ARATING, IDMAP, LOOKUP, RATINGS)
+
+SPLIT = """split AS (
+  SELECT UId, QId, rate,
+         CASE WHEN (UId::BIGINT * 31 + QId) % 10 < 8 THEN 'train' ELSE 'test' END AS part
+  FROM ratings)"""
+
+ORACLE["action_weight"] = _with(ACTIONS, WEIGHTED) + """
+SELECT event_id, userUrlToken, questionId, actType, rate FROM weighted"""
+
+ORACLE["required_keys_filter"] = _with(ACTIONS) + """
+SELECT * FROM (
+  SELECT event_id,
+         CASE WHEN event_id % 7 = 3 THEN NULL ELSE userUrlToken END AS userUrlToken,
+         CASE WHEN event_id % 11 = 4 THEN NULL ELSE questionId END AS questionId,
+         CASE WHEN event_id % 13 = 5 THEN NULL ELSE actType END AS actType
+  FROM actions)
+WHERE userUrlToken IS NOT NULL AND questionId IS NOT NULL AND actType IS NOT NULL"""
+
+ORACLE["tolerant_int_filter"] = f"""
+WITH k AS (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events),
+t AS (
+  SELECT event_id,
+         CASE WHEN event_id % 4 = 1 THEN ' ' || k || ' '
+              WHEN event_id % 4 = 2 THEN k || '.5'
+              WHEN event_id % 8 = 3 THEN '+' || k
+              ELSE k END AS qtext
+  FROM k)
+SELECT event_id, TRY_CAST(trim(qtext) AS BIGINT) AS id FROM t
+WHERE regexp_matches(qtext, {INT_RE}) AND TRY_CAST(trim(qtext) AS BIGINT) IS NOT NULL"""
+
+ORACLE["action_rating"] = _with(ACTIONS, WEIGHTED, ARATING) + """
+SELECT userUrlToken, questionId, rate FROM arating"""
+
+ORACLE["user_id_lookup"] = _with(ACTIONS, IDMAP, LOOKUP) + """
+SELECT DISTINCT a.userUrlToken, l.UId FROM actions a JOIN lookup l USING (userUrlToken)
+WHERE l.UId IS NOT NULL"""
+
+ORACLE["rating_upsert"] = _with(*RATING_CTES, """old AS (
+  SELECT UId, QId, rate - 1.0 AS rate FROM ratings WHERE (UId::BIGINT * 7 + QId) % 4 <> 0)""",
+                                """new AS (SELECT UId, QId, rate FROM ratings WHERE (UId::BIGINT * 7 + QId) % 4 <> 1)""") + """
+SELECT UId, QId, round(rate, 6) AS rate FROM new
+UNION ALL
+SELECT UId, QId, round(rate, 6) FROM old o
+WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.UId = o.UId AND n.QId = o.QId)"""
+
+ORACLE["hash_split"] = _with(*RATING_CTES, SPLIT) + """
+SELECT UId, QId, round(rate, 6) AS rate, part FROM split"""
+
+ORACLE["rmse_metric"] = _with(*RATING_CTES, SPLIT, """means AS (
+  SELECT QId, avg(rate) AS prediction FROM split WHERE part = 'train' GROUP BY QId)""") + """
+SELECT round(sqrt(avg((s.rate - m.prediction) * (s.rate - m.prediction))), 6) AS rmse, count(*)::BIGINT AS n
+FROM split s JOIN means m USING (QId) WHERE s.part = 'test'"""
+
+ORACLE["topk_per_group"] = _with(*RATING_CTES) + """
+SELECT UId, QId, round(rate, 6) AS rate, position FROM (
+  SELECT *, (row_number() OVER (PARTITION BY UId ORDER BY rate DESC, QId))::INTEGER AS position FROM ratings)
+WHERE position <= 10"""
+
+ORACLE["last_doc_per_user"] = _with(FOLLOWS, """docs AS (
+  SELECT src AS urlToken, l_orderkey, (l_linenumber - 1) // 20 AS page,
+         string_agg(dst, ',' ORDER BY l_linenumber, l_suppkey, l_partkey) AS following
+  FROM follows GROUP BY src, l_orderkey, (l_linenumber - 1) // 20)""") + """
+SELECT urlToken, concat(lpad(hex(l_orderkey), 20, '0'), lpad(hex(page), 4, '0')) AS _id, following
+FROM (SELECT *, row_number() OVER (PARTITION BY urlToken ORDER BY l_orderkey DESC, page DESC) AS rn FROM docs)
+WHERE rn = 1"""
+
+# ---------------------------------------------------------------- crawl bookkeeping
+
+FIRSTS = """firsts AS (
+  SELECT user, l_orderkey AS first_order, l_linenumber AS first_line FROM (
+    SELECT dst AS user, l_orderkey, l_linenumber,
+           row_number() OVER (PARTITION BY dst ORDER BY l_orderkey, l_linenumber) AS rn
+    FROM follows)
+  WHERE rn = 1)"""
+
+LEDGER = """ledger AS (
+  SELECT CASE WHEN c_custkey % 9 = 0 THEN concat('u', c_custkey, ':::ERROR')
+              WHEN c_custkey % 2 = 0 THEN concat('u', c_custkey, ':::', c_custkey % 7)
+              ELSE concat('u', c_custkey) END AS value
+  FROM customer WHERE c_custkey % 3 = 0)"""
+
+ORACLE["frontier_pending"] = _with(FOLLOWS, FIRSTS, LEDGER) + """
+SELECT user, first_order, first_line FROM firsts
+WHERE user NOT IN (SELECT split_part(trim(value), ':::', 1) FROM ledger)"""
+
+ORACLE["follow_totals"] = _with(FOLLOWS) + """
+SELECT src AS user, count(*)::BIGINT AS follow_total_count FROM follows GROUP BY ROLLUP (src)"""
+
+ORACLE["follow_cap"] = _with(FOLLOWS) + """
+SELECT user, followed, pos FROM (
+  SELECT src AS user, dst AS followed,
+         (row_number() OVER (PARTITION BY src ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey))::INTEGER AS pos
+  FROM follows)
+WHERE pos <= 10"""
+
+ORACLE["global_cap"] = _with(FOLLOWS, FIRSTS) + """
+SELECT user, first_order, first_line FROM firsts ORDER BY first_order, first_line, user LIMIT 50"""
+
+# ---------------------------------------------------------------- pages and text
+
+from asklens.functions.text import ANCHOR, TAG_PATTERN  # noqa: E402
+from asklens.schemas import PROFILE_COUNTERS  # noqa: E402
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+HOST = "https://www.example.com"
+
+URLS = f"""urls AS (
+  SELECT url FROM pages
+  UNION ALL
+  SELECT concat('{HOST}/people/u', c_custkey, '/following') FROM customer
+  UNION ALL
+  SELECT concat('{HOST}/api/v4/members/u', o_custkey, '/followees?include=data&offset=', page * 20, '&limit=20')
+  FROM (SELECT DISTINCT o_custkey, l_orderkey, (l_linenumber - 1) // 20 AS page FROM follows))"""
+
+PROFILE_RE = "'/people/.*/following$'"
+API_RE = "'/members/.*/followees?'"
+
+ORACLE["strip_tags"] = f"""
+SELECT page_id, regexp_replace(html, {_lit(TAG_PATTERN)}, '', 'g') AS text FROM pages"""
+
+ORACLE["url_route"] = _with(FOLLOWS, URLS) + f"""
+SELECT url, CASE WHEN regexp_matches(url, {PROFILE_RE}) THEN 'profile'
+                 WHEN regexp_matches(url, {API_RE}) THEN 'follow_api'
+                 ELSE 'other' END AS route
+FROM urls"""
+
+ORACLE["url_token"] = _with(FOLLOWS, URLS) + f"""
+SELECT url, CASE WHEN regexp_matches(url, {PROFILE_RE})
+                 THEN split_part(string_split(url, '/people/')[-1], '/following', 1)
+                 WHEN regexp_matches(url, {API_RE})
+                 THEN split_part(string_split(url, '/members/')[-1], '/followees?', 1) END AS token
+FROM urls"""
+
+ORACLE["url_query_params"] = """
+SELECT page_id,
+       TRY_CAST(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS INTEGER) AS page,
+       nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref
+FROM pages"""
+
+ORACLE["org_token"] = _with(FOLLOWS) + """
+SELECT l_orderkey, l_linenumber, concat('u', l_suppkey) AS token FROM follows"""
+
+ORACLE["page_link_extract"] = f"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract_all(html, {_lit(ANCHOR)}, 1) AS hrefs,
+         regexp_extract_all(html, {_lit(ANCHOR)}, 2) AS texts
+  FROM pages),
+b AS (SELECT page_id, url, hrefs, texts, unnest(generate_series(1, len(hrefs))) AS i FROM a)
+SELECT page_id, (i - 1)::INTEGER AS pos, hrefs[i] AS href, texts[i] AS text,
+       CASE WHEN starts_with(hrefs[i], '/') AND NOT starts_with(hrefs[i], '//')
+            THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), hrefs[i])
+            ELSE hrefs[i] END AS abs_url
+FROM b WHERE texts[i] <> ''"""
+
+ORACLE["api_follow_extract"] = _with(FOLLOWS) + f"""
+SELECT src AS user, dst AS id, concat('{HOST}/people/', dst) AS url, concat('User#', l_suppkey) AS name,
+       (l_suppkey % 3 - 1)::INTEGER AS gender
+FROM follows WHERE l_linenumber <> 3"""
+
+ORACLE["embedded_json_extract"] = """
+SELECT concat('u', c_custkey) AS urlToken, md5(CAST(c_custkey AS VARCHAR)) AS id, c_name AS name,
+       ((c_custkey * 3) % 1000)::BIGINT AS followerCount
+FROM customer"""
+
+_COUNTER_SQL = ",\n       ".join(
+    f"((c_custkey * {i + 3}) % {1000 + i})::BIGINT AS {name}" for i, name in enumerate(PROFILE_COUNTERS))
+
+ORACLE["profile_flatten"] = _with(EDU) + f"""
+SELECT md5(CAST(c_custkey AS VARCHAR)) AS id, concat('u', c_custkey) AS urlToken, c_name AS name,
+       (c_custkey % 13 = 0) AS isOrg,
+       CASE WHEN c_custkey % 13 = 0 THEN 'organization' ELSE 'people' END AS type,
+       concat('{HOST}/people/u', c_custkey) AS url,
+       concat(c_mktsegment, c_name) AS headline,
+       1::BIGINT AS isActive,
+       concat(c_name, c_mktsegment) AS description,
+       (c_custkey % 3 - 1)::INTEGER AS gender,
+       {_COUNTER_SQL},
+       c_mktsegment AS business,
+       coalesce(n_name, '') AS locations,
+       coalesce(e.edus, '') AS educations,
+       '' AS badge
+FROM customer
+LEFT JOIN nation ON c_nationkey = n_nationkey
+LEFT JOIN (SELECT c_custkey, string_agg(school || '/' || major, '|' ORDER BY school, major) AS edus
+           FROM edu WHERE school IS NOT NULL GROUP BY c_custkey) e USING (c_custkey)
+WHERE NOT (c_custkey % 17 = 3 OR c_custkey % 19 = 5)"""
+
+ORACLE["profile_quarantine"] = """
+SELECT concat('u', c_custkey) AS urlToken,
+       CASE WHEN c_custkey % 17 = 3 OR c_custkey % 19 = 5 THEN 'ERROR' ELSE 'ok' END AS status
+FROM customer"""
+
+ORACLE["delimited_encode"] = _with(FOLLOWS) + f"""
+SELECT l_orderkey, l_linenumber,
+       concat('id:::u', l_suppkey, '---url:::{HOST}/people/u', l_suppkey, '---name:::User-', l_suppkey,
+              '---gender:::-1') AS line
+FROM follows"""
+
+ORACLE["delimited_decode"] = _with(FOLLOWS) + """
+SELECT concat('u', l_suppkey) AS id, concat('User-', l_suppkey) AS name, (-1)::INTEGER AS gender FROM follows"""
+
+# ---------------------------------------------------------------- sinks and streams
+
+ORACLE["sink_roundtrip"] = ORACLE["business_count"]
+ORACLE["stream_business_count"] = ORACLE["business_count"]
+ORACLE["stream_school_count"] = ORACLE["school_count"]
+ORACLE["stream_drip_count"] = ORACLE["school_count"]
+
+ORACLE["incremental_export"] = """
+SELECT lpad(hex(c_custkey), 24, '0') AS _id, c_name AS name, nullif(c_mktsegment, 'FURNITURE') AS business
+FROM customer WHERE c_custkey % 3 <> 0"""

@@ -161,3 +161,279 @@ def recommend_subgraph_edges(spark, sf):
 @query("ego_network")
 def ego_network(spark, sf):
     return G.ego_network(A.follow_docs(Tables(spark, sf)), "u1")
+
+
+# ---------------------------------------------------------------- ratings and ML
+
+from asklens.operators import ratings as R  # noqa: E402
+from asklens.operators import recommend as M  # noqa: E402
+
+
+def _ratings(t: Tables) -> DataFrame:
+    return R.to_ratings(R.action_rating(R.weighted_actions(A.actions(t))), A.id_map(t))
+
+
+@query("action_weight")
+def action_weight(spark, sf):
+    return R.weighted_actions(A.actions(Tables(spark, sf)))
+
+
+@query("required_keys_filter")
+def required_keys_filter(spark, sf):
+    return R.required_keys(A.actions_with_gaps(Tables(spark, sf)))
+
+
+@query("tolerant_int_filter")
+def tolerant_int_filter(spark, sf):
+    q = A.question_id_texts(Tables(spark, sf))
+    return q.select("event_id", X.tolerant_int("qtext").alias("id")).where(F.col("id").isNotNull())
+
+
+@query("action_rating")
+def action_rating(spark, sf):
+    return R.action_rating(R.weighted_actions(A.actions(Tables(spark, sf))))
+
+
+@query("last_doc_per_user")
+def last_doc_per_user(spark, sf):
+    last = R.last_doc_per_user(A.follow_docs(Tables(spark, sf)))
+    return last.select("urlToken", "_id", F.concat_ws(",", "following.urlToken").alias("following"))
+
+
+@query("user_id_lookup")
+def user_id_lookup(spark, sf):
+    t = Tables(spark, sf)
+    return R.user_id_lookup(A.actions(t), A.id_map(t))
+
+
+@query("rating_upsert")
+def rating_upsert(spark, sf):
+    r = _ratings(Tables(spark, sf))
+    mix = (F.col("UId").cast("long") * 7 + F.col("QId")) % 4
+    old = r.where(mix != 0).withColumn("rate", F.col("rate") - F.lit(1.0))
+    new = r.where(mix != 1)
+    return rounded(R.upsert(old, new))
+
+
+@query("hash_split")
+def hash_split(spark, sf):
+    return rounded(M.hash_split(_ratings(Tables(spark, sf))))
+
+
+@query("rmse_metric")
+def rmse_metric(spark, sf):
+    s = M.hash_split(_ratings(Tables(spark, sf)))
+    train = s.where(F.col("part") == "train")
+    test = s.where(F.col("part") == "test")
+    return rounded(M.rmse(M.mean_rate_predictor(train, test)))
+
+
+@query("topk_per_group")
+def topk_per_group(spark, sf):
+    r = _ratings(Tables(spark, sf))
+    return rounded(M.topk_per_group(r, "UId", [F.col("rate").desc(), F.col("QId").asc()], 10)
+                   .select("UId", "QId", "rate", "position"))
+
+
+def _als(spark, sf):
+    s = M.hash_split(_ratings(Tables(spark, sf)))
+    train = s.where(F.col("part") == "train").drop("part")
+    test = s.where(F.col("part") == "test").drop("part")
+    return M.fit_als(train, seed=42), test
+
+
+@query("als_predict")
+def als_predict(spark, sf):
+    model, test = _als(spark, sf)
+    return M.predict(model, test).select("UId", "QId", "rate", F.col("prediction").cast("double"))
+
+
+@query("als_topk_recs")
+def als_topk_recs(spark, sf):
+    model, _ = _als(spark, sf)
+    return M.top_items(model, 10)
+
+
+@query("recs_preview")
+def recs_preview(spark, sf):
+    model, _ = _als(spark, sf)
+    return M.preview(M.top_items(model, 10), 10)
+
+
+# ---------------------------------------------------------------- pages and text
+
+from asklens.functions import text as X  # noqa: E402
+from asklens.operators import profiles as P  # noqa: E402
+
+
+@query("strip_tags")
+def strip_tags(spark, sf):
+    return Tables(spark, sf).pages.select("page_id", X.strip_tags("html").alias("text"))
+
+
+@query("url_route")
+def url_route(spark, sf):
+    return A.crawl_urls(Tables(spark, sf)).select("url", X.url_route("url").alias("route"))
+
+
+@query("url_token")
+def url_token(spark, sf):
+    return A.crawl_urls(Tables(spark, sf)).select("url", X.url_token("url").alias("token"))
+
+
+@query("url_query_params")
+def url_query_params(spark, sf):
+    return Tables(spark, sf).pages.select(
+        "page_id", X.tolerant_int(X.query_param("url", "page")).cast("int").alias("page"),
+        X.query_param("url", "ref").alias("ref"))
+
+
+@query("org_token")
+def org_token(spark, sf):
+    rows = A.follow_rows(Tables(spark, sf))
+    raw = F.when(F.col("l_suppkey") % 13 == 0,
+                 F.concat(F.lit(A.HOST), F.lit("/org/"), A.token("l_suppkey"))).otherwise(A.token("l_suppkey"))
+    return rows.select("l_orderkey", "l_linenumber", X.org_token(raw).alias("token"))
+
+
+@query("page_link_extract")
+def page_link_extract(spark, sf):
+    return P.page_links(Tables(spark, sf).pages)
+
+
+@query("api_follow_extract")
+def api_follow_extract(spark, sf):
+    return P.api_follows(A.api_follow_pages(Tables(spark, sf)))
+
+
+@query("embedded_json_extract")
+def embedded_json_extract(spark, sf):
+    e = P.embedded_user_json(A.profile_pages(Tables(spark, sf)))
+    u = F.from_json("json", P.RAW_PROFILE_SCHEMA)
+    return e.select("urlToken", u.alias("u")).select(
+        "urlToken", F.col("u.id").alias("id"), F.col("u.name").alias("name"),
+        F.col("u.followerCount").alias("followerCount"))
+
+
+@query("profile_flatten")
+def profile_flatten(spark, sf):
+    p = P.flatten_profile(A.raw_profile_json(Tables(spark, sf)))
+    return p.select(
+        *[c for c in p.columns if c not in ("badge", "locations", "educations")],
+        F.concat_ws(",", "badge").alias("badge"),
+        F.concat_ws("|", "locations").alias("locations"),
+        F.concat_ws("|", F.transform("educations", lambda e: F.concat(e["school"], F.lit("/"), e["major"])))
+        .alias("educations"))
+
+
+@query("profile_quarantine")
+def profile_quarantine(spark, sf):
+    return P.quarantine(A.raw_profile_json(Tables(spark, sf))).select("urlToken", "status")
+
+
+@query("delimited_encode")
+def delimited_encode(spark, sf):
+    return _encoded(A.follow_rows(Tables(spark, sf)))
+
+
+def _encoded(rows: DataFrame) -> DataFrame:
+    line = X.encode_record(
+        ("id", A.token("l_suppkey")),
+        ("url", F.concat(F.lit(A.HOST), F.lit("/people/"), A.token("l_suppkey"))),
+        ("name", F.concat(F.lit("User-"), F.col("l_suppkey").cast("string"))),
+        ("gender", F.lit(-1)))
+    return rows.select("l_orderkey", "l_linenumber", line.alias("line"))
+
+
+@query("delimited_decode")
+def delimited_decode(spark, sf):
+    path = scratch_path(spark, "follow-lines")
+    IO.write_lines(_encoded(A.follow_rows(Tables(spark, sf))), path)
+    m = X.decode_record(F.col("value"))
+    return spark.read.text(path).select(
+        m["id"].alias("id"), m["name"].alias("name"), X.tolerant_int(m["gender"]).cast("int").alias("gender"))
+
+
+# ---------------------------------------------------------------- crawl bookkeeping
+
+from asklens.operators import crawl as C  # noqa: E402
+from asklens.session import scratch_path  # noqa: E402
+from asklens.sources import io as IO  # noqa: E402
+
+
+def _discovered(t: Tables) -> DataFrame:
+    return A.follow_rows(t).select(A.token("l_suppkey").alias("user"), "l_orderkey", "l_linenumber")
+
+
+@query("frontier_pending")
+def frontier_pending(spark, sf):
+    t = Tables(spark, sf)
+    return C.pending(_discovered(t), A.done_ledger(t))
+
+
+@query("follow_totals")
+def follow_totals(spark, sf):
+    return C.follow_totals(A.follow_rows(Tables(spark, sf)).select(A.token("o_custkey").alias("user")))
+
+
+@query("follow_cap")
+def follow_cap(spark, sf):
+    rows = A.follow_rows(Tables(spark, sf)).select(
+        A.token("o_custkey").alias("user"), A.token("l_suppkey").alias("followed"),
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    return C.follow_cap(rows, 10).select("user", "followed", "pos")
+
+
+@query("global_cap")
+def global_cap(spark, sf):
+    return C.global_cap(_discovered(Tables(spark, sf)), 50)
+
+
+# ---------------------------------------------------------------- sinks and streams
+
+from asklens.streaming import counts as S  # noqa: E402
+
+
+@query("sink_roundtrip")
+def sink_roundtrip(spark, sf):
+    path = scratch_path(spark, "business-snapshot")
+    IO.save_snapshot(counts.business_count(A.profiles(Tables(spark, sf))), path)
+    return IO.read_json(spark, path, "business string, count bigint")
+
+
+@query("incremental_export")
+def incremental_export(spark, sf):
+    t = Tables(spark, sf)
+    ledger = scratch_path(spark, "export-ledger")
+    done = t.customer.where(F.col("c_custkey") % 3 == 0).select(A.object_id("c_custkey").alias("value"))
+    done.write.text(ledger)
+    exported = IO.incremental_export(A.profiles(t), ledger, scratch_path(spark, "export-run"))
+    return exported.select("_id", "name", "business")
+
+
+def _profile_json_dir(spark, sf, files: int | None = None) -> str:
+    path = scratch_path(spark, "profiles-json")
+    prof = A.profiles(Tables(spark, sf))
+    (prof.repartition(files, "_id") if files else prof).write.json(path)
+    return path
+
+
+@query("stream_school_count")
+def stream_school_count(spark, sf):
+    src = S.profile_stream(spark, _profile_json_dir(spark, sf))
+    return S.run_once(spark, counts.school_count(src), "count_schools", scratch_path(spark, "stream-school"))[0]
+
+
+@query("stream_business_count")
+def stream_business_count(spark, sf):
+    src = S.profile_stream(spark, _profile_json_dir(spark, sf))
+    return S.run_once(spark, counts.business_count(src), "count_businesses",
+                      scratch_path(spark, "stream-business"))[0]
+
+
+@query("stream_drip_count")
+def stream_drip_count(spark, sf):
+    path = _profile_json_dir(spark, sf, files=8)
+    n_files = len(spark.read.text(path).inputFiles())
+    src = S.profile_stream(spark, path, max_files_per_trigger=max(1, n_files // 4))
+    return S.run_once(spark, counts.school_count(src), "drip_schools", scratch_path(spark, "stream-drip"))[0]

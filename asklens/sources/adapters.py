@@ -30,6 +30,11 @@ def token(col: str | Column) -> Column:
     return F.concat(F.lit("u"), F.col(col).cast("string") if isinstance(col, str) else col.cast("string"))
 
 
+def json_string(col: Column) -> Column:
+    """A string column as a JSON string literal (quotes and backslashes escaped)."""
+    return F.concat(F.lit('"'), F.regexp_replace(col, r'(["\\])', r'\\$1'), F.lit('"'))
+
+
 def object_id(col: str | Column) -> Column:
     """24-hex-digit document id of a numeric key (orders like the key)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -92,11 +97,16 @@ def follow_rows(t: Tables) -> DataFrame:
 
 
 def follow_docs(t: Tables) -> DataFrame:
-    """Follow documents: one per (order, page of PAGE_SIZE lines), arrays in line order."""
+    """Follow documents: one per (order, page of PAGE_SIZE lines), arrays in list order.
+
+    Line numbers repeat within an order in the driver's data, so list order is
+    (line, supplier, part)."""
     rows = follow_rows(t).withColumn(
         "page", F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long"))
     item = F.struct(
         F.col("l_linenumber").alias("pos"),
+        F.col("l_suppkey").alias("supp"),
+        F.col("l_partkey").alias("part"),
         token("l_suppkey").alias("urlToken"),
         F.concat(F.lit("User#"), F.col("l_suppkey").cast("string")).alias("name"),
         F.col("l_partkey").cast("string").alias("topic_id"),
@@ -237,7 +247,7 @@ def profile_pages(t: Tables) -> DataFrame:
     body = F.concat(
         F.lit('<html><head><title>profile</title></head><body><div id="root"></div>'
               '<script id="js-initialData" type="text/json">{"initialState":{"entities":{"users":{'),
-        F.to_json(F.col("urlToken")), F.lit(":"), F.col("json"),
+        json_string(F.col("urlToken")), F.lit(":"), F.col("json"),
         F.lit("}}}}</script></body></html>"))
     return p.select(
         F.concat(F.lit(HOST), F.lit("/people/"), F.col("urlToken"), F.lit("/following")).alias("url"),
@@ -253,6 +263,8 @@ def api_follow_pages(t: Tables) -> DataFrame:
         "page", F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long"))
     item = F.struct(
         F.col("l_linenumber").alias("pos"),
+        F.col("l_suppkey").alias("supp"),
+        F.col("l_partkey").alias("part"),
         token("l_suppkey").alias("url_token"),
         F.concat(F.lit(HOST), F.lit("/people/"), token("l_suppkey")).alias("url"),
         F.when(F.col("l_linenumber") == 3, F.lit(None))
@@ -261,9 +273,25 @@ def api_follow_pages(t: Tables) -> DataFrame:
     )
     docs = (rows.groupBy("o_custkey", "l_orderkey", "page")
             .agg(F.array_sort(F.collect_list(item)).alias("items")))
-    data = F.transform("items", lambda x: x.dropFields("pos"))
+    data = F.transform("items", lambda x: x.dropFields("pos", "supp", "part"))
     body = F.to_json(F.struct(F.struct(F.lit(True).alias("is_end")).alias("paging"), data.alias("data")))
     url = F.concat(F.lit(HOST), F.lit("/api/v4/members/"), token("o_custkey"),
                    F.lit("/followees?include=data&offset="), (F.col("page") * PAGE_SIZE).cast("string"),
                    F.lit("&limit="), F.lit(str(PAGE_SIZE)))
     return docs.select(url.alias("url"), body.alias("body"))
+
+
+def crawl_urls(t: Tables) -> DataFrame:
+    """(url): the pages' own URLs, one profile URL per customer and one
+    follow-API URL per follow document."""
+    profile = t.customer.select(
+        F.concat(F.lit(HOST), F.lit("/people/"), token("c_custkey"), F.lit("/following")).alias("url"))
+    docs = (follow_rows(t)
+            .select("o_custkey", "l_orderkey",
+                    F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long").alias("page"))
+            .distinct())
+    api = docs.select(F.concat(
+        F.lit(HOST), F.lit("/api/v4/members/"), token("o_custkey"),
+        F.lit("/followees?include=data&offset="), (F.col("page") * PAGE_SIZE).cast("string"),
+        F.lit("&limit="), F.lit(str(PAGE_SIZE))).alias("url"))
+    return t.pages.select("url").unionByName(profile).unionByName(api)
