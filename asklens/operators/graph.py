@@ -91,12 +91,17 @@ def merge(edges: DataFrame) -> DataFrame:
 
 
 class FollowGraph:
-    """Vertices and merged edges, each materialised once (reliable checkpoint)."""
+    """Vertices and merged edges, each materialised once (reliable checkpoint).
+
+    Parallel follows are merged on the tokens first (a partial count), so the
+    vertex numbering and the two id joins run over distinct pairs only.
+    """
 
     def __init__(self, pairs: DataFrame):
         self.pairs = pairs
-        self.vertices = checkpoint(vertex_ids(pairs))
-        self.medges = checkpoint(merged_edges(pairs, self.vertices))
+        token_edges = checkpoint(pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")))
+        self.vertices = checkpoint(vertex_ids(token_edges))
+        self.medges = checkpoint(_resolve(token_edges, self.vertices, "m"))
 
     @classmethod
     def from_docs(cls, docs: DataFrame, direction: str = "follow") -> "FollowGraph":
@@ -219,7 +224,7 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
         else:
             msgs = msgs.persist(StorageLevel.MEMORY_AND_DISK)
             persisted.append(msgs)
-        if msgs.isEmpty():
+        if msgs.count() == 0:  # materialises the round and tests termination in one job
             break
         pending.append(msgs)
         senders = msgs.select(F.col("id").alias("src"), F.col("d").alias("x"))

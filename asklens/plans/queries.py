@@ -60,7 +60,7 @@ def nested_path_project(spark, sf):
 # ---------------------------------------------------------------- graph
 
 def _graph(spark, sf) -> G.FollowGraph:
-    return G.FollowGraph.from_docs(A.follow_docs(Tables(spark, sf)))
+    return G.FollowGraph(A.follow_pairs(Tables(spark, sf)))
 
 
 def _ranked_fixed(g: G.FollowGraph) -> DataFrame:

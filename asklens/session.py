@@ -63,6 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpoint(df):
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
+    """Cut lineage with a reliable checkpoint (survives executor loss).
+
+    The frame is persisted first, so the checkpoint write reads the cached
+    blocks instead of recomputing the plan a second time.
+    """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

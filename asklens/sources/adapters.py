@@ -96,6 +96,12 @@ def follow_rows(t: Tables) -> DataFrame:
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def follow_pairs(t: Tables) -> DataFrame:
+    """(src, dst) tokens, one row per follow: exactly the explode of ``follow_docs``
+    (tests assert it), without assembling and re-splitting the documents."""
+    return follow_rows(t).select(token("o_custkey").alias("src"), token("l_suppkey").alias("dst"))
+
+
 def follow_docs(t: Tables) -> DataFrame:
     """Follow documents: one per (order, page of PAGE_SIZE lines), arrays in list order.
 
