@@ -91,24 +91,36 @@ def merge(edges: DataFrame) -> DataFrame:
 
 
 class FollowGraph:
-    """Vertices and merged edges, each materialised once (reliable checkpoint).
+    """A follow graph built once: vertices and merged edges.
 
     Parallel follows are merged on the tokens first (a partial count), so the
-    vertex numbering and the two id joins run over distinct pairs only.
+    numbering and the id joins run over distinct pairs only.  What is
+    materialised with a reliable checkpoint: the range-numbered tokens (inside
+    ``dense_index``; a recomputation could re-sample the ranges) and the
+    resolved pairs every algorithm reads.  Vertices are a broadcast join away
+    from the numbered tokens and are not stored a second time.
     """
 
     def __init__(self, pairs: DataFrame):
         self.pairs = pairs
-        token_edges = checkpoint(pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")))
-        self.vertices = checkpoint(vertex_ids(token_edges))
-        self.medges = checkpoint(_resolve(token_edges, self.vertices, "m"))
+        token_edges = (pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+        self.vertices = vertex_ids(token_edges)
+        v_src = self.vertices.select(F.col("node").alias("src"), F.col("id").alias("srcId"))
+        v_dst = self.vertices.select(F.col("node").alias("dst"), F.col("id").alias("dstId"))
+        self.resolved = checkpoint(token_edges.join(v_src, "src").join(v_dst, "dst")
+                                   .select("src", "dst", "srcId", "dstId", "m"))
+        token_edges.unpersist()
+        self.medges = self.resolved.select("srcId", "dstId", "m")
 
     @classmethod
     def from_docs(cls, docs: DataFrame, direction: str = "follow") -> "FollowGraph":
         return cls(follow_pairs(docs, direction))
 
     def edges(self, relation: str = "following") -> DataFrame:
-        return follow_edges(self.pairs, self.vertices, relation)
+        """(srcId, dstId, relation), one row per follow: one join on the token pair."""
+        ids = self.resolved.select("src", "dst", "srcId", "dstId")
+        return self.pairs.join(ids, ["src", "dst"]).select("srcId", "dstId", F.lit(relation).alias("relation"))
 
 
 # ---------------------------------------------------------------- degrees
@@ -198,18 +210,23 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
 
 
 def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4,
-                       reset: float = RESET, max_rounds: int = 10_000, fold_every: int = 8,
-                       min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
+                       reset: float = RESET, max_rounds: int = 10_000, check_every: int = 4,
+                       fold_every: int = 8, min_rows: int = DEFAULT_MIN_ROWS,
+                       max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
     """Delta PageRank run until no vertex sends (GraphX ``pageRank(tol)`` semantics).
 
     Every vertex starts with rank = delta = reset.  In each round the vertices
     that received messages in the previous round (all, at first) and whose
     delta exceeds ``tol`` send ``delta * m / outdeg`` along each out-edge; a
     receiver adds ``(1-reset) * sum`` to its rank and takes it as its new
-    delta.  One count action per round decides termination; the per-round
-    deltas are folded into a running total and checkpointed every
-    ``fold_every`` rounds to keep the lineage short.
+    delta.  A round without messages makes every later round empty, so
+    termination is tested every ``check_every`` rounds (one action
+    materialises the persisted rounds since the last test) with the same
+    result as testing each round.  Per-round deltas are folded into a running
+    total and checkpointed every ``fold_every`` rounds to keep lineage short.
     """
+    if fold_every % check_every:
+        raise ValueError("fold_every must be a multiple of check_every")
     sp = _Spreader(weighted_edges(medges), min_rows, max_keys)
     senders = vertices.select(F.col("id").alias("src"), F.lit(float(reset)).alias("x"))
     acc = None
@@ -219,29 +236,27 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
         msgs = (sp.spread(senders.where(F.col("x") > F.lit(tol)))
                 .groupBy("dst").agg(F.sum("c").alias("s"))
                 .select(F.col("dst").alias("id"), (F.lit(1.0 - reset) * F.col("s")).alias("d")))
-        if (i + 1) % fold_every == 0:
+        last = i + 1 == max_rounds
+        if (i + 1) % fold_every == 0 or last:
             msgs = checkpoint(msgs)
         else:
             msgs = msgs.persist(StorageLevel.MEMORY_AND_DISK)
             persisted.append(msgs)
-        if msgs.count() == 0:  # materialises the round and tests termination in one job
-            break
         pending.append(msgs)
         senders = msgs.select(F.col("id").alias("src"), F.col("d").alias("x"))
+        if ((i + 1) % check_every == 0 or last) and msgs.isEmpty():
+            break
         if len(pending) >= fold_every:
             parts = ([acc] if acc is not None else []) + pending
             acc = checkpoint(reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d")))
             pending = []
-            for p in persisted[:-1]:
+            for p in persisted:
                 p.unpersist()
-            persisted = persisted[-1:]
+            persisted = []
     parts = ([acc] if acc is not None else []) + pending
-    if parts:
-        total = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d"))
-        ranks = (vertices.select("id").join(total, "id", "left")
-                 .select("id", (F.lit(reset) + F.coalesce(F.col("d"), F.lit(0.0))).alias("rank")))
-    else:
-        ranks = vertices.select("id", F.lit(float(reset)).alias("rank"))
+    total = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d"))
+    ranks = (vertices.select("id").join(total, "id", "left")
+             .select("id", (F.lit(reset) + F.coalesce(F.col("d"), F.lit(0.0))).alias("rank")))
     ranks = checkpoint(ranks)
     for p in persisted:
         p.unpersist()
