@@ -27,6 +27,32 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to ~256 MB each; skewed join
+# partitions are split; input splits stay large enough to keep task counts sane.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply SCALE_CONF (plus overrides) to runtime SQL settings the cluster left unset."""
+    conf = dict(SCALE_CONF)
+    conf.update(overrides or {})
+    for k, v in conf.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "asklens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master or "local[8]").appName(app)
