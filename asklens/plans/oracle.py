@@ -434,3 +434,26 @@ ORACLE["stream_drip_count"] = ORACLE["school_count"]
 ORACLE["incremental_export"] = """
 SELECT lpad(hex(c_custkey), 24, '0') AS _id, c_name AS name, nullif(c_mktsegment, 'FURNITURE') AS business
 FROM customer WHERE c_custkey % 3 <> 0"""
+
+
+def converged_ranks_ctes(max_rounds: int = 150, tol: float = 1e-4) -> tuple[str, ...]:
+    """Delta PageRank unrolled ``max_rounds`` times: once a round sends nothing every
+    later round is empty, so any bound above the rounds actually needed is exact."""
+    out = [ranks_ctes(0)[0],  # w: edge weights m / outdeg
+           "m0 AS MATERIALIZED (SELECT id, 0.15::DOUBLE AS d FROM vertices)"]
+    for k in range(1, max_rounds + 1):
+        out.append(f"""m{k} AS MATERIALIZED (
+  SELECT w.dstId AS id, 0.85 * sum(s.d * w.w) AS d
+  FROM w JOIN m{k - 1} s ON s.id = w.srcId WHERE s.d > {tol} GROUP BY w.dstId)""")
+    union = "\n  UNION ALL ".join(f"SELECT id, d FROM m{k}" for k in range(1, max_rounds + 1))
+    out.append(f"""conv AS MATERIALIZED (
+  SELECT v.id, 0.15 + coalesce(t.d, 0.0) AS rank
+  FROM vertices v LEFT JOIN (SELECT id, sum(d) AS d FROM (
+  {union}) GROUP BY id) t USING (id))""")
+    out.append("""cranks AS (
+  SELECT id, rank * (SELECT count(*) FROM conv)::DOUBLE / (SELECT sum(rank) FROM conv) AS rank FROM conv)""")
+    return tuple(out)
+
+
+ORACLE["pagerank_converged"] = _with(*GRAPH, *converged_ranks_ctes()) + """
+SELECT id, round(rank, 6) AS rank FROM cranks"""
