@@ -34,7 +34,7 @@ from asklens.streaming import counts as S
 
 def graph_job(spark: SparkSession, follow_docs: str, out: str, fmt: str = "parquet",
               in_fmt: str = "json", mode: str = "errorifexists", direction: str = "follow",
-              tol: float = 1e-4) -> None:
+              tol: float = 1e-4, recommend_batches: int = 1) -> None:
     """Follow documents -> vertices, edges, converged PageRank, degrees, recommendations."""
     docs = read_collection(spark, follow_docs, in_fmt, FOLLOW_DOC_SCHEMA)
     g = G.FollowGraph.from_docs(docs, direction)
@@ -43,8 +43,14 @@ def graph_job(spark: SparkSession, follow_docs: str, out: str, fmt: str = "parqu
     ranked = G.ranked_vertices(g.vertices, G.pagerank_converged(g.vertices, g.medges, tol=tol))
     IO.save(ranked, os.path.join(out, "ranks"), fmt, mode)
     IO.save(G.rank_degrees(ranked, g.medges), os.path.join(out, "rank_degrees"), fmt, mode)
-    rec = G.follow_recommend(G.two_hop_weights(ranked, g.medges))
-    IO.save(rec, os.path.join(out, "recommend"), fmt, mode)
+    if recommend_batches > 1:
+        # bounded shuffle per job; finished batches survive a restart
+        G.recommend_in_batches(ranked, g.medges, os.path.join(out, "recommend_batches"),
+                               recommend_batches, fmt)
+        rec = spark.read.format(fmt).load(os.path.join(out, "recommend_batches"))
+    else:
+        rec = G.follow_recommend(G.two_hop_weights(ranked, g.medges))
+    IO.save(rec.select("srcId", "dstId", "relation"), os.path.join(out, "recommend"), fmt, mode)
 
 
 def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str, out: str,
@@ -98,6 +104,7 @@ def main(argv=None) -> None:
     g.add_argument("--in-fmt", default="json")
     g.add_argument("--mode", default="errorifexists")
     g.add_argument("--direction", default="follow", choices=["follow", "reversed"])
+    g.add_argument("--recommend-batches", type=int, default=1)
     r = sub.add_parser("ratings")
     for a in ("--follow-docs", "--actions", "--id-map", "--out"):
         r.add_argument(a, required=True)
@@ -113,7 +120,8 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"asklens-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.job == "graph":
-        graph_job(spark, args.follow_docs, args.out, args.fmt, args.in_fmt, args.mode, args.direction)
+        graph_job(spark, args.follow_docs, args.out, args.fmt, args.in_fmt, args.mode, args.direction,
+                  recommend_batches=args.recommend_batches)
     elif args.job == "ratings":
         ratings_job(spark, args.follow_docs, args.actions, args.id_map, args.out, args.fmt, args.in_fmt,
                     args.seed)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -302,7 +303,8 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 # ---------------------------------------------------------------- two hops
 
 def two_hop_weights(ranked: DataFrame, medges: DataFrame, salts: int = 8,
-                    min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
+                    min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
+                    first_hop: DataFrame | None = None) -> DataFrame:
     """(id, sn_id, sn_rank, count, weight) for every path id -> b -> sn_id.
 
     ``count`` is the number of such paths with parallel follows multiplied
@@ -312,9 +314,11 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, salts: int = 8,
     more than a task's share are split over a ``salts x salts`` grid: the
     in-edges are bucketed by a hash of their source and replicated over the
     out-edge buckets and vice versa, so a hub's paths spread over salts**2
-    tasks.  Others join unsalted.
+    tasks.  Others join unsalted.  ``first_hop`` restricts the first edge
+    (a subset of ``medges``, e.g. one batch of sources).
     """
-    e1 = medges.select(F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
+    e1 = (medges if first_hop is None else first_hop).select(
+        F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
     e2 = (medges.join(ranked.select(F.col("id").alias("dstId"), F.col("rank").alias("rank_c")), "dstId")
           .select(F.col("srcId").alias("b"), F.col("dstId").alias("c"), F.col("m").alias("m2"), "rank_c"))
     deg_in = medges.groupBy(F.col("dstId").alias("b")).agg(F.count(F.lit(1)).alias("_i"))
@@ -348,6 +352,30 @@ def follow_recommend(two_hop: DataFrame, decimals: int = 9) -> DataFrame:
             .select(F.col("id").alias("srcId"), "dstId", F.lit("recommend").alias("relation")))
 
 
+def recommend_in_batches(ranked: DataFrame, medges: DataFrame, out_path: str, batches: int,
+                         fmt: str = "parquet", **two_hop_kw) -> DataFrame:
+    """``follow_recommend`` computed for one hash-batch of users at a time.
+
+    Every user's candidates are still all of its two-hop paths; only the
+    *set of users* handled per job is split (``pmod(xxhash64(srcId), batches)``),
+    which bounds the path shuffle of a job to about 1/batches of the total.
+    Each batch is written to ``out_path/batch=i``; a rerun skips batches whose
+    output is complete, so a failed job resumes where it stopped.
+    """
+    spark = medges.sparkSession
+    for i in range(batches):
+        part = f"{out_path}/batch={i}"
+        try:
+            spark.read.format(fmt).load(part)
+            continue  # committed by an earlier run
+        except AnalysisException:
+            pass
+        first = medges.where(F.pmod(F.xxhash64("srcId"), F.lit(batches)) == i)
+        th = two_hop_weights(ranked, medges, first_hop=first, **two_hop_kw)
+        follow_recommend(th).write.format(fmt).mode("overwrite").save(part)
+    return spark.read.format(fmt).load(out_path).select("srcId", "dstId", "relation")
+
+
 # ---------------------------------------------------------------- views
 
 def top_ranked(ranked: DataFrame, n: int = 20, decimals: int = 9) -> DataFrame:

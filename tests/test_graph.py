@@ -152,3 +152,15 @@ def test_collect_neighbors_pages(fixture_graph):
     assert sorted(got["1"]) == [("2", 2), ("3", 1)]
     assert got["5"] == [] and got["4"] == [("3", 1)]
     assert max(len(r["neighbors"]) for r in rows) <= 2
+
+
+def test_recommend_in_batches_equals_single_pass(spark, sf_small):
+    from asklens.session import scratch_path
+    g = G.FollowGraph(A.follow_pairs(Tables(spark, sf_small)))
+    ranked = _ranked(g, G.pagerank_fixed(g.vertices, g.medges))
+    one = G.follow_recommend(G.two_hop_weights(ranked, g.medges))
+    path = scratch_path(spark, "rec-batches")
+    many = G.recommend_in_batches(ranked, g.medges, path, 3)
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+    again = G.recommend_in_batches(ranked, g.medges, path, 3)  # all batches committed: nothing recomputed
+    assert again.count() == one.count()
