@@ -28,8 +28,7 @@ EDU_KEPT = """edu_kept AS (
 FOLLOWS = """follows AS MATERIALIZED (
   SELECT concat('u', o_custkey) AS src, concat('u', l_suppkey) AS dst, l_orderkey, l_linenumber,
          l_partkey, l_suppkey, o_custkey, o_orderpriority
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_custkey % 10 <> 0)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 VERTICES = """vertices AS MATERIALIZED (
   SELECT (row_number() OVER (ORDER BY node) - 1)::BIGINT AS id, node
