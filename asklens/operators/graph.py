@@ -147,6 +147,7 @@ def weighted_edges(medges: DataFrame) -> DataFrame:
 class _Spreader:
     """Sends a per-vertex value x along weighted out-edges: rows (dst, x * w).
 
+    ``sources`` restricts the edges to those leaving the given vertices.
     Edges of ordinary sources are hash-partitioned by src once and cached, so
     each round shuffles only the per-vertex values (and the messages, after a
     map-side partial sum).  Edges of *hot* sources -- a source owning more than
@@ -154,7 +155,9 @@ class _Spreader:
     a broadcast of the hot sources' values (at most ``max_keys`` rows).
     """
 
-    def __init__(self, wedges: DataFrame, min_rows: int, max_keys: int):
+    def __init__(self, wedges: DataFrame, min_rows: int, max_keys: int, sources: DataFrame | None = None):
+        if sources is not None:
+            wedges = wedges.join(sources, "src", "left_semi")
         self.hot, self.n_hot = hot_keys(wedges, "src", min_rows=min_rows, max_keys=max_keys)
         cold = wedges
         if self.n_hot:
@@ -181,6 +184,11 @@ class _Spreader:
             self.hot_edges.unpersist()
 
 
+def _receivers(medges: DataFrame) -> DataFrame:
+    """Vertices with at least one in-edge, as ``src`` (the only ones whose rank can change)."""
+    return medges.select(F.col("dstId").alias("src")).distinct()
+
+
 def _normalise(ranks: DataFrame) -> DataFrame:
     """Scale so ranks sum to the number of vertices (the sink correction)."""
     n, total = ranks.agg(F.count(F.lit(1)), F.sum("rank")).first()
@@ -189,24 +197,47 @@ def _normalise(ranks: DataFrame) -> DataFrame:
     return ranks.select("id", (F.col("rank") * F.lit(float(n)) / F.lit(float(total))).alias("rank"))
 
 
+def _final_ranks(vertices: DataFrame, sums: DataFrame | None, reset: float, scale: float) -> DataFrame:
+    """rank = reset + scale * sum for vertices that received, reset for the others."""
+    if sums is None:
+        return vertices.select("id", F.lit(float(reset)).alias("rank"))
+    return (vertices.select("id").join(sums.withColumnRenamed("dst", "id"), "id", "left")
+            .select("id", (F.lit(reset) + F.lit(scale) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")))
+
+
 def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, reset: float = RESET,
                    checkpoint_every: int = 5, min_rows: int = DEFAULT_MIN_ROWS,
                    max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
     """Static PageRank: start 1.0, ``rank = reset + (1-reset) * sum(rank(src) * w)``, ``rounds``
-    times, then scaled to sum N.  -> (id, rank)."""
-    sp = _Spreader(weighted_edges(medges), min_rows, max_keys)
-    verts = vertices.select("id").repartition(_partitions(vertices), "id").persist()
-    ranks = verts.select("id", F.lit(1.0).alias("rank"))
-    for i in range(rounds):
-        contrib = sp.spread(ranks.select(F.col("id").alias("src"), F.col("rank").alias("x")))
-        sums = contrib.groupBy("dst").agg(F.sum("c").alias("s"))
-        ranks = (verts.join(sums, verts["id"] == sums["dst"], "left")
-                 .select("id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")))
-        if (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
-            ranks = checkpoint(ranks)
-    ranks = checkpoint(ranks)
-    sp.release()
-    verts.unpersist()
+    times, then scaled to sum N.  -> (id, rank).
+
+    Exact shortcuts: in round 1 every rank is 1.0, so the sums are a plain
+    aggregate of edge weights (no join).  From round 2 on a vertex without
+    in-edges has rank ``reset`` for good, so its edges add a constant
+    ``reset * w``, aggregated once; each later round spreads only along edges
+    whose source has in-edges, and only those vertices carry a value.
+    """
+    if rounds <= 0:
+        return _normalise(vertices.select("id", F.lit(1.0).alias("rank")))
+    wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
+    receivers = checkpoint(_receivers(medges))
+    sums = wedges.groupBy("dst").agg(F.sum("w").alias("s"))  # round 1: every rank is 1.0
+    sp = None
+    if rounds > 1:
+        base = checkpoint(wedges.join(receivers, "src", "left_anti")
+                          .groupBy("dst").agg((F.lit(reset) * F.sum("w")).alias("c")))
+        sp = _Spreader(wedges, min_rows, max_keys, sources=receivers)
+        for i in range(1, rounds):
+            values = sums.select(F.col("dst").alias("src"),
+                                 (F.lit(reset) + F.lit(1.0 - reset) * F.col("s")).alias("x"))
+            sums = (sp.spread(values).unionByName(base)
+                    .groupBy("dst").agg(F.sum("c").alias("s")))
+            if (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
+                sums = checkpoint(sums)
+    ranks = checkpoint(_final_ranks(vertices, sums, reset, 1.0 - reset))
+    if sp is not None:
+        sp.release()
+    wedges.unpersist()
     return _normalise(ranks)
 
 
@@ -220,23 +251,30 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
     that received messages in the previous round (all, at first) and whose
     delta exceeds ``tol`` send ``delta * m / outdeg`` along each out-edge; a
     receiver adds ``(1-reset) * sum`` to its rank and takes it as its new
-    delta.  A round without messages makes every later round empty, so
-    termination is tested every ``check_every`` rounds (one action
-    materialises the persisted rounds since the last test) with the same
-    result as testing each round.  Per-round deltas are folded into a running
-    total and checkpointed every ``fold_every`` rounds to keep lineage short.
+    delta.  Round 1 is a plain aggregate of edge weights (every sender sends
+    ``reset``); later senders are receivers, so later rounds spread only along
+    edges whose source has in-edges.  A round without messages makes every
+    later round empty, so termination is tested every ``check_every`` rounds
+    (one action materialises the persisted rounds since the last test) with
+    the same result as testing each round.  Per-round deltas are folded into
+    a running total and checkpointed every ``fold_every`` rounds.
     """
     if fold_every % check_every:
         raise ValueError("fold_every must be a multiple of check_every")
-    sp = _Spreader(weighted_edges(medges), min_rows, max_keys)
-    senders = vertices.select(F.col("id").alias("src"), F.lit(float(reset)).alias("x"))
+    if reset <= tol:  # nobody ever sends
+        return _normalise(_final_ranks(vertices, None, reset, 0.0))
+    wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
+    first = wedges.groupBy("dst").agg((F.lit(reset) * F.sum("w")).alias("s"))
+    sp = _Spreader(wedges, min_rows, max_keys, sources=_receivers(medges))
     acc = None
     pending: list[DataFrame] = []
     persisted: list[DataFrame] = []
     for i in range(max_rounds):
-        msgs = (sp.spread(senders.where(F.col("x") > F.lit(tol)))
-                .groupBy("dst").agg(F.sum("c").alias("s"))
-                .select(F.col("dst").alias("id"), (F.lit(1.0 - reset) * F.col("s")).alias("d")))
+        if i == 0:
+            sums = first
+        else:
+            sums = sp.spread(senders.where(F.col("x") > F.lit(tol))).groupBy("dst").agg(F.sum("c").alias("s"))
+        msgs = sums.select(F.col("dst").alias("id"), (F.lit(1.0 - reset) * F.col("s")).alias("d"))
         last = i + 1 == max_rounds
         if (i + 1) % fold_every == 0 or last:
             msgs = checkpoint(msgs)
@@ -255,13 +293,13 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
                 p.unpersist()
             persisted = []
     parts = ([acc] if acc is not None else []) + pending
-    total = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d"))
-    ranks = (vertices.select("id").join(total, "id", "left")
-             .select("id", (F.lit(reset) + F.coalesce(F.col("d"), F.lit(0.0))).alias("rank")))
-    ranks = checkpoint(ranks)
+    total = (reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("s"))
+             .withColumnRenamed("id", "dst"))
+    ranks = checkpoint(_final_ranks(vertices, total, reset, 1.0))
     for p in persisted:
         p.unpersist()
     sp.release()
+    wedges.unpersist()
     return _normalise(ranks)
 
 

@@ -435,7 +435,7 @@ SELECT lpad(hex(c_custkey), 24, '0') AS _id, c_name AS name, nullif(c_mktsegment
 FROM customer WHERE c_custkey % 3 <> 0"""
 
 
-def converged_ranks_ctes(max_rounds: int = 150, tol: float = 1e-4) -> tuple[str, ...]:
+def converged_ranks_ctes(max_rounds: int = 200, tol: float = 1e-4) -> tuple[str, ...]:
     """Delta PageRank unrolled ``max_rounds`` times: once a round sends nothing every
     later round is empty, so any bound above the rounds actually needed is exact."""
     out = [ranks_ctes(0)[0],  # w: edge weights m / outdeg
