@@ -220,7 +220,7 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
     if rounds <= 0:
         return _normalise(vertices.select("id", F.lit(1.0).alias("rank")))
     wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
-    receivers = checkpoint(_receivers(medges))
+    receivers = _receivers(medges).persist(StorageLevel.MEMORY_AND_DISK)
     sums = wedges.groupBy("dst").agg(F.sum("w").alias("s"))  # round 1: every rank is 1.0
     sp = None
     if rounds > 1:
@@ -238,12 +238,13 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
     if sp is not None:
         sp.release()
     wedges.unpersist()
+    receivers.unpersist()
     return _normalise(ranks)
 
 
 def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4,
                        reset: float = RESET, max_rounds: int = 10_000, check_every: int = 4,
-                       fold_every: int = 8, min_rows: int = DEFAULT_MIN_ROWS,
+                       fold_every: int = 4, min_rows: int = DEFAULT_MIN_ROWS,
                        max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
     """Delta PageRank run until no vertex sends (GraphX ``pageRank(tol)`` semantics).
 

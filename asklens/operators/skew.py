@@ -22,12 +22,19 @@ DEFAULT_MAX_KEYS = 50_000      # upper bound on the broadcast hot-key table
 def hot_keys(df: DataFrame, key: str, weight: Column | None = None,
              min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS) -> tuple[DataFrame, int]:
     """Return (hot key table, its row count).  At most ``max_keys`` rows."""
+    from pyspark import StorageLevel
+
     w = weight if weight is not None else F.lit(1)
-    per_key = df.groupBy(key).agg(F.sum(w).alias("_w"))
-    total = per_key.agg(F.sum("_w")).first()[0] or 0
-    threshold = max(float(min_rows), float(total) / float(max_keys))
-    hot = checkpoint(per_key.where(F.col("_w") > F.lit(threshold)).select(key))
-    return hot, hot.count()
+    per_key = df.groupBy(key).agg(F.sum(w).alias("_w")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total, top = per_key.agg(F.sum("_w"), F.max("_w")).first()
+        threshold = max(float(min_rows), float(total or 0) / float(max_keys))
+        if top is None or float(top) <= threshold:  # the usual case: nothing is hot
+            return per_key.limit(0).select(key), 0
+        hot = checkpoint(per_key.where(F.col("_w") > F.lit(threshold)).select(key))
+        return hot, hot.count()
+    finally:
+        per_key.unpersist()
 
 
 def salt(col: str | Column, buckets: int) -> Column:
