@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asklens.operators.skew import (DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, fan_out,
-                                    hot_keys, salt)
+                                    hot_keys, partitions_for, salt)
 from asklens.session import checkpoint
 
 RESET = 0.15  # PageRank reset probability
@@ -51,7 +51,7 @@ def dense_index(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
     checkpointed once, so the sizes and the ids come from the same
     materialisation and stay stable across recomputation (SURVEY T3).
     """
-    ranged = (keys.repartitionByRange(_partitions(keys), F.col(key))
+    ranged = (keys.repartitionByRange(F.col(key))
               .sortWithinPartitions(key)
               .select(key, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
@@ -158,15 +158,19 @@ class _Spreader:
     def __init__(self, wedges: DataFrame, min_rows: int, max_keys: int, sources: DataFrame | None = None):
         if sources is not None:
             wedges = wedges.join(sources, "src", "left_semi")
-        self.hot, self.n_hot = hot_keys(wedges, "src", min_rows=min_rows, max_keys=max_keys)
+        self.hot, self.n_hot, n_edges = hot_keys(wedges, "src", min_rows=min_rows, max_keys=max_keys,
+                                                 with_total=True)
+        # sized from the edge count (src, dst, w: ~24 bytes a row), not from the
+        # session's shuffle-partition setting, so small graphs do not pay for
+        # hundreds of empty tasks every round and large ones get ~128 MB tasks
+        parts = partitions_for(wedges.sparkSession, n_edges, 24)
         cold = wedges
         if self.n_hot:
             cold = wedges.join(F.broadcast(self.hot), "src", "left_anti")
             self.hot_edges = (wedges.join(F.broadcast(self.hot), "src", "left_semi")
-                              .repartition(_partitions(wedges), "src", "dst")
+                              .repartition(parts, "src", "dst")
                               .persist(StorageLevel.MEMORY_AND_DISK))
-        self.cold = (cold.repartition(_partitions(wedges), "src")
-                     .persist(StorageLevel.MEMORY_AND_DISK))
+        self.cold = cold.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
 
     def spread(self, values: DataFrame) -> DataFrame:
         """values (src, x) -> contributions (dst, c)."""

@@ -10,6 +10,8 @@ the same bucket as the first attempt.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,20 +21,34 @@ DEFAULT_MIN_ROWS = 2_000_000   # rows a single task handles comfortably
 DEFAULT_MAX_KEYS = 50_000      # upper bound on the broadcast hot-key table
 
 
+TARGET_PARTITION_BYTES = 128 << 20
+
+
+def partitions_for(spark, rows: float, row_bytes: int) -> int:
+    """Partition count for ``rows`` rows of about ``row_bytes`` bytes: ~128 MB each,
+    never fewer than the cluster's default parallelism."""
+    want = math.ceil(float(rows) * row_bytes / TARGET_PARTITION_BYTES)
+    return max(int(spark.sparkContext.defaultParallelism), want, 1)
+
+
 def hot_keys(df: DataFrame, key: str, weight: Column | None = None,
-             min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS) -> tuple[DataFrame, int]:
-    """Return (hot key table, its row count).  At most ``max_keys`` rows."""
+             min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
+             with_total: bool = False):
+    """Return (hot key table, its row count[, total weight]).  At most ``max_keys`` rows."""
     from pyspark import StorageLevel
 
     w = weight if weight is not None else F.lit(1)
     per_key = df.groupBy(key).agg(F.sum(w).alias("_w")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total, top = per_key.agg(F.sum("_w"), F.max("_w")).first()
-        threshold = max(float(min_rows), float(total or 0) / float(max_keys))
+        total = float(total or 0)
+        threshold = max(float(min_rows), total / float(max_keys))
         if top is None or float(top) <= threshold:  # the usual case: nothing is hot
-            return per_key.limit(0).select(key), 0
-        hot = checkpoint(per_key.where(F.col("_w") > F.lit(threshold)).select(key))
-        return hot, hot.count()
+            out = (per_key.limit(0).select(key), 0)
+        else:
+            hot = checkpoint(per_key.where(F.col("_w") > F.lit(threshold)).select(key))
+            out = (hot, hot.count())
+        return out + (total,) if with_total else out
     finally:
         per_key.unpersist()
 

@@ -418,16 +418,23 @@ def _profile_json_dir(spark, sf, files: int | None = None) -> str:
     return path
 
 
+def _stream_session(spark):
+    # a few state partitions suffice for counts keyed by school or business
+    return S.streaming_session(spark, spark.sparkContext.defaultParallelism)
+
+
 @query("stream_school_count")
 def stream_school_count(spark, sf):
-    src = S.profile_stream(spark, _profile_json_dir(spark, sf))
-    return S.run_once(spark, counts.school_count(src), "count_schools", scratch_path(spark, "stream-school"))[0]
+    ss = _stream_session(spark)
+    src = S.profile_stream(ss, _profile_json_dir(spark, sf))
+    return S.run_once(ss, counts.school_count(src), "count_schools", scratch_path(spark, "stream-school"))[0]
 
 
 @query("stream_business_count")
 def stream_business_count(spark, sf):
-    src = S.profile_stream(spark, _profile_json_dir(spark, sf))
-    return S.run_once(spark, counts.business_count(src), "count_businesses",
+    ss = _stream_session(spark)
+    src = S.profile_stream(ss, _profile_json_dir(spark, sf))
+    return S.run_once(ss, counts.business_count(src), "count_businesses",
                       scratch_path(spark, "stream-business"))[0]
 
 
@@ -435,5 +442,6 @@ def stream_business_count(spark, sf):
 def stream_drip_count(spark, sf):
     path = _profile_json_dir(spark, sf, files=8)
     n_files = len(spark.read.text(path).inputFiles())
-    src = S.profile_stream(spark, path, max_files_per_trigger=max(1, n_files // 4))
-    return S.run_once(spark, counts.school_count(src), "drip_schools", scratch_path(spark, "stream-drip"))[0]
+    ss = _stream_session(spark)
+    src = S.profile_stream(ss, path, max_files_per_trigger=max(1, n_files // 4))
+    return S.run_once(ss, counts.school_count(src), "drip_schools", scratch_path(spark, "stream-drip"))[0]

@@ -19,6 +19,10 @@ from pyspark.sql import SparkSession
 # splitting) and UTC so timestamps never depend on the host.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    # let AQE coalesce the partitions of plans that get cached or checkpointed;
+    # otherwise every persisted intermediate keeps spark.sql.shuffle.partitions
+    # partitions, however small it is
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -53,6 +57,20 @@ def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None
             spark.conf.set(k, v)
 
 
+# Runtime SQL settings the library relies on for speed (never for results);
+# applied to a session only where the session has not set them itself.
+RUNTIME_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+}
+
+
+def tune_session(spark: SparkSession) -> None:
+    for k, v in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "asklens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master or "local[8]").appName(app)

@@ -17,10 +17,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from asklens.operators import counts
 from asklens.schemas import PROFILE_SCHEMA
+from asklens.session import tune_session
 
 SERVICE_TRIGGER = {"processingTime": "3 seconds"}  # fixed value: the reference's interval
 
 
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session on the same context with its own shuffle-partition count.
+
+    A stateful query fixes its number of state-store partitions at its first
+    start (it is recorded in the checkpoint), from ``spark.sql.shuffle.partitions``.
+    Counting a few thousand schools needs a handful, not the batch default;
+    a new session sets that without touching the caller's configuration.
+    """
+    if not state_partitions:
+        return spark
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    tune_session(s)
+    return s
+
+
 def profile_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
                    schema=PROFILE_SCHEMA) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -54,10 +71,10 @@ def start_count(counted: DataFrame, name: str, table_path: str, checkpoint_dir:
 
 
 def start_service(spark: SparkSession, input_dir: str, out_dir: str,
-                  trigger: dict | None = None) -> list[StreamingQuery]:
+                  trigger: dict | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Both counts on one source, as the reference runs them; block with
     ``spark.streams.awaitAnyTermination()`` so a failure of either is seen (T10)."""
-    src = profile_stream(spark, input_dir)
+    src = profile_stream(streaming_session(spark, state_partitions), input_dir)
     qs = []
     for name, counted in (("count_schools", counts.school_count(src)),
                           ("count_businesses", counts.business_count(src))):
