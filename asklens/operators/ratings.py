@@ -13,24 +13,27 @@ from pyspark.sql import functions as F
 
 from asklens.functions.text import tolerant_int
 
-# Rating weights.  Following a question rates it 5; answer
+# Rating weights.  A question the user follows rates 5; answer
 # actions: approve 1, collect 1.5, anything else (publish, comment, ...) 2.5.
 RATE_FOLLOW = 5.0
 RATE_APPROVE = 1.0
 RATE_COLLECT = 1.5
 RATE_OTHER = 2.5
-ACT_FOLLOW = "question_follow"
 ACT_APPROVE = "answer_approve"
 ACT_COLLECT = "answer_collect"
 
 
 def action_weight(act_type: Column) -> Column:
-    return (F.when(act_type == ACT_FOLLOW, F.lit(RATE_FOLLOW))
-            .when(act_type == ACT_APPROVE, F.lit(RATE_APPROVE))
+    return (F.when(act_type == ACT_APPROVE, F.lit(RATE_APPROVE))
             .when(act_type == ACT_COLLECT, F.lit(RATE_COLLECT))
             .otherwise(F.lit(RATE_OTHER)))
 
 
+def follow_rates(follows: DataFrame) -> DataFrame:
+    """(userUrlToken, questionId, rate=5) of followed questions."""
+    return follows.select("userUrlToken", "questionId", F.lit(RATE_FOLLOW).alias("rate"))
+
+
 def weighted_actions(actions: DataFrame) -> DataFrame:
     return actions.withColumn("rate", action_weight(F.col("actType")))
 
@@ -55,17 +58,17 @@ def last_doc_per_user(docs: DataFrame, user: str = "urlToken", order: str = "_id
 def followed_questions(docs: DataFrame) -> DataFrame:
     """(userUrlToken, questionId, rate=5) from each user's last follow document."""
     last = last_doc_per_user(docs)
-    return last.select(F.col("urlToken").alias("userUrlToken"),
-                       F.explode("question.id").alias("questionId"),
-                       F.lit(RATE_FOLLOW).alias("rate"))
+    return follow_rates(last.select(F.col("urlToken").alias("userUrlToken"),
+                                    F.explode("question.id").alias("questionId")))
 
 
 def action_rating(weighted: DataFrame, followed: DataFrame | None = None) -> DataFrame:
     """Sum of the *distinct* weights per (user, question) (D11), over answer actions
-    and, when given, questions followed in the user's last document (G2)."""
+    and, when given, followed questions rated 5 (G2; see ``followed_questions``)."""
     rows = required_keys(weighted).select("userUrlToken", "questionId", "rate")
     if followed is not None:
-        rows = rows.unionByName(followed.select("userUrlToken", "questionId", "rate"))
+        rows = rows.unionByName(required_keys(followed.select("userUrlToken", "questionId", "rate"),
+                                              ("userUrlToken", "questionId")))
     return rows.groupBy("userUrlToken", "questionId").agg(F.sum_distinct("rate").alias("rate"))
 
 

@@ -179,18 +179,21 @@ FROM follows WHERE src = 'u1'"""
 ACTIONS = """actions AS (
   SELECT event_id, concat('u', user_id) AS userUrlToken, json_extract_string(props, '$.k') AS questionId,
          CASE event_type WHEN 'click' THEN 'answer_approve' WHEN 'purchase' THEN 'answer_collect'
-              WHEN 'error' THEN 'question_follow' WHEN 'view' THEN 'answer_comment'
-              ELSE 'answer_publish' END AS actType
-  FROM events)"""
+              WHEN 'view' THEN 'answer_comment' ELSE 'answer_publish' END AS actType
+  FROM events WHERE event_type <> 'error')"""
 
 WEIGHTED = """weighted AS (
-  SELECT *, (CASE actType WHEN 'question_follow' THEN 5.0 WHEN 'answer_approve' THEN 1.0
+  SELECT *, (CASE actType WHEN 'answer_approve' THEN 1.0
                           WHEN 'answer_collect' THEN 1.5 ELSE 2.5 END)::DOUBLE AS rate
   FROM actions)"""
 
 ARATING = """arating AS (
-  SELECT userUrlToken, questionId, sum(DISTINCT rate) AS rate FROM weighted
-  WHERE userUrlToken IS NOT NULL AND questionId IS NOT NULL AND actType IS NOT NULL
+  SELECT userUrlToken, questionId, sum(DISTINCT rate) AS rate FROM (
+    SELECT userUrlToken, questionId, rate FROM weighted
+    WHERE userUrlToken IS NOT NULL AND questionId IS NOT NULL AND actType IS NOT NULL
+    UNION ALL
+    SELECT concat('u', user_id), json_extract_string(props, '$.k'), 5.0::DOUBLE FROM events
+    WHERE event_type = 'error' AND json_extract_string(props, '$.k') IS NOT NULL)
   GROUP BY userUrlToken, questionId)"""
 
 IDMAP = """idmap AS (

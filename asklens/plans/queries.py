@@ -169,8 +169,12 @@ from asklens.operators import ratings as R  # noqa: E402
 from asklens.operators import recommend as M  # noqa: E402
 
 
+def _rated(t: Tables) -> DataFrame:
+    return R.action_rating(R.weighted_actions(A.actions(t)), R.follow_rates(A.question_follows(t)))
+
+
 def _ratings(t: Tables) -> DataFrame:
-    return R.to_ratings(R.action_rating(R.weighted_actions(A.actions(t))), A.id_map(t))
+    return R.to_ratings(_rated(t), A.id_map(t))
 
 
 @query("action_weight")
@@ -191,7 +195,7 @@ def tolerant_int_filter(spark, sf):
 
 @query("action_rating")
 def action_rating(spark, sf):
-    return R.action_rating(R.weighted_actions(A.actions(Tables(spark, sf))))
+    return _rated(Tables(spark, sf))
 
 
 @query("last_doc_per_user")

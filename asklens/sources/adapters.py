@@ -131,14 +131,16 @@ def follow_docs(t: Tables) -> DataFrame:
     )
 
 
-# Event type -> answer action type.
+# Event type -> answer action type.  Events of type FOLLOW_EVENT
+# are not answer actions: they stand for the questions a user follows (the
+# question lists of the user's follow documents).
 ACT_TYPES = {
     "click": "answer_approve",
     "purchase": "answer_collect",
-    "error": "question_follow",
     "view": "answer_comment",
     "signup": "answer_publish",
 }
+FOLLOW_EVENT = "error"
 
 
 def _act_type(col: Column) -> Column:
@@ -150,7 +152,7 @@ def _act_type(col: Column) -> Column:
 
 def actions(t: Tables) -> DataFrame:
     """Answer actions (event_id, userUrlToken, questionId, actType) from events."""
-    return t.events.select(
+    return t.events.where(F.col("event_type") != FOLLOW_EVENT).select(
         "event_id",
         token("user_id").alias("userUrlToken"),
         F.get_json_object("props", "$.k").alias("questionId"),
@@ -158,6 +160,14 @@ def actions(t: Tables) -> DataFrame:
     )
 
 
+def question_follows(t: Tables) -> DataFrame:
+    """(userUrlToken, questionId): questions users follow, from follow events."""
+    return t.events.where(F.col("event_type") == FOLLOW_EVENT).select(
+        token("user_id").alias("userUrlToken"),
+        F.get_json_object("props", "$.k").alias("questionId"),
+    )
+
+
 def actions_with_gaps(t: Tables) -> DataFrame:
     """Actions where some records miss a key (forced nulls by residue class)."""
     e = F.col("event_id")

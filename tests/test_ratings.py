@@ -14,14 +14,22 @@ from asklens.sources.tables import Tables
 
 def test_distinct_action_weights(spark):
     acts = spark.createDataFrame([
-        ("u", "1", "question_follow"), ("u", "1", "answer_approve"), ("u", "1", "answer_approve"),
+        ("u", "1", "answer_approve"), ("u", "1", "answer_approve"),
         ("u", "1", "answer_collect"), ("u", "2", "answer_publish"), ("u", "2", "answer_comment"),
         (None, "3", "answer_approve"),
     ], "userUrlToken string, questionId string, actType string")
-    got = {r["questionId"]: r["rate"] for r in R.action_rating(R.weighted_actions(acts)).collect()}
+    follows = spark.createDataFrame([("u", "1"), ("u", "1")], "userUrlToken string, questionId string")
+    got = {r["questionId"]: r["rate"]
+           for r in R.action_rating(R.weighted_actions(acts), R.follow_rates(follows)).collect()}
     assert got == {"1": 7.5, "2": 2.5}
 
 
+def test_unknown_action_type_weighs_other(spark):
+    acts = spark.createDataFrame([("u", "1", "question_follow"), ("u", "2", "anything")],
+                                 "userUrlToken string, questionId string, actType string")
+    assert {r["rate"] for r in R.weighted_actions(acts).collect()} == {2.5}
+
+
 def test_followed_questions_from_last_doc(spark):
     docs = spark.createDataFrame([
         ("a1", "u", [("q1", "t")]), ("a2", "u", [("q2", "t")]),
