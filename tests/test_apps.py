@@ -45,3 +45,9 @@ def test_ratings_job_upserts(spark, inputs):
     assert spark.read.parquet(os.path.join(out, "ratings")).count() == first
     recs = spark.read.parquet(os.path.join(out, "recommendations"))
     assert recs.groupBy("UId").count().agg(F.max("count")).first()[0] <= 10
+
+
+def test_cli_graph(spark, inputs):
+    out = scratch_path(spark, "apps-cli")
+    apps.main(["graph", "--follow-docs", os.path.join(inputs, "docs"), "--out", out, "--recommend-batches", "2"])
+    assert spark.read.parquet(os.path.join(out, "recommend")).count() > 0
