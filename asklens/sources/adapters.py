@@ -8,8 +8,11 @@ construction, never by a cap on the data:
 * ``educations`` holds the *distinct* (school, major) pairs of a user, at most
   5 x 3 = 15 of them; the set is pre-aggregated map-side (``collect_set``), so
   a user owning a third of all orders still yields one small row.
-* a follow document holds one page of at most ``PAGE_SIZE`` follows (the
-  follow-list API pages by 20), keyed by (order, page).
+* a follow document holds the lines of one order whose line numbers fall in
+  one block of ``PAGE_SIZE`` (the follow-list API pages by 20), keyed by
+  (order, block).  TPC-H line numbers are unique per order (at most 7); the
+  driver's synthetic data repeats some (at most 13 lines per order at
+  sf0.01), and repeated numbers stay in their block.
 """
 
 from __future__ import annotations
