@@ -97,3 +97,17 @@ def test_restart_resumes_from_checkpoint(spark):
     assert run() == {"IT": 2, "Law": 1}
     add(["IT", "Art"])
     assert run() == {"IT": 3, "Law": 1, "Art": 1}  # state restored; old files not recounted
+
+
+def test_service_with_processing_time_trigger(spark):
+    path = _profiles(spark)
+    out = scratch_path(spark, "service-pt")
+    qs = S.start_service(spark, path, out, trigger={"processingTime": "1 second"}, state_partitions=2)
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    business = spark.read.json(os.path.join(out, "count_businesses", "snapshot.json"))
+    assert {r["business"]: r["count"] for r in business.collect()} == {"IT": 2, None: 2}
