@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asklens.session import checkpoint
+from asklens.session import checkpoint, default_parallelism
 
 DEFAULT_MIN_ROWS = 2_000_000   # rows a single task handles comfortably
 DEFAULT_MAX_KEYS = 50_000      # upper bound on the broadcast hot-key table
@@ -28,7 +28,7 @@ def partitions_for(spark, rows: float, row_bytes: int) -> int:
     """Partition count for ``rows`` rows of about ``row_bytes`` bytes: ~128 MB each,
     never fewer than the cluster's default parallelism."""
     want = math.ceil(float(rows) * row_bytes / TARGET_PARTITION_BYTES)
-    return max(int(spark.sparkContext.defaultParallelism), want, 1)
+    return max(default_parallelism(spark), want, 1)
 
 
 def hot_keys(df: DataFrame, key: str, weight: Column | None = None,

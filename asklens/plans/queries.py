@@ -361,7 +361,7 @@ def delimited_decode(spark, sf):
 # ---------------------------------------------------------------- crawl bookkeeping
 
 from asklens.operators import crawl as C  # noqa: E402
-from asklens.session import scratch_path  # noqa: E402
+from asklens.session import default_parallelism, scratch_path  # noqa: E402
 from asklens.sources import io as IO  # noqa: E402
 
 
@@ -424,7 +424,7 @@ def _profile_json_dir(spark, sf, files: int | None = None) -> str:
 
 def _stream_session(spark):
     # a few state partitions suffice for counts keyed by school or business
-    return S.streaming_session(spark, spark.sparkContext.defaultParallelism)
+    return S.streaming_session(spark, default_parallelism(spark))
 
 
 @query("stream_school_count")

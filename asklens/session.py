@@ -86,9 +86,20 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cluster parallelism (total cores); a conf lookup on sessions without a local context."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return int(spark.conf.get("spark.default.parallelism", "8") or 8)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
