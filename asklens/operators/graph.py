@@ -64,6 +64,30 @@ def dense_index(keys: DataFrame, key: str, id_col: str = "id") -> DataFrame:
             .select((F.col("_off") + local).alias(id_col), F.col(key)))
 
 
+def rank_within_group(df: DataFrame, group: str, order, rank_col: str = "rank") -> DataFrame:
+    """0-based position of each row within its ``group`` by ``order`` (one or more columns).
+
+    The same offset technique as ``dense_index``, per group: rows are range
+    partitioned by (group, order), so a group larger than a partition spans
+    several partitions and no task holds a whole hot group.  The offset of a
+    group inside partition p is a running sum over the group's rows of
+    (group, partition) counts -- one row per partition it spans, a bounded
+    window.  The numbered frame is checkpointed once (stable positions).
+    """
+    orders = [order] if isinstance(order, str) else list(order)
+    ranged = (df.repartitionByRange(F.col(group), *[F.col(o) for o in orders])
+              .sortWithinPartitions(group, *orders)
+              .select("*", F.spark_partition_id().alias("_pid"),
+                      F.monotonically_increasing_id().alias("_mid")))
+    ranged = checkpoint(ranged)
+    spans = ranged.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(group, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (ranged.join(spans, [group, "_pid"])
+            .withColumn(rank_col, F.col("_off") + F.col("_mid") - F.col("_first"))
+            .drop("_pid", "_mid", "_first", "_off"))
+
+
 def vertex_ids(pairs: DataFrame) -> DataFrame:
     """(id, node): every token that follows or is followed, densely numbered by token."""
     nodes = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
@@ -325,15 +349,15 @@ def rank_degrees(ranked: DataFrame, medges: DataFrame) -> DataFrame:
 def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1000) -> DataFrame:
     """Out-neighbours per vertex as bounded pages: (id, page, neighbors array<struct<id,node,m>>).
 
-    A vertex's distinct neighbours are spread over ``ceil(k / page_size)``
-    pages by ``dstId mod pages``, so no row grows with a hub's degree.  A
-    vertex without out-edges gets one empty page 0.
+    Neighbours are numbered in id order within their source (``rank_within_group``)
+    and page = position div ``page_size``, so every page holds at most
+    ``page_size`` neighbours however large a hub's degree.  A vertex without
+    out-edges gets one empty page 0.
     """
-    k = medges.groupBy("srcId").agg(F.count(F.lit(1)).alias("_k"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("_k") / F.lit(page_size)))
+    ranked = rank_within_group(medges.select("srcId", "dstId", "m"), "srcId", "dstId", "_pos")
     nb = vertices.select(F.col("id").alias("dstId"), F.col("node").alias("_node"))
-    rows = (medges.join(k, "srcId").join(nb, "dstId")
-            .select("srcId", F.pmod(F.col("dstId"), pages).alias("page"),
+    rows = (ranked.join(nb, "dstId")
+            .select("srcId", F.floor(F.col("_pos") / F.lit(page_size)).cast("long").alias("page"),
                     F.struct(F.col("dstId").alias("id"), F.col("_node").alias("node"), "m").alias("nb")))
     grouped = (rows.groupBy("srcId", "page")
                .agg(F.array_sort(F.collect_list("nb")).alias("neighbors")))

@@ -27,7 +27,9 @@ EDU_KEPT = """edu_kept AS (
 
 FOLLOWS = """follows AS MATERIALIZED (
   SELECT concat('u', o_custkey) AS src, concat('u', l_suppkey) AS dst, l_orderkey, l_linenumber,
-         l_partkey, l_suppkey, o_custkey, o_orderpriority
+         l_partkey, l_suppkey, o_custkey, o_orderpriority,
+         ((row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) - 1) // 20)
+           ::BIGINT AS page
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 VERTICES = """vertices AS MATERIALIZED (
@@ -117,10 +119,9 @@ SELECT dstId AS id, sum(m)::BIGINT AS in_degree FROM medges GROUP BY dstId"""
 ORACLE["out_degree"] = _with(*GRAPH) + """
 SELECT srcId AS id, sum(m)::BIGINT AS out_degree FROM medges GROUP BY srcId"""
 
-ORACLE["collect_neighbors"] = _with(*GRAPH, """k AS (SELECT srcId, count(*) AS k FROM medges GROUP BY srcId)""",
-                                    """pg AS (
-  SELECT e.srcId, e.dstId, e.m, (e.dstId % greatest(1, ceil(k.k / 1000.0))::BIGINT)::BIGINT AS page
-  FROM medges e JOIN k USING (srcId))""") + """
+ORACLE["collect_neighbors"] = _with(*GRAPH, """pg AS (
+  SELECT srcId, dstId, m, ((row_number() OVER (PARTITION BY srcId ORDER BY dstId) - 1) // 1000)::BIGINT AS page
+  FROM medges)""") + """
 SELECT v.id, coalesce(p.page, 0)::BIGINT AS page, coalesce(p.n, 0)::BIGINT AS n_neighbors,
        coalesce(p.s, '') AS neighbors
 FROM vertices v LEFT JOIN (
@@ -168,7 +169,7 @@ SELECT 'u1' AS source, dst AS target, concat('User#', l_suppkey) AS label, 'user
 FROM follows WHERE src = 'u1'
 UNION ALL
 SELECT 'u1', CAST(l_orderkey AS VARCHAR), o_orderpriority, 'question'
-FROM (SELECT DISTINCT l_orderkey, (l_linenumber - 1) // 20 AS page, o_orderpriority FROM follows WHERE src = 'u1')
+FROM (SELECT DISTINCT l_orderkey, page AS page, o_orderpriority FROM follows WHERE src = 'u1')
 UNION ALL
 SELECT 'u1', CAST(l_partkey AS VARCHAR), concat('Topic#', l_partkey), 'topic'
 FROM follows WHERE src = 'u1'"""
@@ -280,9 +281,9 @@ SELECT UId, QId, round(rate, 6) AS rate, position FROM (
 WHERE position <= 10"""
 
 ORACLE["last_doc_per_user"] = _with(FOLLOWS, """docs AS (
-  SELECT src AS urlToken, l_orderkey, (l_linenumber - 1) // 20 AS page,
+  SELECT src AS urlToken, l_orderkey, page AS page,
          string_agg(dst, ',' ORDER BY l_linenumber, l_suppkey, l_partkey) AS following
-  FROM follows GROUP BY src, l_orderkey, (l_linenumber - 1) // 20)""") + """
+  FROM follows GROUP BY src, l_orderkey, page)""") + """
 SELECT urlToken, concat(lpad(hex(l_orderkey), 20, '0'), lpad(hex(page), 4, '0')) AS _id, following
 FROM (SELECT *, row_number() OVER (PARTITION BY urlToken ORDER BY l_orderkey DESC, page DESC) AS rn FROM docs)
 WHERE rn = 1"""
@@ -337,7 +338,7 @@ URLS = f"""urls AS (
   SELECT concat('{HOST}/people/u', c_custkey, '/following') FROM customer
   UNION ALL
   SELECT concat('{HOST}/api/v4/members/u', o_custkey, '/followees?include=data&offset=', page * 20, '&limit=20')
-  FROM (SELECT DISTINCT o_custkey, l_orderkey, (l_linenumber - 1) // 20 AS page FROM follows))"""
+  FROM (SELECT DISTINCT o_custkey, l_orderkey, page AS page FROM follows))"""
 
 PROFILE_RE = "'/people/.*/following$'"
 API_RE = "'/members/.*/followees?'"

@@ -8,11 +8,10 @@ construction, never by a cap on the data:
 * ``educations`` holds the *distinct* (school, major) pairs of a user, at most
   5 x 3 = 15 of them; the set is pre-aggregated map-side (``collect_set``), so
   a user owning a third of all orders still yields one small row.
-* a follow document holds the lines of one order whose line numbers fall in
-  one block of ``PAGE_SIZE`` (the follow-list API pages by 20), keyed by
-  (order, block).  TPC-H line numbers are unique per order (at most 7); the
-  driver's synthetic data repeats some (at most 13 lines per order at
-  sf0.01), and repeated numbers stay in their block.
+* a follow document is one page of ``PAGE_SIZE`` follows (the follow-list
+  API pages by 20): the lines of an order are numbered in list order
+  (line, supplier, part) without a per-order window (``rank_within_group``
+  spreads a large order over several tasks) and cut into pages of 20.
 """
 
 from __future__ import annotations
@@ -104,13 +103,20 @@ def follow_pairs(t: Tables) -> DataFrame:
     return follow_rows(t).select(token("o_custkey").alias("src"), token("l_suppkey").alias("dst"))
 
 
+def paged_follow_rows(t: Tables) -> DataFrame:
+    """Follow rows with ``page``: position in the order's list (line, supplier, part) div PAGE_SIZE."""
+    from asklens.operators.graph import rank_within_group
+
+    ranked = rank_within_group(follow_rows(t), "l_orderkey", ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
+    return ranked.withColumn("page", F.floor(F.col("_pos") / PAGE_SIZE).cast("long")).drop("_pos")
+
+
 def follow_docs(t: Tables) -> DataFrame:
     """Follow documents: one per (order, page of PAGE_SIZE lines), arrays in list order.
 
     Line numbers repeat within an order in the driver's data, so list order is
     (line, supplier, part)."""
-    rows = follow_rows(t).withColumn(
-        "page", F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long"))
+    rows = paged_follow_rows(t)
     item = F.struct(
         F.col("l_linenumber").alias("pos"),
         F.col("l_suppkey").alias("supp"),
@@ -277,8 +283,7 @@ def api_follow_pages(t: Tables) -> DataFrame:
 
     The element of line 3 of each order lacks its name (skipped by the parser).
     """
-    rows = follow_rows(t).withColumn(
-        "page", F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long"))
+    rows = paged_follow_rows(t)
     item = F.struct(
         F.col("l_linenumber").alias("pos"),
         F.col("l_suppkey").alias("supp"),
@@ -304,10 +309,7 @@ def crawl_urls(t: Tables) -> DataFrame:
     follow-API URL per follow document."""
     profile = t.customer.select(
         F.concat(F.lit(HOST), F.lit("/people/"), token("c_custkey"), F.lit("/following")).alias("url"))
-    docs = (follow_rows(t)
-            .select("o_custkey", "l_orderkey",
-                    F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).cast("long").alias("page"))
-            .distinct())
+    docs = paged_follow_rows(t).select("o_custkey", "l_orderkey", "page").distinct()
     api = docs.select(F.concat(
         F.lit(HOST), F.lit("/api/v4/members/"), token("o_custkey"),
         F.lit("/followees?include=data&offset="), (F.col("page") * PAGE_SIZE).cast("string"),

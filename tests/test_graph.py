@@ -164,3 +164,28 @@ def test_recommend_in_batches_equals_single_pass(spark, sf_small):
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
     again = G.recommend_in_batches(ranked, g.medges, path, 3)  # all batches committed: nothing recomputed
     assert again.count() == one.count()
+
+
+def test_rank_within_group_spans_partitions(spark):
+    rows = [(0, i) for i in range(300)] + [(1, i) for i in range(0, 40, 2)] + [(2, 7)]
+    df = spark.createDataFrame(rows, "g long, o long").repartition(5)
+    got = G.rank_within_group(df, "g", "o", "r").collect()
+    want = {(g, o): i for g in (0, 1, 2) for i, o in enumerate(sorted(o for gg, o in rows if gg == g))}
+    assert {(r["g"], r["o"]): r["r"] for r in got} == want
+
+
+def test_follow_documents_are_pages_of_twenty(spark):
+    from asklens.session import scratch_path
+    d = scratch_path(spark, "tables")
+    spark.createDataFrame([(1, 7, "F", "1-URGENT"), (2, 8, "O", "2-HIGH")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string") \
+        .write.parquet(f"{d}/orders.parquet")
+    lines = [(1, i % 9, 100 + i, 1000 + i) for i in range(45)] + [(2, 1, 5, 6)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long") \
+        .write.parquet(f"{d}/lineitem.parquet")
+    docs = A.follow_docs(Tables(spark, d)).collect()
+    sizes = sorted(len(r["following"]) for r in docs)
+    assert sizes == [1, 5, 20, 20]
+    flat = [f["urlToken"] for r in sorted(docs, key=lambda r: r["_id"]) for f in r["following"]]
+    want = [f"u{s}" for _, _, s, _ in sorted(lines, key=lambda x: (x[0], x[1], x[2], x[3]))]
+    assert flat == want
