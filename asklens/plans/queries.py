@@ -252,6 +252,13 @@ def als_predict(spark, sf):
     return M.predict(model, test).select("UId", "QId", "rate", F.col("prediction").cast("double"))
 
 
+@query("als_rmse")
+def als_rmse(spark, sf):
+    """RMSE of the ALS predictions on the held-out part (the reference's printed metric)."""
+    model, test = _als(spark, sf)
+    return M.rmse(M.predict(model, test))
+
+
 @query("als_topk_recs")
 def als_topk_recs(spark, sf):
     model, _ = _als(spark, sf)
