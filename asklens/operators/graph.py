@@ -24,10 +24,6 @@ from asklens.session import checkpoint
 RESET = 0.15  # PageRank reset probability
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 # ---------------------------------------------------------------- build
 
 def follow_pairs(docs: DataFrame, direction: str = "follow") -> DataFrame:

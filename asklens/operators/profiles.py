@@ -38,10 +38,22 @@ def _missing_keys(json_col):
         F.array_contains(business_keys, "name"), 0).otherwise(1)
 
 
+def _unreadable(json_col):
+    """Values the flattener cannot read even though the key is there: a null
+    description (tag stripping needs text), null locations or educations (they
+    are iterated), or a kept education whose school or major has no name."""
+    u = F.from_json(json_col, RAW_PROFILE_SCHEMA)
+    kept = F.filter(u["educations"], lambda e: e["school"].isNotNull() & e["major"].isNotNull())
+    nameless = F.exists(kept, lambda e: e["school"]["name"].isNull() | e["major"]["name"].isNull())
+    return (u["description"].isNull() | u["locations"].isNull() | u["educations"].isNull()
+            | F.coalesce(nameless, F.lit(False)))
+
+
 def quarantine(raw: DataFrame, json: str = "json") -> DataFrame:
-    """Adds ``status``: 'ok', or 'ERROR' when any key the flattener reads is absent
-    (one missing key sends the whole record to the error side, B12)."""
-    bad = F.col(json).isNull() | (_missing_keys(F.col(json)) > 0)
+    """Adds ``status``: 'ok', or 'ERROR' when the flattener would fail on the record:
+    a key it reads is absent or a value it reads is unusable (one failure sends the
+    whole record to the error side, B12)."""
+    bad = F.col(json).isNull() | (_missing_keys(F.col(json)) > 0) | _unreadable(F.col(json))
     return raw.withColumn("status", F.when(bad, "ERROR").otherwise("ok"))
 
 

@@ -1,4 +1,4 @@
-"""Sinks and file formats.
+"""Sinks, snapshots, the export ledger and line files.
 
 Paths are parameters.  On a cluster they name the shared store; locally the
 registry writes under the session's checkpoint folder (``scratch_path``).
@@ -55,9 +55,5 @@ def incremental_export(docs: DataFrame, ledger_path: str, run_path: str, key: st
     return exported
 
 
-def encode_lines(df: DataFrame, line, key_cols=()) -> DataFrame:
-    return df.select(*key_cols, line.alias("line"))
-
-
 def write_lines(df: DataFrame, path: str, col: str = "line", mode: str = "append") -> None:
     df.select(F.col(col).alias("value")).write.mode(mode).text(path)

@@ -99,3 +99,17 @@ def test_page_links(spark):
                                   "page_id long, url string, html string")
     got = [(r["pos"], r["abs_url"], r["text"]) for r in P.page_links(pages).collect()]
     assert got == [(0, "https://a.b/p", "P"), (1, "https://c/d", "D")]
+
+
+def test_quarantine_unreadable_values(spark):
+    good = json.loads(_user())
+    no_desc = dict(good, description=None)
+    no_locs = dict(good, locations=None)
+    nameless = dict(good, educations=[{"school": {"id": 1}, "major": {"name": "M"}}])
+    skipped = dict(good, educations=[{"major": {"name": "M"}}])  # no school: skipped, not an error
+    raw = spark.createDataFrame([(k, json.dumps(v)) for k, v in
+                                 [("good", good), ("no_desc", no_desc), ("no_locs", no_locs),
+                                  ("nameless", nameless), ("skipped", skipped)]],
+                                "urlToken string, json string")
+    status = {r["urlToken"]: r["status"] for r in P.quarantine(raw).collect()}
+    assert status == {"good": "ok", "no_desc": "ERROR", "no_locs": "ERROR", "nameless": "ERROR", "skipped": "ok"}
