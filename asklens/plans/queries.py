@@ -160,7 +160,7 @@ def recommend_subgraph_edges(spark, sf):
 
 @query("ego_network")
 def ego_network(spark, sf):
-    return G.ego_network(A.follow_docs(Tables(spark, sf)), "u1")
+    return G.ego_network(A.follow_docs(Tables(spark, sf), users=["u1"]), "u1")
 
 
 # ---------------------------------------------------------------- ratings and ML

@@ -103,20 +103,27 @@ def follow_pairs(t: Tables) -> DataFrame:
     return follow_rows(t).select(token("o_custkey").alias("src"), token("l_suppkey").alias("dst"))
 
 
-def paged_follow_rows(t: Tables) -> DataFrame:
-    """Follow rows with ``page``: position in the order's list (line, supplier, part) div PAGE_SIZE."""
+def paged_follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
+    """Follow rows with ``page``: position in the order's list (line, supplier, part) div PAGE_SIZE.
+
+    ``users`` keeps only those followers' orders; a page depends on its own
+    order only, so the pages of the kept orders are the same either way.
+    """
     from asklens.operators.graph import rank_within_group
 
-    ranked = rank_within_group(follow_rows(t), "l_orderkey", ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
+    rows = follow_rows(t)
+    if users is not None:
+        rows = rows.where(token("o_custkey").isin(list(users)))
+    ranked = rank_within_group(rows, "l_orderkey", ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
     return ranked.withColumn("page", F.floor(F.col("_pos") / PAGE_SIZE).cast("long")).drop("_pos")
 
 
-def follow_docs(t: Tables) -> DataFrame:
+def follow_docs(t: Tables, users: list[str] | None = None) -> DataFrame:
     """Follow documents: one per (order, page of PAGE_SIZE lines), arrays in list order.
 
     Line numbers repeat within an order in the driver's data, so list order is
     (line, supplier, part)."""
-    rows = paged_follow_rows(t)
+    rows = paged_follow_rows(t, users)
     item = F.struct(
         F.col("l_linenumber").alias("pos"),
         F.col("l_suppkey").alias("supp"),
