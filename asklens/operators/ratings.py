@@ -87,11 +87,13 @@ def user_id_lookup(users: DataFrame, idmap: DataFrame, user_col: str = "userUrlT
 
 
 def to_ratings(rated: DataFrame, idmap: DataFrame) -> DataFrame:
-    """(UId int, QId int, rate double); rows whose ids are not integers are skipped."""
+    """(UId bigint, QId bigint, rate double); rows whose ids are not integers are
+    skipped, as ``int()`` failing skips them in the reference (B9).  Ids keep 64
+    bits; ALS renumbers them when they exceed an int (``recommend.fit_als``)."""
     ids = user_id_lookup(rated, idmap)
     return (rated.join(ids, "userUrlToken")
-            .select(F.col("UId").try_cast("int").alias("UId"),
-                    tolerant_int(F.col("questionId")).try_cast("int").alias("QId"),
+            .select(F.col("UId").cast("long").alias("UId"),
+                    tolerant_int(F.col("questionId")).alias("QId"),
                     F.col("rate").cast("double").alias("rate"))
             .where(F.col("UId").isNotNull() & F.col("QId").isNotNull()))
 

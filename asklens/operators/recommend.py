@@ -28,17 +28,53 @@ def random_split(ratings: DataFrame, weights=(0.8, 0.2), seed: int = 42):
     return ratings.randomSplit(list(weights), seed)
 
 
+INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
+
+
+class Recommender:
+    """A fitted ALS model plus the id maps it needs.
+
+    MLlib's ALS takes 32-bit int ids.  Ids that fit are used as they are (cast);
+    otherwise users or items are renumbered with ``dense_index`` (no
+    single-partition window) and results are mapped back, so no rating is
+    dropped for having a large id.  ALS itself runs on the columns ``_u``/``_q``.
+    """
+
+    def __init__(self, model: ALSModel, users: DataFrame | None, items: DataFrame | None):
+        self.model, self.users, self.items = model, users, items
+
+    def _with_index(self, df: DataFrame) -> DataFrame:
+        df = (df.join(self.users, "UId") if self.users is not None
+              else df.withColumn("_u", F.col("UId").cast("int")))
+        return (df.join(self.items, "QId") if self.items is not None
+                else df.withColumn("_q", F.col("QId").cast("int")))
+
+
+def _index(train: DataFrame, col: str, idx: str):
+    lo, hi = train.agg(F.min(col), F.max(col)).first()
+    if lo is None or (INT_MIN <= lo and hi <= INT_MAX):
+        return None
+    from asklens.operators.graph import dense_index
+
+    ids = dense_index(train.select(col).distinct(), col, idx)
+    return ids.select(F.col(idx).cast("int").alias(idx), col)
+
+
 def fit_als(train: DataFrame, seed: int = 42, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-            reg: float = ALS_REG) -> ALSModel:
+            reg: float = ALS_REG) -> Recommender:
+    rec = Recommender(None, _index(train, "UId", "_u"), _index(train, "QId", "_q"))
     als = (ALS().setMaxIter(max_iter).setRegParam(reg).setRank(rank).setSeed(seed)
-           .setUserCol("UId").setItemCol("QId").setRatingCol("rate")
+           .setUserCol("_u").setItemCol("_q").setRatingCol("rate")
            .setColdStartStrategy("drop"))
-    return als.fit(train)
+    rec.model = als.fit(rec._with_index(train))
+    return rec
 
 
-def predict(model: ALSModel, test: DataFrame) -> DataFrame:
+def predict(rec: Recommender, test: DataFrame) -> DataFrame:
     """Predictions on held-out rows; users or items unseen in training are dropped."""
-    return model.setColdStartStrategy("drop").transform(test)
+    cols = test.columns
+    out = rec.model.setColdStartStrategy("drop").transform(rec._with_index(test))
+    return out.select(*cols, "prediction")
 
 
 def rmse(predictions: DataFrame, label: str = "rate", prediction: str = "prediction") -> DataFrame:
@@ -58,11 +94,16 @@ def mean_rate_predictor(train: DataFrame, test: DataFrame) -> DataFrame:
     return test.join(means, "QId")
 
 
-def top_items(model: ALSModel, k: int = TOP_K) -> DataFrame:
+def top_items(rec: Recommender, k: int = TOP_K) -> DataFrame:
     """(UId, QId, Rating double): k recommendations per user, exploded."""
-    recs = model.recommendForAllUsers(k)
-    return (recs.select("UId", F.explode("recommendations").alias("r"))
-            .select("UId", F.col("r.QId").alias("QId"), F.col("r.rating").cast("double").alias("Rating")))
+    recs = rec.model.recommendForAllUsers(k)
+    flat = (recs.select("_u", F.explode("recommendations").alias("r"))
+            .select("_u", F.col("r._q").alias("_q"), F.col("r.rating").cast("double").alias("Rating")))
+    flat = (flat.join(rec.users, "_u") if rec.users is not None
+            else flat.withColumn("UId", F.col("_u").cast("long")))
+    flat = (flat.join(rec.items, "_q") if rec.items is not None
+            else flat.withColumn("QId", F.col("_q").cast("long")))
+    return flat.select("UId", "QId", "Rating")
 
 
 def topk_per_group(df: DataFrame, group: str, order_cols, k: int = TOP_K,

@@ -214,9 +214,8 @@ LOOKUP = f"""lookup AS (
 
 RATINGS = f"""ratings AS MATERIALIZED (
   SELECT * FROM (
-    SELECT TRY_CAST(l.UId AS INTEGER) AS UId,
-           TRY_CAST(CASE WHEN regexp_matches(a.questionId, {INT_RE}) THEN TRY_CAST(trim(a.questionId) AS BIGINT) END
-                    AS INTEGER) AS QId,
+    SELECT l.UId AS UId,
+           CASE WHEN regexp_matches(a.questionId, {INT_RE}) THEN TRY_CAST(trim(a.questionId) AS BIGINT) END AS QId,
            a.rate
     FROM arating a JOIN lookup l USING (userUrlToken) WHERE l.UId IS NOT NULL)
   WHERE UId IS NOT NULL AND QId IS NOT NULL)"""

@@ -96,9 +96,11 @@ ACTION_SCHEMA = T.StructType([
     T.StructField("actType", T.StringType()),
 ])
 
+# Ids are 64-bit here (the reference parses them with Python's unbounded int());
+# ALS renumbers ids that do not fit its 32-bit columns.
 RATING_SCHEMA = T.StructType([
-    T.StructField("UId", T.IntegerType()),
-    T.StructField("QId", T.IntegerType()),
+    T.StructField("UId", T.LongType()),
+    T.StructField("QId", T.LongType()),
     T.StructField("rate", T.DoubleType()),
 ])
 

@@ -94,3 +94,16 @@ def test_hash_split_is_repeatable(spark, sf_small):
     a = M.hash_split(r).orderBy("UId", "QId").collect()
     b = M.hash_split(r.repartition(3)).orderBy("UId", "QId").collect()
     assert a == b
+
+
+def test_als_with_ids_beyond_int(spark):
+    big = 3_000_000_000
+    rows = [(u, q, float((u + q) % 5 + 1)) for u in (1, 2, big, big + 7) for q in (10, 20, big * 2)]
+    r = spark.createDataFrame(rows, "UId long, QId long, rate double")
+    rec = M.fit_als(r, seed=3, max_iter=3)
+    assert rec.users is not None and rec.items is not None
+    pred = M.predict(rec, r)
+    assert pred.count() == len(rows)
+    assert {x["UId"] for x in M.top_items(rec, 2).collect()} == {1, 2, big, big + 7}
+    small = M.fit_als(r.where(r.UId < 100).where(r.QId < 100), seed=3, max_iter=3)
+    assert small.users is None and small.items is None
