@@ -39,10 +39,19 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
 
 
 def profile_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
-                   schema=PROFILE_SCHEMA) -> DataFrame:
+                   schema=PROFILE_SCHEMA, archive_dir: str | None = None) -> DataFrame:
+    """Profile JSON files arriving in ``input_dir``, read with the fixed schema.
+
+    ``max_files_per_trigger`` meters arrival (K7).  ``archive_dir`` moves files
+    out of the input folder once a batch has committed them (Spark's
+    ``cleanSource``), so a folder that receives files forever does not make
+    every trigger list an ever-growing directory.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.json(input_dir)
 
 
@@ -73,7 +82,9 @@ def start_count(counted: DataFrame, name: str, table_path: str, checkpoint_dir:
 def start_service(spark: SparkSession, input_dir: str, out_dir: str,
                   trigger: dict | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Both counts on one source, as the reference runs them; block with
-    ``spark.streams.awaitAnyTermination()`` so a failure of either is seen (T10)."""
+    ``spark.streams.awaitAnyTermination()`` so a failure of either is seen (T10).
+    The two queries read the folder independently, so neither may archive it
+    (one could move files the other has not read yet)."""
     src = profile_stream(streaming_session(spark, state_partitions), input_dir)
     qs = []
     for name, counted in (("count_schools", counts.school_count(src)),

@@ -111,3 +111,13 @@ def test_service_with_processing_time_trigger(spark):
             q.stop()
     business = spark.read.json(os.path.join(out, "count_businesses", "snapshot.json"))
     assert {r["business"]: r["count"] for r in business.collect()} == {"IT": 2, None: 2}
+
+
+def test_archive_moves_processed_files(spark):
+    src_dir = scratch_path(spark, "arch-in")
+    arch = scratch_path(spark, "arch-out")
+    rows = [json.dumps({"_id": str(i), "business": "IT"}) for i in range(4)]
+    spark.createDataFrame([(r,) for r in rows], "value string").repartition(2).write.text(src_dir)
+    src = S.profile_stream(spark, src_dir, archive_dir=arch)
+    out, q = S.run_once(spark, counts.business_count(src), "t_arch", scratch_path(spark, "arch-q"))
+    assert {r["business"]: r["count"] for r in out.collect()} == {"IT": 4}
