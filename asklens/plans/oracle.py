@@ -7,6 +7,9 @@ rounded to 6 decimals, integer sums cast to BIGINT (DuckDB widens them).
 
 from __future__ import annotations
 
+from asklens.functions.text import ANCHOR, TAG_PATTERN
+from asklens.schemas import PROFILE_COUNTERS
+
 ORACLE: dict[str, str] = {}
 
 
@@ -321,9 +324,6 @@ SELECT user, first_order, first_line FROM firsts ORDER BY first_order, first_lin
 
 # ---------------------------------------------------------------- pages and text
 
-from asklens.functions.text import ANCHOR, TAG_PATTERN  # noqa: E402
-from asklens.schemas import PROFILE_COUNTERS  # noqa: E402
-
 
 def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"

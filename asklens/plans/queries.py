@@ -13,10 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asklens.functions import text as X
 from asklens.operators import counts
+from asklens.operators import crawl as C
 from asklens.operators import graph as G
+from asklens.operators import profiles as P
+from asklens.operators import ratings as R
+from asklens.operators import recommend as M
+from asklens.session import default_parallelism, scratch_path
 from asklens.sources import adapters as A
+from asklens.sources import io as IO
 from asklens.sources.tables import Tables
+from asklens.streaming import counts as S
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -165,9 +173,6 @@ def ego_network(spark, sf):
 
 # ---------------------------------------------------------------- ratings and ML
 
-from asklens.operators import ratings as R  # noqa: E402
-from asklens.operators import recommend as M  # noqa: E402
-
 
 def _rated(t: Tables) -> DataFrame:
     return R.action_rating(R.weighted_actions(A.actions(t)), R.follow_rates(A.question_follows(t)))
@@ -273,9 +278,6 @@ def recs_preview(spark, sf):
 
 # ---------------------------------------------------------------- pages and text
 
-from asklens.functions import text as X  # noqa: E402
-from asklens.operators import profiles as P  # noqa: E402
-
 
 @query("strip_tags")
 def strip_tags(spark, sf):
@@ -367,10 +369,6 @@ def delimited_decode(spark, sf):
 
 # ---------------------------------------------------------------- crawl bookkeeping
 
-from asklens.operators import crawl as C  # noqa: E402
-from asklens.session import default_parallelism, scratch_path  # noqa: E402
-from asklens.sources import io as IO  # noqa: E402
-
 
 def _discovered(t: Tables) -> DataFrame:
     return A.follow_rows(t).select(A.token("l_suppkey").alias("user"), "l_orderkey", "l_linenumber")
@@ -402,8 +400,6 @@ def global_cap(spark, sf):
 
 # ---------------------------------------------------------------- sinks and streams
 
-from asklens.streaming import counts as S  # noqa: E402
-
 
 @query("sink_roundtrip")
 def sink_roundtrip(spark, sf):
