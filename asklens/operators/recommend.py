@@ -6,6 +6,8 @@ ALS is MLlib's distributed solver (blocked factors, checkpointed every
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
@@ -50,8 +52,7 @@ class Recommender:
                 else df.withColumn("_q", F.col("QId").cast("int")))
 
 
-def _index(train: DataFrame, col: str, idx: str):
-    lo, hi = train.agg(F.min(col), F.max(col)).first()
+def _index(train: DataFrame, col: str, idx: str, lo, hi):
     if lo is None or (INT_MIN <= lo and hi <= INT_MAX):
         return None
     from asklens.operators.graph import dense_index
@@ -60,11 +61,24 @@ def _index(train: DataFrame, col: str, idx: str):
     return ids.select(F.col(idx).cast("int").alias(idx), col)
 
 
+def als_blocks(spark, n_ratings: int, per_block: int = 100_000) -> int:
+    """ALS blocks per side: MLlib's default of 10 runs each half-step in 10 tasks,
+    whatever the cluster; here ~``per_block`` ratings a block, at least 10, at most
+    4 x the cluster's parallelism."""
+    from asklens.session import default_parallelism
+
+    return max(10, min(math.ceil(n_ratings / per_block), 4 * default_parallelism(spark)))
+
+
 def fit_als(train: DataFrame, seed: int = 42, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-            reg: float = ALS_REG) -> Recommender:
-    rec = Recommender(None, _index(train, "UId", "_u"), _index(train, "QId", "_q"))
+            reg: float = ALS_REG, num_blocks: int | None = None) -> Recommender:
+    n, ulo, uhi, qlo, qhi = train.agg(F.count(F.lit(1)), F.min("UId"), F.max("UId"),
+                                      F.min("QId"), F.max("QId")).first()
+    rec = Recommender(None, _index(train, "UId", "_u", ulo, uhi), _index(train, "QId", "_q", qlo, qhi))
+    blocks = num_blocks or als_blocks(train.sparkSession, n)
     als = (ALS().setMaxIter(max_iter).setRegParam(reg).setRank(rank).setSeed(seed)
            .setUserCol("_u").setItemCol("_q").setRatingCol("rate")
+           .setNumUserBlocks(blocks).setNumItemBlocks(blocks)
            .setColdStartStrategy("drop"))
     rec.model = als.fit(rec._with_index(train))
     return rec
