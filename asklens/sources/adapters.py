@@ -109,13 +109,25 @@ def paged_follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
     ``users`` keeps only those followers' orders; a page depends on its own
     order only, so the pages of the kept orders are the same either way.
     """
+    from pyspark import StorageLevel
+
     from asklens.operators.graph import rank_within_group
 
     rows = follow_rows(t)
     if users is not None:
         rows = rows.where(token("o_custkey").isin(list(users)))
-    ranked = rank_within_group(rows, "l_orderkey", ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
-    return ranked.withColumn("page", F.floor(F.col("_pos") / PAGE_SIZE).cast("long")).drop("_pos")
+    # An order of at most PAGE_SIZE lines is one page; only longer orders need
+    # positions, so only their lines are ranked (a partial count finds them).
+    long_orders = (rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+                   .where(F.col("_n") > PAGE_SIZE).select("l_orderkey")
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+    if long_orders.isEmpty():
+        return rows.withColumn("page", F.lit(0).cast("long"))
+    short = rows.join(long_orders, "l_orderkey", "left_anti").withColumn("page", F.lit(0).cast("long"))
+    ranked = rank_within_group(rows.join(long_orders, "l_orderkey", "left_semi"), "l_orderkey",
+                               ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
+    paged = ranked.withColumn("page", F.floor(F.col("_pos") / PAGE_SIZE).cast("long")).drop("_pos")
+    return short.unionByName(paged)
 
 
 def follow_docs(t: Tables, users: list[str] | None = None) -> DataFrame:
