@@ -72,15 +72,21 @@ def als_blocks(spark, n_ratings: int, per_block: int = 100_000) -> int:
 
 def fit_als(train: DataFrame, seed: int = 42, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
             reg: float = ALS_REG, num_blocks: int | None = None) -> Recommender:
-    n, ulo, uhi, qlo, qhi = train.agg(F.count(F.lit(1)), F.min("UId"), F.max("UId"),
-                                      F.min("QId"), F.max("QId")).first()
-    rec = Recommender(None, _index(train, "UId", "_u", ulo, uhi), _index(train, "QId", "_q", qlo, qhi))
-    blocks = num_blocks or als_blocks(train.sparkSession, n)
-    als = (ALS().setMaxIter(max_iter).setRegParam(reg).setRank(rank).setSeed(seed)
-           .setUserCol("_u").setItemCol("_q").setRatingCol("rate")
-           .setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-           .setColdStartStrategy("drop"))
-    rec.model = als.fit(rec._with_index(train))
+    from pyspark import StorageLevel
+
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and by the fit
+    try:
+        n, ulo, uhi, qlo, qhi = train.agg(F.count(F.lit(1)), F.min("UId"), F.max("UId"),
+                                          F.min("QId"), F.max("QId")).first()
+        rec = Recommender(None, _index(train, "UId", "_u", ulo, uhi), _index(train, "QId", "_q", qlo, qhi))
+        blocks = num_blocks or als_blocks(train.sparkSession, n)
+        als = (ALS().setMaxIter(max_iter).setRegParam(reg).setRank(rank).setSeed(seed)
+               .setUserCol("_u").setItemCol("_q").setRatingCol("rate")
+               .setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+               .setColdStartStrategy("drop"))
+        rec.model = als.fit(rec._with_index(train))
+    finally:
+        train.unpersist()
     return rec
 
 
