@@ -309,6 +309,11 @@ ORACLE["frontier_pending"] = _with(FOLLOWS, FIRSTS, LEDGER) + """
 SELECT user, first_order, first_line FROM firsts
 WHERE user NOT IN (SELECT split_part(trim(value), ':::', 1) FROM ledger)"""
 
+ORACLE["frontier_next"] = _with(FOLLOWS, FIRSTS, LEDGER) + """
+SELECT user, first_order, first_line FROM firsts
+WHERE user NOT IN (SELECT split_part(trim(value), ':::', 1) FROM ledger)
+ORDER BY first_order, first_line, user LIMIT 1"""
+
 ORACLE["follow_totals"] = _with(FOLLOWS) + """
 SELECT src AS user, count(*)::BIGINT AS follow_total_count FROM follows GROUP BY ROLLUP (src)"""
 
@@ -459,3 +464,5 @@ def converged_ranks_ctes(max_rounds: int = 200, tol: float = 1e-4) -> tuple[str,
 
 ORACLE["pagerank_converged"] = _with(*GRAPH, *converged_ranks_ctes()) + """
 SELECT id, round(rank, 6) AS rank FROM cranks"""
+
+ORACLE["follow_recommend_batched"] = ORACLE["follow_recommend"]

@@ -141,6 +141,13 @@ def follow_recommend(spark, sf):
     return G.follow_recommend(G.two_hop_weights(_ranked_fixed(g), g.medges))
 
 
+@query("follow_recommend_batched")
+def follow_recommend_batched(spark, sf):
+    """The same recommendation computed in 4 restartable user batches."""
+    g = _graph(spark, sf)
+    return G.recommend_in_batches(_ranked_fixed(g), g.medges, scratch_path(spark, "rec-batches"), 4)
+
+
 @query("top_ranked_users")
 def top_ranked_users(spark, sf):
     return rounded(G.top_ranked(_ranked_fixed(_graph(spark, sf)), 20))
@@ -380,6 +387,13 @@ def frontier_pending(spark, sf):
     return C.pending(_discovered(t), A.done_ledger(t))
 
 
+@query("frontier_next")
+def frontier_next(spark, sf):
+    """The crawler's next user: the first pending one in discovery order."""
+    t = Tables(spark, sf)
+    return C.next_pending(_discovered(t), A.done_ledger(t))
+
+
 @query("follow_totals")
 def follow_totals(spark, sf):
     return C.follow_totals(A.follow_rows(Tables(spark, sf)).select(A.token("o_custkey").alias("user")))
