@@ -189,3 +189,23 @@ def test_follow_documents_are_pages_of_twenty(spark):
     flat = [f["urlToken"] for r in sorted(docs, key=lambda r: r["_id"]) for f in r["following"]]
     want = [f"u{s}" for _, _, s, _ in sorted(lines, key=lambda x: (x[0], x[1], x[2], x[3]))]
     assert flat == want
+
+
+def test_empty_graph(spark):
+    g = G.FollowGraph(spark.createDataFrame([], "src string, dst string"))
+    assert g.vertices.count() == 0 and g.medges.count() == 0
+    assert G.pagerank_fixed(g.vertices, g.medges).count() == 0
+    assert G.pagerank_converged(g.vertices, g.medges).count() == 0
+    ranked = _ranked(g, G.pagerank_fixed(g.vertices, g.medges))
+    assert G.follow_recommend(G.two_hop_weights(ranked, g.medges)).count() == 0
+
+
+def test_chain_by_hand(spark):
+    g = G.FollowGraph(spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string"))
+    # a keeps 0.15; b = 0.15 + 0.85 * 0.15; c = 0.15 + 0.85 * b; then scaled to sum 3
+    raw = {"a": 0.15, "b": 0.2775, "c": 0.385875}
+    want = {k: v * 3 / sum(raw.values()) for k, v in raw.items()}
+    for ranks in (G.pagerank_fixed(g.vertices, g.medges), G.pagerank_converged(g.vertices, g.medges)):
+        got = _by_node(g, ranks, "rank")
+        for k, v in want.items():
+            assert got[k] == pytest.approx(v, abs=1e-12)
