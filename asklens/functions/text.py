@@ -75,15 +75,30 @@ def org_token(col) -> Column:
     return F.element_at(F.split(_c(col), "/org/"), -1)
 
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
 def site_root(url_col) -> Column:
     return F.regexp_extract(_c(url_col), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
 
 
 def absolute_url(href_col, page_url_col) -> Column:
-    """Site-relative link -> absolute URL on the page's scheme and host."""
-    href = _c(href_col)
-    return F.when(href.startswith("/") & ~href.startswith("//"),
-                  F.concat(site_root(page_url_col), href)).otherwise(href)
+    """A link resolved against its page's URL, like a browser or ``urljoin`` (H20):
+    absolute links stay, ``//host/x`` takes the page's scheme, ``/x`` its site,
+    ``?q`` and ``#f`` its path, anything else its directory.  Dot segments
+    (``../``) are kept as written."""
+    href, url = _c(href_col), _c(page_url_col)
+    no_frag = F.regexp_replace(url, "#.*$", "")
+    no_query = F.regexp_replace(url, "[?#].*$", "")
+    directory = F.when(no_query.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]+$"), F.concat(no_query, F.lit("/"))) \
+        .otherwise(F.regexp_extract(no_query, r"^(.*/)", 1))
+    return (F.when(href.rlike(SCHEME), href)
+            .when(href.startswith("//"), F.concat(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
+            .when(href.startswith("/"), F.concat(site_root(url), href))
+            .when(href == "", url)
+            .when(href.startswith("?"), F.concat(no_query, href))
+            .when(href.startswith("#"), F.concat(no_frag, href))
+            .otherwise(F.concat(directory, href)))
 
 
 # Anchor with a double-quoted href and plain text.

@@ -379,9 +379,16 @@ WITH a AS (
   FROM pages),
 b AS (SELECT page_id, url, hrefs, texts, unnest(generate_series(1, len(hrefs))) AS i FROM a)
 SELECT page_id, (i - 1)::INTEGER AS pos, hrefs[i] AS href, texts[i] AS text,
-       CASE WHEN starts_with(hrefs[i], '/') AND NOT starts_with(hrefs[i], '//')
+       CASE WHEN regexp_matches(hrefs[i], '^[A-Za-z][A-Za-z0-9+.-]*:') THEN hrefs[i]
+            WHEN starts_with(hrefs[i], '//') THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1), hrefs[i])
+            WHEN starts_with(hrefs[i], '/')
             THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), hrefs[i])
-            ELSE hrefs[i] END AS abs_url
+            WHEN hrefs[i] = '' THEN url
+            WHEN starts_with(hrefs[i], '?') THEN concat(regexp_replace(url, '[?#].*$', ''), hrefs[i])
+            WHEN starts_with(hrefs[i], '#') THEN concat(regexp_replace(url, '#.*$', ''), hrefs[i])
+            WHEN regexp_matches(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]+$')
+            THEN concat(regexp_replace(url, '[?#].*$', ''), '/', hrefs[i])
+            ELSE concat(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1), hrefs[i]) END AS abs_url
 FROM b WHERE texts[i] <> ''"""
 
 ORACLE["api_follow_extract"] = _with(FOLLOWS) + f"""

@@ -113,3 +113,13 @@ def test_quarantine_unreadable_values(spark):
                                 "urlToken string, json string")
     status = {r["urlToken"]: r["status"] for r in P.quarantine(raw).collect()}
     assert status == {"good": "ok", "no_desc": "ERROR", "no_locs": "ERROR", "nameless": "ERROR", "skipped": "ok"}
+
+
+def test_absolute_url_matches_urljoin(spark):
+    from urllib.parse import urljoin
+    bases = ["https://a.b/x/y?z=1#f", "http://a.b", "https://a.b/dir/", "http://a.b/p.html#top"]
+    hrefs = ["/p", "q.html", "//c.d/e", "https://e.f/g", "?k=2", "#s", "", "sub/t"]
+    rows = [(b, h) for b in bases for h in hrefs]
+    df = spark.createDataFrame(rows, "url string, href string")
+    got = [r[0] for r in df.select(X.absolute_url("href", "url")).collect()]
+    assert got == [urljoin(b, h) for b, h in rows]
