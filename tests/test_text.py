@@ -123,3 +123,13 @@ def test_absolute_url_matches_urljoin(spark):
     df = spark.createDataFrame(rows, "url string, href string")
     got = [r[0] for r in df.select(X.absolute_url("href", "url")).collect()]
     assert got == [urljoin(b, h) for b, h in rows]
+
+
+def test_strip_tags_unicode_class_edges(spark):
+    # marks, non-breaking and other spaces, separators, other digits, letters of other scripts
+    chars = ["́", " ", " ", " ", "\x1c", "\x1f", "\x85", "²", "٣", "一",
+             "　", "​", "﻿", "Ⅰ", "ª"]
+    samples = [f"x<a{c}b>y" for c in chars] + [f"<{c}>" for c in chars]
+    df = spark.createDataFrame(list(enumerate(samples)), "i int, s string")
+    got = [r[0] for r in df.orderBy("i").select(X.strip_tags("s")).collect()]
+    assert got == [re.sub(PY_TAG, "", s) for s in samples]
