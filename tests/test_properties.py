@@ -79,3 +79,29 @@ def test_dense_index_is_sorted_rank(spark, keys, parts):
     got = {r["node"]: r["id"] for r in G.dense_index(df, "node").collect()}
     want = {k: i for i, k in enumerate(sorted(keys, key=lambda s: s.encode()))}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 50)), min_size=1, max_size=80, unique=True),
+       st.integers(1, 7))
+def test_rank_within_group_is_sorted_position(spark, rows, parts):
+    df = spark.createDataFrame(rows, "g long, o long").repartition(parts)
+    got = {(r["g"], r["o"]): r["r"] for r in G.rank_within_group(df, "g", "o", "r").collect()}
+    want = {}
+    for g in {g for g, _ in rows}:
+        for i, o in enumerate(sorted(o for gg, o in rows if gg == g)):
+            want[(g, o)] = i
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=200), st.integers(1, 6))
+def test_hot_keys_never_exceed_max_keys(spark, keys, max_keys):
+    from collections import Counter
+
+    from asklens.operators.skew import hot_keys
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    hot, n = hot_keys(df, "k", min_rows=0, max_keys=max_keys)
+    assert n <= max_keys
+    threshold = len(keys) / max_keys
+    assert {r["k"] for r in hot.collect()} == {k for k, c in Counter(keys).items() if c > threshold}
