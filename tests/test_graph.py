@@ -151,7 +151,7 @@ def test_collect_neighbors_pages(fixture_graph):
         got.setdefault(names[r["id"]], []).extend((names[x["id"]], x["m"]) for x in r["neighbors"])
     assert sorted(got["1"]) == [("2", 2), ("3", 1)]
     assert got["5"] == [] and got["4"] == [("3", 1)]
-    assert max(len(r["neighbors"]) for r in rows) <= 2
+    assert max(len(r["neighbors"]) for r in rows) <= 1  # exact pages of page_size
 
 
 def test_recommend_in_batches_equals_single_pass(spark, sf_small):
