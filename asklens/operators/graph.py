@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from asklens.operators.skew import (DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, fan_out,
                                     hot_keys, partitions_for, salt)
-from asklens.session import checkpoint
+from asklens.session import checkpoint, persist_partitioned
 
 RESET = 0.15  # PageRank reset probability
 
@@ -187,10 +187,10 @@ class _Spreader:
         cold = wedges
         if self.n_hot:
             cold = wedges.join(F.broadcast(self.hot), "src", "left_anti")
-            self.hot_edges = (wedges.join(F.broadcast(self.hot), "src", "left_semi")
-                              .repartition(parts, "src", "dst")
-                              .persist(StorageLevel.MEMORY_AND_DISK))
-        self.cold = cold.repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
+            self.hot_edges = persist_partitioned(wedges.join(F.broadcast(self.hot), "src", "left_semi")
+                                                    .repartition(parts, "src", "dst"))
+        # cached with its hash partitioning by src kept, so no round re-shuffles the edges
+        self.cold = persist_partitioned(cold.repartition(parts, "src"))
 
     def spread(self, values: DataFrame) -> DataFrame:
         """values (src, x) -> contributions (dst, c)."""

@@ -117,6 +117,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def persist_partitioned(df):
+    """Cache a frame that ends in an explicit ``repartition`` so that joins on its
+    key keep using that partitioning (no re-shuffle per use).  The cache is built
+    with ``canChangeCachedPlanOutputPartitioning`` off -- with it on, Spark treats
+    a cached plan's partitioning as unknown -- and the setting is restored."""
+    from pyspark import StorageLevel
+
+    spark = df.sparkSession
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.count()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    return cached
+
+
 def checkpoint(df):
     """Cut lineage with a reliable checkpoint (survives executor loss).
 
