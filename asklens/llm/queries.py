@@ -77,4 +77,62 @@ REGISTRY = {f.__name__: f for f in (
     op1_license_scan, op2_token_output, op3_exact_dedup, op4_personal_data, op5_language_id, op6_simhash_near_dedup,
     op7_source_mixing, op8_quality_rules, op9_window_packing, op10_chat_format)}
 
-ORACLE: dict[str, str] = {}
+# DuckDB SQL over the same tables.  The other operators have no SQL form: a tokenizer's ids (2, 9), rules whose regexes
+# look around (1), expectation maximisation (4), hashed n-grams (5), XXH64 (6), dynamic programming (10).
+_EXACT_DEDUP = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY norm)
+"""
+
+_MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5(concat_ws(':', 'mix', doc_id::VARCHAR)) AS k, md5(coalesce(text, '')) AS content FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT source, source_size, 3 * source_size AS cap,
+             1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS weight FROM s),
+f AS (SELECT *, coalesce(sum(cap) OVER b, 0)::BIGINT AS before_cap, coalesce(sum(weight) OVER b, 0)::BIGINT AS before_weight,
+             sum(source_size) OVER ()::BIGINT AS words, sum(weight) OVER ()::BIGINT AS weights
+      FROM w WINDOW b AS (ORDER BY cap::DOUBLE / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size,
+             least(cap::DOUBLE, max((words - before_cap)::DOUBLE / (weights - before_weight)) OVER () * weight) AS target FROM f),
+b AS (SELECT *, round(target)::BIGINT AS budget, CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS epochs FROM t),
+p AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, content
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_size FROM d)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + greatest(least(budget - epochs * source_size - before_size, size), 0))::BIGINT AS taken
+FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
+"""
+
+_QUALITY = r"""
+WITH t AS (SELECT row_number() OVER () AS row_no, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row_no, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+g AS (SELECT row_no, unnest(range(1, len(words) - 1)) AS i,
+             unnest(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) AS gram FROM w),
+r AS (SELECT row_no, i FROM g QUALIFY count(*) OVER (PARTITION BY row_no, gram) > 1),
+c AS (SELECT row_no, sum(n)::BIGINT AS n FROM (
+        SELECT row_no, least(coalesce(lead(i) OVER (PARTITION BY row_no ORDER BY i) - i, 3), 3) AS n FROM r) GROUP BY row_no),
+m AS (SELECT doc_id, source, len(words)::BIGINT AS n_words, len(lines)::BIGINT AS n_lines,
+             length(array_to_string(words, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN c USING (row_no)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             n_words < 50 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+             OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS failed FROM m),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS f FROM j GROUP BY source),
+a AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 AS v FROM h),
+p AS (SELECT m, CASE WHEN v * 1001 <= m * (1 - m) THEN 1000.0 WHEN v * 2 >= m * (1 - m) THEN 1.0 ELSE m * (1 - m) / v - 1 END AS s FROM a),
+x AS (SELECT source, (f + m * s) / (n + s) > 0.5 AS bad_host FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (bad_host AND failed) AS kept
+FROM j JOIN x ON j.source IS NOT DISTINCT FROM x.source
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": _EXACT_DEDUP,
+    "op7_source_mixing": _MIXING,
+    "op8_quality_rules": _QUALITY,
+}

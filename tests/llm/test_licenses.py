@@ -1,0 +1,74 @@
+import random
+import re
+
+from asklens.llm import licenses
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans(licenses.UPPER, licenses.LOWER)
+RULES = licenses.signature_rules()
+
+
+def brute(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    base = sorted((i, label) for phrase, label, _ in licenses.BASE for i in range(len(words))
+                  if words[i:i + len(phrase.split())] == phrase.split())
+    line = " " + " ".join(words) + " "
+    found = []
+    for rule, (label, keyword, regex, priority, sure) in enumerate(RULES):
+        if keyword in words:
+            for m in re.finditer(f"(?<= )(?:{regex})(?= )", line):
+                start = line[:m.start()].count(" ") - 1
+                found.append((start, start + m.group().count(" ") + 1, rule, label, priority, sure))
+    left = []
+    for d in found:
+        def beats(e):
+            inside = e[0] <= d[0] and d[1] <= e[1] and e[4] >= d[4] and e[2] != d[2]
+            same = (e[0], e[1], e[4]) == (d[0], d[1], d[4])
+            return inside and (not same or e[2] < d[2])
+        if not any(beats(e) for e in found):
+            left.append(d)
+    labels = ",".join(sorted({x[1] for x in base} | {x[3] for x in left}))
+    score = max([0.0, *(x[5] for x in left), *([0.7] if base else [])])
+    starts = [x[0] for x in base]
+    return (len(words), len(base), min(starts, default=None), max(starts, default=None),
+            ",".join(sorted({x[1] for x in base})), labels, score)
+
+
+def report(df):
+    got = licenses.license_report(licenses.scan_licenses(df)).collect()
+    return [(r["doc_id"], tuple(r)[1:]) for r in got]
+
+
+def same(df):
+    texts = sorted(((r["doc_id"], brute(r["text"])) for r in df.collect()), key=repr)
+    assert sorted(report(df), key=repr) == texts
+
+
+def test_sf(docs):
+    same(docs)
+
+
+def test_odd_and_empty(odd, none):
+    same(odd)
+    assert report(none) == []
+
+
+def test_made_up_texts(spark):
+    """Random mixtures of license phrases: overlaps, containment, ties."""
+    rng = random.Random(3)
+    parts = ["licensed under the", "gnu", "general public license", "version 3", "apache license version 2", "MIT License",
+             "cc-by-nc-sa 4.0", "CC BY-NC 4.0", "under the mit license", "all rights reserved", "SPDX-License-Identifier: MPL 2.0",
+             "word", "lesser general public license", "gnu lesser general public license version 2.1", ".", "bsd 3-clause license"]
+    texts = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(12)))) for i in range(150)]
+    same(spark.createDataFrame(texts, "doc_id bigint, text string"))
+
+
+def test_many_rules_and_keywords():
+    assert len(RULES) > 300
+    for label, keyword, regex, priority, sure in RULES:
+        re.compile(regex)
+
+
+def test_exact_name_wins(spark):
+    df = spark.createDataFrame([(1, "Licensed under the GNU General Public License, version 3.")], "doc_id bigint, text string")
+    assert report(df)[0][1][5:] == ("gpl-3", 0.95)
