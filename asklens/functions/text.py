@@ -6,6 +6,8 @@ whole-stage codegen); none needs a Python UDF.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,8 +27,10 @@ FOLLOW_API_URL = r"/members/.*/followees?"
 FIELD_SEP = "---"
 KV_SEP = ":::"
 
-# Python's int(): optional blanks, optional sign, decimal digits.
-INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+# Python's int(): optional blanks, optional sign, decimal digits of any script, single underscores between digits.
+INT_TEXT = r"^\s*[+-]?[0-9]+(?:_[0-9]+)*\s*$"
+_DIGITS = [c for c in map(chr, range(0x80, 0x20000)) if unicodedata.decimal(c, None) is not None]
+ANY_DIGITS, ASCII_DIGITS = "".join(_DIGITS), "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
 def _c(col) -> Column:
@@ -65,9 +69,19 @@ def query_param(col, name: str) -> Column:
 
 
 def tolerant_int(col) -> Column:
-    """Python ``int(text)`` or null: blanks and a sign allowed, '12.5' is not an int."""
-    c = _c(col).cast("string")
-    return F.when(c.rlike(INT_TEXT), F.trim(c).try_cast("bigint"))
+    """Python ``int(text)`` or null: blanks, a sign, ``1_000`` and digits of other scripts allowed, '12.5' is not an
+    int (B9).  A number beyond 64 bits is null too; ``too_large_int`` tells it apart."""
+    c = _ascii_digits(col)
+    return F.when(c.rlike(INT_TEXT), F.replace(F.trim(c), F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
+def too_large_int(col) -> Column:
+    """True where Python's ``int(text)`` works but 64 bits do not hold it: rows for a reject table."""
+    return F.coalesce(_ascii_digits(col).rlike(INT_TEXT) & tolerant_int(col).isNull(), F.lit(False))
+
+
+def _ascii_digits(col) -> Column:
+    return F.translate(_c(col).cast("string"), ANY_DIGITS, ASCII_DIGITS)
 
 
 def org_token(col) -> Column:

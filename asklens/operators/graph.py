@@ -294,6 +294,7 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
     acc = None
     pending: list[DataFrame] = []
     persisted: list[DataFrame] = []
+    converged = False
     for i in range(max_rounds):
         if i == 0:
             sums = first
@@ -309,6 +310,7 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
         pending.append(msgs)
         senders = msgs.select(F.col("id").alias("src"), F.col("d").alias("x"))
         if ((i + 1) % check_every == 0 or last) and msgs.isEmpty():
+            converged = True
             break
         if len(pending) >= fold_every:
             parts = ([acc] if acc is not None else []) + pending
@@ -317,6 +319,8 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
             for p in persisted:
                 p.unpersist()
             persisted = []
+    if not converged:
+        raise RuntimeError(f"PageRank still sends messages after {max_rounds} rounds (tol={tol})")
     parts = ([acc] if acc is not None else []) + pending
     total = (reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("s"))
              .withColumnRenamed("id", "dst"))

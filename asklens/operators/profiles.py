@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from asklens.functions import text as X
 from asklens.schemas import API_PAGE_SCHEMA, PROFILE_COUNTERS, PROFILE_SCALAR_KEYS, RAW_PROFILE_SCHEMA
 
-SCRIPT = r'<script id="js-initialData"[^>]*>(.*?)</script>'
+# the script element with that id, whatever its other attributes; its text may span lines
+SCRIPT = r"""(?is)<script\b(?=[^>]*\sid\s*=\s*["']?js-initialData["'\s>])[^>]*>(.*?)</script>"""
 INITIAL_DATA = T.StructType([T.StructField("initialState", T.StructType([
     T.StructField("entities", T.StructType([
         T.StructField("users", T.MapType(T.StringType(), T.StringType()))]))]))])
@@ -74,7 +75,7 @@ def flatten_profile(raw: DataFrame, json: str = "json") -> DataFrame:
     return p.select(
         F.col("u.id").alias("id"), F.col("u.urlToken").alias("urlToken"), F.col("u.name").alias("name"),
         F.col("u.isOrg").alias("isOrg"), F.col("u.type").alias("type"), F.col("u.url").alias("url"),
-        X.drop_newlines(F.col("u.headline")).alias("headline"),
+        X.drop_newlines(F.coalesce(F.col("u.headline"), F.lit("None"))).alias("headline"),  # str(None)
         F.col("u.isActive").alias("isActive"),
         X.strip_tags(F.col("u.description")).alias("description"),
         F.col("u.gender").alias("gender"), F.col("u.badge").alias("badge"),

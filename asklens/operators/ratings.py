@@ -56,8 +56,12 @@ def last_doc_per_user(docs: DataFrame, user: str = "urlToken", order: str = "_id
 
 
 def followed_questions(docs: DataFrame) -> DataFrame:
-    """(userUrlToken, questionId, rate=5) from each user's last follow document."""
-    last = last_doc_per_user(docs)
+    """(userUrlToken, questionId, rate=5) from each user's last follow document that has questions.
+
+    Documents lacking a user or a question list are no candidates, so a later one
+    without questions does not hide an earlier one's."""
+    last = last_doc_per_user(docs.select("_id", "urlToken", "question")
+                             .where(F.col("urlToken").isNotNull() & F.col("question").isNotNull()))
     return follow_rates(last.select(F.col("urlToken").alias("userUrlToken"),
                                     F.explode("question.id").alias("questionId")))
 
@@ -87,15 +91,16 @@ def user_id_lookup(users: DataFrame, idmap: DataFrame, user_col: str = "userUrlT
 
 
 def to_ratings(rated: DataFrame, idmap: DataFrame) -> DataFrame:
-    """(UId bigint, QId bigint, rate double); rows whose ids are not integers are
-    skipped, as ``int()`` failing skips them in the reference (B9).  Ids keep 64
-    bits; ALS renumbers them when they exceed an int (``recommend.fit_als``)."""
-    ids = user_id_lookup(rated, idmap)
-    return (rated.join(ids, "userUrlToken")
-            .select(F.col("UId").cast("long").alias("UId"),
-                    tolerant_int(F.col("questionId")).alias("QId"),
-                    F.col("rate").cast("double").alias("rate"))
-            .where(F.col("UId").isNotNull() & F.col("QId").isNotNull()))
+    """(UId bigint, QId bigint, rate double), one row per (UId, QId).
+
+    Rows whose ids are not integers are skipped, as ``int()`` failing skips them in the
+    reference (B9).  Different texts can name the same pair ("7" and " 7", two tokens with one id); the
+    reference keeps the value written last, here the one of the largest (token, question text)."""
+    ids = first_match(idmap).select(F.col("urlToken").alias("userUrlToken"), tolerant_int(F.col("UId")).alias("UId"))
+    named = (rated.select("userUrlToken", "questionId", "rate", tolerant_int(F.col("questionId")).alias("QId"))
+             .where(F.col("QId").isNotNull()).join(ids.where(F.col("UId").isNotNull()), "userUrlToken"))
+    return named.groupBy("UId", "QId").agg(
+        F.max_by(F.col("rate").cast("double"), F.struct("userUrlToken", "questionId")).alias("rate"))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys=("UId", "QId")) -> DataFrame:

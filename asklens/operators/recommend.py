@@ -6,8 +6,6 @@ ALS is MLlib's distributed solver (blocked factors, checkpointed every
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
@@ -30,59 +28,44 @@ def random_split(ratings: DataFrame, weights=(0.8, 0.2), seed: int = 42):
     return ratings.randomSplit(list(weights), seed)
 
 
-INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
+# ALS blocks per side.  MLlib seeds its factors by block, so the model depends on this number;
+# it is a parameter with one default and never taken from the data or the cluster.
+ALS_BLOCKS = 10
 
 
 class Recommender:
-    """A fitted ALS model plus the id maps it needs.
+    """A fitted ALS model plus its id maps.
 
-    MLlib's ALS takes 32-bit int ids.  Ids that fit are used as they are (cast);
-    otherwise users or items are renumbered with ``dense_index`` (no
-    single-partition window) and results are mapped back, so no rating is
-    dropped for having a large id.  ALS itself runs on the columns ``_u``/``_q``.
-    """
+    MLlib's ALS takes 32-bit int ids, so users and items are always renumbered with ``dense_index`` (no
+    single-partition window) and results are mapped back.  ALS runs on the columns ``_u``/``_q``."""
 
-    def __init__(self, model: ALSModel, users: DataFrame | None, items: DataFrame | None):
+    def __init__(self, model: ALSModel, users: DataFrame, items: DataFrame):
         self.model, self.users, self.items = model, users, items
 
     def _with_index(self, df: DataFrame) -> DataFrame:
-        df = (df.join(self.users, "UId") if self.users is not None
-              else df.withColumn("_u", F.col("UId").cast("int")))
-        return (df.join(self.items, "QId") if self.items is not None
-                else df.withColumn("_q", F.col("QId").cast("int")))
+        """Rows whose user and item occur in training (others are cold starts, dropped)."""
+        return df.join(self.users, "UId").join(self.items, "QId")
 
 
-def _index(train: DataFrame, col: str, idx: str, lo, hi):
-    if lo is None or (INT_MIN <= lo and hi <= INT_MAX):
-        return None
+def _index(train: DataFrame, col: str, idx: str) -> DataFrame:
     from asklens.operators.graph import dense_index
 
     ids = dense_index(train.select(col).distinct(), col, idx)
     return ids.select(F.col(idx).cast("int").alias(idx), col)
 
 
-def als_blocks(spark, n_ratings: int, per_block: int = 100_000) -> int:
-    """ALS blocks per side: MLlib's default of 10 runs each half-step in 10 tasks,
-    whatever the cluster; here ~``per_block`` ratings a block, at least 10, at most
-    4 x the cluster's parallelism."""
-    from asklens.session import default_parallelism
-
-    return max(10, min(math.ceil(n_ratings / per_block), 4 * default_parallelism(spark)))
-
-
 def fit_als(train: DataFrame, seed: int = 42, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-            reg: float = ALS_REG, num_blocks: int | None = None) -> Recommender:
+            reg: float = ALS_REG, num_blocks: int = ALS_BLOCKS) -> Recommender:
+    """``num_blocks`` splits users and items into so many groups each; on a cluster choose it once for a model,
+    for example one block per 100,000 ratings."""
     from pyspark import StorageLevel
 
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and by the fit
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # read by the two numberings and by the fit
     try:
-        n, ulo, uhi, qlo, qhi = train.agg(F.count(F.lit(1)), F.min("UId"), F.max("UId"),
-                                          F.min("QId"), F.max("QId")).first()
-        rec = Recommender(None, _index(train, "UId", "_u", ulo, uhi), _index(train, "QId", "_q", qlo, qhi))
-        blocks = num_blocks or als_blocks(train.sparkSession, n)
+        rec = Recommender(None, _index(train, "UId", "_u"), _index(train, "QId", "_q"))
         als = (ALS().setMaxIter(max_iter).setRegParam(reg).setRank(rank).setSeed(seed)
                .setUserCol("_u").setItemCol("_q").setRatingCol("rate")
-               .setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+               .setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
                .setColdStartStrategy("drop"))
         rec.model = als.fit(rec._with_index(train))
     finally:
@@ -114,16 +97,15 @@ def mean_rate_predictor(train: DataFrame, test: DataFrame) -> DataFrame:
     return test.join(means, "QId")
 
 
-def top_items(rec: Recommender, k: int = TOP_K) -> DataFrame:
-    """(UId, QId, Rating double): k recommendations per user, exploded."""
-    recs = rec.model.recommendForAllUsers(k)
+def _named(rec: Recommender, recs: DataFrame) -> DataFrame:
     flat = (recs.select("_u", F.explode("recommendations").alias("r"))
             .select("_u", F.col("r._q").alias("_q"), F.col("r.rating").cast("double").alias("Rating")))
-    flat = (flat.join(rec.users, "_u") if rec.users is not None
-            else flat.withColumn("UId", F.col("_u").cast("long")))
-    flat = (flat.join(rec.items, "_q") if rec.items is not None
-            else flat.withColumn("QId", F.col("_q").cast("long")))
-    return flat.select("UId", "QId", "Rating")
+    return flat.join(rec.users, "_u").join(rec.items, "_q").select("UId", "QId", "Rating")
+
+
+def top_items(rec: Recommender, k: int = TOP_K) -> DataFrame:
+    """(UId, QId, Rating double): k recommendations per user, exploded."""
+    return _named(rec, rec.model.recommendForAllUsers(k))
 
 
 def topk_per_group(df: DataFrame, group: str, order_cols, k: int = TOP_K,
@@ -138,3 +120,10 @@ def topk_per_group(df: DataFrame, group: str, order_cols, k: int = TOP_K,
 def preview(recs: DataFrame, n: int = 10) -> DataFrame:
     """First n rows by user, then rating desc (A6, F5): a bounded top-n."""
     return recs.orderBy(F.col("UId").asc(), F.col("Rating").desc(), F.col("QId").asc()).limit(n)
+
+
+def preview_users(rec: Recommender, k: int = TOP_K, n: int = 10) -> DataFrame:
+    """``preview`` of ``top_items`` without scoring everybody: every user has a recommendation, so the
+    first ``n`` rows belong to the first ``n`` users."""
+    first = rec.users.orderBy("UId").limit(n).select("_u")
+    return preview(_named(rec, rec.model.recommendForUserSubset(first, k)), n)

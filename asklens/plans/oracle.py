@@ -20,8 +20,8 @@ def _with(*ctes: str) -> str:
 # ---------------------------------------------------------------- adapter CTEs
 
 EDU = """edu AS (
-  SELECT DISTINCT o_custkey AS c_custkey, nullif(o_orderpriority, '5-LOW') AS school,
-         o_orderstatus AS major
+  SELECT o_custkey AS c_custkey, nullif(o_orderpriority, '5-LOW') AS school, o_orderstatus AS major, o_orderkey,
+         ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 20)::BIGINT AS page
   FROM orders)"""
 
 EDU_KEPT = """edu_kept AS (
@@ -200,13 +200,15 @@ ARATING = """arating AS (
     WHERE event_type = 'error' AND json_extract_string(props, '$.k') IS NOT NULL)
   GROUP BY userUrlToken, questionId)"""
 
-IDMAP = """idmap AS (
+_IDMAP = """idmap AS (
   SELECT lpad(hex(c_custkey), 24, '0') AS _id, concat('u', c_custkey) AS urlToken,
          CAST(c_custkey AS VARCHAR) AS UId
-  FROM customer WHERE c_custkey % 9 <> 4
+  FROM customer WHERE c_custkey % 9 <> {gap}
   UNION ALL
   SELECT lpad(hex(c_custkey + 1000000000), 24, '0'), concat('u', c_custkey), CAST(c_custkey + 500000 AS VARCHAR)
-  FROM customer WHERE c_custkey % 9 <> 4 AND c_custkey % 5 = 0)"""
+  FROM customer WHERE c_custkey % 9 <> {gap} AND c_custkey % 5 = 0)"""
+IDMAP = _IDMAP.replace("{gap}", "9")  # everybody
+IDMAP_GAPS = _IDMAP.replace("{gap}", "4")
 
 INT_RE = r"'^\s*[+-]?[0-9]+\s*$'"
 
@@ -257,7 +259,7 @@ WHERE regexp_matches(qtext, {INT_RE}) AND TRY_CAST(trim(qtext) AS BIGINT) IS NOT
 ORACLE["action_rating"] = _with(ACTIONS, WEIGHTED, ARATING) + """
 SELECT userUrlToken, questionId, rate FROM arating"""
 
-ORACLE["user_id_lookup"] = _with(ACTIONS, IDMAP, LOOKUP) + """
+ORACLE["user_id_lookup"] = _with(ACTIONS, IDMAP_GAPS, LOOKUP) + """
 SELECT DISTINCT a.userUrlToken, l.UId FROM actions a JOIN lookup l USING (userUrlToken)
 WHERE l.UId IS NOT NULL"""
 
@@ -396,10 +398,10 @@ SELECT src AS user, dst AS id, concat('{HOST}/people/', dst) AS url, concat('Use
        (l_suppkey % 3 - 1)::INTEGER AS gender
 FROM follows WHERE l_linenumber <> 3"""
 
-ORACLE["embedded_json_extract"] = """
+ORACLE["embedded_json_extract"] = _with(EDU) + """
 SELECT concat('u', c_custkey) AS urlToken, md5(CAST(c_custkey AS VARCHAR)) AS id, c_name AS name,
        ((c_custkey * 3) % 1000)::BIGINT AS followerCount
-FROM customer"""
+FROM customer LEFT JOIN (SELECT DISTINCT c_custkey, page FROM edu) USING (c_custkey)"""
 
 _COUNTER_SQL = ",\n       ".join(
     f"((c_custkey * {i + 3}) % {1000 + i})::BIGINT AS {name}" for i, name in enumerate(PROFILE_COUNTERS))
@@ -420,14 +422,15 @@ SELECT md5(CAST(c_custkey AS VARCHAR)) AS id, concat('u', c_custkey) AS urlToken
        '' AS badge
 FROM customer
 LEFT JOIN nation ON c_nationkey = n_nationkey
-LEFT JOIN (SELECT c_custkey, string_agg(school || '/' || major, '|' ORDER BY school, major) AS edus
-           FROM edu WHERE school IS NOT NULL GROUP BY c_custkey) e USING (c_custkey)
+LEFT JOIN (SELECT c_custkey, page,
+                  string_agg(school || '/' || major, '|' ORDER BY o_orderkey) FILTER (school IS NOT NULL) AS edus
+           FROM edu GROUP BY c_custkey, page) e USING (c_custkey)
 WHERE NOT (c_custkey % 17 = 3 OR c_custkey % 19 = 5)"""
 
-ORACLE["profile_quarantine"] = """
+ORACLE["profile_quarantine"] = _with(EDU) + """
 SELECT concat('u', c_custkey) AS urlToken,
        CASE WHEN c_custkey % 17 = 3 OR c_custkey % 19 = 5 THEN 'ERROR' ELSE 'ok' END AS status
-FROM customer"""
+FROM customer LEFT JOIN (SELECT DISTINCT c_custkey, page FROM edu) USING (c_custkey)"""
 
 ORACLE["delimited_encode"] = _with(FOLLOWS) + f"""
 SELECT l_orderkey, l_linenumber,
@@ -473,3 +476,31 @@ ORACLE["pagerank_converged"] = _with(*GRAPH, *converged_ranks_ctes()) + """
 SELECT id, round(rank, 6) AS rank FROM cranks"""
 
 ORACLE["follow_recommend_batched"] = ORACLE["follow_recommend"]
+
+SEEN = """seen AS (
+  SELECT t.UId, t.QId, t.rate FROM split t
+  WHERE t.part = 'test' AND t.UId IN (SELECT UId FROM split WHERE part = 'train')
+    AND t.QId IN (SELECT QId FROM split WHERE part = 'train'))"""
+
+ORACLE["als_predict_rows"] = _with(*RATING_CTES, SPLIT, SEEN) + """
+SELECT UId, QId, round(rate, 6) AS rate, true AS finite FROM seen"""
+
+ORACLE["als_rmse_n"] = _with(*RATING_CTES, SPLIT, SEEN) + """
+SELECT count(*)::BIGINT AS n, true AS sane FROM seen"""
+
+ORACLE["als_topk_rows"] = _with(*RATING_CTES, SPLIT) + """
+SELECT DISTINCT UId, least(10, (SELECT count(DISTINCT QId) FROM split WHERE part = 'train'))::BIGINT AS n,
+       least(10, (SELECT count(DISTINCT QId) FROM split WHERE part = 'train'))::BIGINT AS items, false AS unrated
+FROM split WHERE part = 'train'"""
+
+ORACLE["recs_preview_rows"] = _with(*RATING_CTES, SPLIT, """k AS (
+  SELECT least(10, count(DISTINCT QId)) AS k FROM split WHERE part = 'train')""", """place AS (
+  SELECT UId, row_number() OVER (ORDER BY UId) - 1 AS p FROM (SELECT DISTINCT UId FROM split WHERE part = 'train'))""") + """
+SELECT UId, least(k, 10 - p * k)::BIGINT AS n FROM place, k WHERE p * k < 10"""
+
+ORACLE["doc_action_rating"] = _with(ACTIONS, FOLLOWS, """wrows AS (
+  SELECT userUrlToken, questionId, CASE actType WHEN 'answer_approve' THEN 1.0 WHEN 'answer_collect' THEN 1.5 ELSE 2.5 END AS rate
+  FROM actions WHERE userUrlToken IS NOT NULL AND questionId IS NOT NULL AND actType IS NOT NULL
+  UNION ALL
+  SELECT src, max(l_orderkey)::VARCHAR, 5.0 FROM follows GROUP BY src)""") + """
+SELECT userUrlToken, questionId, sum(DISTINCT rate)::DOUBLE AS rate FROM wrows GROUP BY userUrlToken, questionId"""

@@ -47,12 +47,12 @@ def rounded(df: DataFrame, decimals: int = 6) -> DataFrame:
 
 @query("school_count")
 def school_count(spark, sf):
-    return counts.school_count(A.profiles(Tables(spark, sf)))
+    return counts.school_count(A.profiles(Tables(spark, sf), educations=True))
 
 
 @query("business_count")
 def business_count(spark, sf):
-    return counts.business_count(A.profiles(Tables(spark, sf)))
+    return counts.business_count(A.profiles(Tables(spark, sf), locations=False))
 
 
 @query("location_count")
@@ -62,7 +62,7 @@ def location_count(spark, sf):
 
 @query("nested_path_project")
 def nested_path_project(spark, sf):
-    return counts.nested_path_project(A.profiles(Tables(spark, sf)))
+    return counts.nested_path_project(A.profiles(Tables(spark, sf), educations=True))
 
 
 # ---------------------------------------------------------------- graph
@@ -219,7 +219,7 @@ def last_doc_per_user(spark, sf):
 @query("user_id_lookup")
 def user_id_lookup(spark, sf):
     t = Tables(spark, sf)
-    return R.user_id_lookup(A.actions(t), A.id_map(t))
+    return R.user_id_lookup(A.actions(t), A.id_map(t, gaps=True))
 
 
 @query("rating_upsert")
@@ -280,7 +280,45 @@ def als_topk_recs(spark, sf):
 @query("recs_preview")
 def recs_preview(spark, sf):
     model, _ = _als(spark, sf)
-    return M.preview(M.top_items(model, 10), 10)
+    return M.preview_users(model, 10, 10)
+
+
+# What has a plain SQL form about the same fits: which rows come out, not their numbers.
+
+@query("als_predict_rows")
+def als_predict_rows(spark, sf):
+    model, test = _als(spark, sf)
+    p = F.col("prediction").cast("double")
+    return rounded(M.predict(model, test).select(
+        "UId", "QId", "rate", (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e9)).alias("finite")))
+
+
+@query("als_rmse_n")
+def als_rmse_n(spark, sf):
+    model, test = _als(spark, sf)
+    return M.rmse(M.predict(model, test)).select("n", ((F.col("rmse") >= 0) & (F.col("rmse") < 100)).alias("sane"))
+
+
+@query("als_topk_rows")
+def als_topk_rows(spark, sf):
+    """Per user: recommendations, different items among them, and whether any exceeds a better one's rating."""
+    model, _ = _als(spark, sf)
+    return M.top_items(model, 10).groupBy("UId").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("QId").alias("items"),
+        F.max(F.isnan("Rating") | F.col("Rating").isNull()).alias("unrated"))
+
+
+@query("recs_preview_rows")
+def recs_preview_rows(spark, sf):
+    model, _ = _als(spark, sf)
+    return M.preview_users(model, 10, 10).groupBy("UId").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("doc_action_rating")
+def doc_action_rating(spark, sf):
+    """Ratings from answer actions and from the questions of the users' last follow documents."""
+    t = Tables(spark, sf)
+    return R.action_rating(R.weighted_actions(A.actions(t)), R.followed_questions(A.follow_docs(t)))
 
 
 # ---------------------------------------------------------------- pages and text
@@ -418,7 +456,7 @@ def global_cap(spark, sf):
 @query("sink_roundtrip")
 def sink_roundtrip(spark, sf):
     path = scratch_path(spark, "business-snapshot")
-    IO.save_snapshot(counts.business_count(A.profiles(Tables(spark, sf))), path)
+    IO.save_snapshot(counts.business_count(A.profiles(Tables(spark, sf), locations=False)), path)
     return IO.read_json(spark, path, "business string, count bigint")
 
 
@@ -432,10 +470,10 @@ def incremental_export(spark, sf):
     return exported.select("_id", "name", "business")
 
 
-def _profile_json_dir(spark, sf, files: int | None = None) -> str:
+def _profile_json_dir(spark, sf, educations: bool, files: int | None = None) -> str:
     path = scratch_path(spark, "profiles-json")
-    prof = A.profiles(Tables(spark, sf))
-    (prof.repartition(files, "_id") if files else prof).write.json(path)
+    prof = A.profiles(Tables(spark, sf), educations)
+    (prof.repartition(files) if files else prof).write.json(path)
     return path
 
 
@@ -447,21 +485,22 @@ def _stream_session(spark):
 @query("stream_school_count")
 def stream_school_count(spark, sf):
     ss = _stream_session(spark)
-    src = S.profile_stream(ss, _profile_json_dir(spark, sf))
+    src = S.profile_stream(ss, _profile_json_dir(spark, sf, True))
     return S.run_once(ss, counts.school_count(src), "count_schools", scratch_path(spark, "stream-school"))[0]
 
 
 @query("stream_business_count")
 def stream_business_count(spark, sf):
     ss = _stream_session(spark)
-    src = S.profile_stream(ss, _profile_json_dir(spark, sf))
+    src = S.profile_stream(ss, _profile_json_dir(spark, sf, False))
     return S.run_once(ss, counts.business_count(src), "count_businesses",
                       scratch_path(spark, "stream-business"))[0]
 
 
 @query("stream_drip_count")
 def stream_drip_count(spark, sf):
-    path = _profile_json_dir(spark, sf, files=8)
+    # as many files as the cluster has cores (8 at least), read over about four triggers
+    path = _profile_json_dir(spark, sf, True, files=max(8, default_parallelism(spark)))
     n_files = len(spark.read.text(path).inputFiles())
     ss = _stream_session(spark)
     src = S.profile_stream(ss, path, max_files_per_trigger=max(1, n_files // 4))

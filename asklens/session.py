@@ -105,6 +105,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         # Unset: a local run (tests, bench).  A cluster always names a shared folder.
         configured = tempfile.mkdtemp(prefix="asklens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)

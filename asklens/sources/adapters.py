@@ -5,9 +5,10 @@ Every rule here is expressible in plain SQL as well; ``asklens.plans.oracle``
 restates each one for the DuckDB check.  Arrays built here are bounded by
 construction, never by a cap on the data:
 
-* ``educations`` holds the *distinct* (school, major) pairs of a user, at most
-  5 x 3 = 15 of them; the set is pre-aggregated map-side (``collect_set``), so
-  a user owning a third of all orders still yields one small row.
+* ``educations`` holds one (school, major) element per order of a user, none
+  dropped.  A profile document carries at most ``PAGE_SIZE`` of them: a user with
+  more has several documents (page 0, 1, ...), cut by exact positions in order-key order, so a
+  user owning a third of all orders is spread over many small rows.
 * a follow document is one page of ``PAGE_SIZE`` follows (the follow-list
   API pages by 20): the lines of an order are numbered in list order
   (line, supplier, part) without a per-order window (``rank_within_group``
@@ -47,29 +48,44 @@ def _counter(i: int) -> Column:
     return F.pmod(F.col("c_custkey") * F.lit(i + 3), F.lit(1000 + i)).cast("long")
 
 
+EDUCATIONS = "array<struct<school:string,major:string>>"
+
+
 def _educations(t: Tables) -> DataFrame:
-    """(c_custkey, educations): distinct (school, major) pairs, sorted."""
-    edu = F.struct(
-        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("school"),
-        F.col("o_orderstatus").alias("major"),
-    )
-    return (t.orders.select(F.col("o_custkey").alias("c_custkey"), edu.alias("e"))
-            .groupBy("c_custkey")
-            .agg(F.array_sort(F.collect_set("e")).alias("educations")))
+    """(c_custkey, page, educations): one element per order, at most PAGE_SIZE a page, in order-key order."""
+    from asklens.operators.graph import rank_within_group
 
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey",
+                             F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("school"),
+                             F.col("o_orderstatus").alias("major"))
+    placed = rank_within_group(orders, "c_custkey", "o_orderkey", "_pos")
+    pages = (placed.groupBy("c_custkey", F.floor(F.col("_pos") / PAGE_SIZE).cast("long").alias("page"))
+             .agg(F.array_sort(F.collect_list(F.struct("_pos", "school", "major"))).alias("e")))
+    return pages.select("c_custkey", "page", F.transform("e", lambda x: F.struct(
+        x["school"].alias("school"), x["major"].alias("major"))).alias("educations"))
 
-def profiles(t: Tables) -> DataFrame:
-    """Flattened user profiles in the fixed streaming schema (one row per customer)."""
+
+def profiles(t: Tables, educations: bool = False, locations: bool = True) -> DataFrame:
+    """Flattened user profiles in the fixed streaming schema.
+
+    One row per customer, its educations left null; with ``educations`` one row per customer and
+    page of educations.  ``locations=False`` leaves the location null (no join with nation)."""
     c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = t.nation.select("n_nationkey", "n_name")
     rule = F.col("c_custkey") % 10
-    edus = (F.when(rule == 0, F.array().cast("array<struct<school:string,major:string>>"))
-            .when(rule == 1, F.lit(None))
-            .otherwise(F.col("educations")))
+    if educations:
+        c = c.join(_educations(t), "c_custkey", "left")
+        edus = (F.when(rule == 0, F.array().cast(EDUCATIONS)).when(rule == 1, F.lit(None))
+                .otherwise(F.col("educations")))
+    else:
+        edus = F.lit(None).cast(EDUCATIONS)
+    if locations:
+        n = t.nation.select("n_nationkey", "n_name")
+        c = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        place = F.array(F.col("n_name"))
+    else:
+        place = F.lit(None).cast("array<string>")
     is_org = (F.col("c_custkey") % 13) == 0
-    return (c.join(_educations(t), "c_custkey", "left")
-            .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
+    return (c.select(
                 object_id("c_custkey").alias("_id"),
                 F.md5(F.col("c_custkey").cast("string")).alias("id"),
                 token("c_custkey").alias("urlToken"),
@@ -85,14 +101,19 @@ def profiles(t: Tables) -> DataFrame:
                 F.array().cast("array<string>").alias("badge"),
                 *[_counter(i).alias(name) for i, name in enumerate(PROFILE_COUNTERS)],
                 F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")).alias("business"),
-                F.array(F.col("n_name")).alias("locations"),
+                place.alias("locations"),
                 edus.alias("educations"),
             ))
 
 
-def follow_rows(t: Tables) -> DataFrame:
-    """Flat follow rows: one per line item, the follower being the order's customer."""
+def follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
+    """Flat follow rows: one per line item, the follower being the order's customer.
+
+    ``users`` (tokens) keeps those followers only, by their numeric keys, so the
+    filter reaches the scan of orders."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    if users is not None:
+        o = o.where(F.col("o_custkey").isin([int(u[1:]) for u in users if u[:1] == "u" and u[1:].isdecimal()]))
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -109,20 +130,13 @@ def paged_follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
     ``users`` keeps only those followers' orders; a page depends on its own
     order only, so the pages of the kept orders are the same either way.
     """
-    from pyspark import StorageLevel
-
     from asklens.operators.graph import rank_within_group
 
-    rows = follow_rows(t)
-    if users is not None:
-        rows = rows.where(token("o_custkey").isin(list(users)))
+    rows = follow_rows(t, users)
     # An order of at most PAGE_SIZE lines is one page; only longer orders need
     # positions, so only their lines are ranked (a partial count finds them).
     long_orders = (rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-                   .where(F.col("_n") > PAGE_SIZE).select("l_orderkey")
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-    if long_orders.isEmpty():
-        return rows.withColumn("page", F.lit(0).cast("long"))
+                   .where(F.col("_n") > PAGE_SIZE).select("l_orderkey"))
     short = rows.join(long_orders, "l_orderkey", "left_anti").withColumn("page", F.lit(0).cast("long"))
     ranked = rank_within_group(rows.join(long_orders, "l_orderkey", "left_semi"), "l_orderkey",
                                ["l_linenumber", "l_suppkey", "l_partkey"], "_pos")
@@ -219,9 +233,12 @@ def question_id_texts(t: Tables) -> DataFrame:
     return t.events.select("event_id", text.alias("qtext"))
 
 
-def id_map(t: Tables) -> DataFrame:
-    """User id map (_id, urlToken, UId text): one residue class missing, some tokens repeated."""
-    c = t.customer.select("c_custkey").where(F.col("c_custkey") % 9 != 4)
+def id_map(t: Tables, gaps: bool = False) -> DataFrame:
+    """User id map (_id, urlToken, UId text), some tokens repeated; with ``gaps`` one residue class is
+    missing (users without an id, the feature of ``user_id_lookup``)."""
+    c = t.customer.select("c_custkey")
+    if gaps:
+        c = c.where(F.col("c_custkey") % 9 != 4)
     first = c.select(object_id("c_custkey").alias("_id"), token("c_custkey").alias("urlToken"),
                      F.col("c_custkey").cast("string").alias("UId"))
     dup = (c.where(F.col("c_custkey") % 5 == 0)
@@ -253,7 +270,7 @@ def raw_profile_json(t: Tables) -> DataFrame:
     n = t.nation.select("n_nationkey", "n_name")
     k = F.col("c_custkey")
     edus = F.transform(
-        F.coalesce(F.col("educations"), F.array().cast("array<struct<school:string,major:string>>")),
+        F.coalesce(F.col("educations"), F.array().cast(EDUCATIONS)),
         lambda e: F.struct(
             F.when(e["school"].isNotNull(), F.struct(e["school"].alias("name"))).alias("school"),
             F.struct(e["major"].alias("name")).alias("major")))
