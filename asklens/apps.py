@@ -9,7 +9,7 @@ Inputs are read with their fixed schemas (no inference).  Outputs:
 
 * graph:   vertices (id, node), edges (srcId, dstId, relation), ranks (id, node, rank),
            rank_degrees, recommend (srcId, dstId, relation)
-* ratings: ratings (UId, QId, rate, upserted into an existing table if present),
+* ratings: ratings/version-n (UId, QId, rate; the newest version upserted into a new one),
            predictions, recommendations (UId, QId, Rating); the RMSE is printed
 * stream:  per query a table folder and a one-file JSON snapshot, rewritten each trigger
 """
@@ -18,15 +18,15 @@ from __future__ import annotations
 
 import argparse
 import os
+import zlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from asklens.operators import graph as G
 from asklens.operators import ratings as R
 from asklens.operators import recommend as M
 from asklens.schemas import ACTION_SCHEMA, FOLLOW_DOC_SCHEMA, RATING_SCHEMA
-from asklens.session import ensure_checkpoint_dir
+from asklens.session import apply_scale_conf, ensure_checkpoint_dir, tune_session
 from asklens.sources import io as IO
 from asklens.sources.tables import read_collection
 from asklens.streaming import counts as S
@@ -34,23 +34,53 @@ from asklens.streaming import counts as S
 
 def graph_job(spark: SparkSession, follow_docs: str, out: str, fmt: str = "parquet",
               in_fmt: str = "json", mode: str = "errorifexists", direction: str = "follow",
-              tol: float = 1e-4, recommend_batches: int = 1) -> None:
-    """Follow documents -> vertices, edges, converged PageRank, degrees, recommendations."""
+              tol: float = 1e-4, recommend_batches: int = 1, resume: bool = False) -> None:
+    """Follow documents -> vertices, edges, converged PageRank, degrees, recommendations.
+
+    With ``resume`` a run that was interrupted goes on: tables whose write was finished are
+    read, not made again.  The output folder is bound to its documents and settings; a
+    resumed run on others is refused.  Batches of recommendations are kept in a folder
+    of their own for each graph, so ``overwrite`` never meets another graph's."""
     docs = read_collection(spark, follow_docs, in_fmt, FOLLOW_DOC_SCHEMA)
-    g = G.FollowGraph.from_docs(docs, direction)
-    IO.save(g.vertices, os.path.join(out, "vertices"), fmt, mode)
-    IO.save(g.edges(), os.path.join(out, "edges"), fmt, mode)
-    ranked = G.ranked_vertices(g.vertices, G.pagerank_converged(g.vertices, g.medges, tol=tol))
-    IO.save(ranked, os.path.join(out, "ranks"), fmt, mode)
-    IO.save(G.rank_degrees(ranked, g.medges), os.path.join(out, "rank_degrees"), fmt, mode)
-    if recommend_batches > 1:
-        # bounded shuffle per job; finished batches survive a restart
-        G.recommend_in_batches(ranked, g.medges, os.path.join(out, "recommend_batches"),
-                               recommend_batches, fmt)
-        rec = spark.read.format(fmt).load(os.path.join(out, "recommend_batches"))
-    else:
-        rec = G.follow_recommend(G.two_hop_weights(ranked, g.medges))
-    IO.save(rec.select("srcId", "dstId", "relation"), os.path.join(out, "recommend"), fmt, mode)
+    pairs = G.follow_pairs(docs, direction)
+    settings = {"pairs": IO.fingerprint(pairs), "direction": direction, "tol": tol, "fmt": fmt}
+    if resume:
+        IO.claim(spark, out, settings)
+
+    def table(name: str, make):
+        path = os.path.join(out, name)
+        if not (resume and IO.complete(spark, path)):
+            IO.save(make(), path, fmt, "overwrite" if resume else mode)
+        return spark.read.format(fmt).load(path)
+
+    g = G.FollowGraph(pairs)
+    table("vertices", lambda: g.vertices)
+    table("edges", g.edges)
+    ranked = table("ranks", lambda: G.ranked_vertices(g.vertices, G.pagerank_converged(g.vertices, g.medges, tol=tol)))
+    table("rank_degrees", lambda: G.rank_degrees(ranked, g.medges))
+
+    def recommend():
+        if recommend_batches > 1:
+            # bounded shuffle per job; finished batches survive a restart
+            name = f"recommend_batches-{zlib.crc32(repr((settings, recommend_batches)).encode()):08x}"
+            return G.recommend_in_batches(ranked, g.medges, os.path.join(out, name), recommend_batches, fmt)
+        return G.follow_recommend(G.two_hop_weights(ranked, g.medges))
+
+    table("recommend", lambda: recommend().select("srcId", "dstId", "relation"))
+
+
+def ratings_path(out: str, version: int) -> str:
+    return os.path.join(out, "ratings", f"version-{version:06d}")
+
+
+def last_ratings(spark: SparkSession, out: str, fmt: str = "parquet"):
+    """(number, table) of the newest finished ratings version; (0, None) before the first."""
+    version = 0
+    while IO.complete(spark, ratings_path(out, version + 1)):
+        version += 1
+    if not version:
+        return 0, None
+    return version, spark.read.format(fmt).schema(RATING_SCHEMA).load(ratings_path(out, version))
 
 
 def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str, out: str,
@@ -61,18 +91,11 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
     ids = read_collection(spark, id_map, in_fmt, "_id string, urlToken string, UId string")
     rated = R.action_rating(R.weighted_actions(acts), R.followed_questions(docs))
     new = R.to_ratings(rated, ids)
-    table = os.path.join(out, "ratings")
-    try:
-        old = spark.read.format(fmt).schema(RATING_SCHEMA).load(table)
-    except AnalysisException:  # no table yet
-        old = None
-    if old is None:
-        IO.save(new, table, fmt, "errorifexists")
-    else:
-        staged = os.path.join(out, "ratings_next")
-        IO.save(R.upsert(old, new), staged, fmt, "overwrite")  # never overwrite a table while reading it
-        IO.save(spark.read.format(fmt).load(staged), table, fmt, "overwrite")
-    ratings = spark.read.format(fmt).load(table)
+    # every run writes a new version beside the last one; a version counts once its write is finished
+    version, old = last_ratings(spark, out, fmt)
+    merged = new if old is None else R.upsert(old, new)
+    IO.save(merged, ratings_path(out, version + 1), fmt, "overwrite")
+    _, ratings = last_ratings(spark, out, fmt)
     train, test = M.random_split(ratings, seed=seed)
     model = M.fit_als(train, seed=seed)
     pred = M.predict(model, test)
@@ -80,7 +103,7 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
     rmse = M.rmse_value(pred)
     print(f"Root-mean-square error = {rmse}")
     recs = M.top_items(model, k)
-    M.preview(recs).show(10)
+    M.preview_users(model, k).show(10)
     IO.save(recs, os.path.join(out, "recommendations"), fmt, "overwrite")
     return rmse
 
@@ -105,6 +128,7 @@ def main(argv=None) -> None:
     g.add_argument("--mode", default="errorifexists")
     g.add_argument("--direction", default="follow", choices=["follow", "reversed"])
     g.add_argument("--recommend-batches", type=int, default=1)
+    g.add_argument("--resume", action="store_true")
     r = sub.add_parser("ratings")
     for a in ("--follow-docs", "--actions", "--id-map", "--out"):
         r.add_argument(a, required=True)
@@ -119,9 +143,11 @@ def main(argv=None) -> None:
 
     spark = SparkSession.builder.appName(f"asklens-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    tune_session(spark)
+    apply_scale_conf(spark)
     if args.job == "graph":
         graph_job(spark, args.follow_docs, args.out, args.fmt, args.in_fmt, args.mode, args.direction,
-                  recommend_batches=args.recommend_batches)
+                  recommend_batches=args.recommend_batches, resume=args.resume)
     elif args.job == "ratings":
         ratings_job(spark, args.follow_docs, args.actions, args.id_map, args.out, args.fmt, args.in_fmt,
                     args.seed)

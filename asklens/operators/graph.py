@@ -13,13 +13,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asklens.operators.skew import (DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, fan_out,
                                     hot_keys, partitions_for, salt)
 from asklens.session import checkpoint, persist_partitioned
+from asklens.sources.io import claim, complete, fingerprint
 
 RESET = 0.15  # PageRank reset probability
 
@@ -426,21 +426,22 @@ def recommend_in_batches(ranked: DataFrame, medges: DataFrame, out_path: str, ba
     Every user's candidates are still all of its two-hop paths; only the
     *set of users* handled per job is split (``pmod(xxhash64(srcId), batches)``),
     which bounds the path shuffle of a job to about 1/batches of the total.
-    Each batch is written to ``out_path/batch=i``; a rerun skips batches whose
-    output is complete, so a failed job resumes where it stopped.
+    Each batch is written to ``out_path/batch=i``; a rerun skips batches whose write
+    was finished (``_SUCCESS``), so a failed job resumes where it stopped.  The folder
+    is bound to its graph, ranks and number of batches by a manifest: a run on anything
+    else is refused.
     """
     spark = medges.sparkSession
-    for i in range(batches):
-        part = f"{out_path}/batch={i}"
-        try:
-            spark.read.format(fmt).load(part)
-            continue  # committed by an earlier run
-        except AnalysisException:
-            pass
+    claim(spark, out_path, {"batches": batches, "edges": fingerprint(medges),
+                            "ranks": fingerprint(ranked.select("id", F.format_string("%.9e", "rank").alias("rank")))})
+    parts = [f"{out_path}/batch={i}" for i in range(batches)]
+    for i, part in enumerate(parts):
+        if complete(spark, part):
+            continue
         first = medges.where(F.pmod(F.xxhash64("srcId"), F.lit(batches)) == i)
         th = two_hop_weights(ranked, medges, first_hop=first, **two_hop_kw)
         follow_recommend(th).write.format(fmt).mode("overwrite").save(part)
-    return spark.read.format(fmt).load(out_path).select("srcId", "dstId", "relation")
+    return spark.read.format(fmt).load(parts).select("srcId", "dstId", "relation")
 
 
 # ---------------------------------------------------------------- views

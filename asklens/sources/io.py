@@ -6,13 +6,44 @@ registry writes under the session's checkpoint folder (``scratch_path``).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from asklens.functions.text import ledger_id
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of its own file system.  Any other trouble (access, format) stays an error."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to ``path`` was finished: a half-written folder has no ``_SUCCESS``."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a table's rows, whatever their order: their count and the sum of their hashes."""
+    hashes = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    n, total = df.agg(F.count(F.lit(1)), F.sum(hashes)).first()
+    return f"{n}:{total or 0}"
+
+
+def claim(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Bind an output folder to what it is made from.  A folder that a run with another manifest has claimed is refused."""
+    at = f"{path.rstrip('/')}/_manifest"
+    text = json.dumps(manifest, sort_keys=True)
+    if complete(spark, at):
+        found = spark.read.text(at).first()["value"]
+        if found != text:
+            raise ValueError(f"{path} belongs to another run: {found}, not {text}")
+    else:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(at)
+
+
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", **options) -> None:
     """Collection sink with an explicit save mode; Spark's default refuses to overwrite."""
     df.write.format(fmt).mode(mode).options(**options).save(path)
@@ -30,10 +61,9 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def read_ledger(spark: SparkSession, ledger_path: str, key: str = "_id") -> DataFrame | None:
     """Ids of a ledger folder (lines ``id`` or ``id:::...``), or None when there is none yet."""
-    try:
-        return spark.read.text(ledger_path).select(ledger_id(F.col("value")).alias(key))
-    except AnalysisException:
+    if not path_exists(spark, ledger_path):
         return None
+    return spark.read.text(ledger_path).select(ledger_id(F.col("value")).alias(key))
 
 
 def incremental_export(docs: DataFrame, ledger_path: str, run_path: str, key: str = "_id") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from asklens import apps
 from asklens.session import scratch_path
 from asklens.sources import adapters as A
+from asklens.sources import io as IO
 from asklens.sources.tables import Tables
 
 
@@ -40,14 +41,45 @@ def test_ratings_job_upserts(spark, inputs):
     out = scratch_path(spark, "apps-ratings")
     args = (os.path.join(inputs, "docs"), os.path.join(inputs, "actions"), os.path.join(inputs, "idmap"), out)
     apps.ratings_job(spark, *args)
-    first = spark.read.parquet(os.path.join(out, "ratings")).count()
+    assert apps.last_ratings(spark, out)[0] == 1
+    first = apps.last_ratings(spark, out)[1].count()
+    # a version that was not finished does not count and is written again
+    spark.range(3).write.parquet(apps.ratings_path(out, 2))
+    os.remove(os.path.join(apps.ratings_path(out, 2).removeprefix("file:"), "_SUCCESS"))
     apps.ratings_job(spark, *args)
-    assert spark.read.parquet(os.path.join(out, "ratings")).count() == first
+    version, table = apps.last_ratings(spark, out)
+    assert version == 2 and table.count() == first
     recs = spark.read.parquet(os.path.join(out, "recommendations"))
     assert recs.groupBy("UId").count().agg(F.max("count")).first()[0] <= 10
 
 
+def test_graph_job_resumes(spark, inputs):
+    out = scratch_path(spark, "apps-resume")
+    args = (spark, os.path.join(inputs, "docs"), out)
+    apps.graph_job(*args, recommend_batches=2, resume=True)
+    full = spark.read.parquet(os.path.join(out, "recommend"))
+    want = sorted(map(tuple, full.collect()))
+    # lose a table in mid-write and half of a batch: both are made again
+    local = out.removeprefix("file:")
+    batch = next(os.path.join(local, d) for d in os.listdir(local) if d.startswith("recommend_batches-")) + "/batch=0"
+    for lost in (os.path.join(local, "recommend"), batch):
+        os.remove(os.path.join(lost, "_SUCCESS"))
+    for name in [f for f in os.listdir(batch) if f.startswith("part-")][1:]:
+        os.remove(os.path.join(batch, name))
+    apps.graph_job(*args, recommend_batches=2, resume=True)
+    assert sorted(map(tuple, spark.read.parquet(os.path.join(out, "recommend")).collect())) == want
+    # other documents do not resume this folder
+    other = scratch_path(spark, "apps-other")
+    spark.read.json(os.path.join(inputs, "docs")).limit(20).write.json(other)
+    with pytest.raises(ValueError):
+        apps.graph_job(spark, other, out, resume=True)
+    apps.graph_job(spark, other, out, mode="overwrite", recommend_batches=2)
+    assert spark.read.parquet(os.path.join(out, "recommend")).count() < len(want)
+
+
 def test_cli_graph(spark, inputs):
     out = scratch_path(spark, "apps-cli")
     apps.main(["graph", "--follow-docs", os.path.join(inputs, "docs"), "--out", out, "--recommend-batches", "2"])
     assert spark.read.parquet(os.path.join(out, "recommend")).count() > 0
+    with pytest.raises(ValueError):
+        IO.claim(spark, os.path.join(out, next(d for d in os.listdir(out.removeprefix("file:")) if d.startswith("recommend_batches-"))), {})

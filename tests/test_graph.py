@@ -164,6 +164,15 @@ def test_recommend_in_batches_equals_single_pass(spark, sf_small):
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
     again = G.recommend_in_batches(ranked, g.medges, path, 3)  # all batches committed: nothing recomputed
     assert again.count() == one.count()
+    for other, batches in ((g.medges.limit(10), 3), (g.medges, 4)):  # another graph, another number of batches
+        with pytest.raises(ValueError):
+            G.recommend_in_batches(ranked, other, path, batches)
+
+
+def test_pagerank_round_cap_is_an_error(spark, sf_small):
+    g = G.FollowGraph(A.follow_pairs(Tables(spark, sf_small)))
+    with pytest.raises(RuntimeError):
+        G.pagerank_converged(g.vertices, g.medges, max_rounds=2)
 
 
 def test_rank_within_group_spans_partitions(spark):

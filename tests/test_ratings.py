@@ -101,9 +101,38 @@ def test_als_with_ids_beyond_int(spark):
     rows = [(u, q, float((u + q) % 5 + 1)) for u in (1, 2, big, big + 7) for q in (10, 20, big * 2)]
     r = spark.createDataFrame(rows, "UId long, QId long, rate double")
     rec = M.fit_als(r, seed=3, max_iter=3)
-    assert rec.users is not None and rec.items is not None
     pred = M.predict(rec, r)
     assert pred.count() == len(rows)
     assert {x["UId"] for x in M.top_items(rec, 2).collect()} == {1, 2, big, big + 7}
-    small = M.fit_als(r.where(r.UId < 100).where(r.QId < 100), seed=3, max_iter=3)
-    assert small.users is None and small.items is None
+
+
+def test_later_document_without_questions_hides_nothing(spark):
+    docs = spark.createDataFrame(
+        [("1", "u", [("q1", "t")]), ("2", "u", None), ("3", None, [("q9", "t")])],
+        "_id string, urlToken string, question array<struct<id:string,title:string>>")
+    assert [tuple(r) for r in R.followed_questions(docs).collect()] == [("u", "q1", 5.0)]
+
+
+def test_one_rating_per_pair(spark):
+    rated = spark.createDataFrame([("a", "7", 1.0), ("a", " 7", 2.0), ("b", "7", 3.0), ("c", "1_0", 4.0), ("c", "x", 5.0)],
+                                  "userUrlToken string, questionId string, rate double")
+    ids = spark.createDataFrame([("1", "a", "5"), ("2", "b", "5"), ("3", "c", "6")], "_id string, urlToken string, UId string")
+    assert sorted(map(tuple, R.to_ratings(rated, ids).collect())) == [(5, 7, 3.0), (6, 10, 4.0)]
+
+
+def test_als_same_model_whatever_the_partitions(spark):
+    rows = [(u, q, float((u * q) % 5 + 1)) for u in range(40) for q in range(20) if (u + q) % 3]
+    df = spark.createDataFrame(rows, "UId bigint, QId bigint, rate double")
+    got = []
+    for parts in (2, 7):
+        rec = M.fit_als(df.repartition(parts), seed=1, max_iter=4)
+        got.append({(r["UId"], r["QId"]): r["prediction"] for r in M.predict(rec, df).collect()})
+    assert got[0].keys() == got[1].keys()
+    assert max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-3
+
+
+def test_unseen_large_ids_are_cold_starts(spark):
+    df = spark.createDataFrame([(u, q, 1.0 + u) for u in range(5) for q in range(5)], "UId bigint, QId bigint, rate double")
+    rec = M.fit_als(df, max_iter=2)
+    test = spark.createDataFrame([(3_000_000_000, 1, 1.0), (1, 1, 2.0)], "UId bigint, QId bigint, rate double")
+    assert [r["UId"] for r in M.predict(rec, test).collect()] == [1]
