@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -40,11 +41,11 @@ _SIMPLE = re.compile(f"[{_LETTERS}{_MARKS}]+(?:\n[{_LETTERS}{_MARKS}]+)*")
 _PIECES = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n")
 
 
-def _byte_letters() -> list[str]:
-    """The visible letter that byte-level BPE writes for each byte: itself if printable, else from U+0100 on."""
+def _byte_letters() -> dict[int, str]:
+    """The visible letter that byte-level BPE writes for a byte that is not printable: from U+0100 on, in order."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
+    return {b: chr(next(spare)) for b in range(256) if b not in printable}
 
 
 class NotCacheable(Exception):
@@ -99,10 +100,13 @@ class ChunkEncoder:
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in done]
 
     def _piece(self, piece: str) -> bytes:
-        shown = "".join([self.letters[b] for b in piece.encode()])
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        shown = piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: str, lead: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():  # one pre-token, which this cache will hold
+            return self._piece(chunk.lower() if self.lower else lead + chunk)
         if _SIMPLE.fullmatch(chunk):
             if self.lower:
                 return b"".join([self.pieces[p] for p in _PIECES.findall(chunk.lower()) if p != "\n"])
