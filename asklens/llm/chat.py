@@ -34,7 +34,7 @@ ROLES = ["none", "system", "user", "assistant"]
 NONE, SYSTEM, USER, ASSISTANT = range(4)
 #: roles that may follow each state
 NEXT = {NONE: [SYSTEM, USER], SYSTEM: [USER], USER: [ASSISTANT], ASSISTANT: [USER]}
-RELABEL, INSERT, MERGE = 3, 2, 1
+RELABEL, INSERT, MERGE = 4, 2, 1
 BLOCK = 512
 FAR = 1 << 40
 
