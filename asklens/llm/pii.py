@@ -108,7 +108,7 @@ def _candidate(kind: int, span: Column, text: Column, base: Column, loose: bool)
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
     fits = F.lit(True) if loose else base
     if kind == EMAIL:
-        domain = F.regexp_extract(F.lower(value), "([a-z0-9-]+)$", 1)
+        domain = F.substring_index(F.lower(value), ".", -1)
         check, gazetteer = vote(domain.rlike("^[a-z]{2,}$"), F.lit(True)), vote(domain.isin(TLDS), F.lit(False))
     elif kind == IP:
         check, gazetteer = vote(base, ~base), vote(F.lit(False), value.rlike(RESERVED_NETWORK))
