@@ -115,15 +115,18 @@ def absolute_url(href_col, page_url_col) -> Column:
             .otherwise(F.concat(directory, href)))
 
 
-# Anchor with a double-quoted href and plain text.
-ANCHOR = r'<a\s+href="([^"]*)"[^>]*>([^<]*)</a>'
+# Anchor in any case, its href anywhere among the attributes and quoted either way or not; elements inside.
+ANCHOR = r"""(?is)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)[^>]*>(.*?)</a\s*>"""
 
 
 def anchors(html_col) -> Column:
-    """array<struct<href, text>> of the anchors of a page, in page order."""
+    """array<struct<href, text>> of the anchors of a page, in page order; the text without its elements."""
     h = _c(html_col)
-    return F.arrays_zip(F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(1)).alias("href"),
-                        F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(2)).alias("text"))
+    href = F.transform(F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(1)),
+                       lambda x: F.regexp_replace(x, r"""^["']|["']$""", ""))
+    text = F.transform(F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(2)),
+                       lambda x: F.regexp_replace(x, r"<[^>]*>", ""))
+    return F.arrays_zip(href.alias("href"), text.alias("text"))
 
 
 def encode_record(*pairs: tuple[str, Column]) -> Column:

@@ -86,9 +86,10 @@ def flatten_profile(raw: DataFrame, json: str = "json") -> DataFrame:
 
 def api_follows(pages: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """Follow-list API pages -> (user, id, url, name, gender), one row per complete
-    element; an element lacking any key is skipped on its own (H19)."""
+    element; an element lacking any key is skipped on its own, a page that does not say whether
+    it is the last one (``paging.is_end``) gives nothing (H19)."""
     parsed = pages.select(X.url_token(F.col(url)).alias("user"),
-                          F.from_json(F.col(body), API_PAGE_SCHEMA).alias("p"))
+                          F.from_json(F.col(body), API_PAGE_SCHEMA).alias("p")).where("p.paging.is_end IS NOT NULL")
     rows = parsed.select("user", F.explode("p.data").alias("d"))
     out = rows.select("user", F.col("d.url_token").alias("id"), F.col("d.url").alias("url"),
                       F.col("d.name").alias("name"), F.col("d.gender").alias("gender"))
@@ -97,8 +98,18 @@ def api_follows(pages: DataFrame, url: str = "url", body: str = "body") -> DataF
 
 
 def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(key, pos, href, text, abs_url) of every named anchor of a page."""
+    """(key, pos, href, text, abs_url, id, gender) of every named anchor of a page (H18, H20): id is what
+    follows ``/people/`` in the link (null otherwise); a page does not tell the gender, so it is -1."""
     rows = pages.select(key, url, F.posexplode(X.anchors(F.col(html))).alias("pos", "a"))
     return (rows.where(F.col("a.text") != "")
             .select(key, "pos", F.col("a.href").alias("href"), F.col("a.text").alias("text"),
-                    X.absolute_url(F.col("a.href"), F.col(url)).alias("abs_url")))
+                    X.absolute_url(F.col("a.href"), F.col(url)).alias("abs_url"),
+                    F.nullif(F.regexp_extract(F.col("a.href"), "/people/([^/?#]+)", 1), F.lit("")).alias("id"),
+                    F.lit(-1).alias("gender")))
+
+
+def profile_ledger(raw: DataFrame, token: str = "urlToken", json: str = "json") -> DataFrame:
+    """The profile job's ledger lines (value): the id of a record that could be read, ``id:::ERROR`` of another."""
+    status = quarantine(raw, json)
+    return status.select(F.when(F.col("status") == "ok", F.col(token))
+                         .otherwise(F.concat(F.col(token), F.lit(X.KV_SEP + "ERROR"))).alias("value"))

@@ -7,7 +7,6 @@ rounded to 6 decimals, integer sums cast to BIGINT (DuckDB widens them).
 
 from __future__ import annotations
 
-from asklens.functions.text import ANCHOR, TAG_PATTERN
 from asklens.schemas import PROFILE_COUNTERS
 
 ORACLE: dict[str, str] = {}
@@ -349,8 +348,11 @@ URLS = f"""urls AS (
 PROFILE_RE = "'/people/.*/following$'"
 API_RE = "'/members/.*/followees?'"
 
+# the crawler's tag class in RE2's own terms: word characters, white space and these marks
+_TAG = r"""<(?:[\p{L}\p{N}_]|[\s\x0B\x1C-\x1F\x{85}\p{Z}]|[;:'",./?!@#$%^&*()=+-])+/*>"""
+
 ORACLE["strip_tags"] = f"""
-SELECT page_id, regexp_replace(html, {_lit(TAG_PATTERN)}, '', 'g') AS text FROM pages"""
+SELECT page_id, regexp_replace(html, {_lit(_TAG)}, '', 'g') AS text FROM pages"""
 
 ORACLE["url_route"] = _with(FOLLOWS, URLS) + f"""
 SELECT url, CASE WHEN regexp_matches(url, {PROFILE_RE}) THEN 'profile'
@@ -374,10 +376,11 @@ FROM pages"""
 ORACLE["org_token"] = _with(FOLLOWS) + """
 SELECT l_orderkey, l_linenumber, concat('u', l_suppkey) AS token FROM follows"""
 
-ORACLE["page_link_extract"] = f"""
+ORACLE["page_link_extract"] = """
 WITH a AS (
-  SELECT page_id, url, regexp_extract_all(html, {_lit(ANCHOR)}, 1) AS hrefs,
-         regexp_extract_all(html, {_lit(ANCHOR)}, 2) AS texts
+  SELECT page_id, url, list_transform(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1),
+             lambda h: CASE WHEN page_id % 9 = 4 AND starts_with(h, '/') THEN '/people' || h ELSE h END) AS hrefs,
+         regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS texts
   FROM pages),
 b AS (SELECT page_id, url, hrefs, texts, unnest(generate_series(1, len(hrefs))) AS i FROM a)
 SELECT page_id, (i - 1)::INTEGER AS pos, hrefs[i] AS href, texts[i] AS text,
@@ -390,13 +393,14 @@ SELECT page_id, (i - 1)::INTEGER AS pos, hrefs[i] AS href, texts[i] AS text,
             WHEN starts_with(hrefs[i], '#') THEN concat(regexp_replace(url, '#.*$', ''), hrefs[i])
             WHEN regexp_matches(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]+$')
             THEN concat(regexp_replace(url, '[?#].*$', ''), '/', hrefs[i])
-            ELSE concat(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1), hrefs[i]) END AS abs_url
+            ELSE concat(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1), hrefs[i]) END AS abs_url,
+       nullif(regexp_extract(hrefs[i], '/people/([^/?#]+)', 1), '') AS id, -1 AS gender
 FROM b WHERE texts[i] <> ''"""
 
 ORACLE["api_follow_extract"] = _with(FOLLOWS) + f"""
 SELECT src AS user, dst AS id, concat('{HOST}/people/', dst) AS url, concat('User#', l_suppkey) AS name,
        (l_suppkey % 3 - 1)::INTEGER AS gender
-FROM follows WHERE l_linenumber <> 3"""
+FROM follows WHERE l_linenumber <> 3 AND l_orderkey % 7 <> 3"""
 
 ORACLE["embedded_json_extract"] = _with(EDU) + """
 SELECT concat('u', c_custkey) AS urlToken, md5(CAST(c_custkey AS VARCHAR)) AS id, c_name AS name,
@@ -504,3 +508,12 @@ ORACLE["doc_action_rating"] = _with(ACTIONS, FOLLOWS, """wrows AS (
   UNION ALL
   SELECT src, max(l_orderkey)::VARCHAR, 5.0 FROM follows GROUP BY src)""") + """
 SELECT userUrlToken, questionId, sum(DISTINCT rate)::DOUBLE AS rate FROM wrows GROUP BY userUrlToken, questionId"""
+
+ORACLE["api_paging_params"] = _with(FOLLOWS, URLS) + """
+SELECT url, TRY_CAST(nullif(regexp_extract(url, '[?&]offset=([^&#]*)', 1), '') AS BIGINT) AS "offset",
+       TRY_CAST(nullif(regexp_extract(url, '[?&]limit=([^&#]*)', 1), '') AS BIGINT) AS "limit"
+FROM urls"""
+
+ORACLE["profile_ledger"] = _with(EDU) + """
+SELECT concat('u', c_custkey, CASE WHEN c_custkey % 17 = 3 OR c_custkey % 19 = 5 THEN ':::ERROR' ELSE '' END) AS value
+FROM customer LEFT JOIN (SELECT DISTINCT c_custkey, page FROM edu) USING (c_custkey)"""

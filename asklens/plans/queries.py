@@ -346,6 +346,13 @@ def url_query_params(spark, sf):
         X.query_param("url", "ref").alias("ref"))
 
 
+@query("api_paging_params")
+def api_paging_params(spark, sf):
+    """``offset`` and ``limit`` of every crawled URL as integers; null where there are none."""
+    return A.crawl_urls(Tables(spark, sf)).select(
+        "url", *[X.tolerant_int(X.query_param("url", p)).alias(p) for p in ("offset", "limit")])
+
+
 @query("org_token")
 def org_token(spark, sf):
     rows = A.follow_rows(Tables(spark, sf))
@@ -356,7 +363,7 @@ def org_token(spark, sf):
 
 @query("page_link_extract")
 def page_link_extract(spark, sf):
-    return P.page_links(Tables(spark, sf).pages)
+    return P.page_links(A.link_pages(Tables(spark, sf)))
 
 
 @query("api_follow_extract")
@@ -389,6 +396,11 @@ def profile_quarantine(spark, sf):
     return P.quarantine(A.raw_profile_json(Tables(spark, sf))).select("urlToken", "status")
 
 
+@query("profile_ledger")
+def profile_ledger(spark, sf):
+    return P.profile_ledger(A.raw_profile_json(Tables(spark, sf)))
+
+
 @query("delimited_encode")
 def delimited_encode(spark, sf):
     return _encoded(A.follow_rows(Tables(spark, sf)))

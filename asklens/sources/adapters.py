@@ -333,13 +333,29 @@ def api_follow_pages(t: Tables) -> DataFrame:
     docs = (rows.groupBy("o_custkey", "l_orderkey", "page")
             .agg(F.array_sort(F.collect_list(item)).alias("items")))
     data = F.transform("items", lambda x: x.dropFields("pos", "supp", "part"))
-    body = F.to_json(F.struct(F.struct(F.lit(True).alias("is_end")).alias("paging"), data.alias("data")))
+    # a page of every seventh order does not say whether it is the last one
+    ends = F.when(F.col("l_orderkey") % 7 != 3, F.struct(F.lit(True).alias("is_end")))
+    body = F.to_json(F.struct(ends.alias("paging"), data.alias("data")))
     url = F.concat(F.lit(HOST), F.lit("/api/v4/members/"), token("o_custkey"),
                    F.lit("/followees?include=data&offset="), (F.col("page") * PAGE_SIZE).cast("string"),
                    F.lit("&limit="), F.lit(str(PAGE_SIZE)))
     return docs.select(url.alias("url"), body.alias("body"))
 
 
+def link_pages(t: Tables) -> DataFrame:
+    """(page_id, url, html): the pages, their anchors written in five ordinary ways by residue class of the page.
+
+    The links and their texts stay what they are; every ninth page links to people instead."""
+    k = F.col("page_id")
+    people = F.when(k % 9 == 4, F.regexp_replace("html", '<a href="/', '<a href="/people/')).otherwise(F.col("html"))
+    html = (F.when(k % 5 == 1, F.regexp_replace(people, '<a href="', '<a class="x" data-n=1 href="'))
+            .when(k % 5 == 2, F.regexp_replace(people, '<a href="([^"\']*)"', "<a href='$1' rel=nofollow"))
+            .when(k % 5 == 3, F.regexp_replace(people, '<a href="([^"]*)">([^<]*)</a>', '<A\nHREF = "$1">$2</A >'))
+            .when(k % 5 == 4, F.regexp_replace(people, '<a href="([^"]*)">([^<]*)</a>', '<a href="$1"><b>$2</b></a>'))
+            .otherwise(people))
+    return t.pages.select("page_id", "url", html.alias("html"))
+
+
 def crawl_urls(t: Tables) -> DataFrame:
     """(url): the pages' own URLs, one profile URL per customer and one
     follow-API URL per follow document."""

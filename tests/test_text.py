@@ -101,6 +101,51 @@ def test_page_links(spark):
     assert got == [(0, "https://a.b/p", "P"), (1, "https://c/d", "D")]
 
 
+def test_anchors_in_ordinary_forms(spark):
+    html = ("<a class=x href=/people/a>A</a><a href='/b'>B</a><a href=\"/c\"><b>C</b> c</a><A HREF=\"/d\">D</A>"
+            "<a\n href = \"/e\" >E</a ><abbr href=\"/no\">no</abbr><a data-href=\"/no\">no</a>")
+    pages = spark.createDataFrame([(1, "https://h/", html)], "page_id long, url string, html string")
+    got = [(r["href"], r["text"], r["id"], r["gender"]) for r in P.page_links(pages).collect()]
+    assert got == [("/people/a", "A", "a", -1), ("/b", "B", None, -1), ("/c", "C c", None, -1), ("/d", "D", None, -1), ("/e", "E", None, -1)]
+
+
+def test_script_over_lines_and_other_attributes(spark):
+    body = ('<script>x</script><script type="text/json" id=\'js-initialData\'>\n'
+            '{"initialState":{"entities":{"users":{"t":' + _user() + '}}}}\n</script>')
+    pages = spark.createDataFrame([("https://h/people/t/following", body)], "url string, body string")
+    assert json.loads(P.embedded_user_json(pages).first()["json"])["id"] == "i"
+
+
+def test_pages_without_end_flag_give_nothing(spark):
+    item = {"url_token": "a", "url": "x", "name": "A", "gender": 1}
+    url = "https://h/api/v4/members/u/followees?offset=0&limit=20"
+    pages = spark.createDataFrame([(url, json.dumps({"data": [item]})), (url, json.dumps({"paging": {}, "data": [item]})),
+                                   (url, json.dumps({"paging": {"is_end": False}, "data": [item]}))], "url string, body string")
+    assert P.api_follows(pages).count() == 1
+
+
+def test_null_headline_is_the_text_none(spark):
+    record = json.dumps({**json.loads(_user()), "headline": None})
+    raw = spark.createDataFrame([("t", record)], "urlToken string, json string")
+    assert [r["headline"] for r in P.flatten_profile(raw).collect()] == ["None"]
+    assert [r["value"] for r in P.profile_ledger(raw.unionByName(raw.selectExpr("'q' urlToken", "'{}' json"))).collect()] == ["t", "q:::ERROR"]
+
+
+def test_integers_as_python_reads_them(spark):
+    texts = ["1_000", "٣", "1__0", "_1", "99999999999999999999", " -7 ", "1.0", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(X.tolerant_int("t"), X.too_large_int("t")).collect()]
+    want = []
+    for t in texts:
+        try:
+            n = int(t)
+        except ValueError:
+            n = None
+        fits = n is not None and abs(n) < 2**63
+        want.append((n if fits else None, n is not None and not fits))
+    assert got == want
+
+
 def test_quarantine_unreadable_values(spark):
     good = json.loads(_user())
     no_desc = dict(good, description=None)
