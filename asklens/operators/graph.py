@@ -16,8 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asklens.operators.skew import (DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, fan_out,
-                                    hot_keys, partitions_for, salt)
+from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
 from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
@@ -369,19 +368,19 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 
 # ---------------------------------------------------------------- two hops
 
-def two_hop_weights(ranked: DataFrame, medges: DataFrame, salts: int = 8,
-                    min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
+def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
                     first_hop: DataFrame | None = None) -> DataFrame:
     """(id, sn_id, sn_rank, count, weight) for every path id -> b -> sn_id.
 
     ``count`` is the number of such paths with parallel follows multiplied
     (sum of m1 * m2 over middle vertices b), ``weight = sn_rank * count``.
     The rank of the far end is attached to the edge table first (a join over
-    edges, not over paths).  Middle vertices whose path count (in x out) is
-    more than a task's share are split over a ``salts x salts`` grid: the
-    in-edges are bucketed by a hash of their source and replicated over the
-    out-edge buckets and vice versa, so a hub's paths spread over salts**2
-    tasks.  Others join unsalted.  ``first_hop`` restricts the first edge
+    edges, not over paths).  A middle vertex whose path count (in x out) is
+    more than a task's share is split over a grid of its own size: its in-edges
+    go to one bucket per ``sqrt(min_rows)`` of them, by a hash of their source, and are
+    replicated over the buckets of its out-edges, cut the same way, and vice versa.
+    So a cell holds about ``min_rows`` paths, however large the hub.  All others
+    are grids of one cell, in the same join.  ``first_hop`` restricts the first edge
     (a subset of ``medges``, e.g. one batch of sources).
     """
     e1 = (medges if first_hop is None else first_hop).select(
@@ -391,34 +390,53 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, salts: int = 8,
     deg_in = medges.groupBy(F.col("dstId").alias("b")).agg(F.count(F.lit(1)).alias("_i"))
     deg_out = medges.groupBy(F.col("srcId").alias("b")).agg(F.count(F.lit(1)).alias("_o"))
     work = deg_in.join(deg_out, "b")
-    hot, n_hot = hot_keys(work, "b", weight=F.col("_i").cast("double") * F.col("_o"),
-                          min_rows=min_rows, max_keys=max_keys)
-    if n_hot:
-        flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        h1 = F.coalesce(F.col("_hot"), F.lit(False))
-        e1 = (e1.join(flag, "b", "left")
-              .select("a", "b", "m1", F.when(h1, salt("a", salts)).otherwise(F.lit(0)).alias("s1"),
-                      fan_out(h1, salts).alias("s2")))
-        e2 = (e2.join(flag, "b", "left")
-              .select("b", "c", "m2", "rank_c", F.when(h1, salt("c", salts)).otherwise(F.lit(0)).alias("s2"),
-                      fan_out(h1, salts).alias("s1")))
-        paths = e1.join(e2, ["b", "s1", "s2"])
-    else:
-        paths = e1.join(e2, "b")
+    work = work.persist(StorageLevel.MEMORY_AND_DISK)
+    hot, _ = hot_keys(work, "b", weight=F.col("_i").cast("double") * F.col("_o"),
+                      min_rows=min_rows, max_keys=max_keys)
+    side = max(1.0, float(min_rows) ** 0.5)
+    grids = checkpoint(work.join(F.broadcast(hot), "b").select(  # at most max_keys rows
+        "b", F.ceil(F.col("_i") / F.lit(side)).cast("int").alias("n1"),
+        F.ceil(F.col("_o") / F.lit(side)).cast("int").alias("n2")))
+    work.unpersist()
+    n1, n2 = F.coalesce(F.col("n1"), F.lit(1)), F.coalesce(F.col("n2"), F.lit(1))
+
+    def bucket(col: str, n):
+        return F.pmod(F.xxhash64(col), n.cast("bigint")).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    e1 = e1.join(F.broadcast(grids), "b", "left").select("a", "b", "m1", bucket("a", n1).alias("s1"), every(n2).alias("s2"))
+    e2 = e2.join(F.broadcast(grids), "b", "left").select("b", "c", "m2", "rank_c", every(n1).alias("s1"), bucket("c", n2).alias("s2"))
+    paths = e1.join(e2, ["b", "s1", "s2"])
     counted = (paths.groupBy(F.col("a").alias("id"), F.col("c").alias("sn_id"), F.col("rank_c").alias("sn_rank"))
                .agg(F.sum(F.col("m1") * F.col("m2")).alias("count")))
     return counted.withColumn("weight", F.col("sn_rank") * F.col("count"))
 
 
-def follow_recommend(two_hop: DataFrame, decimals: int = 9) -> DataFrame:
+def steady(weight):
+    """A weight cut to 40 of its 53 bits (12 digits, at any size), so that the order of a sum cannot
+    swap a winner: adding and taking away a multiple rounds off the low bits."""
+    far = weight * F.lit(8193.0)
+    return far - (far - weight)
+
+
+def follow_recommend(two_hop: DataFrame) -> DataFrame:
     """One recommendation per user: the two-hop vertex with the largest weight
-    (rounded to ``decimals`` so float summation order cannot swap a winner),
-    ties to the smallest id (the arg-max the reference intends, SURVEY T1)."""
-    key = F.struct(F.round("weight", decimals), -F.col("sn_id"))
+    (compared by ``steady``), ties to the smallest id (the arg-max the reference intends, SURVEY T1)."""
+    key = F.struct(steady(F.col("weight")), -F.col("sn_id"))
     return (two_hop.groupBy("id").agg(F.max_by("sn_id", key).alias("dstId"))
             .select(F.col("id").alias("srcId"), "dstId", F.lit("recommend").alias("relation")))
 
 
+def two_hop_summary(two_hop: DataFrame) -> DataFrame:
+    """Per user, over all its two-hop candidates: how many, their paths and weights in all, and the best one."""
+    key = F.struct(steady(F.col("weight")), -F.col("sn_id"))
+    return two_hop.groupBy("id").agg(
+        F.count(F.lit(1)).alias("candidates"), F.sum("count").alias("paths"), F.sum("weight").alias("weight"),
+        F.max_by("sn_id", key).alias("best"))
+
+
 def recommend_in_batches(ranked: DataFrame, medges: DataFrame, out_path: str, batches: int,
                          fmt: str = "parquet", **two_hop_kw) -> DataFrame:
     """``follow_recommend`` computed for one hash-batch of users at a time.

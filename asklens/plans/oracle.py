@@ -77,7 +77,7 @@ TWO_HOP = """two_hop AS MATERIALIZED (
 
 RECOMMEND = """rec AS MATERIALIZED (
   SELECT id AS srcId, sn_id AS dstId, 'recommend' AS relation FROM (
-    SELECT id, sn_id, row_number() OVER (PARTITION BY id ORDER BY round(weight, 9) DESC, sn_id) AS rn
+    SELECT id, sn_id, row_number() OVER (PARTITION BY id ORDER BY 8193.0::DOUBLE * weight - (8193.0::DOUBLE * weight - weight) DESC, sn_id) AS rn
     FROM two_hop) WHERE rn = 1)"""
 
 CORE = """core AS MATERIALIZED (
@@ -144,6 +144,11 @@ JOIN (SELECT srcId AS id, sum(m)::BIGINT AS out_degree FROM medges GROUP BY srcI
 ORACLE["two_hop_weights"] = _with(*GRAPH, *RANKS, TWO_HOP) + """
 SELECT id, sn_id, round(sn_rank, 6) AS sn_rank, count, round(weight, 6) AS weight FROM two_hop"""
 
+ORACLE["two_hop_summary"] = _with(*GRAPH, *RANKS, TWO_HOP, RECOMMEND) + """
+SELECT t.*, rec.dstId AS best FROM (
+  SELECT id, count(*)::BIGINT AS candidates, sum(count)::BIGINT AS paths, round(sum(weight), 4) AS weight
+  FROM two_hop GROUP BY id) t JOIN rec ON rec.srcId = t.id"""
+
 ORACLE["follow_recommend"] = _with(*GRAPH, *RANKS, TWO_HOP, RECOMMEND) + """
 SELECT srcId, dstId, relation FROM rec"""
 

@@ -135,6 +135,13 @@ def two_hop_weights(spark, sf):
     return rounded(G.two_hop_weights(_ranked_fixed(g), g.medges))
 
 
+@query("two_hop_summary")
+def two_hop_summary(spark, sf):
+    """An exact summary of every user's candidates; the candidates themselves are near all pairs of users."""
+    g = _graph(spark, sf)
+    return rounded(G.two_hop_summary(G.two_hop_weights(_ranked_fixed(g), g.medges)), 4)
+
+
 @query("follow_recommend")
 def follow_recommend(spark, sf):
     g = _graph(spark, sf)

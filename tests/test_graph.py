@@ -218,3 +218,20 @@ def test_chain_by_hand(spark):
         got = _by_node(g, ranks, "rank")
         for k, v in want.items():
             assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+def test_hub_is_split_at_its_own_size(spark):
+    """A middle vertex with 300 x 200 paths, cells of 400: the same paths as unsplit."""
+    edges = spark.createDataFrame([(i, 0, 1) for i in range(1, 301)] + [(0, 1000 + i, 2) for i in range(200)],
+                                  "srcId bigint, dstId bigint, m bigint")
+    ranked = spark.range(0, 1300).selectExpr("id", "cast(id as string) node", "id * 1.0D rank")
+    split = G.two_hop_weights(ranked, edges, min_rows=400)
+    assert split.count() == 60_000 and split.exceptAll(G.two_hop_weights(ranked, edges)).count() == 0
+    summary = {r["id"]: r for r in G.two_hop_summary(split).collect()}
+    assert summary[5]["candidates"] == 200 and summary[5]["paths"] == 400 and summary[5]["best"] == 1199
+
+
+def test_large_weights_tie(spark):
+    th = spark.createDataFrame([(1, 20, 123456789.0), (1, 30, 123456789.00000001), (2, 20, 1e-7), (2, 30, 2e-7)],
+                               "id bigint, sn_id bigint, weight double")
+    assert {r["srcId"]: r["dstId"] for r in G.follow_recommend(th).collect()} == {1: 20, 2: 30}

@@ -88,7 +88,7 @@ def test_two_hop_and_recommend_against_brute_force(spark, case):
     g, names = _graph(spark, edges)
     ranks = {r["id"]: r["rank"] for r in G.pagerank_fixed(g.vertices, g.medges).collect()}
     ranked = G.ranked_vertices(g.vertices, G.pagerank_fixed(g.vertices, g.medges))
-    th = G.two_hop_weights(ranked, g.medges, salts=3, **_kw(hot))
+    th = G.two_hop_weights(ranked, g.medges, **_kw(hot))
     got = {(names[r["id"]], names[r["sn_id"]]): r["count"] for r in th.collect()}
     want = Counter()
     for a, b in edges:
