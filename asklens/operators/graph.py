@@ -10,7 +10,7 @@ them (out-degree, message weight, two-hop path count).
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
@@ -21,6 +21,7 @@ from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
 RESET = 0.15  # PageRank reset probability
+EDGE_CHUNK = 10_000  # copies of one edge spelled out at a time
 
 
 # ---------------------------------------------------------------- build
@@ -111,36 +112,51 @@ def merge(edges: DataFrame) -> DataFrame:
 
 
 class FollowGraph:
-    """A follow graph built once: vertices and merged edges.
-
-    Parallel follows are merged on the tokens first (a partial count), so the
-    numbering and the id joins run over distinct pairs only.  What is
-    materialised with a reliable checkpoint: the range-numbered tokens (inside
-    ``dense_index``; a recomputation could re-sample the ranges) and the
-    resolved pairs every algorithm reads.  Vertices are a broadcast join away
-    from the numbered tokens and are not stored a second time.
+    """A follow graph; each part is built when first asked for.
+
+    Vertices need the distinct tokens only, degrees a count per token and one join with
+    the vertices.  For everything else parallel follows are merged on the tokens first (a
+    partial count), so the id joins run over distinct pairs, and the resolved pairs are
+    materialised once with a reliable checkpoint, as are the range-numbered tokens (inside
+    ``dense_index``; a recomputation could re-sample the ranges).
     """
 
     def __init__(self, pairs: DataFrame):
         self.pairs = pairs
-        token_edges = (pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-                       .persist(StorageLevel.MEMORY_AND_DISK))
-        self.vertices = vertex_ids(token_edges)
-        v_src = self.vertices.select(F.col("node").alias("src"), F.col("id").alias("srcId"))
-        v_dst = self.vertices.select(F.col("node").alias("dst"), F.col("id").alias("dstId"))
-        self.resolved = checkpoint(token_edges.join(v_src, "src").join(v_dst, "dst")
-                                   .select("src", "dst", "srcId", "dstId", "m"))
-        token_edges.unpersist()
-        self.medges = self.resolved.select("srcId", "dstId", "m")
 
     @classmethod
     def from_docs(cls, docs: DataFrame, direction: str = "follow") -> "FollowGraph":
         return cls(follow_pairs(docs, direction))
 
+    @cached_property
+    def vertices(self) -> DataFrame:
+        return vertex_ids(self.pairs)
+
+    @cached_property
+    def medges(self) -> DataFrame:
+        """(srcId, dstId, m)."""
+        return checkpoint(merged_edges(self.pairs, self.vertices))
+
     def edges(self, relation: str = "following") -> DataFrame:
-        """(srcId, dstId, relation), one row per follow: one join on the token pair."""
-        ids = self.resolved.select("src", "dst", "srcId", "dstId")
-        return self.pairs.join(ids, ["src", "dst"]).select("srcId", "dstId", F.lit(relation).alias("relation"))
+        """(srcId, dstId, relation), one row per follow: every merged edge as often as it occurs, no join.
+
+        A multiplicity is spelled out in chunks of ``EDGE_CHUNK`` so one pair followed
+        a billion times is never one array."""
+        chunks = self.medges.select("srcId", "dstId", "m", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.expr(f"(m - 1) div {EDGE_CHUNK}"))).alias("c"))
+        copies = F.least(F.col("m") - F.col("c") * EDGE_CHUNK, F.lit(EDGE_CHUNK).cast("long"))
+        return (chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+                .select("srcId", "dstId", F.lit(relation).alias("relation")))
+
+    def _degree(self, end: str, name: str) -> DataFrame:
+        counts = self.pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias(name))
+        return counts.join(self.vertices, "node").select("id", name)
+
+    def in_degrees(self) -> DataFrame:
+        return self._degree("dst", "in_degree")
+
+    def out_degrees(self) -> DataFrame:
+        return self._degree("src", "out_degree")
 
 
 # ---------------------------------------------------------------- degrees
@@ -482,11 +498,11 @@ def neighbour_size(rank):
 def core_subgraph_nodes(ranked: DataFrame, edges: DataFrame, n: int = 20) -> DataFrame:
     """Core = top-n by rank; neighbours = other ends of edges touching the core,
     in either direction, minus the core.  -> (id, node, size, kind)."""
-    core = top_ranked(ranked, n)
-    core_ids = F.broadcast(core.select("id"))  # at most n rows
-    by_src = edges.join(core_ids, edges["srcId"] == core_ids["id"], "left_semi")
-    by_dst = edges.join(core_ids, edges["dstId"] == core_ids["id"], "left_semi")
-    touching = by_src.unionByName(by_dst)
+    core = checkpoint(top_ranked(ranked, n))  # n rows, used four times
+    core_ids = F.broadcast(core.select("id"))
+    src, dst = core_ids.withColumnRenamed("id", "_s"), core_ids.withColumnRenamed("id", "_d")
+    touching = (edges.join(src, edges["srcId"] == src["_s"], "left").join(dst, edges["dstId"] == dst["_d"], "left")
+                .where("_s IS NOT NULL OR _d IS NOT NULL"))  # one pass over the edges
     ends = (touching.select(F.explode(F.array("srcId", "dstId")).alias("id")).distinct()
             .join(core_ids, "id", "left_anti"))
     neighbours = ranked.join(ends, "id", "left_semi")
@@ -505,7 +521,7 @@ def induced_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def core_subgraph(ranked: DataFrame, edges: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
-    nodes = core_subgraph_nodes(ranked, edges, n)
+    nodes = checkpoint(core_subgraph_nodes(ranked, edges, n))
     return nodes, induced_edges(edges, nodes)
 
 

@@ -1,10 +1,10 @@
-"""Hot-key detection and deterministic salting.
+"""Hot-key detection.
 
 A key is *hot* when its rows (or work) exceed a task's fair share.  The
 threshold is ``max(min_rows, total / max_keys)``, so by pigeonhole at most
 ``max_keys`` keys can qualify: the hot-key table has a proven size bound and
-may be broadcast.  Salts are hashes of row content (``xxhash64``), never
-``rand()``, so a recomputed task after an executor loss routes every row to
+may be broadcast.  Whoever splits such a key buckets its rows by a hash of their content
+(``xxhash64``), never ``rand()``, so a recomputed task after an executor loss routes every row to
 the same bucket as the first attempt.
 """
 
@@ -51,13 +51,3 @@ def hot_keys(df: DataFrame, key: str, weight: Column | None = None,
         return out + (total,) if with_total else out
     finally:
         per_key.unpersist()
-
-
-def salt(col: str | Column, buckets: int) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-
-
-def fan_out(flag: Column, buckets: int) -> Column:
-    """Replica ids: 0..buckets-1 for flagged (hot) rows, just 0 otherwise."""
-    return F.explode(F.when(flag, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))

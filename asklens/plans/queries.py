@@ -87,12 +87,12 @@ def follow_edges(spark, sf):
 
 @query("in_degree")
 def in_degree(spark, sf):
-    return G.in_degree(_graph(spark, sf).medges)
+    return _graph(spark, sf).in_degrees()
 
 
 @query("out_degree")
 def out_degree(spark, sf):
-    return G.out_degree(_graph(spark, sf).medges)
+    return _graph(spark, sf).out_degrees()
 
 
 @query("collect_neighbors")
@@ -163,7 +163,7 @@ def top_ranked_users(spark, sf):
 @query("core_subgraph_nodes")
 def core_subgraph_nodes(spark, sf):
     g = _graph(spark, sf)
-    return G.core_subgraph_nodes(_ranked_fixed(g), g.edges(), 20)
+    return G.core_subgraph_nodes(_ranked_fixed(g), g.medges, 20)  # parallel follows make no difference to the nodes
 
 
 @query("core_subgraph_edges")

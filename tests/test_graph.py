@@ -79,7 +79,7 @@ def test_two_hop_and_recommendation(fixture_graph, hot):
     g = fixture_graph
     names = {r["id"]: r["node"] for r in g.vertices.collect()}
     ranked = _ranked(g, G.pagerank_converged(g.vertices, g.medges))
-    kw = {"min_rows": 0, "max_keys": 2, "salts": 3} if hot else {}
+    kw = {"min_rows": 0, "max_keys": 2} if hot else {}
     th = G.two_hop_weights(ranked, g.medges, **kw)
     counts = {(names[r["id"]], names[r["sn_id"]]): r["count"] for r in th.collect()}
     assert counts == {("1", "3"): 2, ("1", "1"): 1, ("1", "5"): 1, ("2", "1"): 1, ("2", "5"): 1,
@@ -235,3 +235,16 @@ def test_large_weights_tie(spark):
     th = spark.createDataFrame([(1, 20, 123456789.0), (1, 30, 123456789.00000001), (2, 20, 1e-7), (2, 30, 2e-7)],
                                "id bigint, sn_id bigint, weight double")
     assert {r["srcId"]: r["dstId"] for r in G.follow_recommend(th).collect()} == {1: 20, 2: 30}
+
+
+def test_parallel_follows_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(G, "EDGE_CHUNK", 3)
+    g = G.FollowGraph(spark.createDataFrame([("a", "b")] * 8 + [("b", "a")] * 3 + [("c", "a")], "src string, dst string"))
+    names = {r["id"]: r["node"] for r in g.vertices.collect()}
+    got = {}
+    for r in g.edges().collect():
+        k = names[r["srcId"]] + names[r["dstId"]]
+        got[k] = got.get(k, 0) + 1
+    assert got == {"ab": 8, "ba": 3, "ca": 1}
+    assert {names[r["id"]]: r["in_degree"] for r in g.in_degrees().collect()} == {"a": 4, "b": 8}
+    assert {names[r["id"]]: r["out_degree"] for r in g.out_degrees().collect()} == {"a": 8, "b": 3, "c": 1}

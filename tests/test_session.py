@@ -26,3 +26,17 @@ def test_scratch_paths_live_under_the_checkpoint_folder(spark):
     base = ensure_checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(base) and b.startswith(base) and a != b
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from asklens.session import ensure_checkpoint_dir
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        spark = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(spark)
