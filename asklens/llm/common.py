@@ -126,10 +126,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` written once with a unique row number; the number's column name.
+    """``docs`` with a column that tells rows apart, also where ids are null or repeated, and its name.
 
-    Row numbers identify rows where ids are null or repeated."""
+    The rows of a table that is read straight from Parquet files have one already: their file and place in it, the same
+    in every read.  Any other frame is written once, with numbers."""
     row = fresh_name(docs, "row_no")
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and "parquet" in plan.toString().lower():
+        place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+        return docs.withColumn(row, place), row
     return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 

@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [b.column("row_no"), b.column("doc_id"), pa.array(fps, pa.int64())], ["row_no", "doc_id", "fp"])
 
     slim = docs.select(row.alias("row_no"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(slim, run, "row_no bigint, doc_id bigint, fp bigint")
+    return map_batches(slim, run, f"row_no {slim.schema['row_no'].dataType.simpleString()}, doc_id bigint, fp bigint")
 
 
 # ---- the trie join -----------------------------------------------------------------
