@@ -32,8 +32,15 @@ BASE = [
     ("cc by nc", "cc-by-nc", "cc"),
 ]
 
-# Hand-written names: label, keyword, regex over words.  The keyword is a word that every match holds;
-# the more exact name of a family stands before the looser one.
+
+def _short(label: str, name: str, major: int, minor: str, lead: str = "") -> list[tuple[str, str, str]]:
+    """A short name with its version in all spellings, a rule for each word that the name becomes: "gpl 3", "gplv 3", "gplv3", "gpl3"."""
+    return [(label, name, f"{lead}{name} (?:version ?|v ?)?{major}{minor}"), (label, f"{name}v", f"{lead}{name}v {major}{minor}"),
+            *[(label, word, f"{lead}{word}{minor}") for word in (f"{name}v{major}", f"{name}{major}")]]
+
+
+# Hand-written names: label, keyword, regex over words.  The keyword is a word that every match holds, so a name
+# with spellings that share no word stands once for each; the more exact name of a family stands before the looser one.
 NAMES = [
     ("mit", "license", r"(?:the )?(?:mit|expat) license"),
     ("mit-0", "attribution", r"mit no attribution(?: license)?"),
@@ -44,24 +51,20 @@ NAMES = [
     ("apache", "apache", r"apache(?: software)? license"),
     ("agpl-3", "affero", r"gnu affero general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public license"),
-    ("agpl-3", "agpl", r"(?:gnu )?agpl ?v? ?3(?: 0)?"),
-    ("agpl-3", "agplv3", r"(?:gnu )?agplv3"),
+    *_short("agpl-3", "agpl", 3, "(?: 0)?", "(?:gnu )?"),
     ("lgpl-3", "lesser", r"gnu lesser general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"),
     ("lgpl-2.1", "lesser", r"gnu lesser general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2 1"),
     ("lgpl-2", "library", r"gnu library general public license(?: version| v)? ?2(?: 0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public license"),
-    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl ?v? ?3(?: 0)?"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?v? ?2 1"),
+    *_short("lgpl-3", "lgpl", 3, "(?: 0)?", "(?:gnu )?"),
+    *_short("lgpl-2.1", "lgpl", 2, " 1", "(?:gnu )?"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl(?: license)?"),
-    ("lgpl-3", "lgplv3", r"(?:gnu )?lgplv3"),
     ("gpl-3", "gnu", r"gnu general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"),
     ("gpl-2", "gnu", r"gnu general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2(?: 0)?"),
     ("gpl-1", "gnu", r"gnu general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?1(?: 0)?"),
     ("gpl", "gnu", r"gnu general public license"),
-    ("gpl-3", "gplv3", r"(?:gnu )?gplv3"),
-    ("gpl-2", "gplv2", r"(?:gnu )?gplv2"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?"),
+    *_short("gpl-3", "gpl", 3, "(?: 0)?", "(?:gnu )?"),
+    *_short("gpl-2", "gpl", 2, "(?: 0)?", "(?:gnu )?"),
     ("gfdl-1.3", "documentation", r"gnu free documentation license(?: version| v)? ?1 3"),
     ("gfdl-1.2", "documentation", r"gnu free documentation license(?: version| v)? ?1 2"),
     ("gfdl", "documentation", r"gnu free documentation license"),
@@ -74,11 +77,11 @@ NAMES = [
     ("mpl-2", "mozilla", r"mozilla public license(?: version| v)? ?2(?: 0)?"),
     ("mpl-1.1", "mozilla", r"mozilla public license(?: version| v)? ?1 1"),
     ("mpl", "mozilla", r"mozilla public license"),
-    ("mpl-2", "mpl", r"mpl ?v? ?2(?: 0)?"),
+    *_short("mpl-2", "mpl", 2, "(?: 0)?"),
     ("epl-2", "eclipse", r"eclipse public license(?: version| v)? ?2(?: 0)?"),
     ("epl-1", "eclipse", r"eclipse public license(?: version| v)? ?1(?: 0)?"),
     ("epl", "eclipse", r"eclipse public license"),
-    ("cddl-1.1", "cddl", r"cddl ?v? ?1 1"),
+    *_short("cddl-1.1", "cddl", 1, " 1"),
     ("cddl-1", "distribution", r"common development and distribution license(?: version| v)? ?1(?: 0)?"),
     ("cddl", "distribution", r"common development and distribution license"),
     ("cpl-1", "common", r"common public license(?: version| v)? ?1(?: 0)?"),
@@ -92,7 +95,8 @@ NAMES = [
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl"),
     ("postgresql", "postgresql", r"postgresql license"),
-    ("python", "python", r"python software foundation license|psf license"),
+    ("python", "python", r"python software foundation license"),
+    ("python", "psf", r"psf license"),
     ("php-3.01", "php", r"php license(?: version| v)? 3 01"),
     ("php", "php", r"php license"),
     ("ruby", "ruby", r"ruby license"),
@@ -106,12 +110,14 @@ NAMES = [
     ("ms-pl", "microsoft", r"microsoft public license"),
     ("ms-rl", "microsoft", r"microsoft reciprocal license"),
     ("afl-3", "academic", r"academic free license(?: version| v)? ?3(?: 0)?"),
-    ("osl-3", "osl", r"open software license(?: version| v)? ?3(?: 0)?|osl ?v? ?3(?: 0)?"),
+    ("osl-3", "open", r"open software license(?: version| v)? ?3(?: 0)?"),
+    *_short("osl-3", "osl", 3, "(?: 0)?"),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)? license"),
     ("sspl-1", "server", r"server side public license(?: version| v)?(?: 1)?"),
     ("busl-1.1", "business", r"business source license(?: version| v)?(?: 1 1)?"),
     ("elastic-2", "elastic", r"elastic license(?: version| v)?(?: 2(?: 0)?)?"),
-    ("upl-1", "upl", r"universal permissive license|upl ?v? ?1(?: 0)?"),
+    ("upl-1", "permissive", r"universal permissive license"),
+    *_short("upl-1", "upl", 1, "(?: 0)?"),
     ("cc0-1", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1-4] [05])?"),
     ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1-4] [05])?"),
@@ -149,7 +155,7 @@ WORDINGS = [
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
     ("boost-1", "granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
     ("zlib", "altered", r"altered source versions must be plainly marked as such"),
-    ("mpl-2", "mpl", r"this source code form is subject to the terms of the mozilla public license"),
+    ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public license"),
     ("public-domain", "domain", r"(?:released|placed|dedicated)(?: in| into| to)(?: the)? public domain"),
     ("proprietary", "reserved", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary and confidential"),

@@ -1,5 +1,8 @@
 import random
 import re
+from itertools import product
+from re import _constants as ops
+from re import _parser as parser
 
 from asklens.llm import licenses
 
@@ -72,3 +75,45 @@ def test_many_rules_and_keywords():
 def test_exact_name_wins(spark):
     df = spark.createDataFrame([(1, "Licensed under the GNU General Public License, version 3.")], "doc_id bigint, text string")
     assert report(df)[0][1][5:] == ("gpl-3", 0.95)
+
+
+def matches(tree):
+    """Every text that a parsed regex of names, options and choices matches."""
+    parts = []
+    for op, arg in tree:
+        if op is ops.LITERAL:
+            parts.append([chr(arg)])
+        elif op is ops.IN:
+            parts.append([chr(c) for kind, a in arg for c in ([a] if kind is ops.LITERAL else range(a[0], a[1] + 1))])
+        elif op is ops.SUBPATTERN:
+            parts.append(matches(arg[-1]))
+        elif op is ops.BRANCH:
+            parts.append([x for branch in arg[1] for x in matches(branch)])
+        else:
+            assert op is ops.MAX_REPEAT and arg[:2] == (0, 1)
+            parts.append(["", *matches(arg[2])])
+    return ["".join(x) for x in product(*parts)]
+
+
+def test_every_match_holds_its_keyword():
+    for label, keyword, regex in licenses.NAMES + licenses.WORDINGS + [(la, k, p) for p, la, k in licenses.BASE]:
+        assert all(keyword in m.split() for m in matches(parser.parse(regex))), (label, keyword, regex)
+
+
+class Everywhere:
+    def __eq__(self, word):
+        return True
+
+
+def test_prefilter_loses_nothing(spark, docs, monkeypatch):
+    """Against every regex on every text, whatever its keyword."""
+    monkeypatch.setattr(f"{__name__}.RULES", [(label, Everywhere(), *rest) for label, _, *rest in RULES])
+    names = {"LGPLv2.1": "lgpl-2.1", "LGPL3": "lgpl-3", "AGPL3": "agpl-3", "GPL3": "gpl-3", "GNU GPL2": "gpl-2", "MPLv2.0": "mpl-2",
+             "MPLv 2": "mpl-2", "CDDLv1.1": "cddl-1.1", "the PSF license": "python", "OSLv3.0": "osl-3", "UPL1.0": "upl-1",
+             "Open Software License version 3.0": "osl-3", "Universal Permissive License": "upl-1", "GPLv3": "gpl-3", "lgpl v 3": "lgpl-3",
+             "This Source Code Form is subject to the terms of the Mozilla Public License": "mpl-2"}
+    df = spark.createDataFrame(list(enumerate([*names, *[f"Released under {x}, see below" for x in names]])), "doc_id bigint, text string")
+    got = dict(report(df))
+    assert [set(got[i][5].split(",")) >= set(x.split(",")) for i, x in enumerate(names.values())] == [True] * len(names)
+    same(df)
+    same(docs)
