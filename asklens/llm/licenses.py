@@ -134,11 +134,88 @@ NAMES = [
     ("cc", "creative", r"creative commons(?: public)? license"),
 ]
 
+# SPDX identifiers that are no short name above: label, keyword, regex over words.
+IDENTIFIERS = [
+    ("mit", "mit", r"mit"),
+    ("mit-0", "mit", r"mit 0"),
+    ("x11", "x11", r"x11"),
+    ("apache-1.1", "apache", r"apache 1 1"),
+    ("apache-1.0", "apache", r"apache 1 0"),
+    ("lgpl-2", "lgpl", r"lgpl 2 0"),
+    ("gpl-1", "gpl", r"gpl 1 0"),
+    ("gfdl-1.3", "gfdl", r"gfdl 1 3"),
+    ("gfdl-1.2", "gfdl", r"gfdl 1 2"),
+    ("gfdl", "gfdl", r"gfdl 1 1"),
+    ("isc", "isc", r"isc"),
+    ("mpl-1.1", "mpl", r"mpl 1 1"),
+    ("mpl", "mpl", r"mpl 1 0"),
+    ("epl-2", "epl", r"epl 2 0"),
+    ("epl-1", "epl", r"epl 1 0"),
+    ("cddl-1", "cddl", r"cddl 1 0"),
+    ("cpl-1", "cpl", r"cpl 1 0"),
+    ("ipl-1", "ipl", r"ipl 1 0"),
+    ("artistic-2", "artistic", r"artistic 2 0"),
+    ("artistic-1", "artistic", r"artistic 1 0"),
+    ("boost-1", "bsl", r"bsl 1 0"),
+    ("zlib", "zlib", r"zlib"),
+    ("libpng", "libpng", r"libpng(?: 2 0)?"),
+    ("postgresql", "postgresql", r"postgresql"),
+    ("python", "python", r"python 2 0"),
+    ("python", "psf", r"psf 2 0"),
+    ("php-3.01", "php", r"php 3 01"),
+    ("php", "php", r"php 3 0"),
+    ("ruby", "ruby", r"ruby"),
+    ("openssl", "openssl", r"openssl"),
+    ("ofl-1.1", "ofl", r"ofl 1 1"),
+    ("eupl-1.2", "eupl", r"eupl 1 2"),
+    ("eupl", "eupl", r"eupl 1 [01]"),
+    ("odbl-1", "odbl", r"odbl 1 0"),
+    ("odc-by", "odc", r"odc by 1 0"),
+    ("pddl", "pddl", r"pddl 1 0"),
+    ("ms-pl", "ms", r"ms pl"),
+    ("ms-rl", "ms", r"ms rl"),
+    ("afl-3", "afl", r"afl 3 0"),
+    ("ncsa", "ncsa", r"ncsa"),
+    ("sspl-1", "sspl", r"sspl 1 0"),
+    ("busl-1.1", "busl", r"busl 1 1"),
+    ("elastic-2", "elastic", r"elastic 2 0"),
+]
+
+# Names of families that say a license only after a grant: label, keyword, regex over words.
+FAMILIES = [
+    ("apache", "apache", r"apache"),
+    ("agpl", "agpl", r"(?:gnu )?agpl"),
+    ("gpl", "gpl", r"(?:gnu )?gpl"),
+    ("gfdl", "gfdl", r"(?:gnu )?gfdl"),
+    ("bsd", "bsd", r"bsd"),
+    ("mpl", "mpl", r"mpl"),
+    ("epl", "epl", r"epl"),
+    ("cddl", "cddl", r"cddl"),
+    ("artistic", "artistic", r"artistic"),
+    ("boost-1", "boost", r"boost"),
+    ("busl-1.1", "bsl", r"bsl 1 1"),
+    ("python", "psf", r"psf"),
+    ("php", "php", r"php"),
+    ("ofl-1.1", "ofl", r"(?:sil )?ofl"),
+    ("eupl", "eupl", r"eupl"),
+    ("odbl-1", "odbl", r"odbl"),
+    ("pddl", "pddl", r"pddl"),
+    ("afl", "afl", r"afl"),
+    ("osl", "osl", r"osl"),
+    ("sspl-1", "sspl", r"sspl"),
+    ("busl-1.1", "busl", r"busl"),
+    ("upl-1", "upl", r"upl"),
+]
+
+#: Keywords that also name a program or a common thing ("available under X11"): only "licensed under" makes these a license.
+THINGS = {"x11", "apache", "artistic", "libpng", "postgresql", "python", "php", "ruby", "openssl", "elastic", "boost", "bsd"}
+
 # How a license is given, before its name: priority, confidence, words.  In this order, then the bare name.
+SPDX = r"spdx license identifier "
+UNDER = r" (?:to you )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?|a |an )?"
 GRANTS = [
-    (40, 1.0, r"spdx license identifier "),
-    (30, 0.95, r"(?:licensed|released|distributed|available|published|provided|redistributed) (?:to you )?under (?:the )?"
-               r"(?:terms (?:and conditions )?of (?:the )?|a |an )?"),
+    (40, 1.0, SPDX),
+    (30, 0.95, r"(?:licensed|released|distributed|available|published|provided|redistributed)" + UNDER),
     (25, 0.9, r"(?:subject to|governed by|covered by|in accordance with) (?:the )?(?:terms of (?:the )?)?"),
 ]
 BARE = (20, 0.7)
@@ -163,11 +240,15 @@ WORDINGS = [
 
 
 def signature_rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, keyword, regex over words, priority, confidence), in order: grants by phrase, bare names, wordings, base phrases."""
+    """(label, keyword, regex over words, priority, confidence), in order: grants by phrase, bare names, wordings, identifiers, families."""
     out = [(label, keyword, f"{lead}(?:{name})", priority, sure)
            for priority, sure, lead in GRANTS for label, keyword, name in NAMES]
     out += [(label, keyword, f"(?:{name})", *BARE) for label, keyword, name in NAMES]
     out += [(label, keyword, words, 35, 0.9) for label, keyword, words in WORDINGS]
+    (spdx, spdx_sure, _), (grant, grant_sure, granted) = GRANTS[:2]
+    out += [(label, "spdx", f"{SPDX}(?:{name})", spdx, spdx_sure) for label, _, name in IDENTIFIERS]
+    out += [(label, keyword, f"{'licensed' + UNDER if keyword in THINGS else granted}(?:{name})", grant, grant_sure)
+            for label, keyword, name in IDENTIFIERS + FAMILIES]
     return out
 
 

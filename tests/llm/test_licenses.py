@@ -117,3 +117,21 @@ def test_prefilter_loses_nothing(spark, docs, monkeypatch):
     assert [set(got[i][5].split(",")) >= set(x.split(",")) for i, x in enumerate(names.values())] == [True] * len(names)
     same(df)
     same(docs)
+
+
+def test_identifiers_and_families(spark):
+    for label, keyword, regex in licenses.IDENTIFIERS + licenses.FAMILIES:
+        assert all(keyword in m.split() for m in matches(parser.parse(regex))), (label, keyword, regex)
+    spdx = {"MIT": "mit", "ISC": "isc", "Zlib": "zlib", "EPL-2.0": "epl-2", "BSL-1.0": "boost-1", "EUPL-1.2": "eupl-1.2", "AFL-3.0": "afl-3",
+            "MIT-0": "mit-0", "PostgreSQL": "postgresql", "GPL-1.0-or-later": "gpl-1", "Apache-2.0": "apache-2", "MPL-2.0": "mpl-2",
+            "The MIT License": "mit"}
+    under = {"licensed under MIT": "mit", "Released under the ISC": "isc", "Licensed under EPL-2.0.": "epl-2", "distributed under the GPL": "gpl",
+             "licensed under the GNU AGPL": "agpl", "licensed under Apache": "apache", "licensed under MIT No Attribution": "mit-0",
+             "licensed under the MIT license": "mit", "licensed under BSD-3-Clause": "bsd-3-clause", "licensed under BSL 1.1": "busl-1.1"}
+    other = ["available under X11", "provided under Python 2.0", "published under Ruby", "das kommt mit", "a zlib stream", "isc mit epl"]
+    texts = [f"SPDX-License-Identifier: {x}" for x in spdx] + [*under, *other]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = dict(report(df))
+    want = [(x, 1.0) for x in spdx.values()] + [(x, 0.95) for x in under.values()] + [("", 0.0)] * len(other)
+    assert [got[i][5:] for i in range(len(texts))] == want
+    same(df)
