@@ -4,10 +4,13 @@ Documents are range-sorted by id over all tasks.  Each task writes segments: the
 array of little-endian unsigned integers (16 bits if the vocabulary allows), and the documents' boundaries in it as an
 Elias-Fano sequence: the low bits packed, the high bits in unary as a bit vector, and the place of every
 ``SAMPLE``-th one bit.  A boundary costs about 2 + log2(tokens / documents) bits instead of 64, and ``select`` finds
-any of them by a sample and a scan of less than ``SAMPLE`` ones.
+any of them by a sample and a scan of less than ``SAMPLE`` ones.  The documents' own ids, ascending, are a second such
+sequence, counted from the first one; null ids come last, so their number is enough.  The full read takes ``READ_DOCS``
+documents at a time from both, by ``select`` through the samples.
 
 The files are Parquet with a row a segment (Spark writes and reads them wherever the shared folder is):
-part, segment, docs, tokens, width, ids, low_bits, low, high, samples, doc_ids, null_ids.  A segment ends when it has
+part, segment, docs, tokens, width, ids, low_bits, low, high, samples, known_ids, first_id, id_low_bits, id_low, id_high,
+id_samples.  A segment ends when it has
 ``SEGMENT_TOKENS`` tokens, so a row is bounded by that or by one document.
 
 Defined cases: a null or empty text is the end id alone; null ids come last; repeated ids follow each other (by
@@ -29,13 +32,15 @@ from asklens.llm.tokens import ChunkEncoder
 END_ID = 2
 SEGMENT_TOKENS = 1 << 18
 SAMPLE = 64
+READ_DOCS = 1024
 
 SCHEMA = ("part int, segment int, docs int, tokens bigint, width int, ids binary, low_bits int, low binary, "
-          "high binary, samples binary, doc_ids binary, null_ids binary")
+          "high binary, samples binary, known_ids int, first_id bigint, id_low_bits int, id_low binary, id_high binary, "
+          "id_samples binary")
 
 
 class EliasFano:
-    """A non-decreasing sequence of numbers below ``limit`` (at least 1), in near-minimal space."""
+    """A non-decreasing sequence of numbers below ``limit`` (1 to 2^64), in near-minimal space."""
 
     def __init__(self, n: int, low_bits: int, low: bytes, high: bytes, samples: bytes):
         self.n, self.low_bits = n, low_bits
@@ -47,8 +52,8 @@ class EliasFano:
     def encode(cls, values: np.ndarray, limit: int) -> "EliasFano":
         n = len(values)
         low_bits = max(0, (limit // max(1, n)).bit_length() - 1)
-        values = values.astype(np.uint64)
-        bits = ((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+        values = values.astype("<u8")
+        bits = np.unpackbits(values.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :low_bits]
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(ones[-1]) + 1 if n else 0, dtype=np.uint8)
         high[ones] = 1
@@ -77,12 +82,25 @@ class EliasFano:
         low = int.from_bytes(self.low[first:last].tobytes(), "little") >> (at % 8) & ((1 << self.low_bits) - 1)
         return (self.select(i) - i) << self.low_bits | low
 
+    def some(self, first: int, stop: int) -> np.ndarray:
+        """The values from ``first`` up to ``stop``, as 64 bits each: ``select`` for all of them, from the sample before to the one after."""
+        n, bits = stop - first, self.low_bits
+        if n <= 0:
+            return np.empty(0, dtype=np.int64)
+        place, after = int(self.samples[first // SAMPLE]), -(-stop // SAMPLE)
+        end = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[place // 8:end], bitorder="little")[place % 8:]) + place
+        ones = ones[first % SAMPLE:first % SAMPLE + n]
+        at = first * bits
+        packed = np.unpackbits(self.low[at // 8:(stop * bits + 7) // 8], bitorder="little")[at % 8:at % 8 + n * bits]
+        wide = np.zeros((n, 64), dtype=np.uint8)
+        wide[:, :bits] = packed.reshape(n, bits)
+        low = np.packbits(wide, axis=1, bitorder="little").view("<i8").ravel()
+        return ((ones - np.arange(first, stop)) << bits) | low
+
     def all(self) -> np.ndarray:
         """Every value at once, from the same bits."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        bits = np.unpackbits(self.low, bitorder="little")[:self.n * self.low_bits].reshape(self.n, self.low_bits)
-        low = (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
-        return ((ones - np.arange(self.n)) << self.low_bits) | low
+        return self.some(0, self.n)
 
 
 def _segment(part: int, number: int, doc_ids: list, texts: list[bytes], width: int) -> pa.RecordBatch:
@@ -90,11 +108,14 @@ def _segment(part: int, number: int, doc_ids: list, texts: list[bytes], width: i
     tokens = int(ends[-1])
     ids = np.frombuffer(b"".join(texts), dtype="<u4").astype(f"<u{width}").tobytes()
     bounds = EliasFano.encode(ends - [len(t) // 4 for t in texts], tokens + 1)
-    keys = np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes()
-    nulls = np.packbits([d is None for d in doc_ids], bitorder="little").tobytes()
+    known = np.array([d for d in doc_ids if d is not None], dtype="<i8")
+    ahead = known.view("<u8") - known[:1].view("<u8")  # modulo 2^64: ids may lie further apart than 63 bits hold
+    keys = EliasFano.encode(ahead, int(ahead[-1]) + 1 if len(known) else 1)
     row = (part, number, len(texts), tokens, width, ids, bounds.low_bits, bounds.low.tobytes(), bounds.high.tobytes(),
-           bounds.samples.tobytes(), keys, nulls)
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), *[pa.binary()] * 5]
+           bounds.samples.tobytes(), len(known), int(known[0]) if len(known) else 0, keys.low_bits, keys.low.tobytes(),
+           keys.high.tobytes(), keys.samples.tobytes())
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), *[pa.binary()] * 3,
+             pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
@@ -136,17 +157,22 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(b.num_rows):
             row = {name: b.column(name)[i].as_py() for name in b.schema.names}
-            n = row["docs"]
+            n, known = row["docs"], row["known_ids"]
             bounds = EliasFano(n, row["low_bits"], row["low"], row["high"], row["samples"])
-            starts = np.append(bounds.all(), row["tokens"])
+            keys = EliasFano(known, row["id_low_bits"], row["id_low"], row["id_high"], row["id_samples"])
             ids = np.frombuffer(row["ids"], dtype=f"<u{row['width']}").astype("<u4")
-            nulls = np.unpackbits(np.frombuffer(row["null_ids"], np.uint8), bitorder="little")[:n].astype(bool)
-            doc_ids = pa.array(np.frombuffer(row["doc_ids"], "<i8"), pa.int64(), mask=nulls)
-            raw = [ids[a:e].tobytes() for a, e in zip(starts, starts[1:])]
-            for at in range(0, n, 1024):
-                s = slice(at, min(n, at + 1024))
+            for at in range(0, n, READ_DOCS):
+                stop = min(n, at + READ_DOCS)
+                starts = bounds.some(at, min(n, stop + 1))
+                if stop == n:
+                    starts = np.append(starts, row["tokens"])
+                doc_ids = np.zeros(stop - at, dtype=np.int64)
+                here = keys.some(at, min(stop, known))
+                doc_ids[:len(here)] = here + np.int64(row["first_id"])
+                raw = [ids[a:e].tobytes() for a, e in zip(starts, starts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids[s], pa.array(starts[:-1][s] + row["before"]), pa.array(np.diff(starts)[s]), pa.array(raw[s], pa.binary())],
+                    [pa.array(doc_ids, pa.int64(), mask=np.arange(at, stop) >= known), pa.array(starts[:-1] + row["before"]),
+                     pa.array(np.diff(starts)), pa.array(raw, pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids"])
 
 

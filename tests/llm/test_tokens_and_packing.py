@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,6 +51,37 @@ def test_elias_fano(steps):
     assert size <= len(values) * (2 + max(1, int(values[-1] // len(values)).bit_length())) + 24
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(-2**63, 2**63 - 1), min_size=1, max_size=300), st.data())
+def test_elias_fano_some_of_any_ids(ids, data):
+    ids = np.array(sorted(ids), dtype="<i8")
+    ahead = ids.view("<u8") - ids[:1].view("<u8")
+    ef = token_output.EliasFano.encode(ahead, int(ahead[-1]) + 1)
+    first = data.draw(st.integers(0, len(ids)))
+    stop = data.draw(st.integers(first, len(ids)))
+    assert (ef.some(first, stop) + ids[0]).tolist() == ids[first:stop].tolist()
+    assert [ef[i] for i in range(first, stop)] == ahead[first:stop].tolist()
+
+
+def test_full_read_selects(monkeypatch):
+    """The read takes starts and ids through the samples, and the ids are no plain table."""
+    def whole(self):
+        raise AssertionError("the whole sequence was decoded")
+
+    monkeypatch.setattr(token_output.EliasFano, "all", whole)
+    rng = random.Random(5)
+    ids = [*sorted(rng.randrange(-10**6, 10**6) for _ in range(2500)), None, None]
+    texts = [np.full(rng.randrange(1, 9), i, dtype="<u4").tobytes() for i in range(len(ids))]
+    segment = token_output._segment(0, 0, ids, texts, 2)
+    before = segment.append_column("before", pa.array([7], pa.int64()))
+    out = [r for b in token_output._reader(iter([before])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["ids"]) for r in out] == list(zip(ids, texts))
+    sizes = np.array([len(x) // 4 for x in texts])
+    assert [r["start"] for r in out] == (7 + np.cumsum(sizes) - sizes).tolist() and [r["n_tokens"] for r in out] == sizes.tolist()
+    sizes = {name: len(value) for name, value in segment.to_pylist()[0].items() if isinstance(value, bytes) and name != "ids"}
+    assert sum(sizes.values()) < 4 * len(ids), "boundaries and ids together take less than half of a plain table"
+
+
 def ids_of(path, text, end):
     tk = ChunkEncoder.get(path).tokenizer
     return np.array([*tk.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4").tobytes()
