@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asklens.llm import chat, exact_dedup, language_id, licenses, mixing, packing, pii, quality, simhash, token_output
+from asklens.llm import (chat, exact_dedup, html_text, language_id, licenses, mixing, packing, pii, quality, simhash,
+                         token_output)
 from asklens.llm.common import documents
 from asklens.session import scratch_path
 
@@ -73,9 +74,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("closing", ",").alias("closing"), "piece")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_license_scan, op2_token_output, op3_exact_dedup, op4_personal_data, op5_language_id, op6_simhash_near_dedup,
-    op7_source_mixing, op8_quality_rules, op9_window_packing, op10_chat_format)}
+    op7_source_mixing, op8_quality_rules, op9_window_packing, op10_chat_format, op13_html_extraction)}
 
 # DuckDB SQL over the same tables.  The other operators have no SQL form: a tokenizer's ids (2, 9), rules whose regexes
 # look around (1), expectation maximisation (4), hashed n-grams (5), XXH64 (6), dynamic programming (10).
