@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asklens.llm import (chat, exact_dedup, html_text, language_id, licenses, mixing, packing, pii, quality, simhash,
-                         token_output)
-from asklens.llm.common import documents
+from asklens.llm import (chat, conversation_sql, exact_dedup, html_text, language_id, licenses, mixing, packing, pii, prefix_trie,
+                         quality, simhash, token_output, turn_repair)
+from asklens.llm.common import documents, written
 from asklens.session import scratch_path
 
 
@@ -74,6 +74,50 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("closing", ",").alias("closing"), "piece")
 
 
+def rebuilt(placed: DataFrame, ids: DataFrame) -> DataFrame:
+    """The conversations that the contract of op11 asks for: the first h turns of conversation c - c % 5, then c's own
+    after its first h, h by a checksum of c.  A turn is copied four times at most, and only among the first eight."""
+    def shared(conv):
+        return F.pmod(F.crc32(conv.cast("string").cast("binary")), F.lit(9))
+
+    own = placed.where(F.col("place") >= shared(F.col("conv_id")))
+    step = F.when(F.col("conv_id") < 0, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
+    around = F.when(F.col("conv_id") == 0, F.sequence(F.lit(-4).cast("bigint"), F.lit(4).cast("bigint"))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.col("conv_id") + step * i))
+    given = placed.where("conv_id % 5 = 0 AND place < 8").select(F.explode(around).alias("conv_id"), "place", "content", "n_bytes")
+    given = given.where(F.col("place") < shared(F.col("conv_id"))).join(ids, "conv_id", "left_semi")
+    return own.select("conv_id", "place", "content", "n_bytes").unionByName(given)
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    placed = prefix_trie.placed_turns(prefix_trie.turn_keys(turns))
+    ids = written(placed.select("conv_id").distinct(), "conversation-ids")
+    return prefix_trie.prefix_trie(rebuilt(placed, ids), ids)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The faults that the contract of op12 plants, by a checksum of conversation and turn; nulls become one space."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    hit = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"),
+                       F.coalesce("text", F.lit(" ")).alias("text"), F.pmod(F.crc32(name.cast("binary")), F.lit(20)).alias("hit"))
+    text = F.when(F.col("hit") == 1, F.lit("")).when(F.col("hit") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("hit") == 4, F.lit("user")).otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("hit") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return hit.where("hit <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    found = turn_repair.conversation_report(damaged(turns)).withColumnRenamed("conv_id", "__conv")
+    ids = turns.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["__conv"]), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return html_text.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
@@ -81,10 +125,13 @@ def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_license_scan, op2_token_output, op3_exact_dedup, op4_personal_data, op5_language_id, op6_simhash_near_dedup,
-    op7_source_mixing, op8_quality_rules, op9_window_packing, op10_chat_format, op13_html_extraction)}
+    op7_source_mixing, op8_quality_rules, op9_window_packing, op10_chat_format, op11_conversation_trie,
+    op12_conversation_repair,
+    op13_html_extraction)}
 
 # DuckDB SQL over the same tables.  The other operators have no SQL form: a tokenizer's ids (2, 9), rules whose regexes
-# look around (1), expectation maximisation (4), hashed n-grams (5), XXH64 (6), dynamic programming (10).
+# look around (1), expectation maximisation (4), hashed n-grams (5), XXH64 (6), dynamic programming (10), parsing of
+# HTML (13).
 _EXACT_DEDUP = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -141,4 +188,6 @@ ORACLE: dict[str, str] = {
     "op3_exact_dedup": _EXACT_DEDUP,
     "op7_source_mixing": _MIXING,
     "op8_quality_rules": _QUALITY,
+    "op11_conversation_trie": conversation_sql.TRIE,
+    "op12_conversation_repair": conversation_sql.REPAIR,
 }
