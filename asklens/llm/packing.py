@@ -8,8 +8,9 @@ costs one pass over ``window`` numbers, however many windows are open.
 At the end of a task its open windows are closed: the emptiest are cut up to fill the fullest, so one window at most
 stays partially filled, and that one is cut into sequences whose lengths are powers of two (which take no padding).
 
-A window is written out as soon as it is full; a task holds its open windows only, and if they hold more than
-``MAX_OPEN_TOKENS`` tokens they are closed early.  Sequence numbers become gapless by adding the number of sequences
+A window is written out as soon as it is full; a task holds its open windows only.  If they ever hold more than
+``max_open_tokens`` tokens (32 MB of ids by default), they are closed as at the end: a bound of memory that costs at most one
+partially filled window each time, and loses nothing.  Sequence numbers become gapless by adding the number of sequences
 of the tasks before.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and null ids are documents of their own; extra
@@ -108,7 +109,7 @@ class SumOfSquares:
             yield pieces
 
 
-def pack_task(docs: Iterator[tuple[int, bytes]], window: int) -> Iterator[list[Piece]]:
+def pack_task(docs: Iterator[tuple[int, bytes]], window: int, max_open_tokens: int = MAX_OPEN_TOKENS) -> Iterator[list[Piece]]:
     """Sequences of pieces for (document, ids as bytes)."""
     levels = SumOfSquares(window)
     wide = 4 * window
@@ -118,7 +119,7 @@ def pack_task(docs: Iterator[tuple[int, bytes]], window: int) -> Iterator[list[P
             yield [(doc, at // 4, ids[at:at + wide])]
         if whole < len(ids) and (full := levels.place((doc, whole // 4, ids[whole:]))):
             yield full
-        if levels.tokens > MAX_OPEN_TOKENS:
+        if levels.tokens > max_open_tokens:
             yield from levels.close()
     yield from levels.close()
 
@@ -126,7 +127,7 @@ def pack_task(docs: Iterator[tuple[int, bytes]], window: int) -> Iterator[list[P
 SCHEMA = "part int, sequence bigint, doc_id bigint, start bigint, length bigint, offset bigint, doc_tokens bigint, ids binary"
 
 
-def _runner(tokenizer: str, end_id: int, window: int):
+def _runner(tokenizer: str, end_id: int, window: int, max_open_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -138,14 +139,14 @@ def _runner(tokenizer: str, end_id: int, window: int):
         def documents() -> Iterator[tuple[int, bytes]]:
             n = 0
             for b in batches:
-                for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                    ids = encoder.encode(text.as_py() or "") + end
+                for doc, ids in zip(b.column("doc_id").to_pylist(), encoder.encode_column(b.column("text"))):
+                    ids += end
                     about[n] = [doc, len(ids) // 4, 0]
                     yield n, ids
                     n += 1
 
         rows: list[tuple] = []
-        for number, pieces in enumerate(pack_task(documents(), window)):
+        for number, pieces in enumerate(pack_task(documents(), window, max_open_tokens)):
             offset = 0
             for doc, start, ids in pieces:
                 known = about[doc]
@@ -171,10 +172,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, window: int = WINDOW, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", max_open_tokens: int = MAX_OPEN_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, sequence_id, offset, doc_tokens, ids (little-endian unsigned 32-bit)."""
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = written(map_batches(slim, _runner(tokenizer, end_id, window), SCHEMA), "pieces")
+    pieces = written(map_batches(slim, _runner(tokenizer, end_id, window, max_open_tokens), SCHEMA), "pieces")
     counts = pieces.groupBy("part").agg((F.max("sequence") + 1).alias("sequences"))
     before = running_offsets(counts, "part", "sequences")
     return (pieces.join(F.broadcast(before), "part")  # one row per task

@@ -9,7 +9,7 @@ sequence, counted from the first one; null ids come last, so their number is eno
 documents at a time from both, by ``select`` through the samples.
 
 The files are Parquet with a row a segment (Spark writes and reads them wherever the shared folder is):
-part, segment, docs, tokens, width, ids, low_bits, low, high, samples, known_ids, first_id, id_low_bits, id_low, id_high,
+part, segment, docs, tokens, inside (tokens of the part's segments before it), width, ids, low_bits, low, high, samples, known_ids, first_id, id_low_bits, id_low, id_high,
 id_samples.  A segment ends when it has
 ``SEGMENT_TOKENS`` tokens, so a row is bounded by that or by one document.
 
@@ -34,7 +34,7 @@ SEGMENT_TOKENS = 1 << 18
 SAMPLE = 64
 READ_DOCS = 1024
 
-SCHEMA = ("part int, segment int, docs int, tokens bigint, width int, ids binary, low_bits int, low binary, "
+SCHEMA = ("part int, segment int, docs int, tokens bigint, inside bigint, width int, ids binary, low_bits int, low binary, "
           "high binary, samples binary, known_ids int, first_id bigint, id_low_bits int, id_low binary, id_high binary, "
           "id_samples binary")
 
@@ -103,7 +103,7 @@ class EliasFano:
         return self.some(0, self.n)
 
 
-def _segment(part: int, number: int, doc_ids: list, texts: list[bytes], width: int) -> pa.RecordBatch:
+def _segment(part: int, number: int, inside: int, doc_ids: list, texts: list[bytes], width: int) -> pa.RecordBatch:
     ends = np.cumsum([len(t) // 4 for t in texts])
     tokens = int(ends[-1])
     ids = np.frombuffer(b"".join(texts), dtype="<u4").astype(f"<u{width}").tobytes()
@@ -111,10 +111,10 @@ def _segment(part: int, number: int, doc_ids: list, texts: list[bytes], width: i
     known = np.array([d for d in doc_ids if d is not None], dtype="<i8")
     ahead = known.view("<u8") - known[:1].view("<u8")  # modulo 2^64: ids may lie further apart than 63 bits hold
     keys = EliasFano.encode(ahead, int(ahead[-1]) + 1 if len(known) else 1)
-    row = (part, number, len(texts), tokens, width, ids, bounds.low_bits, bounds.low.tobytes(), bounds.high.tobytes(),
+    row = (part, number, len(texts), tokens, inside, width, ids, bounds.low_bits, bounds.low.tobytes(), bounds.high.tobytes(),
            bounds.samples.tobytes(), len(known), int(known[0]) if len(known) else 0, keys.low_bits, keys.low.tobytes(),
            keys.high.tobytes(), keys.samples.tobytes())
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), *[pa.binary()] * 3,
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), *[pa.binary()] * 3,
              pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
@@ -128,17 +128,17 @@ def _writer(tokenizer: str, end_id: int, segment_tokens: int):
         encoder = ChunkEncoder.get(tokenizer)
         width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], dtype="<u4").tobytes()
-        keys, texts, size, number = [], [], 0, 0
+        keys, texts, size, number, inside = [], [], 0, 0, 0
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
+            for doc, ids in zip(b.column("doc_id").to_pylist(), encoder.encode_column(b.column("text"))):
                 keys.append(doc)
-                texts.append(encoder.encode(text.as_py() or "") + end)
+                texts.append(ids + end)
                 size += len(texts[-1]) // 4
                 if size >= segment_tokens:
-                    yield _segment(part, number, keys, texts, width)
-                    keys, texts, size, number = [], [], 0, number + 1
+                    yield _segment(part, number, inside, keys, texts, width)
+                    keys, texts, size, number, inside = [], [], 0, number + 1, inside + size
         if keys:
-            yield _segment(part, number, keys, texts, width)
+            yield _segment(part, number, inside, keys, texts, width)
 
     return run
 
@@ -180,13 +180,6 @@ def read_tokens(spark, path: str) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids (32-bit little-endian)."""
     files = spark.read.schema(SCHEMA).parquet(path)
     sums = files.groupBy("part").agg(F.sum("tokens").alias("tokens"))
-    parts = running_offsets(sums, "part", "tokens")
-    # inside a part: its segments' sizes, one row a segment
-    sizes = files.select("part", "segment", "tokens")
-    inner = sizes.select("part", "segment", F.coalesce(F.expr(
-        "sum(tokens) OVER (PARTITION BY part ORDER BY segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"),
-        F.lit(0)).alias("inside"))
-    starts = inner.join(F.broadcast(parts), "part").select("part", "segment", (F.col("inside") + F.col("before")).alias("before"))
-    placed = files.join(starts, ["part", "segment"])
+    parts = running_offsets(sums, "part", "tokens")  # a row a task that wrote: broadcast, so that no ids are shuffled
+    placed = files.join(F.broadcast(parts), "part").withColumn("before", F.col("inside") + F.col("before"))
     return map_batches(placed, _reader, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
-

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -33,11 +34,50 @@ def test_cached_ids_of_any_text(text):
 
 
 def test_cache_is_bounded(byte_file, monkeypatch):
-    monkeypatch.setattr("asklens.llm.tokens.CACHE_CHUNKS", 20)
+    monkeypatch.setattr("asklens.llm.tokens.CACHE_PIECES", 20)
     encoder = ChunkEncoder(byte_file)
     text = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopq'[i % 7]}" for i in range(500))
-    assert encoder.encode(text) == encoder.encode_whole([text])[0]
-    assert len(encoder.later) <= 20 and len(encoder.later.old) <= 20
+    for part in (text[:1000], text[1000:], text):
+        assert encoder.encode(part) == encoder.encode_whole([part])[0]
+    assert len(encoder.cache.young) <= 20 and len(encoder.cache.old) <= 20
+
+
+@pytest.mark.parametrize("file", ["word_file", "byte_file"])
+@pytest.mark.parametrize("limit", [(1, 1), (300, 50), (1 << 24, 1 << 20)])
+def test_columns_in_slices_of_any_size(file, limit, request, docs, monkeypatch):
+    monkeypatch.setattr("asklens.llm.tokens.SLICE_BYTES", limit[0])
+    monkeypatch.setattr("asklens.llm.tokens.GATHER_IDS", limit[1])
+    encoder = ChunkEncoder(request.getfixturevalue(file))
+    texts = [None, *ODD, *[r["text"][:2000] for r in docs.limit(20).collect()], "", None]
+    column = pa.array(["left out", *texts, "left out"])[1:-1]  # a slice of a longer column
+    assert list(encoder.encode_column(column)) == encoder.encode_whole([t or "" for t in texts])
+    assert list(encoder.encode_column(pa.array([], pa.string()))) == []
+
+
+def changed(path, to, **settings):
+    kept = json.load(open(path))
+    for key, value in settings.items():
+        kept[key] = value(kept[key]) if callable(value) else value
+    to.write_text(json.dumps(kept))
+    return str(to)
+
+
+def test_other_tokenizers_get_whole_texts(byte_file, word_file, tmp_path, docs):
+    """A setting that a cut at spaces could break: nothing is cut, and the ids are the library's."""
+    space = {"type": "Metaspace", "replacement": "Ġ", "prepend_scheme": "always", "split": False}
+    token = {"id": 50257, "content": "of the", "single_word": False, "lstrip": False, "rstrip": False, "normalized": True, "special": False}
+    others = [changed(byte_file, tmp_path / "a.json", pre_tokenizer=space),
+              changed(byte_file, tmp_path / "b.json", normalizer={"type": "Replace", "pattern": {"String": "e t"}, "content": "et"}),
+              changed(byte_file, tmp_path / "c.json", added_tokens=lambda kept: [*kept, token]),
+              changed(word_file, tmp_path / "d.json", normalizer={"type": "Strip", "strip_left": True, "strip_right": True}),
+              changed(byte_file, tmp_path / "e.json", pre_tokenizer={"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True})]
+    texts = [*ODD, "one of the many, e to e t and of theirs", *[r["text"][:3000] for r in docs.limit(10).collect()]]
+    for path in others:
+        encoder = ChunkEncoder(path)
+        assert encoder.kind == ""
+        assert list(encoder.encode_column(pa.array(texts))) == [
+            np.asarray(encoder.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert (ChunkEncoder(byte_file).kind, ChunkEncoder(word_file).kind) == ("bytes", "words")
 
 
 @settings(max_examples=150, deadline=None)
@@ -72,7 +112,7 @@ def test_full_read_selects(monkeypatch):
     rng = random.Random(5)
     ids = [*sorted(rng.randrange(-10**6, 10**6) for _ in range(2500)), None, None]
     texts = [np.full(rng.randrange(1, 9), i, dtype="<u4").tobytes() for i in range(len(ids))]
-    segment = token_output._segment(0, 0, ids, texts, 2)
+    segment = token_output._segment(0, 0, 0, ids, texts, 2)
     before = segment.append_column("before", pa.array([7], pa.int64()))
     out = [r for b in token_output._reader(iter([before])) for r in b.to_pylist()]
     assert [(r["doc_id"], r["ids"]) for r in out] == list(zip(ids, texts))
@@ -171,6 +211,25 @@ def test_pack_task_loses_nothing(sizes):
     assert all(b"".join(x for _, x in sorted(seen[i])) == t for i, t in enumerate(texts))
 
 
+def test_windows_closed_early_lose_nothing(spark, docs, byte_file):
+    """A bound of open tokens that is reached again and again: every id once, at most one partial window a closing."""
+    sizes = [random.Random(8).randrange(1, 90) for _ in range(300)]
+    texts = [bytes(np.arange(n, dtype="<u4")) for n in sizes]
+    got, partly = {}, 0
+    for pieces in packing.pack_task(enumerate(texts), 32, max_open_tokens=200):
+        total = sum(len(ids) // 4 for _, _, ids in pieces)
+        assert total == 32 or total & (total - 1) == 0
+        partly += total < 32
+        for doc, start, ids in pieces:
+            got.setdefault(doc, []).append((start, ids))
+    assert all(b"".join(x for _, x in sorted(got[i])) == t for i, t in enumerate(texts))
+    assert 5 < partly <= 5 * (sum(sizes) // 200 + 1)
+    rows = packing.pack_documents(docs, byte_file, max_open_tokens=2000).collect()
+    whole = packing.pack_documents(docs, byte_file).collect()
+    assert sum(r["length"] for r in rows) == sum(r["length"] for r in whole)
+    assert len({r["sequence_id"] for r in rows}) == max(r["sequence_id"] for r in rows) + 1
+
+
 def test_digests(spark):
     got = queries.op9_window_packing(spark, "/root/testdata/sf0.001").where("start = 0 AND length = doc_tokens").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(F.col("doc_id") == got["doc_id"]).first()["text"]
