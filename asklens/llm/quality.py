@@ -3,9 +3,10 @@
 Each document is measured by itself and checked against row rules.  The failures are
 counted for each host; a host's failure rate is shrunk towards the corpus's by an empirical beta prior,
 fitted to all hosts by the method of moments, so that a host with a few documents is
-not judged by chance.  The verdicts join back to the documents: on a host whose shrunk
-rate exceeds ``BAD_HOST``, a document that itself breaks any rule goes; elsewhere only the hard rule
-(``base_failed``) removes.  A document that breaks no rule always stays.
+not judged by chance.  The verdicts join back to the documents.  A host's shrunk rate is the prior of a
+document that breaks a rule: its odds, rate / (1 - rate), times the document's evidence, how many times over its worst
+rule's limit it is, are the odds that it is bad.  Beyond ``BAD_ODDS`` it goes, so gross junk goes from any host and a
+slight failure only from a bad one.  A document that breaks no rule always stays; the hard rule (``base_failed``) always removes.
 
 Defined cases: a null text has no words (and fails the hard rule); null hosts form one host; null or
 repeated ids are kept as rows of their own; extra columns are not looked at; an empty table gives an empty result.
@@ -22,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-BAD_HOST = 0.5
+BAD_ODDS = 1.0
 
 #: The rules of a document, as SQL over its measures; any of them counts as a failure.
 RULES = {
@@ -33,6 +34,14 @@ RULES = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 15 * n_words",
 }
+#: How many times its limit a document reaches, rule by rule (the first one is the hard rule's).
+EXCESS = {
+    "repeated_windows": "100.0D * n_repeat_words / nullif(30.0D * n_words, 0)",
+    "many_symbols": "10.0D * n_symbols / nullif(n_words, 0)",
+    "repeated_lines": "10.0D * n_dup_lines / nullif(3.0D * n_lines, 0)",
+    "short_words": "2.0D * n_words / nullif(word_chars, 0)",
+    "long_words": "word_chars / nullif(15.0D * n_words, 0)",
+}
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -62,7 +71,7 @@ def _repeat_words(words: Column) -> Column:
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with MEASURES, ``base_failed`` and ``failed``; every column it had stays."""
+    """``docs`` with MEASURES, ``base_failed``, ``failed`` and ``evidence``; every column it had stays."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumns({"__words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), "__lines": lines})
@@ -76,11 +85,12 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }).drop("__words", "__lines")
     base = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
     return out.withColumns({"base_failed": F.expr(base),
-                            "failed": F.expr(" OR ".join(f"({r})" for r in RULES.values()))})
+                            "failed": F.expr(" OR ".join(f"({r})" for r in RULES.values())),
+                            "evidence": F.coalesce(F.expr(f"greatest({', '.join(EXCESS.values())})"), F.lit(0.0))})
 
 
-def host_verdicts(docs: DataFrame, bad_host: float = BAD_HOST) -> DataFrame:
-    """One row per host of ``docs(host, failed)``: n_docs, n_failed, shrunk rate, bad_host.
+def host_verdicts(docs: DataFrame) -> DataFrame:
+    """One row per host of ``docs(host, failed)``: n_docs, n_failed, host_rate (shrunk).
 
     The prior is Beta(m * s, (1 - m) * s): m is the mean of the hosts' rates weighted by their documents, v its
     weighted variance, s = m * (1 - m) / v - 1, held between 1 and 1000 documents."""
@@ -98,18 +108,20 @@ def host_verdicts(docs: DataFrame, bad_host: float = BAD_HOST) -> DataFrame:
     prior = prior.select(F.struct("m", strength.alias("s")).alias("p")).scalar()
     judged = hosts.withColumn("__p", prior)
     shrunk = (F.col("n_failed") + F.col("__p.m") * F.col("__p.s")) / (F.col("n_docs") + F.col("__p.s"))
-    return judged.select("host", "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk > bad_host).alias("bad_host"))
+    return judged.select("host", "n_docs", "n_failed", shrunk.alias("host_rate"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", keep: tuple[str, ...] = ("doc_id",),
-                  bad_host: float = BAD_HOST) -> DataFrame:
-    """One row per row of ``docs``: the ``keep`` columns, host, MEASURES, base_failed, failed, host_rate, kept."""
+                  bad_odds: float = BAD_ODDS) -> DataFrame:
+    """One row per row of ``docs``: the ``keep`` columns, host, MEASURES, base_failed, failed, evidence, host_rate, bad, kept."""
     slim = docs.select(*keep, F.col(host_col).alias("host"), F.col(text_col).alias("__text"))
     rows = written(measured(slim, "__text").drop("__text"), "measured")
-    hosts = written(host_verdicts(rows, bad_host), "verdicts")
+    hosts = written(host_verdicts(rows), "verdicts")
     out = join_groups(rows, hosts, ["host"], "n_docs")
-    kept = ~F.col("base_failed") & ~(F.col("bad_host") & F.col("failed"))
-    return out.select(*keep, "host", *MEASURES, "base_failed", "failed", "host_rate", "bad_host", kept.alias("kept"))
+    # odds * evidence > bound, without dividing by a rate of one
+    bad = F.col("failed") & (F.col("host_rate") * F.col("evidence") > (1 - F.col("host_rate")) * bad_odds)
+    return out.select(*keep, "host", *MEASURES, "base_failed", "failed", "evidence", "host_rate", bad.alias("bad"),
+                      (~F.col("base_failed") & ~bad).alias("kept"))
 
 
 def drop_rejected(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:

@@ -179,9 +179,13 @@ j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS f FROM j GROUP BY source),
 a AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 AS v FROM h),
 p AS (SELECT m, CASE WHEN v * 1001 <= m * (1 - m) THEN 1000.0 WHEN v * 2 >= m * (1 - m) THEN 1.0 ELSE m * (1 - m) / v - 1 END AS s FROM a),
-x AS (SELECT source, (f + m * s) / (n + s) > 0.5 AS bad_host FROM h, p)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (bad_host AND failed) AS kept
-FROM j JOIN x ON j.source IS NOT DISTINCT FROM x.source
+x AS (SELECT source, (f + m * s) / (n + s) AS rate FROM h, p),
+e AS (SELECT *, coalesce(greatest(100.0::DOUBLE * n_repeat_words / nullif(30.0::DOUBLE * n_words, 0),
+             10.0::DOUBLE * n_symbols / nullif(n_words, 0), 10.0::DOUBLE * n_dup_lines / nullif(3.0::DOUBLE * n_lines, 0),
+             2.0::DOUBLE * n_words / nullif(word_chars, 0), word_chars::DOUBLE / nullif(15.0::DOUBLE * n_words, 0)), 0.0) AS evidence FROM j)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (failed AND rate * evidence > 1 - rate) AS kept
+FROM e JOIN x ON e.source IS NOT DISTINCT FROM x.source
 """
 
 ORACLE: dict[str, str] = {

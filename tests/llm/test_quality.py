@@ -41,13 +41,13 @@ def test_prior_shrinks_small_hosts(spark):
     s = min(1000, max(1, m * (1 - m) / v - 1))
     for h, (a, b) in rates.items():
         assert abs(got[h]["host_rate"] - (b + m * s) / (a + s)) < 1e-9
-    assert got["bad"]["bad_host"] and not got["h0"]["bad_host"] and got["small"]["host_rate"] < 1
+    assert got["bad"]["host_rate"] > 0.8 and got["h0"]["host_rate"] < 0.2 and got["small"]["host_rate"] < 1
 
 
 def test_all_alike_and_all_bad(spark):
     same = quality.host_verdicts(hosts(spark, {"a": (10, 0), "b": (10, 0)})).collect()
-    assert all(r["host_rate"] == 0 and not r["bad_host"] for r in same)
-    assert all(r["bad_host"] for r in quality.host_verdicts(hosts(spark, {"a": (10, 10)})).collect())
+    assert all(r["host_rate"] == 0 for r in same)
+    assert all(r["host_rate"] == 1 for r in quality.host_verdicts(hosts(spark, {"a": (10, 10)})).collect())
 
 
 def test_verdicts_reach_documents(spark):
@@ -68,3 +68,48 @@ def test_drop_rejected_keeps_columns(odd, none):
     assert left.columns == odd.columns
     assert left.count() == quality.quality_rules(odd).where("kept").count()
     assert quality.drop_rejected(none).count() == 0
+
+
+def verdicts(rows):
+    """kept of every (source, text) by the rules in plain Python."""
+    found, per_host = [], {}
+    for source, text in rows:
+        n, chars, symbols, dup, repeat, lines, base = brute(text)
+        excess = [repeat / (0.3 * n) if n else 0, symbols / (0.1 * n) if n else 0, dup / (0.3 * lines) if lines else 0,
+                  2 * n / chars if chars else 0, chars / (15 * n) if n else 0]
+        failed = n < 50 or 10 * repeat > 3 * n or 10 * symbols > n or 10 * dup > 3 * lines or chars < 2 * n or chars > 15 * n
+        found.append((source, base, failed, max(excess)))
+        count = per_host.setdefault(source, [0, 0])
+        count[0] += 1
+        count[1] += failed
+    total, bad = (sum(c[i] for c in per_host.values()) for i in (0, 1))
+    m = bad / total
+    v = sum(f * f / n for n, f in per_host.values()) / total - m * m
+    s = 1000.0 if v * 1001 <= m * (1 - m) else 1.0 if v * 2 >= m * (1 - m) else m * (1 - m) / v - 1
+    rate = {h: (f + m * s) / (n + s) for h, (n, f) in per_host.items()}
+    return [not base and not (failed and rate[h] * excess > 1 - rate[h]) for h, base, failed, excess in found]
+
+
+def test_verdict_decides_on_given_tables(spark):
+    """The host verdict against plain Python, and it removes what the hard rule leaves."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = df.collect()
+    want = dict(zip([r["doc_id"] for r in rows], verdicts([(r["source"], r["text"]) for r in rows])))
+    got = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
+    assert {d: r["kept"] for d, r in got.items()} == want
+    assert sum(not r["base_failed"] and not r["kept"] for r in got.values()) > 20
+    assert all(r["kept"] for r in got.values() if not r["failed"])
+
+
+def test_one_text_on_a_good_and_a_bad_host(spark):
+    clean = " ".join(f"plain{i} word" for i in range(60))
+    mild = clean + " #" * 20                                      # 1.4 times the limit of symbols
+    gross = " ".join(w + "#" * 12 for w in clean.split())         # 120 times
+    rows = [(i, "good", clean) for i in range(95)] + [(100, "good", mild), (101, "good", gross)]
+    rows += [(200 + i, "bad", mild) for i in range(80)] + [(300 + i, "bad", clean) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df).collect()}
+    assert got[100] and not got[101] and not any(got[200 + i] for i in range(80))
+    assert all(got[i] for i in [*range(95), *range(300, 320)])
+    left = {r["doc_id"] for r in quality.drop_rejected(df).collect()}
+    assert left == {d for d, kept in got.items() if kept}
