@@ -84,8 +84,11 @@ def last_ratings(spark: SparkSession, out: str, fmt: str = "parquet"):
 
 
 def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str, out: str,
-                fmt: str = "parquet", in_fmt: str = "json", seed: int = 42, k: int = M.TOP_K) -> float:
-    """Actions + followed questions -> ratings (upserted) -> ALS -> RMSE and top-k per user."""
+                fmt: str = "parquet", in_fmt: str = "json", seed: int = 42, k: int = M.TOP_K,
+                num_blocks: int = M.ALS_BLOCKS) -> float:
+    """Actions + followed questions -> ratings (upserted) -> ALS -> RMSE and top-k per user.
+
+    ``num_blocks``: ALS blocks of users and of items, chosen once for a model (see ``fit_als``)."""
     docs = read_collection(spark, follow_docs, in_fmt, FOLLOW_DOC_SCHEMA)
     acts = read_collection(spark, actions, in_fmt, ACTION_SCHEMA)
     ids = read_collection(spark, id_map, in_fmt, "_id string, urlToken string, UId string")
@@ -97,7 +100,7 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
     IO.save(merged, ratings_path(out, version + 1), fmt, "overwrite")
     _, ratings = last_ratings(spark, out, fmt)
     train, test = M.random_split(ratings, seed=seed)
-    model = M.fit_als(train, seed=seed)
+    model = M.fit_als(train, seed=seed, num_blocks=num_blocks)
     pred = M.predict(model, test)
     IO.save(pred, os.path.join(out, "predictions"), fmt, "overwrite")
     rmse = M.rmse_value(pred)
@@ -135,6 +138,7 @@ def main(argv=None) -> None:
     r.add_argument("--fmt", default="parquet")
     r.add_argument("--in-fmt", default="json")
     r.add_argument("--seed", type=int, default=42)
+    r.add_argument("--als-blocks", type=int, default=M.ALS_BLOCKS)
     s = sub.add_parser("stream")
     s.add_argument("--input", required=True)
     s.add_argument("--out", required=True)
@@ -150,7 +154,7 @@ def main(argv=None) -> None:
                   recommend_batches=args.recommend_batches, resume=args.resume)
     elif args.job == "ratings":
         ratings_job(spark, args.follow_docs, args.actions, args.id_map, args.out, args.fmt, args.in_fmt,
-                    args.seed)
+                    args.seed, num_blocks=args.als_blocks)
     else:
         stream_service(spark, args.input, args.out, args.interval)
 

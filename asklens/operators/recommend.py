@@ -11,6 +11,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from asklens.operators import inner_product
+
 # The reference's ALS settings (rank is ALS's default).
 ALS_MAX_ITER = 15
 ALS_REG = 0.22
@@ -103,9 +105,53 @@ def _named(rec: Recommender, recs: DataFrame) -> DataFrame:
     return flat.join(rec.users, "_u").join(rec.items, "_q").select("UId", "QId", "Rating")
 
 
-def top_items(rec: Recommender, k: int = TOP_K) -> DataFrame:
-    """(UId, QId, Rating double): k recommendations per user, exploded."""
-    return _named(rec, rec.model.recommendForAllUsers(k))
+def pruned_search(rec: Recommender, k: int = TOP_K, **options) -> inner_product.TopItems:
+    """The k best items of every user by maximum inner product search; see ``inner_product``."""
+    return inner_product.top_items(rec.model.userFactors, rec.model.itemFactors, k, **options)
+
+
+def named_items(rec: Recommender, found: inner_product.TopItems) -> DataFrame:
+    """(UId, QId, Rating double, position) of a search."""
+    flat = found.best.select(F.col("user").alias("_u"), F.col("item").alias("_q"), F.col("rating").cast("double").alias("Rating"), "position")
+    return flat.join(rec.users, "_u").join(rec.items, "_q").select("UId", "QId", "Rating", "position")
+
+
+def top_items(rec: Recommender, k: int = TOP_K, **options) -> DataFrame:
+    """(UId, QId, Rating double): k recommendations per user, exploded (J6), without scoring all pairs."""
+    return named_items(rec, pruned_search(rec, k, **options)).drop("position")
+
+
+def normal_residuals(rec: Recommender, train: DataFrame, reg: float = ALS_REG) -> DataFrame:
+    """One row per trained user: UId, n_ratings, residual.
+
+    ALS ends with a half-step that solves, for each user with n ratings r of items with factors Q,
+    (Q'Q + reg * n * I) x = Q'r.  The residual is |Q'(Qx - r) + reg * n * x| over tr(Q'Q + reg * n * I) |x| + |Q'r|: the size of the rounding of
+    32-bit factors where x solves its system, whatever the system's condition.  Per rating only vectors of the
+    rank's length are summed, in the map tasks first, so a user with very many ratings is no single task's work."""
+    rank = rec.model.rank
+    n = F.col("n_ratings")
+    dot = F.aggregate(F.arrays_zip("x", "q"), F.lit(0.0), lambda s, p: s + p["x"].cast("double") * p["q"])
+    rated = (rec._with_index(train)
+             .join(rec.model.itemFactors.select(F.col("id").alias("_q"), F.col("features").alias("q")), "_q")
+             .join(rec.model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("x")), "_u")
+             .withColumn("r", F.col("rate").cast("float").cast("double")).withColumn("e", dot - F.col("r")))
+    sums = rated.groupBy("UId").agg(
+        F.count(F.lit(1)).alias("n_ratings"), F.first("x").alias("x"), F.sum(inner_product.norm("q") ** 2).alias("trace"),
+        F.array(*[F.sum(F.col("e") * F.col("q")[i]) for i in range(rank)]).alias("qe"),
+        F.array(*[F.sum(F.col("r") * F.col("q")[i]) for i in range(rank)]).alias("qr"))
+    left = F.zip_with("qe", "x", lambda a, b: a + b * reg * n)
+    size = (F.col("trace") + reg * n * rank) * inner_product.norm("x") + inner_product.norm("qr")
+    return sums.withColumn("left", left).select("UId", "n_ratings", (inner_product.norm("left") / size).alias("residual"))
+
+
+def dot_predictions(rec: Recommender, test: DataFrame) -> DataFrame:
+    """``predict`` recomputed: the inner product of the two factors, in DataFrame functions."""
+    cols = test.columns
+    dot = F.aggregate(F.arrays_zip("x", "q"), F.lit(0.0), lambda s, p: s + p["x"].cast("double") * p["q"])
+    return (rec._with_index(test)
+            .join(rec.model.itemFactors.select(F.col("id").alias("_q"), F.col("features").alias("q")), "_q")
+            .join(rec.model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("x")), "_u")
+            .select(*cols, dot.alias("prediction")))
 
 
 def topk_per_group(df: DataFrame, group: str, order_cols, k: int = TOP_K,

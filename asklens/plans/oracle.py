@@ -499,9 +499,18 @@ SELECT count(*)::BIGINT AS n, true AS sane FROM seen"""
 
 ORACLE["als_topk_rows"] = _with(*RATING_CTES, SPLIT) + """
 SELECT DISTINCT UId, least(10, (SELECT count(DISTINCT QId) FROM split WHERE part = 'train'))::BIGINT AS n,
-       least(10, (SELECT count(DISTINCT QId) FROM split WHERE part = 'train'))::BIGINT AS items, false AS unrated
+       least(10, (SELECT count(DISTINCT QId) FROM split WHERE part = 'train'))::BIGINT AS items, false AS unrated, true AS falling
 FROM split WHERE part = 'train'"""
 
+ORACLE["als_topk_pairs"] = _with(*RATING_CTES, SPLIT) + """
+SELECT count(DISTINCT UId) * count(DISTINCT QId) AS all_pairs, true AS fewer FROM split WHERE part = 'train'"""
+
+ORACLE["als_solved"] = _with(*RATING_CTES, SPLIT) + """
+SELECT UId, count(*)::BIGINT AS n_ratings, true AS solved FROM split WHERE part = 'train' GROUP BY UId"""
+
+ORACLE["als_rmse_recomputed"] = _with(*RATING_CTES, SPLIT, SEEN) + """
+SELECT count(*)::BIGINT AS n, true AS agrees FROM seen"""
+
 ORACLE["recs_preview_rows"] = _with(*RATING_CTES, SPLIT, """k AS (
   SELECT least(10, count(DISTINCT QId)) AS k FROM split WHERE part = 'train')""", """place AS (
   SELECT UId, row_number() OVER (ORDER BY UId) - 1 AS p FROM (SELECT DISTINCT UId FROM split WHERE part = 'train'))""") + """

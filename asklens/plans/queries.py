@@ -308,11 +308,47 @@ def als_rmse_n(spark, sf):
 
 @query("als_topk_rows")
 def als_topk_rows(spark, sf):
-    """Per user: recommendations, different items among them, and whether any exceeds a better one's rating."""
+    """Per user: recommendations, different items among them, whether any lacks a rating, and whether the ratings fall by position."""
     model, _ = _als(spark, sf)
-    return M.top_items(model, 10).groupBy("UId").agg(
+    found = M.named_items(model, M.pruned_search(model, 10))
+    by_place = F.array_sort(F.collect_list(F.struct("position", "Rating")))
+    return found.groupBy("UId").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("QId").alias("items"),
-        F.max(F.isnan("Rating") | F.col("Rating").isNull()).alias("unrated"))
+        F.max(F.isnan("Rating") | F.col("Rating").isNull()).alias("unrated"), by_place.alias("r")).select(
+        "UId", "n", "items", "unrated",
+        F.aggregate("r", F.struct(F.lit(True).alias("ok"), F.lit(float("inf")).alias("last"), F.lit(0).alias("at")),
+                    lambda s, x: F.struct((s["ok"] & (x["Rating"] <= s["last"]) & (x["position"] == s["at"] + 1)).alias("ok"),
+                                          x["Rating"].alias("last"), x["position"].alias("at")), lambda s: s["ok"]).alias("falling"))
+
+
+@query("als_topk_pairs")
+def als_topk_pairs(spark, sf):
+    """All pairs of users and items, and whether the exact search for each user's best item scored fewer.
+
+    Blocks of ten items, as the tables hold about a hundred; for ten items of a hundred the norms exclude next to nothing."""
+    model, _ = _als(spark, sf)
+    rounds = M.pruned_search(model, 1, block_items=10).rounds.agg(F.sum("pairs").alias("scored"))
+    users = model.users.agg(F.count(F.lit(1)).alias("users"))
+    items = model.items.agg(F.count(F.lit(1)).alias("items"))
+    return users.join(items).join(rounds).select((F.col("users") * F.col("items")).alias("all_pairs"),
+                                                 (F.col("scored") < F.col("users") * F.col("items")).alias("fewer"))
+
+
+@query("als_solved")
+def als_solved(spark, sf):
+    """Per trained user: its ratings, and whether its factors solve the normal equations of the last half-step."""
+    s = M.hash_split(_ratings(Tables(spark, sf)))
+    train = s.where(F.col("part") == "train").drop("part")
+    return M.normal_residuals(M.fit_als(train, seed=42), train).select("UId", "n_ratings", (F.col("residual") < 1e-5).alias("solved"))
+
+
+@query("als_rmse_recomputed")
+def als_rmse_recomputed(spark, sf):
+    """Held-out rows, and whether the error recomputed from the factors is the printed one."""
+    model, test = _als(spark, sf)
+    own = M.rmse(M.dot_predictions(model, test)).select("n", F.col("rmse").alias("own"))
+    return own.join(M.rmse(M.predict(model, test)).select("rmse")).select(
+        "n", (F.abs(F.col("own") - F.col("rmse")) <= F.col("rmse") * 1e-5).alias("agrees"))
 
 
 @query("recs_preview_rows")
