@@ -385,7 +385,7 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 # ---------------------------------------------------------------- two hops
 
 def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
-                    first_hop: DataFrame | None = None) -> DataFrame:
+                    first_hop: DataFrame | None = None, second_hop: DataFrame | None = None) -> DataFrame:
     """(id, sn_id, sn_rank, count, weight) for every path id -> b -> sn_id.
 
     ``count`` is the number of such paths with parallel follows multiplied
@@ -397,11 +397,11 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
     replicated over the buckets of its out-edges, cut the same way, and vice versa.
     So a cell holds about ``min_rows`` paths, however large the hub.  All others
     are grids of one cell, in the same join.  ``first_hop`` restricts the first edge
-    (a subset of ``medges``, e.g. one batch of sources).
+    (a subset of ``medges``, e.g. one batch of sources), ``second_hop`` the second.
     """
     e1 = (medges if first_hop is None else first_hop).select(
         F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
-    e2 = (medges.join(ranked.select(F.col("id").alias("dstId"), F.col("rank").alias("rank_c")), "dstId")
+    e2 = ((medges if second_hop is None else second_hop).join(ranked.select(F.col("id").alias("dstId"), F.col("rank").alias("rank_c")), "dstId")
           .select(F.col("srcId").alias("b"), F.col("dstId").alias("c"), F.col("m").alias("m2"), "rank_c"))
     deg_in = medges.groupBy(F.col("dstId").alias("b")).agg(F.count(F.lit(1)).alias("_i"))
     deg_out = medges.groupBy(F.col("srcId").alias("b")).agg(F.count(F.lit(1)).alias("_o"))

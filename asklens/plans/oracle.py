@@ -166,6 +166,11 @@ ORACLE["core_subgraph_edges"] = _with(*GRAPH, *RANKS, RANKED, CORE, *subgraph_ct
 SELECT srcId, dstId FROM edges
 WHERE srcId IN (SELECT id FROM nodes) AND dstId IN (SELECT id FROM nodes)"""
 
+ORACLE["follow_recommend_tiered"] = ORACLE["follow_recommend"]
+
+ORACLE["follow_recommend_paths"] = _with(*GRAPH, *RANKS, TWO_HOP) + """
+SELECT sum("count")::BIGINT AS total_paths, true AS fewer FROM two_hop"""
+
 ORACLE["recommend_subgraph_edges"] = _with(*GRAPH, *RANKS, RANKED, TWO_HOP, RECOMMEND, CORE,
                                            *subgraph_ctes("rec")) + """
 SELECT srcId, dstId FROM rec

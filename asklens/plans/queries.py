@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from asklens.functions import text as X
 from asklens.operators import counts
+from asklens.operators.best_two_hop import best_two_hop
 from asklens.operators import crawl as C
 from asklens.operators import graph as G
 from asklens.operators import profiles as P
@@ -148,6 +149,21 @@ def follow_recommend(spark, sf):
     return G.follow_recommend(G.two_hop_weights(_ranked_fixed(g), g.medges))
 
 
+@query("follow_recommend_tiered")
+def follow_recommend_tiered(spark, sf):
+    """The same recommendation, paths expanded by tiers of candidates until each user's best is certain."""
+    g = _graph(spark, sf)
+    return best_two_hop(_ranked_fixed(g), g.medges).edges
+
+
+@query("follow_recommend_paths")
+def follow_recommend_paths(spark, sf):
+    """All two-hop paths, and whether the tiers expanded fewer."""
+    g = _graph(spark, sf)
+    found = best_two_hop(_ranked_fixed(g), g.medges)
+    return found.rounds.agg(F.lit(found.total_paths).alias("total_paths"), (F.sum("paths") < F.lit(found.total_paths)).alias("fewer"))
+
+
 @query("follow_recommend_batched")
 def follow_recommend_batched(spark, sf):
     """The same recommendation computed in 4 restartable user batches."""
