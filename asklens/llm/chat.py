@@ -15,7 +15,9 @@ grouping.  So a conversation of any length is cut into blocks of at most ``BLOCK
 computed by itself, the matrices of a conversation's blocks are folded in order (4 x 4 numbers a block; blocks of blocks when there are
 more than ``BLOCK``), and each block is then solved between its known first and last state.  No task ever holds a whole long conversation.
 
-The rendering is one row per turn: the pieces of a conversation, joined in order, are its text.
+The rendering is one row per turn: the pieces of a conversation, joined in order, are its text.  A marker that a turn's
+own text holds is escaped (``<|`` becomes ``<\\|``, and one more backslash where there are some already), so no text can close a
+conversation or open a turn; ``parse`` reads the rendering back.
 
 Defined cases: unknown or null roles are relabelled (no role is kept for free); a null text is an empty one; turns are
 ordered by turn (nulls last), then role and text, so repeated rows follow each other; null conversation ids form one conversation;
@@ -24,6 +26,8 @@ extra columns are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,11 +198,23 @@ def render(repaired: DataFrame) -> DataFrame:
     """``repaired`` with ``piece``: the turn's share of the conversation's text.
 
     A turn is ``<|role|>`` and its text on lines of their own; a merged text follows after a line end;
-    ``<|end|>`` closes a conversation."""
+    ``<|end|>`` closes a conversation; markers inside texts are escaped."""
     def empty(roles):
         return F.concat_ws("", F.transform(roles, lambda r: F.concat(F.lit("<|"), r, F.lit("|>\n\n"))))
 
-    text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), r"<(\\*)\|", r"<$1\\|")  # one backslash more
+    text = F.concat(plain, F.lit("\n"))
     own = F.when(F.col("kind") == "merge", text).otherwise(F.concat(F.lit("<|"), "new_role", F.lit("|>\n"), text))
     end = F.when(F.col("at_end"), F.lit("<|end|>\n")).otherwise(F.lit(""))
     return repaired.withColumn("piece", F.concat(empty(F.col("inserted")), own, empty(F.col("closing")), end))
+
+
+_MARKER = re.compile(r"^<\|(system|user|assistant|end)\|>\n", re.MULTILINE)
+_ESCAPED = re.compile(r"<(\\*)\\\|")
+
+
+def parse(text: str) -> list[tuple[str, str]]:
+    """The (role, text) of a rendered conversation; the texts of merged turns stay joined by a line end."""
+    marks = list(_MARKER.finditer(text))
+    ends = [m.start() for m in marks[1:]] + [len(text)]
+    return [(m.group(1), _ESCAPED.sub(r"<\1|", text[m.end():end - 1])) for m, end in zip(marks, ends) if m.group(1) != "end"]

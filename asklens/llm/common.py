@@ -128,13 +128,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column that tells rows apart, also where ids are null or repeated, and its name.
 
-    The rows of a table that is read straight from Parquet files have one already: their file and place in it, the same
-    in every read.  Any other frame is written once, with numbers."""
+    The rows of a table that is read straight from Parquet files have one already: their file, as a 64-bit hash of its path, and
+    their place in it, the same in every read.  Any other frame is written once, with numbers.  The files' metadata is asked
+    for as such, so a column of its name may stand in the table."""
     row = fresh_name(docs, "row_no")
     plan = docs._jdf.queryExecution().analyzed()
-    if plan.getClass().getSimpleName() == "LogicalRelation" and "parquet" in plan.toString().lower():
-        place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
-        return docs.withColumn(row, place), row
+    if plan.getClass().getSimpleName() == "LogicalRelation":
+        relation = plan.relation()
+        if (relation.getClass().getSimpleName() == "HadoopFsRelation"
+                and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat"):
+            file = docs.metadataColumn("_metadata")
+            place = F.concat_ws("#", F.hex(F.xxhash64(file["file_path"])), file["row_index"].cast("string"))
+            return docs.withColumn(row, place), row
     return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 

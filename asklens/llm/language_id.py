@@ -3,7 +3,8 @@
 Training counts the hashed 1- to ``MAX_N``-grams of every labelled text, task by task in numpy, and sums them in Spark by
 (language, bucket).  The log-probability matrix (languages x buckets) is what goes to the tasks that score: its
 size does not depend on the number of documents, and more than ``MAX_MODEL_BYTES`` is refused.  Scoring is sparse:
-each text gathers only the columns of the n-grams it holds, blocks of texts at a time.
+a text is its buckets that occur and how often, and the sparse counts of a batch of texts are multiplied by the
+matrix together, at most ``BATCH_CELLS`` numbers at a time, however many languages there are and however long a text is.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; null labels do not train; without any
 training text everything is ``und``; a null id is not held out; repeated rows count as often as they occur;
@@ -12,11 +13,11 @@ extra columns are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ BLOCK_CHARS = 1 << 18
 MAX_MODEL_BYTES = 256 << 20
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+BATCH_CELLS = 1 << 21
+
+_LETTER = regex.compile(r"\p{L}")  # the Unicode categories of letters
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -40,10 +43,11 @@ def held_out(id_col: Column, folds: int = 4, fold: int = 2) -> Column:
 def gram_buckets(text: str, max_n: int = MAX_N, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """Bucket numbers of all n-grams of the lower-cased text, n from 1 to ``max_n``, in blocks."""
     shift = np.uint32(32 - (buckets.bit_length() - 1))
+    text = text.lower()  # before it is cut: lower-casing may change the length
     for at in range(0, len(text), BLOCK_CHARS):
         # a block starts max_n - 1 characters early, so that no n-gram across the cut is lost
         back = min(at, max_n - 1)
-        c = np.frombuffer(text[at - back:at + BLOCK_CHARS].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        c = np.frombuffer(text[at - back:at + BLOCK_CHARS].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         h = np.zeros(len(c), dtype=np.uint32)
         for n in range(1, max_n + 1):
             h = (h[:len(c) - n + 1] if n > 1 else h) * _MULTIPLIERS[0] + c[n - 1:] + np.uint32(n)
@@ -93,11 +97,21 @@ def score_texts(texts: list[str | None], languages: list[str], logp: np.ndarray,
     taken as the mean over the text's characters times at most 64 of them, so that long texts do not all read 1.0."""
     total = np.zeros((len(texts), len(languages)))
     blank = np.ones(len(texts), dtype=bool)
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []  # text, its buckets, their counts
+    size, most = 0, max(1, BATCH_CELLS // max(1, len(languages)))
     for i, text in enumerate(texts):
         if text and languages and _LETTER.search(text):
             blank[i] = False
+            counts = np.zeros(len(logp), dtype=np.int64)
             for h in gram_buckets(text, max_n, len(logp)):
-                total[i] += np.take(logp, h, axis=0).sum(axis=0, dtype=np.float64)
+                counts += np.bincount(h, minlength=len(logp))
+            found = np.flatnonzero(counts)
+            held.append((i, found, counts[found]))
+            size += len(found)
+            if size >= most:
+                _multiply(held, logp, total, most)
+                held, size = [], 0
+    _multiply(held, logp, total, most)
     if not languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     best = total.argmax(axis=1)
@@ -108,6 +122,19 @@ def score_texts(texts: list[str | None], languages: list[str], logp: np.ndarray,
     return [UNKNOWN if b else languages[k] for b, k in zip(blank, best)], score
 
 
+def _multiply(held: list[tuple[int, np.ndarray, np.ndarray]], logp: np.ndarray, total: np.ndarray, most: int) -> None:
+    """Add the product of the texts' sparse counts and the matrix to ``total``, ``most`` cells of counts at a time."""
+    if not held:
+        return
+    rows = np.repeat([i for i, _, _ in held], [len(found) for _, found, _ in held])
+    buckets, counts = (np.concatenate([x[k] for x in held]) for k in (1, 2))
+    for at in range(0, len(rows), most):
+        row = rows[at:at + most]
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        cells = logp[buckets[at:at + most]] * counts[at:at + most, None]
+        total[row[starts]] += np.add.reduceat(cells, starts, axis=0)
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
             max_n: int = MAX_N) -> DataFrame:
     """The ``keep`` columns, lang_pred, score.  Only the text is looked at."""

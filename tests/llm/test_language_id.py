@@ -58,3 +58,50 @@ def test_too_many_languages(spark, monkeypatch):
     monkeypatch.setattr(lid, "MAX_MODEL_BYTES", 4 * lid.BUCKETS)
     with pytest.raises(ValueError):
         lid.train(spark.createDataFrame([("a", "x"), ("b", "y")], "lang string, text string"))
+
+
+def test_letters_are_letters(spark):
+    """Numbers and signs that look like words have no letter."""
+    languages, logp = lid.train(spark.createDataFrame([("en", "some words"), ("fr", "des mots")], "lang string, text string"))
+    found, score = lid.score_texts(["½ ²", "①②", "12 ٣ _", "ª", "ʰ漢", "e½"], languages, logp)
+    assert found[:3] == ["und"] * 3 and not score[:3].any() and "und" not in found[3:]
+
+
+def test_letters_that_grow_across_blocks(monkeypatch):
+    text = "İstanbul İİ ŞİŞLİ " * 40
+    whole = sorted(np.concatenate(list(lid.gram_buckets(text))).tolist())
+    for size in (5, 7, 64):
+        monkeypatch.setattr(lid, "BLOCK_CHARS", size)
+        assert sorted(np.concatenate(list(lid.gram_buckets(text))).tolist()) == whole
+
+
+@pytest.mark.parametrize("cells", [1, 100, 1 << 21])
+def test_scores_against_adding_every_gram(docs, spark, monkeypatch, cells):
+    monkeypatch.setattr(lid, "BATCH_CELLS", cells)
+    rows = docs.limit(30).collect()
+    languages, logp = lid.train(docs)
+    texts = [r["text"][:1500] for r in rows] + [None, "", "12 34", "a"]
+    found, score = lid.score_texts(texts, languages, logp)
+    for text, lang, got in zip(texts, found, score):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, got) == ("und", 0)
+            continue
+        total = [0.0] * len(languages)
+        for h in lid.gram_buckets(text):
+            for bucket in h:
+                for k in range(len(languages)):
+                    total[k] += float(logp[bucket, k])
+        gap = [(t - max(total)) * min(len(text), 64) / len(text) for t in total]
+        assert lang == languages[int(np.argmax(total))] and got == pytest.approx(1 / np.exp(gap).sum(), rel=1e-3)
+
+
+def test_many_languages_in_bounded_memory():
+    """A thousand languages and a long text: no more than the batch's cells at a time."""
+    import tracemalloc
+
+    logp = np.zeros((lid.BUCKETS, 1000), dtype=np.float32)
+    tracemalloc.start()
+    lid.score_texts(["word " * 60_000 + " ".join(f"w{i}x" for i in range(60_000))], [str(i) for i in range(1000)], logp)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20

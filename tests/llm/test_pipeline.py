@@ -69,3 +69,22 @@ def test_run_and_empty(spark, none, tmp_path):
     none.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert [re.sub(r"\W", "", n) for n, _ in corpus_pipeline.STAGES] == [n for n, _ in corpus_pipeline.STAGES]
+
+
+def test_a_column_named_like_the_files_metadata(spark, tmp_path):
+    """Tables that hold columns of Spark's own hidden names, read from Parquet and not, keep them through every stage."""
+    path = f"file:{tmp_path}/parquet/documents.parquet"
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = docs.withColumns({"_metadata": F.concat(F.lit("m"), F.col("doc_id").cast("string")), "file_path": F.lit("x"), "row_index": F.lit(1)})
+    odd.write.parquet(path)
+    plain = {}
+    for source in (spark.read.parquet(path), odd.repartition(3), docs):
+        kept = source
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = kept
+            kept = written(stage(spark, before, SF), f"test-meta-{name}")
+            assert kept.columns == source.columns
+            ids = sorted(r["doc_id"] for r in kept.select("doc_id").collect())
+            assert plain.setdefault(name, ids) == ids
+        if "_metadata" in kept.columns:
+            assert all(r["_metadata"] == f"m{r['doc_id']}" for r in kept.collect())
