@@ -31,10 +31,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 MAX_CACHED_CHARS = 64
-SLICE_BYTES = 1 << 23
-GATHER_IDS = 1 << 20
+SLICE_BYTES = 1 << 21
+GATHER_IDS = 1 << 19
 
 # Characters that are visible in every Unicode version: ASCII, Latin, Greek, Cyrillic, kana, CJK, Hangul.
 _VISIBLE = "!-~À-ɏΑ-Ωα-ωЀ-ҁぁ-ゖァ-ヺ一-龥가-힣"
