@@ -96,37 +96,102 @@ def site_root(url_col) -> Column:
     return F.regexp_extract(_c(url_col), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
 
 
+def _without_dots(path: Column, rooted: Column) -> Column:
+    """A path without ``.`` and ``..`` segments and, unless the link was ``rooted``, doubled slashes, as ``urljoin`` does it."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    # the first and the last segment may be empty: a slash at either end
+    inner = F.filter(parts, lambda x, i: rooted | (x != "") | (i == 0) | (i == F.size(parts) - 1))
+    kept = F.aggregate(inner, F.array().cast("array<string>"), lambda out, x: F.when(
+        x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(x == ".", out).otherwise(F.concat(out, F.array(x))))
+    joined = F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    # a ".." above the root takes the root's own empty segment with it
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+
 def absolute_url(href_col, page_url_col) -> Column:
     """A link resolved against its page's URL, like a browser or ``urljoin`` (H20):
     absolute links stay, ``//host/x`` takes the page's scheme, ``/x`` its site,
-    ``?q`` and ``#f`` its path, anything else its directory.  Dot segments
-    (``../``) are kept as written."""
+    ``?q`` and ``#f`` its path, anything else its directory.  Dot segments (``../``)
+    and, where the directory is taken, doubled slashes are removed."""
     href, url = _c(href_col), _c(page_url_col)
     no_frag = F.regexp_replace(url, "#.*$", "")
     no_query = F.regexp_replace(url, "[?#].*$", "")
-    directory = F.when(no_query.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]+$"), F.concat(no_query, F.lit("/"))) \
-        .otherwise(F.regexp_extract(no_query, r"^(.*/)", 1))
+    root = site_root(url)
+    directory = F.regexp_replace(F.substring(no_query, F.length(root) + 1, F.length(no_query)), "[^/]*$", "")
+    path = F.regexp_extract(href, "^([^?#]*)", 1)
+    rest = F.substring(href, F.length(path) + 1, F.length(href))
+    merged = F.when(path.startswith("/"), path).otherwise(
+        F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), path))
+    tidy = F.when(merged.rlike(r"//|(?:^|/)\.\.?(?:/|$)"), _without_dots(merged, path.startswith("/"))).otherwise(merged)
     return (F.when(href.rlike(SCHEME), href)
             .when(href.startswith("//"), F.concat(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
-            .when(href.startswith("/"), F.concat(site_root(url), href))
             .when(href == "", url)
             .when(href.startswith("?"), F.concat(no_query, href))
             .when(href.startswith("#"), F.concat(no_frag, href))
-            .otherwise(F.concat(directory, href)))
-
-
+            .otherwise(F.concat(root, tidy, rest)))
+
+
+# The HTML names of the characters U+00A0 to U+00FF, in order, and of some others.
+LATIN_1 = (
+    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr deg plusmn sup2 sup3 acute micro para "
+    "middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil Egrave Eacute "
+    "Ecirc Euml Igrave Iacute Icirc Iuml ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave Uacute Ucirc Uuml "
+    "Yacute THORN szlig agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml igrave iacute icirc iuml "
+    "eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml yacute thorn yuml").split()
+OTHER_NAMES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "AMP": "&", "LT": "<", "GT": ">", "QUOT": '"', "OElig": "Œ", "oelig": "œ",
+    "Scaron": "Š", "scaron": "š", "Yuml": "Ÿ", "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009", "zwnj": "\u200c",
+    "zwj": "\u200d", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚", "ldquo": "“", "rdquo": "”",
+    "bdquo": "„", "bull": "•", "hellip": "…", "lsaquo": "‹", "rsaquo": "›", "euro": "€", "trade": "™"}
+ENTITY = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,7};|(?:amp|lt|gt|quot)(?![A-Za-z0-9]))"
+
+
+def unescape(col) -> Column:
+    """Character references decoded: decimal, hexadecimal, and the names of Latin-1 and of common marks; others stay."""
+    c = _c(col)
+    names = {name: chr(160 + i) for i, name in enumerate(LATIN_1)} | OTHER_NAMES
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
+    def one(e: Column) -> Column:
+        body = F.regexp_replace(e, "[&;]", "")
+        number = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10)).when(
+            body.startswith("#"), F.substring(body, 2, 8)).cast("int")
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        legal = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        return F.when(legal, char).when(number.isNotNull(), F.lit("\ufffd")).otherwise(F.coalesce(F.try_element_at(known, body), e))
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), one)
+    return F.when(c.contains("&"), F.array_join(F.flatten(F.zip_with(
+        F.split(c, ENTITY, -1), found, lambda text, char: F.array(text, F.coalesce(char, F.lit(""))))), "")).otherwise(c)
+
+
+# What a page's parser does not look into: comments, scripts, styles.
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s>/])[^>]*>.*?(?:</\1\s*>|\z)"
+# A tag's attributes: a ">" between quotes does not end the tag.
+ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 # Anchor in any case, its href anywhere among the attributes and quoted either way or not; elements inside.
-ANCHOR = r"""(?is)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)[^>]*>(.*?)</a\s*>"""
+ANCHOR = rf"(?is)<a(?=[\s/>])({ATTRIBUTES})>(.*?)</a\s*>"
+TAG = rf"(?is)</?[a-z](?:{ATTRIBUTES})>"
+ATTRIBUTE = r"""(?is)[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def anchors(html_col) -> Column:
-    """array<struct<href, text>> of the anchors of a page, in page order; the text without its elements."""
+    """array<struct<href, text>> of the anchors of a page that have an href, in page order; the text without its elements.
+
+    Comments, scripts and styles are not read, a ``>`` in a quoted attribute ends nothing, character
+    references are decoded in link and text.  The page is searched once; the parts come from each anchor alone."""
     h = _c(html_col)
-    href = F.transform(F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(1)),
-                       lambda x: F.regexp_replace(x, r"""^["']|["']$""", ""))
-    text = F.transform(F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(2)),
-                       lambda x: F.regexp_replace(x, r"<[^>]*>", ""))
-    return F.arrays_zip(href.alias("href"), text.alias("text"))
+    readable = F.when(h.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(h, UNREAD, "")).otherwise(h)
+
+    def href(anchor: Column) -> Column:
+        pairs = F.regexp_extract_all(F.regexp_extract(anchor, ANCHOR, 1), F.lit(ATTRIBUTE), F.lit(0))
+        own = F.get(F.filter(pairs, lambda x: x.rlike(r"(?is)^href\s*=")), F.lit(0))
+        return F.regexp_replace(F.regexp_replace(own, r"(?is)^href\s*=\s*", ""), r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2")
+
+    found = F.transform(F.regexp_extract_all(readable, F.lit(ANCHOR), F.lit(0)), lambda a: F.struct(
+        unescape(href(a)).alias("href"), unescape(F.regexp_replace(F.regexp_extract(a, ANCHOR, 2), TAG, "")).alias("text")))
+    return F.filter(found, lambda x: x["href"].isNotNull())
 
 
 def encode_record(*pairs: tuple[str, Column]) -> Column:

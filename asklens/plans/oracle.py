@@ -389,13 +389,22 @@ SELECT l_orderkey, l_linenumber, concat('u', l_suppkey) AS token FROM follows"""
 ORACLE["page_link_extract"] = """
 WITH a AS (
   SELECT page_id, url, list_transform(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1),
-             lambda h: CASE WHEN page_id % 9 = 4 AND starts_with(h, '/') THEN '/people' || h ELSE h END) AS hrefs,
-         regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS texts
+             lambda h: CASE WHEN page_id % 10 = 5 AND starts_with(h, '/') THEN '../x/..' ELSE '' END
+                       || CASE WHEN page_id % 9 = 4 AND starts_with(h, '/') THEN '/people' || h ELSE h END) AS raw_hrefs,
+         list_transform(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1),
+             lambda x: CASE WHEN page_id % 10 = 5 THEN x || ' &amp; éé' ELSE x END) AS raw_texts
   FROM pages),
-b AS (SELECT page_id, url, hrefs, texts, unnest(generate_series(1, len(hrefs))) AS i FROM a)
+d AS (SELECT page_id, url, list_transform(raw_hrefs, lambda x: replace(replace(replace(replace(
+                 x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS hrefs,
+             list_transform(raw_texts, lambda x: replace(replace(replace(replace(
+                 x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS texts FROM a),
+b AS (SELECT page_id, url, hrefs, texts, unnest(generate_series(1, len(hrefs))) AS i FROM d)
 SELECT page_id, (i - 1)::INTEGER AS pos, hrefs[i] AS href, texts[i] AS text,
        CASE WHEN regexp_matches(hrefs[i], '^[A-Za-z][A-Za-z0-9+.-]*:') THEN hrefs[i]
             WHEN starts_with(hrefs[i], '//') THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1), hrefs[i])
+            WHEN starts_with(hrefs[i], '../x/../')
+            THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), regexp_replace('/' || regexp_extract(
+                 regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]+/(.*/)?[^/]*$', 1), '[^/]+/$', ''), substr(hrefs[i], 9))
             WHEN starts_with(hrefs[i], '/')
             THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), hrefs[i])
             WHEN hrefs[i] = '' THEN url

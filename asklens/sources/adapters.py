@@ -343,15 +343,19 @@ def api_follow_pages(t: Tables) -> DataFrame:
 
 
 def link_pages(t: Tables) -> DataFrame:
-    """(page_id, url, html): the pages, their anchors written in five ordinary ways by residue class of the page.
+    """(page_id, url, html): the pages, their anchors written in six ordinary ways by residue class of the page.
 
-    The links and their texts stay what they are; every ninth page links to people instead."""
+    The links and their texts stay what they are; every ninth page links to people instead, and every tenth writes its links
+    with dot segments, a ``>`` in an attribute and character references, beside anchors in a comment and a script."""
     k = F.col("page_id")
     people = F.when(k % 9 == 4, F.regexp_replace("html", '<a href="/', '<a href="/people/')).otherwise(F.col("html"))
     html = (F.when(k % 5 == 1, F.regexp_replace(people, '<a href="', '<a class="x" data-n=1 href="'))
             .when(k % 5 == 2, F.regexp_replace(people, '<a href="([^"\']*)"', "<a href='$1' rel=nofollow"))
             .when(k % 5 == 3, F.regexp_replace(people, '<a href="([^"]*)">([^<]*)</a>', '<A\nHREF = "$1">$2</A >'))
             .when(k % 5 == 4, F.regexp_replace(people, '<a href="([^"]*)">([^<]*)</a>', '<a href="$1"><b>$2</b></a>'))
+            .when(k % 10 == 5, F.concat(
+                F.lit("""<!-- <a href="/no">no</a> --><script>var a = "<a href='/no'>no</a>";</script>"""),
+                F.regexp_replace(F.regexp_replace(people, '<a href="/', '<a title="a>b" href="../x/../'), "</a>", " &amp; &eacute;&#xe9;</a>")))
             .otherwise(people))
     return t.pages.select("page_id", "url", html.alias("html"))
 

@@ -163,7 +163,9 @@ def test_quarantine_unreadable_values(spark):
 def test_absolute_url_matches_urljoin(spark):
     from urllib.parse import urljoin
     bases = ["https://a.b/x/y?z=1#f", "http://a.b", "https://a.b/dir/", "http://a.b/p.html#top"]
-    hrefs = ["/p", "q.html", "//c.d/e", "https://e.f/g", "?k=2", "#s", "", "sub/t"]
+    hrefs = ["/p", "q.html", "//c.d/e", "https://e.f/g", "?k=2", "#s", "", "sub/t", "../q", "./q", "../../../q?x=../y#../z", "a/../b/./c/", "..", ".",
+             "/x/../y", "/../..", "a/..", "//c.d/x/../y", "https://e.f/a/../b", "...", "..a/b..", "a//b", "/a//b/", "a/./", "x/../../..//y"]
+    bases += ["https://a.b/x/y/z/w", "https://a.b/x//y/z", "https://a.b/", "https://a.b/../x/"]
     rows = [(b, h) for b in bases for h in hrefs]
     df = spark.createDataFrame(rows, "url string, href string")
     got = [r[0] for r in df.select(X.absolute_url("href", "url")).collect()]
@@ -178,3 +180,22 @@ def test_strip_tags_unicode_class_edges(spark):
     df = spark.createDataFrame(list(enumerate(samples)), "i int, s string")
     got = [r[0] for r in df.orderBy("i").select(X.strip_tags("s")).collect()]
     assert got == [re.sub(PY_TAG, "", s) for s in samples]
+
+
+def test_links_as_a_parser_reads_them(spark):
+    html = ("<!-- <a href='/no'>no</a> --><script>x = \"<a href='/no'>no</a>\"</script><style>a{}</style><A title='a > b' HREF='/people/t&amp;j'>Tom &amp; "
+            "J&eacute;r&#244;me &lt;b&gt; <img alt='>'>&#x1F600;&nope; &#0; &amp more</A><a title=\"href='/x'\" data-href=/y href=/z?a=1&amp;b=2>z</a>"
+            "<a name=anchor>no link</a><a href=''>empty</a><abbr href=/no>no</abbr><!-- <a href='/no'>no</a>")
+    pages = spark.createDataFrame([(1, "https://h/x/y", html)], "page_id long, url string, html string")
+    got = [(r["href"], r["text"]) for r in P.page_links(pages).collect()]
+    assert got == [("/people/t&j", "Tom & Jérôme <b> \U0001F600&nope; \ufffd & more"), ("/z?a=1&b=2", "z"), ("", "empty")]
+
+
+def test_names_of_characters(spark):
+    from html import unescape
+
+    names = [*X.LATIN_1, *X.OTHER_NAMES]
+    texts = [f"a&{n};b" for n in names] + ["&#65;&#x42;", "&#8364;", "&#55296;", "&", "&;", "&#;", "a&amp;lt;", "no reference", "", "&amp;amp;"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    got = [r[0] for r in df.orderBy("i").select(X.unescape("s")).collect()]
+    assert got == [unescape(t) for t in texts]
