@@ -94,6 +94,8 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
     ids = read_collection(spark, id_map, in_fmt, "_id string, urlToken string, UId string")
     rated = R.action_rating(R.weighted_actions(acts), R.followed_questions(docs))
     new = R.to_ratings(rated, ids)
+    # ids beyond 64 bits have no place in the ratings: each run leaves them in a table of their own
+    IO.save(R.rejected_ratings(rated, ids), os.path.join(out, "rejected_ratings"), fmt, "overwrite")
     # every run writes a new version beside the last one; a version counts once its write is finished
     version, old = last_ratings(spark, out, fmt)
     merged = new if old is None else R.upsert(old, new)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asklens.functions.text import tolerant_int
+from asklens.functions.text import tolerant_int, too_large_int
 
 # Rating weights.  A question the user follows rates 5; answer
 # actions: approve 1, collect 1.5, anything else (publish, comment, ...) 2.5.
@@ -103,7 +103,22 @@ def to_ratings(rated: DataFrame, idmap: DataFrame) -> DataFrame:
         F.max_by(F.col("rate").cast("double"), F.struct("userUrlToken", "questionId")).alias("rate"))
 
 
+def rejected_ratings(rated: DataFrame, idmap: DataFrame) -> DataFrame:
+    """(userUrlToken, questionId, UId, rate): what ``to_ratings`` cannot hold, as an id is an integer of more than 64 bits."""
+    ids = first_match(idmap).select(F.col("urlToken").alias("userUrlToken"), "UId")
+    rows = rated.join(ids, "userUrlToken").select("userUrlToken", "questionId", "UId", "rate")
+    held = tolerant_int(F.col("questionId")).isNotNull(), tolerant_int(F.col("UId")).isNotNull()
+    large = too_large_int(F.col("questionId")), too_large_int(F.col("UId"))
+    return rows.where((large[0] | large[1]) & (held[0] | large[0]) & (held[1] | large[1]))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys=("UId", "QId")) -> DataFrame:
-    """Insert-or-replace on ``keys`` (A10): new rows, plus old rows no new row replaces."""
+    """Insert-or-replace on ``keys`` (A10): new rows, plus old rows no new row replaces.  Two new rows of
+    one key are an error: nothing says which of them is to stay."""
     keys = list(keys)
-    return new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
+    rest = [c for c in new.columns if c not in keys]
+    twice = F.raise_error(F.lit(f"two new rows with the same {', '.join(keys)}"))
+    one = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(1).alias("__one"), *rest)).alias("__row"))
+    one = one.where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(twice.cast("boolean"))).select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
+    one = one.select(*new.columns)
+    return one.unionByName(old.join(one.select(*keys), keys, "left_anti"))

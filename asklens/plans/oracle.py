@@ -113,6 +113,14 @@ SELECT lpad(hex(c_custkey), 24, '0') AS _id, school FROM edu_kept"""
 
 ORACLE["vertex_ids"] = _with(FOLLOWS, VERTICES) + "SELECT id, node FROM vertices"
 
+ORACLE["vertex_dictionary"] = _with(FOLLOWS, """first AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY node) - 1)::BIGINT AS id, node FROM (
+    SELECT src AS node FROM follows WHERE o_custkey % 2 = 0 UNION SELECT dst FROM follows WHERE o_custkey % 2 = 0))""") + """
+SELECT id, node, 1 AS version FROM first
+UNION ALL
+SELECT (SELECT count(*) FROM first) + row_number() OVER (ORDER BY node) - 1, node, 2 FROM (
+  SELECT src AS node FROM follows UNION SELECT dst FROM follows) WHERE node NOT IN (SELECT node FROM first)"""
+
 ORACLE["follow_edges"] = _with(FOLLOWS, VERTICES, EDGES) + "SELECT srcId, dstId, relation FROM edges"
 
 ORACLE["in_degree"] = _with(*GRAPH) + """
@@ -265,6 +273,11 @@ t AS (
 SELECT event_id, TRY_CAST(trim(qtext) AS BIGINT) AS id FROM t
 WHERE regexp_matches(qtext, {INT_RE}) AND TRY_CAST(trim(qtext) AS BIGINT) IS NOT NULL"""
 
+ORACLE["too_large_ids"] = """
+WITH k AS (SELECT event_id, json_extract_string(props, '$.k') || repeat('0', 19) AS k FROM events WHERE event_id % 8 = 7)
+SELECT event_id, qtext FROM (SELECT event_id, CASE WHEN event_id % 8 = 3 THEN '+' || k ELSE k END AS qtext FROM k)
+WHERE regexp_matches(qtext, '^[+-]?[0-9]+$') AND TRY_CAST(qtext AS HUGEINT) NOT BETWEEN -9223372036854775808 AND 9223372036854775807"""
+
 ORACLE["action_rating"] = _with(ACTIONS, WEIGHTED, ARATING) + """
 SELECT userUrlToken, questionId, rate FROM arating"""
 

@@ -17,6 +17,7 @@ from asklens.functions import text as X
 from asklens.operators import counts
 from asklens.operators.best_two_hop import best_two_hop
 from asklens.operators import crawl as C
+from asklens.operators import dictionary as D
 from asklens.operators import graph as G
 from asklens.operators import profiles as P
 from asklens.operators import ratings as R
@@ -81,6 +82,16 @@ def vertex_ids(spark, sf):
     return _graph(spark, sf).vertices
 
 
+@query("vertex_dictionary")
+def vertex_dictionary(spark, sf):
+    """A dictionary grown by two loads: the follows of every second user's orders, then all follows."""
+    pairs = A.follow_pairs(Tables(spark, sf))
+    nodes = pairs.select(F.col("src"), F.explode(F.array("src", "dst")).alias("node"))
+    path = scratch_path(spark, "vertex-dictionary")
+    D.grow(spark, path, nodes.where(F.substring("src", 2, 20).cast("bigint") % 2 == 0).select("node"))
+    return D.grow(spark, path, nodes.select("node"))
+
+
 @query("follow_edges")
 def follow_edges(spark, sf):
     return _graph(spark, sf).edges()
@@ -228,6 +239,14 @@ def tolerant_int_filter(spark, sf):
     return q.select("event_id", X.tolerant_int("qtext").alias("id")).where(F.col("id").isNotNull())
 
 
+@query("too_large_ids")
+def too_large_ids(spark, sf):
+    """Question ids that Python's ``int`` reads and 64 bits do not hold, as the ratings job's reject table has them."""
+    q = A.question_id_texts(Tables(spark, sf))
+    long = q.withColumn("qtext", F.when(F.col("event_id") % 8 == 7, F.concat("qtext", F.lit("0" * 19))).otherwise(F.col("qtext")))
+    return long.where(X.too_large_int("qtext")).select("event_id", "qtext")
+
+
 @query("action_rating")
 def action_rating(spark, sf):
     return _rated(Tables(spark, sf))
