@@ -31,9 +31,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 150_000
+CACHE_PIECES = 300_000
 MAX_CACHED_CHARS = 64
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 22
 GATHER_IDS = 1 << 19
 
 # Characters that are visible in every Unicode version: ASCII, Latin, Greek, Cyrillic, kana, CJK, Hangul.
