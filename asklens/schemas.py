@@ -97,7 +97,7 @@ ACTION_SCHEMA = T.StructType([
 ])
 
 # Ids are 64-bit here (the reference parses them with Python's unbounded int());
-# ALS renumbers ids that do not fit its 32-bit columns.
+# for ALS, whose columns are 32-bit, ids are always renumbered.
 RATING_SCHEMA = T.StructType([
     T.StructField("UId", T.LongType()),
     T.StructField("QId", T.LongType()),
