@@ -7,7 +7,7 @@ partitioned like the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,32 +30,41 @@ def embedded_user_json(pages: DataFrame, url: str = "url", body: str = "body") -
                         F.element_at(data["initialState"]["entities"]["users"], tok).alias("json"))
 
 
-def _missing_keys(json_col):
-    keys = F.coalesce(F.json_object_keys(json_col), F.array().cast("array<string>"))
-    required = F.array(*[F.lit(k) for k in PROFILE_SCALAR_KEYS + ["business", "locations", "educations"]])
-    business_keys = F.coalesce(F.json_object_keys(F.get_json_object(json_col, "$.business")),
-                               F.array().cast("array<string>"))
-    return F.size(F.array_except(required, keys)) + F.when(
-        F.array_contains(business_keys, "name"), 0).otherwise(1)
+REQUIRED_KEYS = PROFILE_SCALAR_KEYS + ["business", "locations", "educations"]
+# as RAW_PROFILE_SCHEMA, but business keeps its keys: one without a name is not one whose name is null
+_PARSED = T.StructType([T.StructField("business", T.MapType(T.StringType(), T.StringType())) if f.name == "business" else f
+                        for f in RAW_PROFILE_SCHEMA])
+# what tells a readable record from another
+_CHECKED = T.StructType([f for f in _PARSED if f.name in ("business", "description", "locations", "educations")])
 
 
-def _unreadable(json_col):
-    """Values the flattener cannot read even though the key is there: a null
-    description (tag stripping needs text), null locations or educations (they
+def _parsed(raw: DataFrame, json: str, schema: T.StructType) -> DataFrame:
+    """Adds ``_u``, the record by ``schema``, and ``_keys``, its keys.  A record is parsed once for each: what the generator
+    makes is a column, so a later filter on it is not pushed below and parsed again."""
+    record = F.struct(F.from_json(F.col(json), schema).alias("u"), F.json_object_keys(F.col(json)).alias("keys"))
+    rows = raw.select("*", F.explode(F.array(record)).alias("_r"))
+    return rows.select(*raw.columns, F.col("_r.u").alias("_u"), F.col("_r.keys").alias("_keys"))
+
+
+def _readable() -> Column:
+    """Whether the flattener can read ``_u``: every key is there, business holds a name, and no value it needs is unusable: a
+    null description (tag stripping needs text), null locations or educations (they
     are iterated), or a kept education whose school or major has no name."""
-    u = F.from_json(json_col, RAW_PROFILE_SCHEMA)
+    u = F.col("_u")
+    whole = F.size(F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.col("_keys"))) == 0
     kept = F.filter(u["educations"], lambda e: e["school"].isNotNull() & e["major"].isNotNull())
     nameless = F.exists(kept, lambda e: e["school"]["name"].isNull() | e["major"]["name"].isNull())
-    return (u["description"].isNull() | u["locations"].isNull() | u["educations"].isNull()
-            | F.coalesce(nameless, F.lit(False)))
+    ok = (whole & F.map_contains_key(u["business"], F.lit("name")) & u["description"].isNotNull() & u["locations"].isNotNull()
+          & u["educations"].isNotNull() & ~F.coalesce(nameless, F.lit(False)))
+    return F.coalesce(ok, F.lit(False))
 
 
 def quarantine(raw: DataFrame, json: str = "json") -> DataFrame:
     """Adds ``status``: 'ok', or 'ERROR' when the flattener would fail on the record:
     a key it reads is absent or a value it reads is unusable (one failure sends the
     whole record to the error side, B12)."""
-    bad = F.col(json).isNull() | (_missing_keys(F.col(json)) > 0) | _unreadable(F.col(json))
-    return raw.withColumn("status", F.when(bad, "ERROR").otherwise("ok"))
+    status = F.when(_readable(), "ok").otherwise("ERROR").alias("status")
+    return _parsed(raw, json, _CHECKED).select(*raw.columns, status)
 
 
 def flatten_profile(raw: DataFrame, json: str = "json") -> DataFrame:
@@ -65,9 +74,7 @@ def flatten_profile(raw: DataFrame, json: str = "json") -> DataFrame:
     its name, ``locations`` keeps named elements, ``educations`` keeps elements
     that have both a school and a major.
     """
-    ok = quarantine(raw, json).where(F.col("status") == "ok")
-    u = F.from_json(F.col(json), RAW_PROFILE_SCHEMA)
-    p = ok.select(u.alias("u"))
+    p = _parsed(raw.select(json), json, _PARSED).where(_readable()).select(F.col("_u").alias("u"))
     locs = F.transform(F.filter("u.locations", lambda x: x["name"].isNotNull()), lambda x: x["name"])
     edus = F.transform(
         F.filter("u.educations", lambda e: e["school"].isNotNull() & e["major"].isNotNull()),
@@ -80,7 +87,7 @@ def flatten_profile(raw: DataFrame, json: str = "json") -> DataFrame:
         X.strip_tags(F.col("u.description")).alias("description"),
         F.col("u.gender").alias("gender"), F.col("u.badge").alias("badge"),
         *[F.col(f"u.{c}").alias(c) for c in PROFILE_COUNTERS],
-        F.col("u.business.name").alias("business"),
+        F.col("u.business")["name"].alias("business"),
         locs.alias("locations"), edus.alias("educations"))
 
 

@@ -20,7 +20,8 @@ def _with(*ctes: str) -> str:
 
 EDU = """edu AS (
   SELECT o_custkey AS c_custkey, nullif(o_orderpriority, '5-LOW') AS school, o_orderstatus AS major, o_orderkey,
-         ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 20)::BIGINT AS page
+         (o_orderkey::BIGINT % 4294967296 * 1640531527 % 4294967296
+           * ((count(*) OVER (PARTITION BY o_custkey) + 19) // 20) // 4294967296)::BIGINT AS page
   FROM orders)"""
 
 EDU_KEPT = """edu_kept AS (

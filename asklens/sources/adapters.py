@@ -6,9 +6,9 @@ restates each one for the DuckDB check.  Arrays built here are bounded by
 construction, never by a cap on the data:
 
 * ``educations`` holds one (school, major) element per order of a user, none
-  dropped.  A profile document carries at most ``PAGE_SIZE`` of them: a user with
-  more has several documents (page 0, 1, ...), cut by exact positions in order-key order, so a
-  user owning a third of all orders is spread over many small rows.
+  dropped.  A user with more than ``PAGE_SIZE`` of them has several documents (page 0, 1, ...),
+  one for every ``PAGE_SIZE`` orders; a mix of the order's key says to which an order goes, so
+  a user owning a third of all orders is spread over many small rows.
 * a follow document is one page of ``PAGE_SIZE`` follows (the follow-list
   API pages by 20): the lines of an order are numbered in list order
   (line, supplier, part) without a per-order window (``rank_within_group``
@@ -25,6 +25,7 @@ from asklens.sources.tables import Tables
 
 # Fixed values of the adapters (shared with the SQL oracle).
 PAGE_SIZE = 20  # follows per follow document (one API page)
+PAGE_SPACE, PAGE_MIX = 1 << 32, 1640531527  # of an order's page of educations
 HOST = "https://www.example.com"
 
 
@@ -51,16 +52,23 @@ def _counter(i: int) -> Column:
 EDUCATIONS = "array<struct<school:string,major:string>>"
 
 
+def _mixed(key: Column) -> Column:
+    """An integer key spread over 0 .. 2^32 - 1 (multiplicative mixing; 64-bit arithmetic does not overflow)."""
+    return key.cast("long") % F.lit(PAGE_SPACE) * F.lit(PAGE_MIX) % F.lit(PAGE_SPACE)
+
+
 def _educations(t: Tables) -> DataFrame:
-    """(c_custkey, page, educations): one element per order, at most PAGE_SIZE a page, in order-key order."""
-    from asklens.operators.graph import rank_within_group
+    """(c_custkey, page, educations): one element per order in order-key order, about PAGE_SIZE a page.
 
+    The number of a user's pages comes from one count with map-side combine; the page of an
+    order from its own key, so no order has to know its position among the others."""
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey",
                              F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("school"),
                              F.col("o_orderstatus").alias("major"))
-    placed = rank_within_group(orders, "c_custkey", "o_orderkey", "_pos")
-    pages = (placed.groupBy("c_custkey", F.floor(F.col("_pos") / PAGE_SIZE).cast("long").alias("page"))
-             .agg(F.array_sort(F.collect_list(F.struct("_pos", "school", "major"))).alias("e")))
+    per_user = orders.groupBy("c_custkey").agg(F.ceil(F.count(F.lit(1)) / PAGE_SIZE).alias("_pages"))
+    page = F.shiftright(_mixed(F.col("o_orderkey")) * F.col("_pages"), 32).alias("page")
+    pages = (orders.join(per_user, "c_custkey").groupBy("c_custkey", page)
+             .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "school", "major"))).alias("e")))
     return pages.select("c_custkey", "page", F.transform("e", lambda x: F.struct(
         x["school"].alias("school"), x["major"].alias("major"))).alias("educations"))
 
