@@ -116,7 +116,7 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
 def stream_service(spark: SparkSession, input_dir: str, out: str, interval: str = "3 seconds") -> None:
     qs = S.start_service(spark, input_dir, out, trigger={"processingTime": interval})
     try:
-        spark.streams.awaitAnyTermination()
+        qs[0].awaitTermination()
     finally:
         for q in qs:
             q.stop()

@@ -485,6 +485,13 @@ ORACLE["stream_business_count"] = ORACLE["business_count"]
 ORACLE["stream_school_count"] = ORACLE["school_count"]
 ORACLE["stream_drip_count"] = ORACLE["school_count"]
 
+# a user with several pages of educations has a profile document for each
+ORACLE["stream_service_counts"] = _with(EDU, EDU_KEPT) + """
+SELECT 'count_schools' AS count_of, school AS key, count(*)::BIGINT AS "count" FROM edu_kept GROUP BY school
+UNION ALL
+SELECT 'count_businesses', nullif(c_mktsegment, 'FURNITURE'), count(*)
+FROM customer LEFT JOIN (SELECT DISTINCT c_custkey, page FROM edu) USING (c_custkey) GROUP BY 2"""
+
 ORACLE["incremental_export"] = """
 SELECT lpad(hex(c_custkey), 24, '0') AS _id, c_name AS name, nullif(c_mktsegment, 'FURNITURE') AS business
 FROM customer WHERE c_custkey % 3 <> 0"""

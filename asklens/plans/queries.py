@@ -7,6 +7,8 @@ rounded to 6 decimals at the very end so results compare across engines.
 
 from __future__ import annotations
 
+import os
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -595,3 +597,14 @@ def stream_drip_count(spark, sf):
     ss = _stream_session(spark)
     src = S.profile_stream(ss, path, max_files_per_trigger=max(1, n_files // 4))
     return S.run_once(ss, counts.school_count(src), "drip_schools", scratch_path(spark, "stream-drip"))[0]
+
+
+@query("stream_service_counts")
+def stream_service_counts(spark, sf):
+    """Both sinks of the service (one pass over the profile files): (count_of, key, count)."""
+    out = scratch_path(spark, "stream-service")
+    for q in S.start_service(spark, _profile_json_dir(spark, sf, True), out, {"availableNow": True}, default_parallelism(spark)):
+        q.awaitTermination()
+    tables = [spark.read.parquet(os.path.join(out, name, "table")).select(
+        F.lit(name).alias("count_of"), F.col(column).alias("key"), "count") for name, column in S.SERVICE_COUNTS.items()]
+    return tables[0].unionByName(tables[1])

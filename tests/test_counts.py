@@ -121,3 +121,36 @@ def test_archive_moves_processed_files(spark):
     src = S.profile_stream(spark, src_dir, archive_dir=arch)
     out, q = S.run_once(spark, counts.business_count(src), "t_arch", scratch_path(spark, "arch-q"))
     assert {r["business"]: r["count"] for r in out.collect()} == {"IT": 4}
+
+
+def test_tagged_counts_equal_the_two_counts(spark):
+    df = spark.read.schema(PROFILE_SCHEMA).json(_profiles(spark))
+    got = sorted(((r["tag"], r["key"], r["count"]) for r in S.tagged_counts(df).collect()), key=str)
+    want = [("count_schools", r["school"], r["count"]) for r in counts.school_count(df).collect()]
+    want += [("count_businesses", r["business"], r["count"]) for r in counts.business_count(df).collect()]
+    assert got == sorted(want, key=str)
+    assert S.tagged_counts(df.where("false")).count() == 0
+
+
+def test_service_reads_each_file_once_and_resumes(spark):
+    src, out = scratch_path(spark, "service-in"), scratch_path(spark, "service-out")
+
+    def add(names):
+        rows = [json.dumps({"_id": n, "business": "IT", "educations": [{"school": n, "major": "m"}]}) for n in names]
+        spark.createDataFrame([(r,) for r in rows], "value string").repartition(3).write.mode("append").text(src)
+
+    def run():
+        q, = S.start_service(spark, src, out, {"availableNow": True}, state_partitions=2, max_files_per_trigger=1)
+        q.awaitTermination()
+        assert q.exception() is None
+        read = sum(p["numInputRows"] for p in q.recentProgress)
+        state = [o["customMetrics"] for p in q.recentProgress for o in p["stateOperators"]]
+        assert any(m.startswith("rocksdb") for metrics in state for m in metrics)
+        school = spark.read.json(os.path.join(out, "count_schools", "snapshot.json"))
+        business = spark.read.parquet(os.path.join(out, "count_businesses", "table"))
+        return read, {r["school"]: r["count"] for r in school.collect()}, {r["business"]: r["count"] for r in business.collect()}
+
+    add(["a", "b", "a"])
+    assert run() == (3, {"a": 2, "b": 1}, {"IT": 3})
+    add(["b", "c"])
+    assert run() == (2, {"a": 2, "b": 2, "c": 1}, {"IT": 5})  # state restored, the first files not read again
