@@ -9,7 +9,7 @@ Inputs are read with their fixed schemas (no inference).  Outputs:
 
 * graph:   vertices (id, node), edges (srcId, dstId, relation), ranks (id, node, rank),
            rank_degrees, recommend (srcId, dstId, relation)
-* ratings: ratings/version-n (UId, QId, rate; the newest version upserted into a new one),
+* ratings: ratings (UId, QId, rate; in buckets, each run upserts into those its rows fall in),
            predictions, recommendations (UId, QId, Rating); the RMSE is printed
 * stream:  per query a table folder and a one-file JSON snapshot, rewritten each trigger
 """
@@ -28,9 +28,12 @@ from asklens.operators import recommend as M
 from asklens.schemas import ACTION_SCHEMA, FOLLOW_DOC_SCHEMA, RATING_SCHEMA
 from asklens.session import apply_scale_conf, ensure_checkpoint_dir, tune_session
 from asklens.sources import io as IO
+from asklens.sources.bucketed import BucketedTable
 from asklens.sources.tables import read_collection
 from asklens.streaming import counts as S
 
+RATING_BUCKETS = 64  # of the ratings table, unless the caller names a number
+
 
 def graph_job(spark: SparkSession, follow_docs: str, out: str, fmt: str = "parquet",
               in_fmt: str = "json", mode: str = "errorifexists", direction: str = "follow",
@@ -69,26 +72,17 @@ def graph_job(spark: SparkSession, follow_docs: str, out: str, fmt: str = "parqu
     table("recommend", lambda: recommend().select("srcId", "dstId", "relation"))
 
 
-def ratings_path(out: str, version: int) -> str:
-    return os.path.join(out, "ratings", f"version-{version:06d}")
-
-
-def last_ratings(spark: SparkSession, out: str, fmt: str = "parquet"):
-    """(number, table) of the newest finished ratings version; (0, None) before the first."""
-    version = 0
-    while IO.complete(spark, ratings_path(out, version + 1)):
-        version += 1
-    if not version:
-        return 0, None
-    return version, spark.read.format(fmt).schema(RATING_SCHEMA).load(ratings_path(out, version))
+def ratings_table(spark: SparkSession, out: str, fmt: str = "parquet", buckets: int = RATING_BUCKETS) -> BucketedTable:
+    return BucketedTable(spark, os.path.join(out, "ratings"), RATING_SCHEMA, ("UId", "QId"), buckets, fmt)
 
 
 def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str, out: str,
                 fmt: str = "parquet", in_fmt: str = "json", seed: int = 42, k: int = M.TOP_K,
-                num_blocks: int = M.ALS_BLOCKS) -> float:
+                num_blocks: int = M.ALS_BLOCKS, rating_buckets: int = RATING_BUCKETS) -> float:
     """Actions + followed questions -> ratings (upserted) -> ALS -> RMSE and top-k per user.
 
-    ``num_blocks``: ALS blocks of users and of items, chosen once for a model (see ``fit_als``)."""
+    ``num_blocks``: ALS blocks of users and of items, chosen once for a model (see ``fit_als``).
+    ``rating_buckets``: buckets of the ratings table, fixed by the first run."""
     docs = read_collection(spark, follow_docs, in_fmt, FOLLOW_DOC_SCHEMA)
     acts = read_collection(spark, actions, in_fmt, ACTION_SCHEMA)
     ids = read_collection(spark, id_map, in_fmt, "_id string, urlToken string, UId string")
@@ -96,11 +90,9 @@ def ratings_job(spark: SparkSession, follow_docs: str, actions: str, id_map: str
     new = R.to_ratings(rated, ids)
     # ids beyond 64 bits have no place in the ratings: each run leaves them in a table of their own
     IO.save(R.rejected_ratings(rated, ids), os.path.join(out, "rejected_ratings"), fmt, "overwrite")
-    # every run writes a new version beside the last one; a version counts once its write is finished
-    version, old = last_ratings(spark, out, fmt)
-    merged = new if old is None else R.upsert(old, new)
-    IO.save(merged, ratings_path(out, version + 1), fmt, "overwrite")
-    _, ratings = last_ratings(spark, out, fmt)
+    table = ratings_table(spark, out, fmt, rating_buckets)
+    table.upsert(new)
+    ratings = table.read()
     train, test = M.random_split(ratings, seed=seed)
     model = M.fit_als(train, seed=seed, num_blocks=num_blocks)
     pred = M.predict(model, test)
@@ -141,6 +133,7 @@ def main(argv=None) -> None:
     r.add_argument("--in-fmt", default="json")
     r.add_argument("--seed", type=int, default=42)
     r.add_argument("--als-blocks", type=int, default=M.ALS_BLOCKS)
+    r.add_argument("--rating-buckets", type=int, default=RATING_BUCKETS)
     s = sub.add_parser("stream")
     s.add_argument("--input", required=True)
     s.add_argument("--out", required=True)
@@ -156,7 +149,7 @@ def main(argv=None) -> None:
                   recommend_batches=args.recommend_batches, resume=args.resume)
     elif args.job == "ratings":
         ratings_job(spark, args.follow_docs, args.actions, args.id_map, args.out, args.fmt, args.in_fmt,
-                    args.seed, num_blocks=args.als_blocks)
+                    args.seed, num_blocks=args.als_blocks, rating_buckets=args.rating_buckets)
     else:
         stream_service(spark, args.input, args.out, args.interval)
 

@@ -294,6 +294,8 @@ UNION ALL
 SELECT UId, QId, round(rate, 6) FROM old o
 WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.UId = o.UId AND n.QId = o.QId)"""
 
+ORACLE["rating_upsert_bucketed"] = ORACLE["rating_upsert"]
+
 ORACLE["hash_split"] = _with(*RATING_CTES, SPLIT) + """
 SELECT UId, QId, round(rate, 6) AS rate, part FROM split"""
 

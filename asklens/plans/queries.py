@@ -8,7 +8,6 @@ rounded to 6 decimals at the very end so results compare across engines.
 from __future__ import annotations
 
 import os
-
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +23,11 @@ from asklens.operators import graph as G
 from asklens.operators import profiles as P
 from asklens.operators import ratings as R
 from asklens.operators import recommend as M
+from asklens.schemas import RATING_SCHEMA
 from asklens.session import default_parallelism, scratch_path
 from asklens.sources import adapters as A
 from asklens.sources import io as IO
+from asklens.sources.bucketed import BucketedTable
 from asklens.sources.tables import Tables
 from asklens.streaming import counts as S
 
@@ -275,6 +276,17 @@ def rating_upsert(spark, sf):
     return rounded(R.upsert(old, new))
 
 
+@query("rating_upsert_bucketed")
+def rating_upsert_bucketed(spark, sf):
+    """``rating_upsert`` through the bucketed table: the first version, then the new rows."""
+    r = _ratings(Tables(spark, sf))
+    mix = (F.col("UId").cast("long") * 7 + F.col("QId")) % 4
+    table = BucketedTable(spark, scratch_path(spark, "ratings-table"), RATING_SCHEMA, buckets=default_parallelism(spark))
+    table.upsert(r.where(mix != 0).withColumn("rate", F.col("rate") - F.lit(1.0)))
+    table.upsert(r.where(mix != 1))
+    return rounded(table.read())
+
+
 @query("hash_split")
 def hash_split(spark, sf):
     return rounded(M.hash_split(_ratings(Tables(spark, sf))))

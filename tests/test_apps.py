@@ -41,14 +41,14 @@ def test_ratings_job_upserts(spark, inputs):
     out = scratch_path(spark, "apps-ratings")
     args = (os.path.join(inputs, "docs"), os.path.join(inputs, "actions"), os.path.join(inputs, "idmap"), out)
     apps.ratings_job(spark, *args)
-    assert apps.last_ratings(spark, out)[0] == 1
-    first = apps.last_ratings(spark, out)[1].count()
+    table = apps.ratings_table(spark, out)
+    assert table.version() == 1
+    first = table.read().count()
     # a version that was not finished does not count and is written again
-    spark.range(3).write.parquet(apps.ratings_path(out, 2))
-    os.remove(os.path.join(apps.ratings_path(out, 2).removeprefix("file:"), "_SUCCESS"))
+    spark.range(3).write.json(table.manifest_path(2))
+    os.remove(os.path.join(table.manifest_path(2).removeprefix("file:"), "_SUCCESS"))
     apps.ratings_job(spark, *args)
-    version, table = apps.last_ratings(spark, out)
-    assert version == 2 and table.count() == first
+    assert table.version() == 2 and table.read().count() == first
     recs = spark.read.parquet(os.path.join(out, "recommendations"))
     assert recs.groupBy("UId").count().agg(F.max("count")).first()[0] <= 10
 
