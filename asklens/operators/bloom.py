@@ -39,26 +39,21 @@ class KeyFilter:
             F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("b")).toArrow()
         self.words = np.zeros(bits // 64, np.int64)
         self.words[words["w"].to_numpy()] = words["b"].to_numpy()
+        self.sent = keys.sparkSession.sparkContext.broadcast(self.words)
         self.fill = int(np.bitwise_count(self.words.view(np.uint64)).sum()) / bits
 
-    def keep(self, df: DataFrame, *keys: str) -> DataFrame:
-        """The rows of which any of ``keys`` may be in the filter; all rows when the filter is full."""
+    def keep(self, df: DataFrame, *keys: str, every: bool = False) -> DataFrame:
+        """The rows of which any of ``keys`` (``every``: each of them) may be in the filter; all rows when the filter is full."""
         if self.fill >= FULL:
             return df
-        sent = df.sparkSession.sparkContext.broadcast(self.words)
+        sent = self.sent
 
         @F.pandas_udf("boolean")
         def may(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             words = sent.value
             for batch in batches:
-                ok = np.ones(len(batch[0]), bool)
-                for p in batch:
-                    at = p.to_numpy(np.int64)
-                    ok &= (words[at >> 6] >> (at & 63)) & 1 == 1
-                yield pd.Series(ok)
+                at = np.stack([p.to_numpy(np.int64) for p in batch])
+                hit = ((words[at >> 6] >> (at & 63)) & 1 == 1).reshape(-1, PROBES, at.shape[1]).all(axis=1)
+                yield pd.Series(hit.all(axis=0) if every else hit.any(axis=0))
 
-        any_key = None
-        for k in keys:
-            one = may(*_positions(F.col(k), self.bits))
-            any_key = one if any_key is None else any_key | one
-        return df.where(any_key)
+        return df.where(may(*[p for k in keys for p in _positions(F.col(k), self.bits)]))

@@ -16,11 +16,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from asklens.operators.bloom import BITS, KeyFilter
 from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
 from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
 RESET = 0.15  # PageRank reset probability
+BROADCAST_NODES = 1_000_000  # ids (8 MB) that a subgraph's semi-joins send to every task
 EDGE_CHUNK = 10_000  # copies of one edge spelled out at a time
 
 
@@ -512,12 +514,20 @@ def core_subgraph_nodes(ranked: DataFrame, edges: DataFrame, n: int = 20) -> Dat
             .where(F.col("id").isNotNull() & F.col("node").isNotNull()))
 
 
-def induced_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges whose two ends are both in ``nodes`` (C9): two semi-joins."""
-    ids = nodes.select("id")
-    return (edges.join(ids, edges["srcId"] == ids["id"], "left_semi")
-            .join(ids, edges["dstId"] == ids["id"], "left_semi")
-            .select("srcId", "dstId"))
+def induced_edges(edges: DataFrame, nodes: DataFrame, broadcast_rows: int = BROADCAST_NODES,
+                  filter_bits: int = BITS) -> DataFrame:
+    """Edges whose two ends are both in ``nodes`` (C9), parallel ones kept: two semi-joins.
+
+    Up to ``broadcast_rows`` distinct nodes go to every task.  Beyond that a key filter of theirs drops
+    most other edges in the scan, on both ends at once, before the joins shuffle them."""
+    ids = nodes.select("id").where("id IS NOT NULL").distinct()
+    ends = edges.select("srcId", "dstId")
+    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        ids = F.broadcast(ids)
+    else:
+        ends = KeyFilter(ids, "id", filter_bits).keep(ends, "srcId", "dstId", every=True)
+    return (ends.join(ids, F.col("srcId") == ids["id"], "left_semi")
+            .join(ids, F.col("dstId") == ids["id"], "left_semi"))
 
 
 def core_subgraph(ranked: DataFrame, edges: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
