@@ -10,13 +10,14 @@ them (out-degree, message weight, two-hop path count).
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asklens.operators.bloom import BITS, KeyFilter
+from asklens.operators.edge_grid import EdgeGrid
 from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
 from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
@@ -284,9 +285,8 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
 
 
 def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4,
-                       reset: float = RESET, max_rounds: int = 10_000, check_every: int = 4,
-                       fold_every: int = 4, min_rows: int = DEFAULT_MIN_ROWS,
-                       max_keys: int = DEFAULT_MAX_KEYS) -> DataFrame:
+                       reset: float = RESET, max_rounds: int = 10_000, fold_every: int = 8,
+                       cell_edges: int | None = None) -> DataFrame:
     """Delta PageRank run until no vertex sends (GraphX ``pageRank(tol)`` semantics).
 
     Every vertex starts with rank = delta = reset.  In each round the vertices
@@ -294,58 +294,31 @@ def pagerank_converged(vertices: DataFrame, medges: DataFrame, tol: float = 1e-4
     delta exceeds ``tol`` send ``delta * m / outdeg`` along each out-edge; a
     receiver adds ``(1-reset) * sum`` to its rank and takes it as its new
     delta.  Round 1 is a plain aggregate of edge weights (every sender sends
-    ``reset``); later senders are receivers, so later rounds spread only along
-    edges whose source has in-edges.  A round without messages makes every
-    later round empty, so termination is tested every ``check_every`` rounds
-    (one action materialises the persisted rounds since the last test) with
-    the same result as testing each round.  Per-round deltas are folded into
-    a running total and checkpointed every ``fold_every`` rounds.
+    ``reset``); later senders are receivers, so later rounds run on the ``EdgeGrid`` of
+    edges whose source has in-edges (``cell_edges``: edges a cell, by default a task's share).
+    ``fold_every`` rounds are one job that ends in the only checkpoint.  A round without messages makes every
+    later round empty, so testing for the end there gives the same result as testing each round.
     """
-    if fold_every % check_every:
-        raise ValueError("fold_every must be a multiple of check_every")
     if reset <= tol:  # nobody ever sends
         return _normalise(_final_ranks(vertices, None, reset, 0.0))
     wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
-    first = wedges.groupBy("dst").agg((F.lit(reset) * F.sum("w")).alias("s"))
-    sp = _Spreader(wedges, min_rows, max_keys, sources=_receivers(medges))
-    acc = None
-    pending: list[DataFrame] = []
-    persisted: list[DataFrame] = []
-    converged = False
-    for i in range(max_rounds):
-        if i == 0:
-            sums = first
-        else:
-            sums = sp.spread(senders.where(F.col("x") > F.lit(tol))).groupBy("dst").agg(F.sum("c").alias("s"))
-        msgs = sums.select(F.col("dst").alias("id"), (F.lit(1.0 - reset) * F.col("s")).alias("d"))
-        last = i + 1 == max_rounds
-        if (i + 1) % fold_every == 0 or last:
-            msgs = checkpoint(msgs)
-        else:
-            msgs = msgs.persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(msgs)
-        pending.append(msgs)
-        senders = msgs.select(F.col("id").alias("src"), F.col("d").alias("x"))
-        if ((i + 1) % check_every == 0 or last) and msgs.isEmpty():
-            converged = True
-            break
-        if len(pending) >= fold_every:
-            parts = ([acc] if acc is not None else []) + pending
-            acc = checkpoint(reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d")))
-            pending = []
-            for p in persisted:
-                p.unpersist()
-            persisted = []
-    if not converged:
-        raise RuntimeError(f"PageRank still sends messages after {max_rounds} rounds (tol={tol})")
-    parts = ([acc] if acc is not None else []) + pending
-    total = (reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("s"))
-             .withColumnRenamed("id", "dst"))
-    ranks = checkpoint(_final_ranks(vertices, total, reset, 1.0))
-    for p in persisted:
-        p.unpersist()
-    sp.release()
+    first = wedges.groupBy(F.col("dst").alias("id")).agg((F.lit(1.0 - reset) * (F.lit(reset) * F.sum("w"))).alias("delta"))
+    grid = EdgeGrid(wedges, cell_edges)
+    state = checkpoint(grid.start(first))
     wedges.unpersist()
+    done, senders = 1, not state.isEmpty()
+    while senders:
+        if done >= max_rounds:
+            raise RuntimeError(f"PageRank still sends messages after {max_rounds} rounds (tol={tol})")
+        rounds = min(fold_every, max_rounds - done)
+        for _ in range(rounds):
+            state = grid.step(state, tol, 1.0 - reset)
+        state = checkpoint(state)
+        done += rounds
+        senders = not state.where("delta IS NOT NULL").isEmpty()
+    total = state.where(F.col("column") == 0).select(F.col("id").alias("dst"), F.col("total").alias("s"))
+    ranks = checkpoint(_final_ranks(vertices, total, reset, 1.0))
+    grid.release()
     return _normalise(ranks)
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asklens.operators import graph as G
+from asklens.operators.edge_grid import EdgeGrid
 from asklens.sources import adapters as A
 from asklens.sources.tables import Tables
 
@@ -32,8 +33,7 @@ def _ranked(g, ranks):
 @pytest.mark.parametrize("hot", [False, True])
 def test_pagerank_converged_matches_graphx(fixture_graph, hot):
     g = fixture_graph
-    kw = {"min_rows": 0, "max_keys": 2} if hot else {}
-    got = _by_node(g, G.pagerank_converged(g.vertices, g.medges, tol=1e-4, **kw), "rank")
+    got = _by_node(g, G.pagerank_converged(g.vertices, g.medges, tol=1e-4, cell_edges=1 if hot else None), "rank")
     assert got.keys() == CONVERGED.keys()
     for k, v in CONVERGED.items():
         assert got[k] == pytest.approx(v, abs=1e-12)
@@ -248,3 +248,35 @@ def test_parallel_follows_in_chunks(spark, monkeypatch):
     assert got == {"ab": 8, "ba": 3, "ca": 1}
     assert {names[r["id"]]: r["in_degree"] for r in g.in_degrees().collect()} == {"a": 4, "b": 8}
     assert {names[r["id"]]: r["out_degree"] for r in g.out_degrees().collect()} == {"a": 8, "b": 3, "c": 1}
+
+
+def test_grid_spreads_a_hub_and_bounds_its_mirrors(spark):
+    # vertex 0 has a third of all edges; all vertices have in-edges
+    rows = [(0, v, 1.0 / 300) for v in range(1, 301)] + [(v, (v * 7 + k) % 301, 0.5) for v in range(1, 301) for k in range(2)]
+    wedges = spark.createDataFrame(rows, "src long, dst long, w double")
+    grid = EdgeGrid(wedges, cell_edges=30)
+    cells = grid.cells.where("w IS NOT NULL").groupBy("id", "column").count().collect()
+    hub = [r["count"] for r in cells if r["id"] == 0]
+    assert len(hub) == 10 and sum(hub) == 300 and max(hub) < 90
+    assert {r["column"] for r in cells if r["id"] != 0} == {0}
+    received = wedges.groupBy(F.col("dst").alias("id")).agg(F.sum("w").alias("delta"))
+    state = grid.start(received)
+    assert state.count() == 301 + 9
+    # every column of the hub holds the same value after a round, equal to a plain sum
+    after = grid.step(state, 0.0, 0.85).where("id = 0").collect()
+    first = {r["id"]: r["delta"] for r in received.collect()}
+    want = 0.85 * sum(first[a] * w for a, b, w in rows if b == 0)
+    assert len(after) == 10 and all(r["delta"] == pytest.approx(want, rel=1e-12) for r in after)
+    assert all(r["total"] == pytest.approx(first[0] + want, rel=1e-12) for r in after)
+    grid.release()
+
+
+def test_rounds_join_the_grid_without_moving_it(spark):
+    wedges = spark.range(1, 200).selectExpr("id AS src", "id * 3 % 200 AS dst", "1.0D AS w")
+    grid = EdgeGrid(wedges)
+    state = grid.start(wedges.groupBy(F.col("dst").alias("id")).agg(F.sum("w").alias("delta")))
+    plan = grid.step(grid.step(state, 0.0, 0.85), 0.0, 0.85)._jdf.queryExecution().executedPlan().toString()
+    for below in plan.split("InMemoryTableScan")[1:]:
+        assert "Exchange" not in below.split("InMemoryRelation", 1)[0]
+    assert plan.count("InMemoryTableScan") == 2  # each round reads the cells once, and the last state once
+    grid.release()
