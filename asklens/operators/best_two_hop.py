@@ -22,7 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asklens.operators.graph import steady, two_hop_weights
+from asklens.operators.graph import two_hop_weights
+from asklens.operators.two_hop_cells import best_candidates
 from asklens.session import checkpoint
 
 #: shares of the candidates, by falling potential, that the tiers end at
@@ -63,9 +64,9 @@ def best_two_hop(ranked: DataFrame, medges: DataFrame, shares: tuple[float, ...]
             break
         here = medges.join(reached.where(F.col("tier") == t).select("dstId"), "dstId")
         first = medges.join(open_users, "srcId", "left_semi")
-        found = two_hop_weights(ranked, medges, first_hop=first.select("srcId", "dstId", "m"),
-                                second_hop=here.select("srcId", "dstId", "m"), **two_hop_options).groupBy("id").agg(
-            F.sum("count").alias("now"), F.max(F.struct(steady(F.col("weight")).alias("w"), (-F.col("sn_id")).alias("minus_id"))).alias("top"))
+        found = best_candidates(two_hop_weights(
+            ranked, medges, first_hop=first.select("srcId", "dstId", "m"),
+            second_hop=here.select("srcId", "dstId", "m"), **two_hop_options)).select("id", F.col("paths").alias("now"), "top")
         state = state.join(found, "id", "left").select(
             "id", "paths", "follows", "parallel", (F.col("seen") + F.coalesce("now", F.lit(0))).alias("seen"),
             F.greatest("best", "top").alias("best"))

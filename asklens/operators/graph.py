@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from asklens.operators.bloom import BITS, KeyFilter
 from asklens.operators.edge_grid import EdgeGrid
 from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
+from asklens.operators.two_hop_cells import BLOCK_EDGES, best_candidates, count_in_cells
 from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
 RESET = 0.15  # PageRank reset probability
 BROADCAST_NODES = 1_000_000  # ids (8 MB) that a subgraph's semi-joins send to every task
 EDGE_CHUNK = 10_000  # copies of one edge spelled out at a time
+SHUFFLED_PATHS = 10_000_000  # two-hop paths that are shuffled rather than counted in cells
 
 
 # ---------------------------------------------------------------- build
@@ -360,35 +362,69 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 # ---------------------------------------------------------------- two hops
 
 def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
-                    first_hop: DataFrame | None = None, second_hop: DataFrame | None = None) -> DataFrame:
+                    first_hop: DataFrame | None = None, second_hop: DataFrame | None = None,
+                    shuffled_paths: float = SHUFFLED_PATHS, block_edges: int = BLOCK_EDGES) -> DataFrame:
     """(id, sn_id, sn_rank, count, weight) for every path id -> b -> sn_id.
 
     ``count`` is the number of such paths with parallel follows multiplied
     (sum of m1 * m2 over middle vertices b), ``weight = sn_rank * count``.
     The rank of the far end is attached to the edge table first (a join over
-    edges, not over paths).  A middle vertex whose path count (in x out) is
+    edges, not over paths).  ``first_hop`` restricts the first edge
+    (a subset of ``medges``, e.g. one batch of sources), ``second_hop`` the second.
+
+    Up to ``shuffled_paths`` paths are joined and shuffled (``_shuffled_counts``).  More are counted where they
+    are made (``count_in_cells``), all but those from a user with more follows, or into a candidate with more
+    second hops, than a task's share: a single cell would get too many, so these are shuffled.
+    """
+    e1 = (medges if first_hop is None else first_hop).select(
+        F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
+    deg_in = e1.groupBy("b").agg(F.count(F.lit(1)).alias("_i")).persist(StorageLevel.MEMORY_AND_DISK)
+    e2 = ((medges if second_hop is None else second_hop)
+          .select(F.col("srcId").alias("b"), F.col("dstId").alias("c"), F.col("m").alias("m2"))
+          .join(deg_in.select("b"), "b", "left_semi")  # a second hop that no first hop leads to makes no path
+          .join(ranked.select(F.col("id").alias("c"), F.col("rank").alias("rank_c")), "c").select("b", "c", "m2", "rank_c"))
+    e2 = checkpoint(e2)
+    deg_out = e2.groupBy("b").agg(F.count(F.lit(1)).alias("_o"))
+    work = deg_in.join(deg_out, "b").persist(StorageLevel.MEMORY_AND_DISK)
+    paths, n1, n2 = (float(x or 0) for x in work.agg(F.sum(F.col("_i").cast("double") * F.col("_o")), F.sum("_i"), F.sum("_o")).first())
+    try:
+        if paths <= shuffled_paths:
+            return _weighted(_shuffled_counts(e1, e2, work, min_rows, max_keys))
+        users, n_users = hot_keys(e1, "a", min_rows=min_rows, max_keys=max_keys)
+        ends, n_ends = hot_keys(e2, "c", min_rows=min_rows, max_keys=max_keys)
+        near = e1.join(F.broadcast(users), "a", "left_anti") if n_users else e1
+        far = e2.join(F.broadcast(ends), "c", "left_anti") if n_ends else e2
+        counted = count_in_cells(near, far, n1, n2, paths, block_edges)
+        if n_users:
+            counted = counted.unionByName(_shuffled_counts(e1.join(F.broadcast(users), "a", "left_semi"), e2, work, min_rows, max_keys))
+        if n_ends:
+            counted = counted.unionByName(_shuffled_counts(near, e2.join(F.broadcast(ends), "c", "left_semi"), work, min_rows, max_keys))
+        return _weighted(counted)
+    finally:
+        work.unpersist()
+        deg_in.unpersist()
+
+
+def _weighted(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("weight", F.col("sn_rank") * F.col("count"))
+
+
+def _shuffled_counts(e1: DataFrame, e2: DataFrame, work: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
+    """(id, sn_id, sn_rank, count) by a join on the middle vertex and an aggregate of the paths.
+
+    A middle vertex whose path count (``work``: in x out) is
     more than a task's share is split over a grid of its own size: its in-edges
     go to one bucket per ``sqrt(min_rows)`` of them, by a hash of their source, and are
     replicated over the buckets of its out-edges, cut the same way, and vice versa.
     So a cell holds about ``min_rows`` paths, however large the hub.  All others
-    are grids of one cell, in the same join.  ``first_hop`` restricts the first edge
-    (a subset of ``medges``, e.g. one batch of sources), ``second_hop`` the second.
+    are grids of one cell, in the same join.
     """
-    e1 = (medges if first_hop is None else first_hop).select(
-        F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
-    e2 = ((medges if second_hop is None else second_hop).join(ranked.select(F.col("id").alias("dstId"), F.col("rank").alias("rank_c")), "dstId")
-          .select(F.col("srcId").alias("b"), F.col("dstId").alias("c"), F.col("m").alias("m2"), "rank_c"))
-    deg_in = medges.groupBy(F.col("dstId").alias("b")).agg(F.count(F.lit(1)).alias("_i"))
-    deg_out = medges.groupBy(F.col("srcId").alias("b")).agg(F.count(F.lit(1)).alias("_o"))
-    work = deg_in.join(deg_out, "b")
-    work = work.persist(StorageLevel.MEMORY_AND_DISK)
     hot, _ = hot_keys(work, "b", weight=F.col("_i").cast("double") * F.col("_o"),
                       min_rows=min_rows, max_keys=max_keys)
     side = max(1.0, float(min_rows) ** 0.5)
     grids = checkpoint(work.join(F.broadcast(hot), "b").select(  # at most max_keys rows
         "b", F.ceil(F.col("_i") / F.lit(side)).cast("int").alias("n1"),
         F.ceil(F.col("_o") / F.lit(side)).cast("int").alias("n2")))
-    work.unpersist()
     n1, n2 = F.coalesce(F.col("n1"), F.lit(1)), F.coalesce(F.col("n2"), F.lit(1))
 
     def bucket(col: str, n):
@@ -400,9 +436,8 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
     e1 = e1.join(F.broadcast(grids), "b", "left").select("a", "b", "m1", bucket("a", n1).alias("s1"), every(n2).alias("s2"))
     e2 = e2.join(F.broadcast(grids), "b", "left").select("b", "c", "m2", "rank_c", every(n1).alias("s1"), bucket("c", n2).alias("s2"))
     paths = e1.join(e2, ["b", "s1", "s2"])
-    counted = (paths.groupBy(F.col("a").alias("id"), F.col("c").alias("sn_id"), F.col("rank_c").alias("sn_rank"))
-               .agg(F.sum(F.col("m1") * F.col("m2")).alias("count")))
-    return counted.withColumn("weight", F.col("sn_rank") * F.col("count"))
+    return (paths.groupBy(F.col("a").alias("id"), F.col("c").alias("sn_id"), F.col("rank_c").alias("sn_rank"))
+            .agg(F.sum(F.col("m1") * F.col("m2")).alias("count")))
 
 
 def steady(weight):
@@ -415,17 +450,13 @@ def steady(weight):
 def follow_recommend(two_hop: DataFrame) -> DataFrame:
     """One recommendation per user: the two-hop vertex with the largest weight
     (compared by ``steady``), ties to the smallest id (the arg-max the reference intends, SURVEY T1)."""
-    key = F.struct(steady(F.col("weight")), -F.col("sn_id"))
-    return (two_hop.groupBy("id").agg(F.max_by("sn_id", key).alias("dstId"))
-            .select(F.col("id").alias("srcId"), "dstId", F.lit("recommend").alias("relation")))
+    return best_candidates(two_hop).select(F.col("id").alias("srcId"), (-F.col("top.minus_id")).alias("dstId"),
+                                           F.lit("recommend").alias("relation"))
 
 
 def two_hop_summary(two_hop: DataFrame) -> DataFrame:
     """Per user, over all its two-hop candidates: how many, their paths and weights in all, and the best one."""
-    key = F.struct(steady(F.col("weight")), -F.col("sn_id"))
-    return two_hop.groupBy("id").agg(
-        F.count(F.lit(1)).alias("candidates"), F.sum("count").alias("paths"), F.sum("weight").alias("weight"),
-        F.max_by("sn_id", key).alias("best"))
+    return best_candidates(two_hop).select("id", "candidates", "paths", "weight", (-F.col("top.minus_id")).alias("best"))
 
 
 def recommend_in_batches(ranked: DataFrame, medges: DataFrame, out_path: str, batches: int,
