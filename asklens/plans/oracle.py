@@ -24,6 +24,11 @@ EDU = """edu AS (
            * ((count(*) OVER (PARTITION BY o_custkey) + 19) // 20) // 4294967296)::BIGINT AS page
   FROM orders)"""
 
+EDU_PLACED = """edu AS (
+  SELECT o_custkey AS c_custkey, nullif(o_orderpriority, '5-LOW') AS school, o_orderstatus AS major, o_orderkey,
+         ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 20)::BIGINT AS page
+  FROM orders)"""
+
 EDU_KEPT = """edu_kept AS (
   SELECT c_custkey, school, major FROM edu JOIN customer USING (c_custkey)
   WHERE c_custkey % 10 NOT IN (0, 1))"""
@@ -445,7 +450,7 @@ FROM customer LEFT JOIN (SELECT DISTINCT c_custkey, page FROM edu) USING (c_cust
 _COUNTER_SQL = ",\n       ".join(
     f"((c_custkey * {i + 3}) % {1000 + i})::BIGINT AS {name}" for i, name in enumerate(PROFILE_COUNTERS))
 
-ORACLE["profile_flatten"] = _with(EDU) + f"""
+ORACLE["profile_flatten"] = _with(EDU_PLACED) + f"""
 SELECT md5(CAST(c_custkey AS VARCHAR)) AS id, concat('u', c_custkey) AS urlToken, c_name AS name,
        (c_custkey % 13 = 0) AS isOrg,
        CASE WHEN c_custkey % 13 = 0 THEN 'organization' ELSE 'people' END AS type,

@@ -76,6 +76,13 @@ def _graph(spark, sf) -> G.FollowGraph:
     return G.FollowGraph(A.follow_pairs(Tables(spark, sf)))
 
 
+def _edge_graph(spark, sf) -> G.FollowGraph:
+    """With the merged edges made first, so that they and the vertices come from one pass over the pairs."""
+    g = _graph(spark, sf)
+    g.medges  # noqa: B018
+    return g
+
+
 def _ranked_fixed(g: G.FollowGraph) -> DataFrame:
     return G.ranked_vertices(g.vertices, G.pagerank_fixed(g.vertices, g.medges, rounds=10))
 
@@ -112,7 +119,7 @@ def out_degree(spark, sf):
 
 @query("collect_neighbors")
 def collect_neighbors(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     nb = G.collect_neighbors(g.vertices, g.medges)
     return nb.select(
         "id", "page",
@@ -123,57 +130,57 @@ def collect_neighbors(spark, sf):
 
 @query("pagerank_fixed")
 def pagerank_fixed(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return rounded(G.pagerank_fixed(g.vertices, g.medges, rounds=10))
 
 
 @query("pagerank_converged")
 def pagerank_converged(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return rounded(G.pagerank_converged(g.vertices, g.medges, tol=1e-4))
 
 
 @query("ranked_vertices")
 def ranked_vertices(spark, sf):
-    return rounded(_ranked_fixed(_graph(spark, sf)))
+    return rounded(_ranked_fixed(_edge_graph(spark, sf)))
 
 
 @query("rank_degrees")
 def rank_degrees(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return rounded(G.rank_degrees(_ranked_fixed(g), g.medges))
 
 
 @query("two_hop_weights")
 def two_hop_weights(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return rounded(G.two_hop_weights(_ranked_fixed(g), g.medges))
 
 
 @query("two_hop_summary")
 def two_hop_summary(spark, sf):
     """An exact summary of every user's candidates; the candidates themselves are near all pairs of users."""
-    g = _graph(spark, sf)
-    return rounded(G.two_hop_summary(G.two_hop_weights(_ranked_fixed(g), g.medges)), 4)
+    g = _edge_graph(spark, sf)
+    return rounded(G.two_hop_summary(G.two_hop_weights(_ranked_fixed(g), g.medges, per_user=True)), 4)
 
 
 @query("follow_recommend")
 def follow_recommend(spark, sf):
-    g = _graph(spark, sf)
-    return G.follow_recommend(G.two_hop_weights(_ranked_fixed(g), g.medges))
+    g = _edge_graph(spark, sf)
+    return G.follow_recommend(G.two_hop_weights(_ranked_fixed(g), g.medges, per_user=True))
 
 
 @query("follow_recommend_tiered")
 def follow_recommend_tiered(spark, sf):
     """The same recommendation, paths expanded by tiers of candidates until each user's best is certain."""
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return best_two_hop(_ranked_fixed(g), g.medges).edges
 
 
 @query("follow_recommend_paths")
 def follow_recommend_paths(spark, sf):
     """All two-hop paths, and whether the tiers expanded fewer."""
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     found = best_two_hop(_ranked_fixed(g), g.medges)
     return found.rounds.agg(F.lit(found.total_paths).alias("total_paths"), (F.sum("paths") < F.lit(found.total_paths)).alias("fewer"))
 
@@ -181,32 +188,32 @@ def follow_recommend_paths(spark, sf):
 @query("follow_recommend_batched")
 def follow_recommend_batched(spark, sf):
     """The same recommendation computed in 4 restartable user batches."""
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return G.recommend_in_batches(_ranked_fixed(g), g.medges, scratch_path(spark, "rec-batches"), 4)
 
 
 @query("top_ranked_users")
 def top_ranked_users(spark, sf):
-    return rounded(G.top_ranked(_ranked_fixed(_graph(spark, sf)), 20))
+    return rounded(G.top_ranked(_ranked_fixed(_edge_graph(spark, sf)), 20))
 
 
 @query("core_subgraph_nodes")
 def core_subgraph_nodes(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return G.core_subgraph_nodes(_ranked_fixed(g), g.medges, 20)  # parallel follows make no difference to the nodes
 
 
 @query("core_subgraph_edges")
 def core_subgraph_edges(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     return G.core_subgraph(_ranked_fixed(g), g.edges(), 20)[1]
 
 
 @query("recommend_subgraph_edges")
 def recommend_subgraph_edges(spark, sf):
-    g = _graph(spark, sf)
+    g = _edge_graph(spark, sf)
     ranked = _ranked_fixed(g)
-    rec = G.follow_recommend(G.two_hop_weights(ranked, g.medges))
+    rec = G.follow_recommend(G.two_hop_weights(ranked, g.medges, per_user=True))
     return G.core_subgraph(ranked, rec, 20)[1]
 
 
@@ -474,7 +481,7 @@ def embedded_json_extract(spark, sf):
 
 @query("profile_flatten")
 def profile_flatten(spark, sf):
-    p = P.flatten_profile(A.raw_profile_json(Tables(spark, sf)))
+    p = P.flatten_profile(A.raw_profile_json(Tables(spark, sf), positions=True))
     return p.select(
         *[c for c in p.columns if c not in ("badge", "locations", "educations")],
         F.concat_ws(",", "badge").alias("badge"),

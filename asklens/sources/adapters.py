@@ -8,7 +8,8 @@ construction, never by a cap on the data:
 * ``educations`` holds one (school, major) element per order of a user, none
   dropped.  A user with more than ``PAGE_SIZE`` of them has several documents (page 0, 1, ...),
   one for every ``PAGE_SIZE`` orders; a mix of the order's key says to which an order goes, so
-  a user owning a third of all orders is spread over many small rows.
+  a user owning a third of all orders is spread over many small rows.  The records of ``profile_flatten``
+  are cut by exact positions in order-key order instead (``positions``), at most ``PAGE_SIZE`` elements a document.
 * a follow document is one page of ``PAGE_SIZE`` follows (the follow-list
   API pages by 20): the lines of an order are numbered in list order
   (line, supplier, part) without a per-order window (``rank_within_group``
@@ -21,10 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asklens.schemas import PROFILE_COUNTERS
+from asklens.session import checkpoint
 from asklens.sources.tables import Tables
 
 # Fixed values of the adapters (shared with the SQL oracle).
 PAGE_SIZE = 20  # follows per follow document (one API page)
+USER_ORDERS = 100_000  # orders of chosen users that are sent to every task (10 MB)
 PAGE_SPACE, PAGE_MIX = 1 << 32, 1640531527  # of an order's page of educations
 HOST = "https://www.example.com"
 
@@ -57,14 +60,17 @@ def _mixed(key: Column) -> Column:
     return key.cast("long") % F.lit(PAGE_SPACE) * F.lit(PAGE_MIX) % F.lit(PAGE_SPACE)
 
 
-def _educations(t: Tables) -> DataFrame:
+def _educations(t: Tables, positions: bool = False) -> DataFrame:
     """(c_custkey, page, educations): one element per order in order-key order, about PAGE_SIZE a page.
 
     The number of a user's pages comes from one count with map-side combine; the page of an
-    order from its own key, so no order has to know its position among the others."""
+    order from its own key, so no order has to know its position among the others.  With ``positions``
+    a page is ``PAGE_SIZE`` orders by exact position (``rank_within_group``), the last one the rest."""
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey",
                              F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("school"),
                              F.col("o_orderstatus").alias("major"))
+    if positions:
+        return _educations_by_position(orders)
     per_user = orders.groupBy("c_custkey").agg(F.ceil(F.count(F.lit(1)) / PAGE_SIZE).alias("_pages"))
     page = F.shiftright(_mixed(F.col("o_orderkey")) * F.col("_pages"), 32).alias("page")
     pages = (orders.join(per_user, "c_custkey").groupBy("c_custkey", page)
@@ -73,6 +79,17 @@ def _educations(t: Tables) -> DataFrame:
         x["school"].alias("school"), x["major"].alias("major"))).alias("educations"))
 
 
+def _educations_by_position(orders: DataFrame) -> DataFrame:
+    from asklens.operators.graph import rank_within_group
+
+    placed = rank_within_group(orders.withColumn("_no_key", F.col("o_orderkey").isNull()), "c_custkey",
+                               ["_no_key", "o_orderkey", "school", "major"], "_pos")
+    pages = (placed.groupBy("c_custkey", F.floor(F.col("_pos") / PAGE_SIZE).cast("long").alias("page"))
+             .agg(F.array_sort(F.collect_list(F.struct("_pos", "school", "major"))).alias("e")))
+    return pages.select("c_custkey", "page", F.transform("e", lambda x: F.struct(
+        x["school"].alias("school"), x["major"].alias("major"))).alias("educations"))
+
+
 def profiles(t: Tables, educations: bool = False, locations: bool = True) -> DataFrame:
     """Flattened user profiles in the fixed streaming schema.
 
@@ -118,10 +135,13 @@ def follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
     """Flat follow rows: one per line item, the follower being the order's customer.
 
     ``users`` (tokens) keeps those followers only, by their numeric keys, so the
-    filter reaches the scan of orders."""
+    filter reaches the scan of orders.  Up to ``USER_ORDERS`` orders go to every task, so the line items
+    are filtered where they are read, not shuffled and sorted for the join."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
     if users is not None:
         o = o.where(F.col("o_custkey").isin([int(u[1:]) for u in users if u[:1] == "u" and u[1:].isdecimal()]))
+        if o.limit(USER_ORDERS + 1).count() <= USER_ORDERS:
+            o = F.broadcast(o)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -141,6 +161,8 @@ def paged_follow_rows(t: Tables, users: list[str] | None = None) -> DataFrame:
     from asklens.operators.graph import rank_within_group
 
     rows = follow_rows(t, users)
+    if users is not None:
+        rows = checkpoint(rows)  # read four times below
     # An order of at most PAGE_SIZE lines is one page; only longer orders need
     # positions, so only their lines are ranked (a partial count finds them).
     long_orders = (rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
@@ -266,7 +288,7 @@ def done_ledger(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey").where(k % 3 == 0).select(line.alias("value"))
 
 
-def raw_profile_json(t: Tables) -> DataFrame:
+def raw_profile_json(t: Tables, positions: bool = False) -> DataFrame:
     """(urlToken, json): the user object as the profile page embeds it.
 
     Nested like the site's API: business {name}, locations [{name}], educations
@@ -303,7 +325,7 @@ def raw_profile_json(t: Tables) -> DataFrame:
                 F.struct(F.lit(None).cast("string").alias("name"))).alias("locations"),
         edus.alias("educations"),
     )
-    return (c.join(_educations(t), "c_custkey", "left")
+    return (c.join(_educations(t, positions), "c_custkey", "left")
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(token("c_custkey").alias("urlToken"),
                     F.to_json(user).alias("json")))
