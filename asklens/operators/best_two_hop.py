@@ -66,7 +66,7 @@ def best_two_hop(ranked: DataFrame, medges: DataFrame, shares: tuple[float, ...]
         first = medges.join(open_users, "srcId", "left_semi")
         found = best_candidates(two_hop_weights(
             ranked, medges, first_hop=first.select("srcId", "dstId", "m"),
-            second_hop=here.select("srcId", "dstId", "m"), **two_hop_options)).select("id", F.col("paths").alias("now"), "top")
+            second_hop=here.select("srcId", "dstId", "m"), per_user=True, **two_hop_options)).select("id", F.col("paths").alias("now"), "top")
         state = state.join(found, "id", "left").select(
             "id", "paths", "follows", "parallel", (F.col("seen") + F.coalesce("now", F.lit(0))).alias("seen"),
             F.greatest("best", "top").alias("best"))

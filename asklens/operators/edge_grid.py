@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asklens.operators.skew import partitions_for
-from asklens.session import persist_partitioned
+from asklens.session import checkpoint, persist_partitioned
 
 
 class EdgeGrid:
@@ -31,9 +31,11 @@ class EdgeGrid:
         share = cell_edges or max(1, math.ceil(n / parts))
         columns = wedges.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("columns"))
         # fewer than n / share rows: each has more edges than a share
-        self.wide = F.broadcast(columns.where("columns > 1"))
+        self.wide = F.broadcast(checkpoint(columns.where("columns > 1")))
         holders = wedges.select(F.col("dst").alias("id")).distinct()
-        kept = self._columns(wedges.withColumnRenamed("src", "id").join(holders, "id", "left_semi"))
+        kept = wedges.withColumnRenamed("src", "id")
+        # ``weighted_edges`` tells the fed sources
+        kept = self._columns(kept.where("fed") if "fed" in wedges.columns else kept.join(holders, "id", "left_semi"))
         kept = kept.select("id", F.pmod(F.xxhash64("dst"), F.col("columns")).cast("int").alias("column"), "dst", "w")
         kept = (kept.join(self.wide.withColumnsRenamed({"id": "dst", "columns": "mirrors"}), "dst", "left")
                 .select("id", "column", "dst", "w", F.coalesce("mirrors", F.lit(1)).alias("mirrors")))

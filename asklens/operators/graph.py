@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from asklens.operators.bloom import BITS, KeyFilter
 from asklens.operators.edge_grid import EdgeGrid
 from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
-from asklens.operators.two_hop_cells import BLOCK_EDGES, best_candidates, count_in_cells
+from asklens.operators.two_hop_cells import BLOCK_EDGES, best_candidates, count_in_cells, per_user_parts
 from asklens.session import checkpoint, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
@@ -123,7 +123,8 @@ class FollowGraph:
     the vertices.  For everything else parallel follows are merged on the tokens first (a
     partial count), so the id joins run over distinct pairs, and the resolved pairs are
     materialised once with a reliable checkpoint, as are the range-numbered tokens (inside
-    ``dense_index``; a recomputation could re-sample the ranges).
+    ``dense_index``; a recomputation could re-sample the ranges).  Asked for first, the edges
+    number the vertices from the merged pairs, so the pairs themselves are made once.
     """
 
     def __init__(self, pairs: DataFrame):
@@ -140,7 +141,14 @@ class FollowGraph:
     @cached_property
     def medges(self) -> DataFrame:
         """(srcId, dstId, m)."""
-        return checkpoint(merged_edges(self.pairs, self.vertices))
+        if "vertices" in self.__dict__:
+            return checkpoint(merged_edges(self.pairs, self.vertices))
+        merged = self.pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.vertices = vertex_ids(merged)
+            return checkpoint(_resolve(merged, self.vertices, "m"))
+        finally:
+            merged.unpersist()
 
     def edges(self, relation: str = "following") -> DataFrame:
         """(srcId, dstId, relation), one row per follow: every merged edge as often as it occurs, no join.
@@ -177,17 +185,20 @@ def out_degree(medges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- PageRank
 
 def weighted_edges(medges: DataFrame) -> DataFrame:
-    """(src, dst, w): w = m / out-degree(src), the share of src's value each edge carries."""
+    """(src, dst, w, fed): w = m / out-degree(src), the share of src's value each edge carries; fed: src has in-edges.
+
+    Both are facts of the source, joined to the edges at once, so that no later step joins the edges with the receivers."""
     deg = medges.groupBy("srcId").agg(F.sum("m").alias("_d"))
-    return (medges.join(deg, "srcId")
+    fed = _receivers(medges).select(F.col("src").alias("srcId"), F.lit(True).alias("_f"))
+    sources = deg.join(fed, "srcId", "left")
+    return (medges.join(sources, "srcId")
             .select(F.col("srcId").alias("src"), F.col("dstId").alias("dst"),
-                    (F.col("m").cast("double") / F.col("_d")).alias("w")))
+                    (F.col("m").cast("double") / F.col("_d")).alias("w"), F.col("_f").isNotNull().alias("fed")))
 
 
 class _Spreader:
     """Sends a per-vertex value x along weighted out-edges: rows (dst, x * w).
 
-    ``sources`` restricts the edges to those leaving the given vertices.
     Edges of ordinary sources are hash-partitioned by src once and cached, so
     each round shuffles only the per-vertex values (and the messages, after a
     map-side partial sum).  Edges of *hot* sources -- a source owning more than
@@ -195,9 +206,7 @@ class _Spreader:
     a broadcast of the hot sources' values (at most ``max_keys`` rows).
     """
 
-    def __init__(self, wedges: DataFrame, min_rows: int, max_keys: int, sources: DataFrame | None = None):
-        if sources is not None:
-            wedges = wedges.join(sources, "src", "left_semi")
+    def __init__(self, wedges: DataFrame, min_rows: int, max_keys: int):
         self.hot, self.n_hot, n_edges = hot_keys(wedges, "src", min_rows=min_rows, max_keys=max_keys,
                                                  with_total=True)
         # sized from the edge count (src, dst, w: ~24 bytes a row), not from the
@@ -264,13 +273,12 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
     if rounds <= 0:
         return _normalise(vertices.select("id", F.lit(1.0).alias("rank")))
     wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
-    receivers = _receivers(medges).persist(StorageLevel.MEMORY_AND_DISK)
     sums = wedges.groupBy("dst").agg(F.sum("w").alias("s"))  # round 1: every rank is 1.0
     sp = None
     if rounds > 1:
-        base = checkpoint(wedges.join(receivers, "src", "left_anti")
+        base = checkpoint(wedges.where("NOT fed")
                           .groupBy("dst").agg((F.lit(reset) * F.sum("w")).alias("c")))
-        sp = _Spreader(wedges, min_rows, max_keys, sources=receivers)
+        sp = _Spreader(wedges.where("fed").select("src", "dst", "w"), min_rows, max_keys)
         for i in range(1, rounds):
             values = sums.select(F.col("dst").alias("src"),
                                  (F.lit(reset) + F.lit(1.0 - reset) * F.col("s")).alias("x"))
@@ -282,7 +290,6 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
     if sp is not None:
         sp.release()
     wedges.unpersist()
-    receivers.unpersist()
     return _normalise(ranks)
 
 
@@ -343,10 +350,20 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 
     Neighbours are numbered in id order within their source (``rank_within_group``)
     and page = position div ``page_size``, so every page holds at most
-    ``page_size`` neighbours however large a hub's degree.  A vertex without
+    ``page_size`` neighbours however large a hub's degree.  Up to ``page_size`` neighbours
+    are one page, so only longer lists are numbered.  A vertex without
     out-edges gets one empty page 0.
     """
-    ranked = rank_within_group(medges.select("srcId", "dstId", "m"), "srcId", "dstId", "_pos")
+    edges = medges.select("srcId", "dstId", "m")
+    long = (edges.groupBy("srcId").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > page_size)  # few edges a page at least
+            .select("srcId"))
+    if long.isEmpty():
+        ranked = edges.withColumn("_pos", F.lit(0).cast("long"))
+    else:
+        long = checkpoint(long)
+        ranked = (edges.join(long, "srcId", "left_anti").withColumn("_pos", F.lit(0).cast("long"))
+                  .unionByName(rank_within_group(edges.join(long, "srcId", "left_semi"), "srcId", "dstId", "_pos")
+                               .select("srcId", "dstId", "m", "_pos")))
     nb = vertices.select(F.col("id").alias("dstId"), F.col("node").alias("_node"))
     rows = (ranked.join(nb, "dstId")
             .select("srcId", F.floor(F.col("_pos") / F.lit(page_size)).cast("long").alias("page"),
@@ -363,7 +380,7 @@ def collect_neighbors(vertices: DataFrame, medges: DataFrame, page_size: int = 1
 
 def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAULT_MIN_ROWS, max_keys: int = DEFAULT_MAX_KEYS,
                     first_hop: DataFrame | None = None, second_hop: DataFrame | None = None,
-                    shuffled_paths: float = SHUFFLED_PATHS, block_edges: int = BLOCK_EDGES) -> DataFrame:
+                    shuffled_paths: float = SHUFFLED_PATHS, block_edges: int = BLOCK_EDGES, per_user: bool = False) -> DataFrame:
     """(id, sn_id, sn_rank, count, weight) for every path id -> b -> sn_id.
 
     ``count`` is the number of such paths with parallel follows multiplied
@@ -375,7 +392,14 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
     Up to ``shuffled_paths`` paths are joined and shuffled (``_shuffled_counts``).  More are counted where they
     are made (``count_in_cells``), all but those from a user with more follows, or into a candidate with more
     second hops, than a task's share: a single cell would get too many, so these are shuffled.
+
+    With ``per_user`` the rows are reduced to parts per user (``per_user_parts``) where they are made, which is all
+    that ``follow_recommend`` and ``two_hop_summary`` need of them; every path is counted all the same.
     """
+    def shuffled(first: DataFrame, second: DataFrame) -> DataFrame:
+        rows = _weighted(_shuffled_counts(first, second, work, min_rows, max_keys))
+        return per_user_parts(rows) if per_user else rows
+
     e1 = (medges if first_hop is None else first_hop).select(
         F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
     deg_in = e1.groupBy("b").agg(F.count(F.lit(1)).alias("_i")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -389,17 +413,19 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
     paths, n1, n2 = (float(x or 0) for x in work.agg(F.sum(F.col("_i").cast("double") * F.col("_o")), F.sum("_i"), F.sum("_o")).first())
     try:
         if paths <= shuffled_paths:
-            return _weighted(_shuffled_counts(e1, e2, work, min_rows, max_keys))
+            return shuffled(e1, e2)
         users, n_users = hot_keys(e1, "a", min_rows=min_rows, max_keys=max_keys)
         ends, n_ends = hot_keys(e2, "c", min_rows=min_rows, max_keys=max_keys)
         near = e1.join(F.broadcast(users), "a", "left_anti") if n_users else e1
         far = e2.join(F.broadcast(ends), "c", "left_anti") if n_ends else e2
-        counted = count_in_cells(near, far, n1, n2, paths, block_edges)
+        counted = count_in_cells(near, far, n1, n2, paths, block_edges, per_user)
+        if not per_user:
+            counted = _weighted(counted)
         if n_users:
-            counted = counted.unionByName(_shuffled_counts(e1.join(F.broadcast(users), "a", "left_semi"), e2, work, min_rows, max_keys))
+            counted = counted.unionByName(shuffled(e1.join(F.broadcast(users), "a", "left_semi"), e2))
         if n_ends:
-            counted = counted.unionByName(_shuffled_counts(near, e2.join(F.broadcast(ends), "c", "left_semi"), work, min_rows, max_keys))
-        return _weighted(counted)
+            counted = counted.unionByName(shuffled(near, e2.join(F.broadcast(ends), "c", "left_semi")))
+        return counted
     finally:
         work.unpersist()
         deg_in.unpersist()
@@ -479,7 +505,7 @@ def recommend_in_batches(ranked: DataFrame, medges: DataFrame, out_path: str, ba
         if complete(spark, part):
             continue
         first = medges.where(F.pmod(F.xxhash64("srcId"), F.lit(batches)) == i)
-        th = two_hop_weights(ranked, medges, first_hop=first, **two_hop_kw)
+        th = two_hop_weights(ranked, medges, first_hop=first, per_user=True, **two_hop_kw)
         follow_recommend(th).write.format(fmt).mode("overwrite").save(part)
     return spark.read.format(fmt).load(parts).select("srcId", "dstId", "relation")
 
@@ -540,14 +566,13 @@ def core_subgraph(ranked: DataFrame, edges: DataFrame, n: int = 20) -> tuple[Dat
 
 
 def ego_network(docs: DataFrame, user: str) -> DataFrame:
-    """(source, target, label, kind) of one user's follows, questions and topics."""
-    d = docs.where(F.col("urlToken") == F.lit(user))
-
-    def part(array_col: str, id_field: str, label_field: str, kind: str) -> DataFrame:
-        x = d.select(F.explode(array_col).alias("x"))
-        return x.select(F.lit(user).alias("source"), F.col("x")[id_field].alias("target"),
-                        F.col("x")[label_field].alias("label"), F.lit(kind).alias("kind"))
-
-    return (part("following", "urlToken", "name", "user")
-            .unionByName(part("question", "id", "title", "question"))
-            .unionByName(part("topic", "id", "title", "topic")))
+    """(source, target, label, kind) of one user's follows, questions and topics (G3), the documents read once."""
+    def part(array_col: str, id_field: str, label_field: str, kind: str):
+        return F.coalesce(F.transform(array_col, lambda x: F.struct(
+            x[id_field].alias("target"), x[label_field].alias("label"), F.lit(kind).alias("kind"))),
+            F.array().cast("array<struct<target:string,label:string,kind:string>>"))
+
+    parts = F.concat(part("following", "urlToken", "name", "user"), part("question", "id", "title", "question"),
+                     part("topic", "id", "title", "topic"))
+    return (docs.where(F.col("urlToken") == F.lit(user)).select(F.explode(parts).alias("x"))
+            .select(F.lit(user).alias("source"), "x.target", "x.label", "x.kind"))

@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 from asklens.session import default_parallelism
 
 BLOCK_EDGES = 3_000_000
-CHUNK_PATHS = 4_000_000
+CHUNK_PATHS = 500_000  # arrays of a few MB, which the allocator reuses
 CELL_PATHS = 2_000_000    # paths from which one more task is worth starting
 OUT_ROWS = 1 << 16
 
 
-def count_in_cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: float, block_edges: int = BLOCK_EDGES) -> DataFrame:
-    """(id, sn_id, sn_rank, count) from first hops (a, b, m1) and second hops (b, c, m2, rank_c), ``n1`` and ``n2`` rows."""
+def count_in_cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: float, block_edges: int = BLOCK_EDGES,
+                   per_user: bool = False) -> DataFrame:
+    """(id, sn_id, sn_rank, count) from first hops (a, b, m1) and second hops (b, c, m2, rank_c), ``n1`` and ``n2`` rows.
+
+    With ``per_user`` a cell's rows of a user are reduced to what ``per_user_parts`` makes of them before they leave the task."""
     blocks = max(1, math.ceil(n2 / block_edges))
     tasks = min(2 * default_parallelism(e1.sparkSession), math.ceil(paths / CELL_PATHS))
     groups = max(1, math.ceil(n1 / block_edges), math.ceil(tasks / blocks))
@@ -44,10 +47,16 @@ def count_in_cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: fl
                       no_id.alias("a"), "b", "c", F.col("m2").alias("m"), F.col("rank_c").alias("rank")))
     cells = (second.unionByName(first).repartitionById(groups * blocks, "cell").select("a", "b", "c", "m", "rank")
              .sortWithinPartitions(F.col("a").asc_nulls_first()))  # the second hops come first, then user by user
+    if per_user:
+        return cells.mapInArrow(_reduce_cell, PARTS)
     return cells.mapInArrow(_count_cell, "id bigint, sn_id bigint, sn_rank double, count bigint")
 
 
-def _count_cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reduce_cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _count_cell(batches, True)
+
+
+def _count_cell(batches: Iterable[pa.RecordBatch], per_user: bool = False) -> Iterator[pa.RecordBatch]:
     second, cell = [], None
     for batch in batches:
         n = batch.column("a").null_count
@@ -55,7 +64,7 @@ def _count_cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             second.append(batch.slice(0, n))
         if n < batch.num_rows and (second or cell):
             if cell is None:
-                cell, second = _Cell(pa.Table.from_batches(second), CHUNK_PATHS), []
+                cell, second = _Cell(pa.Table.from_batches(second), CHUNK_PATHS, per_user), []
             yield from cell.add(batch.slice(n))
     if cell is not None:
         yield from cell.flush(True)
@@ -69,8 +78,8 @@ def _starts(key: np.ndarray) -> np.ndarray:
 class _Cell:
     """The second hops of a block, by middle vertex; ``add`` takes first hops in user order."""
 
-    def __init__(self, second: pa.Table, chunk: int):
-        self.chunk = chunk
+    def __init__(self, second: pa.Table, chunk: int, per_user: bool = False):
+        self.chunk, self.per_user = chunk, per_user
         b, c, m = (second[x].to_numpy() for x in ("b", "c", "m"))
         rank = second["rank"].combine_chunks()
         known = rank.is_valid().to_numpy(zero_copy_only=False)
@@ -84,7 +93,7 @@ class _Cell:
         code = np.empty(len(c), np.int64)
         code[order] = np.cumsum(new) - 1
         at = order[new]
-        self.ids, self.ranks = c[at], pa.array(value[at], mask=~known[at])
+        self.ids, self.values, self.ranks = c[at], value[at], pa.array(value[at], mask=~known[at])
         self.bits = len(at).bit_length()
         by = np.argsort(b, kind="stable")
         self.code, self.m = code[by], m[by]
@@ -168,6 +177,10 @@ class _Cell:
         return key[starts], np.add.reduceat(paths, starts)
 
     def _out(self, user: np.ndarray, code: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if self.per_user:
+            if len(code):
+                yield _reduced(user, self.ids[code], self.values[code] * counts, counts)
+            return
         for i in range(0, len(code), OUT_ROWS):
             some = code[i:i + OUT_ROWS]
             yield pa.RecordBatch.from_arrays(
@@ -175,33 +188,47 @@ class _Cell:
                 names=["id", "sn_id", "sn_rank", "count"])
 
 
-def best_candidates(two_hop: DataFrame) -> DataFrame:
-    """Per user (id): candidates, paths, weight (sums) and top, a struct of the largest weight, compared by
-    ``steady``, and minus the smallest candidate that has it.
+PARTS = "id bigint, candidates bigint, paths bigint, weight double, w double, minus_id bigint"
 
-    A batch's rows of a user become one row where they are made, so the aggregate, which must sort for a struct, gets few."""
+
+def per_user_parts(two_hop: DataFrame) -> DataFrame:
+    """(id, candidates, paths, weight, w, minus_id) of a user's rows in a batch: how many, their paths and weights in all, the
+    largest weight, cut by ``steady``, and minus the smallest candidate that has it."""
     count = F.col("count") if "count" in two_hop.columns else F.lit(1)
     rows = two_hop.select(F.col("id").cast("bigint"), F.col("sn_id").cast("bigint"), F.col("weight").cast("double"),
                           count.cast("bigint").alias("count"))
-    part = rows.mapInArrow(_best_of_batch, "id bigint, candidates bigint, paths bigint, weight double, w double, minus_id bigint")
-    return part.groupBy("id").agg(F.sum("candidates").alias("candidates"), F.sum("paths").alias("paths"), F.sum("weight").alias("weight"),
-                                  F.max(F.struct("w", "minus_id")).alias("top"))
+    return rows.mapInArrow(_reduce_batches, PARTS)
+
+
+def best_candidates(two_hop: DataFrame) -> DataFrame:
+    """Per user (id): candidates, paths, weight (sums) and top, a struct of the largest weight, compared by ``steady``, and
+    minus the smallest candidate that has it.  ``two_hop``: candidates, or their parts per user.
+
+    A batch's rows of a user become one where they are made, so the aggregate, which must sort for a struct, gets few."""
+    parts = two_hop if "minus_id" in two_hop.columns else per_user_parts(two_hop)
+    return parts.groupBy("id").agg(F.sum("candidates").alias("candidates"), F.sum("paths").alias("paths"), F.sum("weight").alias("weight"),
+                                   F.max(F.struct("w", "minus_id")).alias("top"))
 
 
-def _best_of_batch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reduce_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        user, sn, weight, count = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "sn_id", "weight", "count"))
-        if (user[1:] < user[:-1]).any():
-            order = np.argsort(user, kind="stable")
-            user, sn, weight, count = user[order], sn[order], weight[order], count[order]
-        starts = _starts(user)
-        sizes = np.diff(np.append(starts, len(user)))
-        far = weight * 8193.0  # ``steady`` of graph.py
-        w = far - (far - weight)
-        most = np.maximum.reduceat(w, starts)
-        best = np.minimum.reduceat(np.where(w == np.repeat(most, sizes), sn, np.iinfo(np.int64).max), starts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (user[starts], sizes, np.add.reduceat(count, starts), np.add.reduceat(weight, starts), most, -best)],
-            names=["id", "candidates", "paths", "weight", "w", "minus_id"])
+        rows = tuple(batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "sn_id", "weight", "count"))
+        if (rows[0][1:] < rows[0][:-1]).any():
+            order = np.argsort(rows[0], kind="stable")
+            rows = tuple(x[order] for x in rows)
+        yield _reduced(*rows)
+
+
+def _reduced(user: np.ndarray, sn: np.ndarray, weight: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """One row per user of rows in user order."""
+    starts = _starts(user)
+    sizes = np.diff(np.append(starts, len(user)))
+    far = weight * 8193.0  # ``steady`` of graph.py
+    w = far - (far - weight)
+    most = np.maximum.reduceat(w, starts)
+    best = np.minimum.reduceat(np.where(w == np.repeat(most, sizes), sn, np.iinfo(np.int64).max), starts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (user[starts], sizes, np.add.reduceat(count, starts), np.add.reduceat(weight, starts), most, -best)],
+        names=["id", "candidates", "paths", "weight", "w", "minus_id"])
