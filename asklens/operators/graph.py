@@ -20,7 +20,7 @@ from asklens.operators.bloom import BITS, KeyFilter
 from asklens.operators.edge_grid import EdgeGrid
 from asklens.operators.skew import DEFAULT_MAX_KEYS, DEFAULT_MIN_ROWS, hot_keys, partitions_for
 from asklens.operators.two_hop_cells import BLOCK_EDGES, best_candidates, count_in_cells, per_user_parts
-from asklens.session import checkpoint, persist_partitioned
+from asklens.session import checkpoint, drop_unused, persist_partitioned
 from asklens.sources.io import claim, complete, fingerprint
 
 RESET = 0.15  # PageRank reset probability
@@ -146,6 +146,7 @@ class FollowGraph:
         merged = self.pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.vertices = vertex_ids(merged)
+            drop_unused(merged.sparkSession)  # what the vertices were numbered by
             return checkpoint(_resolve(merged, self.vertices, "m"))
         finally:
             merged.unpersist()
@@ -272,6 +273,7 @@ def pagerank_fixed(vertices: DataFrame, medges: DataFrame, rounds: int = 10, res
     """
     if rounds <= 0:
         return _normalise(vertices.select("id", F.lit(1.0).alias("rank")))
+    drop_unused(medges.sparkSession)  # what the graph was built from
     wedges = weighted_edges(medges).persist(StorageLevel.MEMORY_AND_DISK)
     sums = wedges.groupBy("dst").agg(F.sum("w").alias("s"))  # round 1: every rank is 1.0
     sp = None
@@ -400,6 +402,7 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
         rows = _weighted(_shuffled_counts(first, second, work, min_rows, max_keys))
         return per_user_parts(rows) if per_user else rows
 
+    drop_unused(medges.sparkSession)  # what the ranks were made from
     e1 = (medges if first_hop is None else first_hop).select(
         F.col("srcId").alias("a"), F.col("dstId").alias("b"), F.col("m").alias("m1"))
     deg_in = e1.groupBy("b").agg(F.count(F.lit(1)).alias("_i")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -418,6 +421,7 @@ def two_hop_weights(ranked: DataFrame, medges: DataFrame, min_rows: int = DEFAUL
         ends, n_ends = hot_keys(e2, "c", min_rows=min_rows, max_keys=max_keys)
         near = e1.join(F.broadcast(users), "a", "left_anti") if n_users else e1
         far = e2.join(F.broadcast(ends), "c", "left_anti") if n_ends else e2
+        drop_unused(medges.sparkSession)
         counted = count_in_cells(near, far, n1, n2, paths, block_edges, per_user)
         if not per_user:
             counted = _weighted(counted)

@@ -6,6 +6,8 @@ What is shuffled is ``first hops x blocks + second hops x groups``, many times l
 
 A task holds the second hops of its block (about ``block_edges``) as sorted arrays; the first hops stream by in user order,
 ``CHUNK_PATHS`` paths at a time, so its memory grows neither with its users nor with a user's paths.
+
+Rows of all pairs leave a chunk by candidate and count: equal values lie together, so files of them need about half the bytes.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from asklens.session import default_parallelism
 
 BLOCK_EDGES = 3_000_000
 CHUNK_PATHS = 500_000  # arrays of a few MB, which the allocator reuses
+CHUNK_ROWS = 2_000_000  # paths of a chunk whose rows are all given out: the more, the longer the runs of a candidate
 CELL_PATHS = 2_000_000    # paths from which one more task is worth starting
 OUT_ROWS = 1 << 16
 
@@ -31,9 +34,20 @@ def count_in_cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: fl
     """(id, sn_id, sn_rank, count) from first hops (a, b, m1) and second hops (b, c, m2, rank_c), ``n1`` and ``n2`` rows.
 
     With ``per_user`` a cell's rows of a user are reduced to what ``per_user_parts`` makes of them before they leave the task."""
+    cells = _cells(e1, e2, n1, n2, paths, block_edges)
+    if per_user:
+        return cells.mapInArrow(_reduce_cell, PARTS)
+    return cells.mapInArrow(_count_cell, "id bigint, sn_id bigint, sn_rank double, count bigint")
+
+
+def _cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: float, block_edges: int) -> DataFrame:
+    """(a, b, c, m, rank, ...): in a partition a cell's second hops, without an a, and then its first hops in user order.
+
+    Further columns of ``e2`` are kept."""
     blocks = max(1, math.ceil(n2 / block_edges))
     tasks = min(2 * default_parallelism(e1.sparkSession), math.ceil(paths / CELL_PATHS))
     groups = max(1, math.ceil(n1 / block_edges), math.ceil(tasks / blocks))
+    more = [x for x in e2.schema.fields if x.name not in ("b", "c", "m2", "rank_c")]
 
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -41,15 +55,13 @@ def count_in_cells(e1: DataFrame, e2: DataFrame, n1: float, n2: float, paths: fl
     no_id, no_rank = F.lit(None).cast("bigint"), F.lit(None).cast("double")
     first = (e1.select("a", "b", "m1", every(blocks).alias("k"))
              .select((F.pmod(F.xxhash64("a"), F.lit(groups)) * blocks + F.col("k")).cast("int").alias("cell"),
-                     "a", "b", no_id.alias("c"), F.col("m1").alias("m"), no_rank.alias("rank")))
-    second = (e2.select("b", "c", "m2", "rank_c", every(groups).alias("k"))
+                     "a", "b", no_id.alias("c"), F.col("m1").alias("m"), no_rank.alias("rank"),
+                     *[F.lit(None).cast(x.dataType).alias(x.name) for x in more]))
+    second = (e2.select("b", "c", "m2", "rank_c", *[x.name for x in more], every(groups).alias("k"))
               .select((F.col("k") * blocks + F.pmod(F.xxhash64("c"), F.lit(blocks))).cast("int").alias("cell"),
-                      no_id.alias("a"), "b", "c", F.col("m2").alias("m"), F.col("rank_c").alias("rank")))
-    cells = (second.unionByName(first).repartitionById(groups * blocks, "cell").select("a", "b", "c", "m", "rank")
-             .sortWithinPartitions(F.col("a").asc_nulls_first()))  # the second hops come first, then user by user
-    if per_user:
-        return cells.mapInArrow(_reduce_cell, PARTS)
-    return cells.mapInArrow(_count_cell, "id bigint, sn_id bigint, sn_rank double, count bigint")
+                      no_id.alias("a"), "b", "c", F.col("m2").alias("m"), F.col("rank_c").alias("rank"), *[x.name for x in more]))
+    return (second.unionByName(first).repartitionById(groups * blocks, "cell").drop("cell")
+            .sortWithinPartitions(F.col("a").asc_nulls_first()))  # the second hops come first, then user by user
 
 
 def _reduce_cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,6 +69,11 @@ def _reduce_cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_cell(batches: Iterable[pa.RecordBatch], per_user: bool = False) -> Iterator[pa.RecordBatch]:
+    return _run_cell(batches, lambda second: _Cell(second, CHUNK_PATHS if per_user else CHUNK_ROWS, per_user))
+
+
+def _run_cell(batches: Iterable[pa.RecordBatch], make) -> Iterator[pa.RecordBatch]:
+    """``make``: of the table of second hops, what takes the first hops by ``add`` and ends by ``flush``."""
     second, cell = [], None
     for batch in batches:
         n = batch.column("a").null_count
@@ -64,7 +81,7 @@ def _count_cell(batches: Iterable[pa.RecordBatch], per_user: bool = False) -> It
             second.append(batch.slice(0, n))
         if n < batch.num_rows and (second or cell):
             if cell is None:
-                cell, second = _Cell(pa.Table.from_batches(second), CHUNK_PATHS, per_user), []
+                cell, second = make(pa.Table.from_batches(second)), []
             yield from cell.add(batch.slice(n))
     if cell is not None:
         yield from cell.flush(True)
@@ -75,6 +92,39 @@ def _starts(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
 
 
+def _by_candidate(user: np.ndarray, code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows by candidate, count and user."""
+    if not len(user):
+        return user, code, counts
+    u, n = int(user.max()).bit_length(), int(counts.max()).bit_length()
+    if int(code.max()).bit_length() + n + u < 63:  # sorted as one number, which is faster than a lexsort
+        key = (((code << n) | counts) << u) | user
+        key.sort()
+        return key & ((1 << u) - 1), key >> (n + u), (key >> u) & ((1 << n) - 1)
+    order = np.lexsort((user, counts, code))
+    return user[order], code[order], counts[order]
+
+
+def grouped(key: np.ndarray, paths: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order, each once, and the sum of its paths (None: one each)."""
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    if paths is None:
+        key.sort()
+        starts = _starts(key)
+        return key[starts], np.diff(np.append(starts, len(key)))
+    width = int(paths.max()).bit_length()
+    if int(key.max()).bit_length() + width < 63:  # sorted as one number, which is faster than an argsort
+        both = (key << width) | paths
+        both.sort()
+        key, paths = both >> width, both & ((1 << width) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, paths = key[order], paths[order]
+    starts = _starts(key)
+    return key[starts], np.add.reduceat(paths, starts)
+
+
 class _Cell:
     """The second hops of a block, by middle vertex; ``add`` takes first hops in user order."""
 
@@ -138,7 +188,10 @@ class _Cell:
             a, at, m = (x[:cut] for x in rows)
             starts = _starts(a)
             key, counts = self._grouped(np.repeat(np.arange(len(starts)), np.diff(np.append(starts, cut))), at, m)
-            yield from self._out(a[starts][key >> self.bits], key & ((1 << self.bits) - 1), counts)
+            user, code = key >> self.bits, key & ((1 << self.bits) - 1)
+            if not self.per_user:
+                user, code, counts = _by_candidate(user, code, counts)
+            yield from self._out(a[starts][user], code, counts)
         rest = tuple(x[cut:] for x in rows)
         if len(rest[0]):
             paths = int(self.degree[rest[1]].sum())
@@ -159,22 +212,8 @@ class _Cell:
         ends = np.cumsum(degree)
         total = int(ends[-1])
         edge = np.arange(total) + np.repeat(self.start[at] - (ends - degree), degree)
-        key = (np.repeat(user, degree) << self.bits) | self.code[edge]
-        if self.plain and bool((m == 1).all()):
-            key.sort()
-            starts = _starts(key)
-            return key[starts], np.diff(np.append(starts, total))
-        paths = self.m[edge] * np.repeat(m, degree)
-        width = int(paths.max()).bit_length()
-        if int(key.max()).bit_length() + width < 63:  # sorted as one number, which is faster than an argsort
-            both = (key << width) | paths
-            both.sort()
-            key, paths = both >> width, both & ((1 << width) - 1)
-        else:
-            order = np.argsort(key, kind="stable")
-            key, paths = key[order], paths[order]
-        starts = _starts(key)
-        return key[starts], np.add.reduceat(paths, starts)
+        return grouped((np.repeat(user, degree) << self.bits) | self.code[edge],
+                       None if self.plain and bool((m == 1).all()) else self.m[edge] * np.repeat(m, degree))
 
     def _out(self, user: np.ndarray, code: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         if self.per_user:

@@ -8,6 +8,7 @@ do we pick a folder of our own.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -141,6 +142,18 @@ def persist_partitioned(df):
     return cached
 
 
+def drop_unused(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that no frame refers to any more.
+
+    It deletes them when the driver collects garbage, which a driver with memory to spare hardly ever does, so
+    the files of all steps of a job would lie on the disks together."""
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's own garbage
+        pass
+
+
 def checkpoint(df):
     """Cut lineage with a reliable checkpoint (survives executor loss).
 
